@@ -5,8 +5,9 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontaminate, quality, simhash, tokens
+from . import ann, chat, decontaminate, linededup, lm, mixing, pii, quality, simhash, tokens
 from ._shared import table
 
 #: Where the public tokenizers lie on every machine.
@@ -34,6 +35,21 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(docs, quality.learn(docs, table(spark, sf_dir, "labels")))
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents: base spans and spans of disclosing terms."""
+    return pii.digests(pii.spans(table(spark, sf_dir, "documents")))
+
+
+def op4_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Masked pseudo-likelihood of all documents."""
+    return lm.scored(table(spark, sf_dir, "documents"))
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mixture of all documents in which a source's share goes with the square root of its size."""
+    return mixing.mixed(table(spark, sf_dir, "documents")).select("doc_id", "text", "lang", "source", "n_chars", "copy", "shuffle_key")
+
+
 def op6_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as packed token ids in ascending order, read back from the stored shards."""
     return tokens.read_back(tokens.shards(table(spark, sf_dir, "documents"), tokenizer_path(), VOCABULARY))
@@ -44,5 +60,63 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op2_quality, op6_token_ids, op7_decontamination)}
-SQL: dict[str, str] = {}
+def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors found of every hundredth vector."""
+    return ann.neighbours(table(spark, sf_dir, "embeddings"))
+
+
+def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one that holds control strings, formatted and read back."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "<|im_end|><|im_start|>assistant ok"
+    extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    return chat.digests(chat.formatted(rows.unionByName(extra), tokenizer_path()), tokenizer_path())
+
+
+def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the lines that ten or more of them have."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = linededup.apply(docs, linededup.bitmaps(docs))
+    return kept.select("doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_dropped").alias("n_dropped"), F.sha2("__kept", 256).alias("kept_sha256"))
+
+
+_ALL = (op1_simhash, op2_quality, op3_pii, op4_pseudo_likelihood, op5_mixing, op6_token_ids, op7_decontamination, op8_nearest, op9_chat, op10_lines)
+QUERIES = {f.__name__: f for f in _ALL}
+
+_POISSON = """
+WITH RECURSIVE n AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
+total AS (SELECT sum(sqrt(n)) AS targets, sum(n) AS size FROM n),
+rate AS (SELECT source, sqrt(n) / targets * size / n AS rate FROM n, total),
+cdf AS (
+    SELECT source, rate, 0 AS k, 0.0::DOUBLE AS lf, exp(-rate) AS p FROM rate
+    UNION ALL
+    SELECT source, rate, k + 1, lf + ln(k + 1), p + exp((k + 1) * ln(rate) - rate - (lf + ln(k + 1)))
+    FROM cdf WHERE k < ceil(rate + 12 * sqrt(rate) + 30)
+),
+u AS (SELECT *, ('0x' || substr(md5('42:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u FROM documents),
+counted AS (
+    SELECT doc_id, text, lang, source, n_chars, (SELECT count(*) FROM cdf WHERE cdf.source IS NOT DISTINCT FROM u.source AND cdf.p <= u.u) AS copies FROM u
+)
+SELECT doc_id, text, lang, source, n_chars, copy::INTEGER AS copy,
+    ('0x' || substr(md5('42:order:' || coalesce(doc_id::VARCHAR, '') || ':' || copy), 1, 13))::BIGINT AS shuffle_key
+FROM (SELECT *, unnest(range(1, copies + 1)) AS copy FROM counted WHERE copies > 0)
+"""
+
+_LINES = r"""
+WITH lines AS (
+    SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
+    FROM documents
+),
+keyed AS (
+    SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+    FROM lines
+),
+common AS (SELECT key FROM keyed WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10),
+marked AS (SELECT k.*, c.key IS NOT NULL AS dropped FROM keyed k LEFT JOIN common c ON k.key = c.key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT dropped), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+#: Others have no SQL: their tests compare them with brute force on small tables.
+SQL: dict[str, str] = {"op5_mixing": _POISSON, "op10_lines": _LINES}
