@@ -1,0 +1 @@
+"""Schemas and column expressions."""

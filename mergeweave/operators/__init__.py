@@ -1,0 +1 @@
+"""Operators on event tables and on rows of pull requests."""

@@ -1,0 +1 @@
+"""The three stages: shard, group, enrich."""

@@ -1,0 +1 @@
+"""Stage 1 over files as they arrive."""
