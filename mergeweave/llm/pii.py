@@ -99,6 +99,18 @@ def _located(found: Column, pieces: Column) -> Column:
     return F.aggregate(around, zero, step)["out"]
 
 
+def _validator(kind: str):
+    return lambda s: _valid(kind, s["value"])
+
+
+def _ranked(rank: int, spans: Column) -> Column:
+    return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.lit(rank).alias("rank"), *[s[n].alias(n) for n in ("end", "value", "left", "right")]))
+
+
+def _count(rank: int) -> Column:
+    return F.size(F.filter("spans", lambda s: s["rank"] == rank)).cast("long")
+
+
 def entities(docs: DataFrame) -> DataFrame:
     """``(doc_id, th, spans)`` of every row: th is a hash of the text, spans an array of ``(start, rank, end, value, left, right)`` by start, then kind."""
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -110,10 +122,7 @@ def entities(docs: DataFrame) -> DataFrame:
         none = F.array().cast("array<string>")
         out = out.withColumn(f"m{rank}", F.when(maybe, F.regexp_extract_all("text", F.lit(pattern), F.lit(0))).otherwise(none))
         out = out.withColumn(f"p{rank}", F.when(F.size(f"m{rank}") > 0, F.split("text", pattern, -1)).otherwise(none))
-        ok = F.filter(_located(F.col(f"m{rank}"), F.col(f"p{rank}")), lambda s, kind=kind: _valid(kind, s["value"]))
-        parts.append(
-            F.transform(ok, lambda s, rank=rank: F.struct(s["start"].alias("start"), F.lit(rank).alias("rank"), s["end"].alias("end"), s["value"].alias("value"), s["left"].alias("left"), s["right"].alias("right")))
-        )
+        parts.append(_ranked(rank, F.filter(_located(F.col(f"m{rank}"), F.col(f"p{rank}")), _validator(kind))))
     return out.select("doc_id", "th", F.sort_array(F.concat(*parts)).alias("spans"))
 
 
@@ -241,5 +250,5 @@ def digests(marks: DataFrame) -> DataFrame:
     kinds = F.array(*map(F.lit, KINDS))
     base = F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end"), F.element_at(kinds, s["rank"] + 1).alias("kind")))
     terms = F.transform("terms", lambda t: F.struct(t["start"].alias("start"), F.lit(len(KINDS)).alias("rank"), t["end"].alias("end"), F.lit("term").alias("kind")))
-    counts = [F.size(F.filter("spans", lambda s, rank=rank: s["rank"] == rank)).cast("long").alias(f"n_{kind}") for rank, kind in enumerate(KINDS)]
+    counts = [_count(rank).alias(f"n_{kind}") for rank, kind in enumerate(KINDS)]
     return marks.select("doc_id", *counts, F.sha2(_listed(base), 256).alias("base_sha256"), _listed(F.sort_array(F.concat(base, terms))).alias("spans"))
