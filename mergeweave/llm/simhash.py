@@ -3,10 +3,11 @@
 Fingerprints are made of word shingles. Distinct fingerprints are dealt into
 blocks by hash, every pair of blocks is one group of a bounded size, and a
 group compares its fingerprints tile by tile with exclusive-or and bit counts
-in numpy. Tiles hold fingerprints sorted by the population counts of their two
-halves; a pair of tiles whose counts differ beyond the radius is skipped, since
-``|pop(x) - pop(y)|`` never exceeds the number of differing bits. A group emits
-a spanning forest of the links that it finds, never all pairs.
+in numpy. Tiles hold fingerprints sorted by the population counts of their
+halves and quarters; a pair of tiles whose counts differ beyond the radius is
+skipped, since ``|pop(x) - pop(y)|`` never exceeds the number of differing bits
+of any part. A group emits a spanning forest of the links that it finds, never
+all pairs.
 
 The comparison is exact and hence quadratic in the number of distinct
 fingerprints; see the README for what that means at scale.
@@ -26,7 +27,7 @@ from ._shared import slices, stored, texts_of
 from .components import components
 
 SEED = 42
-TILE = 512
+TILE = 256
 #: At most so many distinct fingerprints meet in a block; a group holds two blocks.
 BLOCK = 1 << 19
 #: At least so many blocks, for parallel work on small inputs.
@@ -118,6 +119,12 @@ def _unite(parent: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         parent = _roots(parent)
 
 
+def _counts(x: np.ndarray) -> np.ndarray:
+    """(n, 6) population counts: of the upper and the lower half, and of the two quarters of each."""
+    quarters = [np.bitwise_count(x >> np.uint64(16 * q) & np.uint64(0xFFFF)).astype(np.int16) for q in (3, 2, 1, 0)]
+    return np.stack([quarters[0] + quarters[1], quarters[2] + quarters[3], *quarters], axis=1)
+
+
 def forest(left: np.ndarray, right: np.ndarray | None, radius: int, lane_radius: int | None = None, tile: int = TILE):
     """Index pairs (into left followed by right) of a spanning forest of all links within ``radius``.
 
@@ -126,22 +133,32 @@ def forest(left: np.ndarray, right: np.ndarray | None, radius: int, lane_radius:
     """
     whole = left if right is None else np.concatenate([left, right])
     near = radius if lane_radius is None else lane_radius
-    hi, lo = np.bitwise_count(whole[:, 0] >> np.uint64(32)).astype(int), np.bitwise_count(whole[:, 0] & np.uint64(0xFFFFFFFF)).astype(int)
+    x = np.ascontiguousarray(whole[:, 0])
+    counts, space = _counts(x), np.empty((tile, tile), dtype=np.uint64)
 
     def tiles(ids: np.ndarray):
-        ids = ids[np.lexsort((lo[ids], hi[ids]))]
-        return [(t, hi[t].min(), hi[t].max(), lo[t].min(), lo[t].max()) for t in (ids[k : k + tile] for k in range(0, len(ids), tile))]
-
-    mine = tiles(np.arange(len(left)))
-    other = mine if right is None else tiles(np.arange(len(left), len(whole)))
+        """Ids by tile, and the least and largest counts of each tile."""
+        ids = ids[np.lexsort(counts[ids].T[[4, 2, 1, 0]])]
+        at = np.arange(0, len(ids), tile)
+        if not len(at):
+            return [], counts[:0], counts[:0]
+        return np.split(ids, at[1:]), np.minimum.reduceat(counts[ids], at), np.maximum.reduceat(counts[ids], at)
+
+    mine, low, high = tiles(np.arange(len(left)))
+    other, olow, ohigh = (mine, low, high) if right is None else tiles(np.arange(len(left), len(whole)))
     parent = np.arange(len(whole))
-    for k, (a, ah0, ah1, al0, al1) in enumerate(mine):
-        for b, bh0, bh1, bl0, bl1 in other[k:] if right is None else other:
-            if max(0, ah0 - bh1, bh0 - ah1) + max(0, al0 - bl1, bl0 - al1) > near:
+    for k, a in enumerate(mine):
+        gap = np.maximum(0, np.maximum(low[k] - ohigh, olow - high[k]))
+        bound = np.maximum(gap[:, 0], gap[:, 2] + gap[:, 3]) + np.maximum(gap[:, 1], gap[:, 4] + gap[:, 5])
+        for m in np.nonzero(bound <= near)[0]:
+            if right is None and m < k:
                 continue
-            i, j = np.nonzero(np.bitwise_count(whole[a, 0][:, None] ^ whole[b, 0][None, :]) <= near)
-            if not len(i):
+            b = other[m]
+            differ = np.bitwise_count(np.bitwise_xor(x[a][:, None], x[b][None, :], out=space[: len(a), : len(b)]))
+            if differ.min() > near:
                 continue
+            # one dimension is searched several times faster than two
+            i, j = np.divmod(np.flatnonzero(differ.ravel() <= near), len(b))
             i, j = a[i], b[j]
             if whole.shape[1] > 1:
                 close = np.bitwise_count(whole[i] ^ whole[j]).sum(axis=1) <= radius
