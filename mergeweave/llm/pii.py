@@ -44,6 +44,8 @@ REMOVE_AT = 0.99
 TERM = 3
 #: Up to so many terms go to all tasks; beyond, they are joined by a shuffle.
 BROADCAST_TERMS = 100_000
+#: Up to so many documents with terms to look for go to all tasks, with a pattern each; beyond, texts are shuffled to them.
+BROADCAST_HITS = 20_000
 
 
 def _may_hold(text: Column, kind: str) -> Column:
@@ -159,22 +161,28 @@ def disclosures(docs: DataFrame, found: DataFrame) -> DataFrame:
         .agg(F.count("*").alias("contexts"), F.sum("n").alias("n"))
         .where(F.col("contexts") >= SUPPORT)
     )
-    joint = stored(joint, "joint")
-    terms = joint.select("term").distinct()
+    # A term occurs in as many documents at least as it stands near any entity in. Common words are near many, and
+    # drop out by this bound of the ratio before their occurrences are counted; no term that qualifies can.
+    rows = docs.count()
+    beside = around.select("doc_id", "th", F.explode("terms").alias("term")).groupBy("term").agg(F.countDistinct(F.struct("doc_id", "th")).alias("least_t"))
+
+    def ratio(df_t: str) -> Column:
+        # a term may stand near an entity in several surroundings of a document; a document counts once
+        together = F.least("n", df_t, "df_e").cast("double")
+        return F.log(together * rows / (F.col(df_t) * F.col("df_e"))) / F.log(F.lit(float(rows)) / F.col("df_e"))
+
+    likely = joint.join(entity, ["rank", "value"]).where(F.col("df_e") < rows).join(beside, "term").where(ratio("least_t") >= GENERALISE_AT)
+    likely = stored(likely.select("term", "n", "df_e"), "likely")
+    terms = likely.select("term").distinct()
     size = terms.limit(BROADCAST_TERMS + 1).count()
     if size == 0:
-        return joint.select("term", F.lit(0.0).alias("ratio")).where("false")
+        return likely.select("term", F.lit(0.0).alias("ratio")).where("false")
     if size <= BROADCAST_TERMS:
         terms = F.broadcast(terms)
     words = docs.select(F.explode(F.array_distinct(_words(F.coalesce(F.col("text"), F.lit(""))))).alias("term"))
     frequency = words.join(terms, "term").groupBy("term").agg(F.count("*").alias("df_t"))
-    rows = docs.count()
-    both = joint.join(entity, ["rank", "value"]).join(frequency, "term").where(F.col("df_e") < rows)
-    # a term may stand near an entity in several surroundings of a document; a document counts once
-    together = F.least("n", "df_t", "df_e").cast("double")
-    pmi = F.log(together * rows / (F.col("df_t") * F.col("df_e")))
-    ratio = pmi / F.log(F.lit(float(rows)) / F.col("df_e"))
-    return both.select("term", ratio.alias("ratio")).where(F.col("ratio") >= GENERALISE_AT).groupBy("term").agg(F.max("ratio").alias("ratio"))
+    both = likely.join(frequency, "term").select("term", ratio("df_t").alias("ratio"))
+    return both.where(F.col("ratio") >= GENERALISE_AT).groupBy("term").agg(F.max("ratio").alias("ratio"))
 
 
 def term_spans(docs: DataFrame, terms: DataFrame) -> DataFrame:
@@ -188,13 +196,16 @@ def term_spans(docs: DataFrame, terms: DataFrame) -> DataFrame:
         .agg(F.array_sort(F.collect_set(F.when(F.col("ratio") >= REMOVE_AT, F.col("term")))).alias("out"), F.array_sort(F.collect_set("term")).alias("all"))
         .select(F.col("doc_id").alias("__id"), F.col("th").alias("__th"), "out", F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), F.array_join("all", "|"), F.lit(r")(?!\p{L})")).alias("pattern"))
     )
-    held = rows.dropDuplicates(["doc_id", "th"]).join(hits, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("th") == F.col("__th")))
+    hits = stored(hits, "hits")
+    if hits.limit(BROADCAST_HITS + 1).count() <= BROADCAST_HITS:
+        hits = F.broadcast(hits)
+    held = rows.join(hits, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("th") == F.col("__th")))
     held = held.withColumn("m", F.regexp_extract_all("text", F.col("pattern"), F.lit(0))).withColumn("p", F.split("text", F.col("pattern"), -1))
     located = F.transform(
         _located(F.col("m"), F.col("p")),
         lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.array_contains("out", F.lower(s["value"])).alias("removed")),
     )
-    return held.select("doc_id", "th", located.alias("terms"))
+    return held.select("doc_id", "th", located.alias("terms")).dropDuplicates(["doc_id", "th"])
 
 
 def spans(docs: DataFrame) -> DataFrame:
