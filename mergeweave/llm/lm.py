@@ -1,20 +1,18 @@
 """Masked pseudo-likelihood by a bidirectional window network.
 
-Every token is predicted from the two tokens on either side of it. Tokens are
-the most frequent words of the corpus; all others fall into buckets by hash. The
-neighbours enter as coarser classes, so that the corpus is fully described, for
-this network, by the counts of (context, token): 4,096 contexts by 128 tokens,
-however large the corpus is. Executors count all windows of all documents, Spark
-adds the counts, and the network is trained on them in numpy on the driver:
-embeddings of the four neighbours by place, a hidden layer, a softmax over the
-tokens, gradients over the whole table of counts. A document's score is the sum
-of the logarithms of the conditional probabilities of its tokens.
+Every token is predicted from the two tokens on either side of it; a document's
+score is the sum of the logarithms of the conditional probabilities of its
+tokens. ``scored`` does so for all words, by the network of ``treelm``.
+
+The rest of this module is a small network for fixed classes of words: the most
+frequent words and buckets by hash, with coarse neighbours, so that the counts of
+4,096 contexts by 128 tokens describe a corpus for it. Spark adds the counts, and
+it is trained on the whole table in numpy. No query uses it.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,7 +20,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import treelm
 from ._shared import slices, texts_of
+from .treelm import tally, words_of
 
 #: Tokens; the last BUCKETS of them are for words beyond the most frequent.
 VOCABULARY, BUCKETS = 128, 16
@@ -42,10 +42,6 @@ class Words:
         return np.array([k if (k := get(w)) is not None else first + zlib.crc32(w) % BUCKETS for w in words], dtype=np.int64)
 
 
-def words_of(text: str) -> list[bytes]:
-    return text.encode().lower().split()
-
-
 def _class(ids: np.ndarray, classes: int) -> np.ndarray:
     """Frequent words have a class of their own while there are any; the rest share the last but one."""
     return np.minimum(ids, classes - 2)
@@ -61,18 +57,7 @@ def contexts(ids: np.ndarray) -> np.ndarray:
 def vocabulary(docs: DataFrame) -> Words:
     """The most frequent words of all texts; equal counts go by the word's bytes."""
 
-    def run(batches):
-        counts: Counter = Counter()
-        for batch in batches:
-            for t in texts_of(batch.column(0)):
-                counts.update(words_of(t))
-            if len(counts) > 400_000:
-                yield pa.record_batch([pa.array(counts.keys(), pa.binary()), pa.array(counts.values(), pa.int64())], ["word", "n"])
-                counts = Counter()
-        if counts:
-            yield pa.record_batch([pa.array(counts.keys(), pa.binary()), pa.array(counts.values(), pa.int64())], ["word", "n"])
-
-    total = docs.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    total = tally(docs)
     top = total.orderBy(F.desc("n"), "word").limit(VOCABULARY - BUCKETS).collect()
     return Words({bytes(r["word"]): k for k, r in enumerate(top)})
 
@@ -195,6 +180,7 @@ def scores(docs: DataFrame, words: Words, net: Network) -> DataFrame:
 
 
 def scored(docs: DataFrame) -> DataFrame:
-    """Count, train and score: see ``scores``. Vocabulary and counts are those of all of ``docs``."""
-    words = vocabulary(docs)
-    return scores(docs, words, train(counts(docs, words)))
+    """``(doc_id, n_tokens, log_prob, mean_log_prob)`` as ``scores`` has it, by the network of ``treelm``, with the vocabulary and all windows of ``docs``."""
+    words = treelm.leaves(docs)
+    out = treelm.scores(docs, words, treelm.trained(docs, words))
+    return out.withColumn("mean_log_prob", F.when(F.col("n_tokens") > 0, F.col("log_prob") / F.col("n_tokens")))

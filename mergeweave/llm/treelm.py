@@ -1,0 +1,325 @@
+"""A window network over all words of the corpus: embeddings of the neighbours, a tree of binary decisions over the words.
+
+Every word that occurs ``COUNT`` times or more is a leaf of a Huffman tree and
+has an embedding of its own; so vocabulary and contexts grow with the corpus.
+Rarer words share leaves by hash, whose number follows that of the rarer words;
+within such a leaf its different words are alike. A word's probability is the
+product of the decisions on its path, so probabilities of all words add up to 1
+without a sum over the vocabulary. At the start decisions follow the counts and
+the network predicts each word by its frequency. Executors then train on all
+windows of their documents; what each has changed is averaged row by row,
+weighted by the occurrences that it has seen.
+"""
+
+from __future__ import annotations
+
+import zlib
+from collections import Counter
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ._shared import slices, stored, texts_of
+
+#: Occurrences from which a word has a leaf and an embedding of its own.
+COUNT = 10
+#: Different rarer words that share a leaf, about; so many leaves for them at least.
+SHARED, BUCKETS = 1_024, 16
+SIZE = 16
+#: Tokens of a step, and of what is trained or scored at once.
+BATCH, CHUNK = 4_096, 1 << 18
+RATE = 0.15
+#: Windows to train on at least: a smaller corpus is gone over several times, in ``ROUNDS`` rounds.
+EXAMPLES, PASSES, ROUNDS = 8_000_000, 48, 4
+#: Rows of parameters that are averaged together.
+BLOCK = 1 << 14
+OFFSETS = (-2, -1, 1, 2)
+
+
+def words_of(text: str) -> list[bytes]:
+    return text.encode().lower().split()
+
+
+def tally(docs: DataFrame) -> DataFrame:
+    """``(word, n)`` of all texts."""
+
+    def run(batches):
+        counts: Counter = Counter()
+        for batch in batches:
+            for t in texts_of(batch.column(0)):
+                counts.update(words_of(t))
+            if len(counts) > 400_000:
+                yield pa.record_batch([pa.array(counts.keys(), pa.binary()), pa.array(counts.values(), pa.int64())], ["word", "n"])
+                counts = Counter()
+        if counts:
+            yield pa.record_batch([pa.array(counts.keys(), pa.binary()), pa.array(counts.values(), pa.int64())], ["word", "n"])
+
+    return docs.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+@dataclass
+class Leaves:
+    """Leaves of words: those with a leaf of their own, then the shared ones; counts of all, different words of each shared one."""
+
+    rank: dict[bytes, int]
+    counts: np.ndarray
+    types: np.ndarray
+
+    def ids(self, words: list[bytes]) -> list[int]:
+        get, first, shared = self.rank.get, len(self.rank), len(self.types)
+        return [k if (k := get(w)) is not None else first + zlib.crc32(w) % shared for w in words]
+
+
+def leaves(docs: DataFrame) -> Leaves:
+    total = stored(tally(docs), "words")
+    own = total.where(F.col("n") >= COUNT).orderBy(F.desc("n"), "word").toArrow()
+    rare = total.where(F.col("n") < COUNT)
+    shared = max(BUCKETS, rare.count() // SHARED)
+    tallies = rare.groupBy((F.crc32("word") % shared).cast("int").alias("b")).agg(F.sum("n").alias("n"), F.count("*").alias("k")).toArrow()
+    n, types = np.zeros(shared, dtype=np.int64), np.ones(shared, dtype=np.int64)
+    at = tallies.column("b").to_numpy()
+    n[at], types[at] = tallies.column("n").to_numpy(), tallies.column("k").to_numpy()
+    return Leaves({bytes(w): k for k, w in enumerate(own.column("word").to_pylist())}, np.concatenate([own.column("n").to_numpy(), n]), types)
+
+
+def huffman(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(parent, right, bias) of the tree of two leaves or more: inner nodes follow the leaves, the last is the root and has parent -1; bias of inner nodes."""
+    n = len(counts)
+    order = np.argsort(counts, kind="stable")
+    weight = (counts + 1).tolist() + [0] * (n - 1)
+    waiting, made, i = order.tolist(), n, 0
+    inner = n
+    parent, right = np.full(2 * n - 1, -1, dtype=np.int32), np.zeros(2 * n - 1, dtype=bool)
+    bias = np.zeros(n - 1, dtype=np.float32)
+    for node in range(n, 2 * n - 1):
+        pair = []
+        for _ in range(2):
+            if i < n and (inner >= made or weight[waiting[i]] <= weight[inner]):
+                pair.append(waiting[i])
+                i += 1
+            else:
+                pair.append(inner)
+                inner += 1
+        made += 1
+        a, b = pair
+        weight[node] = weight[a] + weight[b]
+        parent[a] = parent[b] = node
+        right[b] = True
+        bias[node - n] = np.log(weight[b] / weight[a])
+    return parent, right, bias
+
+
+@dataclass
+class Network:
+    """Sum of the neighbours' embeddings, each turned by its place's matrix; decisions are its products with the inner nodes' vectors, and their bias."""
+
+    parent: np.ndarray
+    right: np.ndarray
+    #: (leaves + 1, SIZE); the last row stands for what is beyond the edge of a text.
+    words: np.ndarray
+    #: (inner nodes, SIZE + 1), the bias last.
+    nodes: np.ndarray
+    places: np.ndarray
+
+    def paths(self, leaf: np.ndarray):
+        """For each level, upwards: positions in ``leaf`` that have it, their inner nodes, whether they go right."""
+        n, at, node = len(self.words) - 1, np.arange(len(leaf)), leaf
+        while True:
+            up = self.parent[node]
+            on = up >= 0
+            if not on.all():
+                at, node, up = at[on], node[on], up[on]
+            if not len(at):
+                return
+            yield at, up - n, self.right[node]
+            node = up
+
+    def hidden(self, near: np.ndarray) -> np.ndarray:
+        return sum(self.words[near[:, p]] @ self.places[p] for p in range(len(OFFSETS)))
+
+    def log_probabilities(self, near: np.ndarray, leaf: np.ndarray) -> np.ndarray:
+        """near: (tokens, 4) leaves of the neighbours."""
+        out = np.zeros(len(leaf))
+        for a in range(0, len(leaf), BATCH):
+            h, own = self.hidden(near[a : a + BATCH]), out[a : a + BATCH]
+            for at, node, right in self.paths(leaf[a : a + BATCH]):
+                w = self.nodes[node]
+                x = np.einsum("ij,ij->i", h[at], w[:, :-1]) + w[:, -1]
+                own[at] -= np.log1p(np.exp(np.clip(np.where(right, -x, x), -60, 60)))
+        return out
+
+
+def network(counts: np.ndarray, seed: int = 42) -> Network:
+    draw = np.random.default_rng(seed)
+    parent, right, bias = huffman(counts)
+    nodes = np.zeros((len(bias), SIZE + 1), dtype=np.float32)
+    nodes[:, -1] = bias
+    words = draw.normal(0, 0.3, (len(counts) + 1, SIZE)).astype(np.float32)
+    turns = [np.linalg.qr(draw.normal(size=(SIZE, SIZE)))[0] for _ in OFFSETS]
+    return Network(parent, right, words, nodes, np.array(turns, dtype=np.float32))
+
+
+def windows(ids: list[list[int]], edge: int) -> tuple[np.ndarray, np.ndarray]:
+    """(near, leaf) of all tokens of texts."""
+    flat = np.full(sum(map(len, ids)) + 2 * len(ids) + 2, edge, dtype=np.int32)
+    at, mine = 2, []
+    for text in ids:
+        flat[at : at + len(text)] = text
+        mine.append(np.arange(at, at + len(text)))
+        at += len(text) + 2
+    where = np.concatenate(mine) if mine else np.zeros(0, dtype=np.int64)
+    return np.stack([flat[where + k] for k in OFFSETS], axis=1), flat[where]
+
+
+def _summed(keys: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys, sums of their rows, their numbers."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[first], np.add.reduceat(rows[order], first, axis=0), np.diff(np.append(first, len(keys)))
+
+
+class Training:
+    """Steps of AdaGrad, a rate for each row, on a copy of a network; and what they have changed."""
+
+    def __init__(self, net: Network):
+        self.start, self.seen = net, 0
+        self.net = Network(net.parent, net.right, net.words.copy(), net.nodes.copy(), net.places.copy())
+        self.square = [np.zeros(len(x), dtype=np.float32) for x in (net.words, net.nodes, net.places)]
+        self.times = [np.zeros(len(x), dtype=np.float32) for x in (net.words, net.nodes)]
+
+    def _move(self, k: int, values: np.ndarray, rows: np.ndarray, g: np.ndarray) -> None:
+        self.square[k][rows] += (g * g).reshape(len(g), -1).mean(axis=1)
+        step = RATE / np.sqrt(self.square[k][rows] + 1e-8)
+        values[rows] += g * step.reshape(-1, *[1] * (g.ndim - 1))
+
+    def gradients(self, near: np.ndarray, leaf: np.ndarray):
+        """Of the sum of log-probabilities: ``(rows, gradients, occurrences)`` of words and of nodes, gradients of places."""
+        net = self.net
+        h = net.hidden(near)
+        back, ats, nodes, errors = np.zeros_like(h), [], [], []
+        for at, node, right in net.paths(leaf):
+            w = net.nodes[node]
+            x = np.einsum("ij,ij->i", h[at], w[:, :-1]) + w[:, -1]
+            error = right - 1 / (1 + np.exp(-np.clip(x, -60, 60)))
+            back[at] += error[:, None] * w[:, :-1]
+            ats.append(at)
+            nodes.append(node)
+            errors.append(error)
+        at, node, error = (np.concatenate(z) for z in (ats, nodes, errors))
+        wide = np.concatenate([h, np.ones((len(h), 1), dtype=h.dtype)], axis=1)
+        of_nodes = _summed(node, error[:, None] * wide[at])
+        of_words = _summed(near.T.ravel(), np.concatenate([back @ m.T for m in net.places]))
+        return of_words, of_nodes, np.stack([net.words[near[:, p]].T @ back for p in range(len(OFFSETS))])
+
+    def step(self, near: np.ndarray, leaf: np.ndarray) -> None:
+        (w, gw, nw), (m, gm, nm), gp = self.gradients(near, leaf)
+        self._move(0, self.net.words, w, gw)
+        self._move(1, self.net.nodes, m, gm)
+        # matrices that all tokens share go a tenth of the way
+        self._move(2, self.net.places, np.arange(len(gp)), gp * 0.1)
+        self.times[0][w] += nw
+        self.times[1][m] += nm
+        self.seen += len(leaf)
+
+    def learn(self, ids: list[list[int]], passes: int) -> None:
+        near, leaf = windows(ids, len(self.net.words) - 1)
+        for _ in range(passes):
+            # a short input still makes some steps
+            size = min(BATCH, max(64, len(leaf) // 8))
+            for a in range(0, len(leaf), size):
+                self.step(near[a : a + size], leaf[a : a + size])
+
+    def changes(self):
+        """``(kind, block, rows, times, delta)``: kind 0 words, 1 nodes, 2 places."""
+        for kind, (now, before) in enumerate(((self.net.words, self.start.words), (self.net.nodes, self.start.nodes))):
+            for block in range(0, len(now), BLOCK):
+                rows = np.flatnonzero(self.times[kind][block : block + BLOCK])
+                if len(rows):
+                    at = rows + block
+                    yield kind, block // BLOCK, rows.astype("<i4"), self.times[kind][at].astype("<f4"), (now[at] - before[at]).astype("<f2")
+        delta = (self.net.places - self.start.places).reshape(len(OFFSETS), -1)
+        yield 2, 0, np.arange(len(OFFSETS), dtype="<i4"), np.full(len(OFFSETS), self.seen, dtype="<f4"), delta.astype("<f2")
+
+
+_CHANGES = "kind int, block int, rows binary, times binary, delta binary"
+
+
+def _averaged(batches):
+    """Changes of one row to their mean, weighted by the row's occurrences."""
+    sums: dict = {}
+    for batch in batches:
+        for r in batch.to_pylist():
+            rows, times = np.frombuffer(r["rows"], "<i4"), np.frombuffer(r["times"], "<f4")
+            delta = np.frombuffer(r["delta"], "<f2").reshape(len(rows), -1)
+            key = (r["kind"], r["block"])
+            if key not in sums:
+                sums[key] = np.zeros((BLOCK if r["kind"] < 2 else len(OFFSETS), delta.shape[1] + 1), dtype=np.float64)
+            sums[key][rows, :-1] += delta * times[:, None]
+            sums[key][rows, -1] += times
+    for (kind, block), s in sums.items():
+        rows = np.flatnonzero(s[:, -1])
+        mean = s[rows, :-1] / s[rows, -1:]
+        values = [[kind], [block], [rows.astype("<i4").tobytes()], [s[rows, -1].astype("<f4").tobytes()], [mean.astype("<f2").tobytes()]]
+        yield pa.record_batch([pa.array(v, t) for v, t in zip(values, (pa.int32(), pa.int32(), *[pa.binary()] * 3), strict=True)], ["kind", "block", "rows", "times", "delta"])
+
+
+def trained(docs: DataFrame, words: Leaves) -> Network:
+    """The network of the corpus; every window of every text is trained on, once at least."""
+    net, tokens = network(words.counts), int(words.counts.sum())
+    if not tokens:
+        return net
+    passes = min(PASSES, max(1, -(-EXAMPLES // tokens)))
+    rounds = min(ROUNDS, passes)
+
+    def run(batches):
+        train, held, size = Training(net), [], 0
+        for batch in batches:
+            for part in slices(batch, "text"):
+                for t in texts_of(part.column(0)):
+                    ids = words.ids(words_of(t))
+                    if ids:
+                        held.append(ids)
+                        size += len(ids)
+                    if size > CHUNK:
+                        train.learn(held, -(-passes // rounds))
+                        held, size = [], 0
+        if held:
+            train.learn(held, -(-passes // rounds))
+        if train.seen:
+            for kind, block, rows, times, delta in train.changes():
+                values = [[kind], [block], [rows.tobytes()], [times.tobytes()], [delta.tobytes()]]
+                yield pa.record_batch([pa.array(v, t) for v, t in zip(values, (pa.int32(), pa.int32(), *[pa.binary()] * 3), strict=True)], ["kind", "block", "rows", "times", "delta"])
+
+    for _ in range(rounds):
+        made = docs.select("text").mapInArrow(run, _CHANGES).repartition("kind", "block").mapInArrow(_averaged, _CHANGES).toArrow()
+        new = Network(net.parent, net.right, net.words.copy(), net.nodes.copy(), net.places.copy())
+        flat = (new.words, new.nodes, new.places.reshape(len(OFFSETS), -1))
+        for r in made.to_pylist():
+            rows = np.frombuffer(r["rows"], "<i4")
+            flat[r["kind"]][rows + r["block"] * BLOCK] += np.frombuffer(r["delta"], "<f2").reshape(len(rows), -1)
+        net = new
+    return net
+
+
+def scores(docs: DataFrame, words: Leaves, net: Network) -> DataFrame:
+    """``(doc_id, n_tokens, log_prob)`` of each row of ``docs(doc_id, text, ...)``."""
+    apart = np.log(words.types)
+
+    def run(batches):
+        first = len(words.rank)
+        for batch in batches:
+            for part in slices(batch, "text", 2_000_000):
+                ids = [words.ids(words_of(t)) for t in texts_of(part.column(1))]
+                n = np.array([len(x) for x in ids])
+                near, leaf = windows(ids, len(net.words) - 1)
+                logp = net.log_probabilities(near, leaf)
+                rare = leaf >= first
+                logp[rare] -= apart[leaf[rare] - first]
+                total = np.bincount(np.repeat(np.arange(len(ids)), n), weights=logp, minlength=len(ids))
+                yield pa.record_batch([part.column(0), pa.array(n, pa.int64()), pa.array(total, pa.float64())], ["doc_id", "n_tokens", "log_prob"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, n_tokens long, log_prob double")

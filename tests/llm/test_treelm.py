@@ -1,0 +1,70 @@
+import random
+from collections import Counter
+
+import numpy as np
+
+from mergeweave.llm import lm, treelm
+
+from .helpers import ODD, SCHEMA, docs, prose
+
+
+def pairs(swapped, seed):
+    """Frequent words around rare ones, each of which has a partner beside it; in swapped texts partners are dealt anew."""
+    r = random.Random(seed)
+    keys = [r.randrange(150) for _ in range(20)]
+    locks = keys[:]
+    if swapped:
+        random.Random(seed).shuffle(locks)
+    return " ".join(f"{r.choice('the of and to in'.split())} key{k} lock{j}" for k, j in zip(keys, locks))
+
+
+def test_swapped_rare_words_score_lower(spark):
+    plain = [pairs(False, s) for s in range(300)]
+    # beyond the most frequent words, but each often enough to be known
+    frequent = [f"w{k}" for k in range(130)]
+    fill = [" ".join(frequent) for _ in range(60)]
+    swapped = [pairs(True, s) for s in range(8)]
+    assert all(Counter(a.split()) == Counter(b.split()) for a, b in zip(plain, swapped))
+    got = {r["doc_id"]: r["mean_log_prob"] for r in lm.scored(docs(spark, plain + fill + swapped)).collect()}
+    at = len(plain) + len(fill)
+    assert np.mean([got[k] - got[at + k] for k in range(8)]) > 0.3
+    assert all(got[k] > got[at + k] for k in range(8))
+
+
+def test_vocabulary_grows_and_probabilities_add_up(spark):
+    texts = [prose(800, k) for k in range(6)] + ODD + [" ".join(f"g{k}" for k in range(400))] * 12
+    table = docs(spark, texts)
+    tally = Counter(w for t in texts for w in (t or "").encode().lower().split())
+    words = treelm.leaves(table)
+    assert set(words.rank) == {w for w, n in tally.items() if n >= treelm.COUNT} and len(words.rank) > 400
+    assert words.counts.sum() == sum(tally.values())
+    rare = [w for w in tally if w not in words.rank]
+    assert words.types[np.unique([i - len(words.rank) for i in words.ids(rare)])].sum() == len(rare)
+    net = treelm.network(words.counts)
+    net.nodes[:, :-1] = np.random.default_rng(1).normal(size=net.nodes[:, :-1].shape)
+    every = np.arange(len(words.counts), dtype=np.int32)
+    near = np.tile(np.array([[0, 3, len(every), 2]], dtype=np.int32), (len(every), 1))
+    assert abs(np.exp(net.log_probabilities(near, every)).sum() - 1) < 1e-4
+
+
+def test_gradients():
+    draw = np.random.default_rng(3)
+    net = treelm.network(draw.integers(1, 50, 30))
+    for f in ("words", "nodes", "places"):
+        setattr(net, f, getattr(net, f).astype(np.float64))
+    net.nodes += draw.normal(size=net.nodes.shape)
+    near, leaf = draw.integers(0, 31, (40, 4)), draw.integers(0, 30, 40)
+    (w, gw, _), (m, gm, _), gp = treelm.Training(net).gradients(near, leaf)
+    for values, rows, g in ((net.words, w, gw), (net.nodes, m, gm), (net.places, np.arange(4), gp)):
+        for k in (0, len(rows) // 2, len(rows) - 1):
+            at = (rows[k], 2) if values.ndim == 2 else (rows[k], 2, 5)
+            own, ends = values[at], []
+            for e in (1e-5, -1e-5):
+                values[at] = own + e
+                ends.append(net.log_probabilities(near, leaf).sum())
+            values[at] = own
+            assert abs((ends[0] - ends[1]) / 2e-5 - g[(k, *at[1:])]) < 1e-4
+
+
+def test_empty(spark):
+    assert lm.scored(spark.createDataFrame([], SCHEMA)).count() == 0
