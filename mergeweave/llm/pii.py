@@ -1,17 +1,18 @@
 """Personal data: found by patterns, then sanitised by what terms disclose. DataFrame functions only.
 
 Patterns give the protected entities: e-mail and IP addresses, card and phone
-numbers. Words near an entity are terms that may reveal it. Over the whole
-corpus, with N documents, a term t and an entity e with document frequencies
-df(t) and df(e), and df(t, e) documents in which t stands near e:
+numbers. Words of a text that holds an entity are terms that may reveal it. Over
+the whole corpus, with N documents, a term t and an entity e with document
+frequencies df(t) and df(e), and df(t, e) documents that hold both:
 
     PMI(t; e) = log(N * df(t, e) / (df(t) * df(e)))      what t tells about e
     IC(e)     = log(N / df(e))                           all there is to tell
 
-The ratio of the two is 1 where t occurs only near e. Terms at ``REMOVE_AT`` or
-more are removed, those at ``GENERALISE_AT`` or more are replaced by a class.
-Evidence must come from ``SUPPORT`` different surroundings, so that copies of
-one text reveal nothing.
+The ratio of the two is 1 where t occurs only beside e. Terms at ``REMOVE_AT`` or
+more are removed, those at ``GENERALISE_AT`` or more are replaced by a class, if
+so many common documents are not chance: all pairs of a term and an entity are
+tested, at a level of ``SIGNIFICANCE`` for all of them together. Evidence are
+different surroundings in different texts, so that copies reveal nothing.
 """
 
 from __future__ import annotations
@@ -35,9 +36,10 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 _OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
-#: Characters on either side of an entity in which words are near it.
+#: Characters on either side of an entity that are its surroundings.
 WINDOW = 80
-SUPPORT = 3
+#: Probability that any pair at all passes by chance.
+SIGNIFICANCE = 0.05
 GENERALISE_AT = 0.9
 REMOVE_AT = 0.99
 #: Letters of a term at least.
@@ -137,42 +139,56 @@ def _words(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"[^\p{L}]++", -1), lambda w: F.length(w) >= TERM)
 
 
+def _chance(k: Column, n: Column, q: Column) -> Column:
+    """Hoeffding's bound of the logarithm of the probability of ``k`` or more among ``n``, each with probability ``q``; it holds without replacement too."""
+    a = k / n
+    rest = F.when(a < 1, (1 - a) * F.log((1 - a) / (1 - q))).otherwise(0.0)
+    return F.when(a > q, -n * (a * F.log(a / q) + rest)).otherwise(0.0)
+
+
 def disclosures(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """``(term, ratio)``: the largest ratio of PMI to information content that a term reaches for any entity, at ``GENERALISE_AT`` or more.
+    """``(term, ratio)``: the largest ratio of PMI to information content that a term reaches for any entity, at ``GENERALISE_AT`` or more and beyond chance.
 
-    found: the stored result of ``entities``. All documents and all of their
+    found: the stored result of ``entities``. All documents, all entities and all
     words are counted.
     """
     near = found.where(F.size("spans") > 0).select("doc_id", "th", F.explode("spans").alias("s"))
-    near = near.select("doc_id", "th", F.col("s.rank").alias("rank"), _same(F.col("s.rank"), F.col("s.value")).alias("value"), "s.left", "s.right")
-    # a window cut inside a word would make a word of its own
-    cut_left = F.when(F.length("left") == WINDOW, F.regexp_replace("left", r"^\p{L}++", "")).otherwise(F.col("left"))
-    cut_right = F.when(F.length("right") == WINDOW, F.regexp_replace("right", r"\p{L}++$", "")).otherwise(F.col("right"))
-    around = near.select(
-        "doc_id", "th", "rank", "value", F.xxhash64("left", "right").alias("context"), F.array_distinct(F.concat(_words(cut_left), _words(cut_right))).alias("terms")
-    )
-    entity = stored(near.select("rank", "value", "doc_id", "th").distinct().groupBy("rank", "value").agg(F.count("*").alias("df_e")).where(F.col("df_e") > 1), "entities")
+    near = near.select("doc_id", "th", F.col("s.rank").alias("rank"), _same(F.col("s.rank"), F.col("s.value")).alias("value"), F.xxhash64("s.left", "s.right").alias("context"))
+    near = stored(near.distinct(), "near")
+    rows = docs.count()
+    text = F.coalesce(F.col("text"), F.lit(""))
+    held = docs.select(text.alias("text")).withColumn("th", F.xxhash64("text")).join(near.select("th").distinct(), "th", "left_semi")
+    held = stored(held.select("th", F.array_distinct(_words(F.col("text"))).alias("terms")).dropDuplicates(["th"]), "held")
+    tests = near.select("rank", "value", "th").distinct().join(held.select("th", F.size("terms").alias("n")), "th").agg(F.sum("n")).first()[0] or 0
+    evidence = F.least(F.countDistinct("context"), F.countDistinct("th")).cast("double")
+    document = F.countDistinct(F.struct("doc_id", "th"))
+    entity = near.groupBy("rank", "value").agg(document.alias("df_e"), evidence.alias("all_e")).where(F.col("df_e") < rows)
+    level = F.log(F.lit(SIGNIFICANCE / max(1, tests)))
+    # No term of an entity has less chance than one that is in all of its texts and nowhere else. Where that one would
+    # not pass, as in every entity of a single text unless the corpus has many times more documents than there are tests, none can.
+    entity = stored(entity.where(_chance(F.col("all_e"), F.col("all_e"), F.col("all_e") / rows) <= level + 1e-9), "entities")
     joint = (
-        around.join(entity.select("rank", "value"), ["rank", "value"], "left_semi")
+        near.join(entity.select("rank", "value"), ["rank", "value"], "left_semi")
+        .join(held, "th")
         .select("rank", "value", "context", "doc_id", "th", F.explode("terms").alias("term"))
-        .groupBy("rank", "value", "term", "context")
-        .agg(F.countDistinct(F.struct("doc_id", "th")).alias("n"))
         .groupBy("rank", "value", "term")
-        .agg(F.count("*").alias("contexts"), F.sum("n").alias("n"))
-        .where(F.col("contexts") >= SUPPORT)
+        .agg(document.alias("n"), evidence.alias("k"))
     )
-    # A term occurs in as many documents at least as it stands near any entity in. Common words are near many, and
+    # A term occurs in as many documents at least as it stands beside any entity in. Common words are beside many, and
     # drop out by this bound of the ratio before their occurrences are counted; no term that qualifies can.
-    rows = docs.count()
-    beside = around.select("doc_id", "th", F.explode("terms").alias("term")).groupBy("term").agg(F.countDistinct(F.struct("doc_id", "th")).alias("least_t"))
+    beside = near.select("doc_id", "th").distinct().join(held, "th").select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("least_t"))
 
     def ratio(df_t: str) -> Column:
-        # a term may stand near an entity in several surroundings of a document; a document counts once
         together = F.least("n", df_t, "df_e").cast("double")
         return F.log(together * rows / (F.col(df_t) * F.col("df_e"))) / F.log(F.lit(float(rows)) / F.col("df_e"))
 
-    likely = joint.join(entity, ["rank", "value"]).where(F.col("df_e") < rows).join(beside, "term").where(ratio("least_t") >= GENERALISE_AT)
-    likely = stored(likely.select("term", "n", "df_e"), "likely")
+    def beyond_chance(df_t: str) -> Column:
+        # either of the two may be seen as drawn, the other as what is drawn from
+        e, t = F.col("all_e"), F.col(df_t).cast("double")
+        return F.least(_chance(F.col("k"), e, t / rows), _chance(F.col("k"), t, e / rows)) <= level
+
+    likely = joint.join(entity, ["rank", "value"]).join(beside, "term").where((ratio("least_t") >= GENERALISE_AT) & beyond_chance("least_t"))
+    likely = stored(likely.select("term", "n", "df_e", "k", "all_e"), "likely")
     terms = likely.select("term").distinct()
     size = terms.limit(BROADCAST_TERMS + 1).count()
     if size == 0:
@@ -181,7 +197,7 @@ def disclosures(docs: DataFrame, found: DataFrame) -> DataFrame:
         terms = F.broadcast(terms)
     words = docs.select(F.explode(F.array_distinct(_words(F.coalesce(F.col("text"), F.lit(""))))).alias("term"))
     frequency = words.join(terms, "term").groupBy("term").agg(F.count("*").alias("df_t"))
-    both = likely.join(frequency, "term").select("term", ratio("df_t").alias("ratio"))
+    both = likely.join(frequency, "term").where(beyond_chance("df_t")).select("term", ratio("df_t").alias("ratio"))
     return both.where(F.col("ratio") >= GENERALISE_AT).groupBy("term").agg(F.max("ratio").alias("ratio"))
 
 
