@@ -26,6 +26,7 @@ START, STOP = "<|im_start|>", "<|im_end|>"
 CHUNK = 1 << 22
 _ESCAPE = re.compile(r"<(\\*)\|")
 _UNESCAPE = re.compile(r"<\\(\\*)\|")
+_LINE = re.compile(r"\\(.)")
 
 
 def escaped(text: str) -> str:
@@ -37,6 +38,16 @@ def unescaped(text: str) -> str:
     return _UNESCAPE.sub(r"<\1|", text)
 
 
+def one_line(role: str) -> str:
+    """A role without line feeds, reversibly: ``\\n`` for each, and ``\\\\`` for a backslash."""
+    return role.replace("\\", "\\\\").replace("\n", "\\n")
+
+
+def as_said(role: str) -> str:
+    """The inverse of ``one_line``."""
+    return _LINE.sub(lambda m: "\n" if m[1] == "n" else m[1], role)
+
+
 class Codec:
     """Turns to ids and back; ``size`` is the vocabulary's, the ids from there on mark turns."""
 
@@ -77,7 +88,7 @@ class Codec:
             inner, on = body[:stop], mask[a + 1 : b][:stop]
             role, _, text = self.text(inner.tolist()).partition("\n")
             loss = self.text(inner[on].tolist()) if on.any() else ""
-            out.append((unescaped(role).replace("\x00", "\n"), unescaped(text), unescaped(loss)))
+            out.append((as_said(unescaped(role)), unescaped(text), unescaped(loss)))
         return out
 
     def rendered(self, ids: np.ndarray) -> str:
@@ -106,11 +117,11 @@ def formatted(conversations: DataFrame, path: str) -> DataFrame:
     """``(conv_id, chunk, n_turns, ids, loss)`` of every conversation of ``conversations(conv_id, turn, role, text, ...)``.
 
     Turns go by ``turn``, equal ones by role and text, a null first. A null text
-    or role is empty; a line feed in a role becomes U+0000, which a role may not
-    hold otherwise. Repeated rows are turns as often. Rows without conv_id are
-    one conversation. Long conversations take several rows, in order: chunk 0
-    and up. An empty table gives an empty result. Rows of the result are
-    grouped by conv_id and in order within a part.
+    or role is empty; a line feed in a role is escaped. Repeated rows are turns
+    as often. Rows without conv_id are one conversation. Other columns are
+    ignored, whatever their names. Long conversations take several rows, in
+    order: chunk 0 and up; a long text is one turn. An empty table gives an
+    empty result.
     """
     rows = conversations.select(
         F.col("conv_id").cast("long").alias("conv_id"), "turn", F.coalesce(F.col("role"), F.lit("")).alias("role"), F.coalesce(F.col("text"), F.lit("")).alias("text")
@@ -132,7 +143,7 @@ def formatted(conversations: DataFrame, path: str) -> DataFrame:
             for piece in slices(batch, "text"):
                 keys, roles = piece.column(0).to_pylist(), piece.column(1).to_pylist()
                 new = list(set(roles) - known.keys())
-                known.update(zip(new, c.ids([escaped(r.replace("\n", "\x00")) for r in new]), strict=True))
+                known.update(zip(new, c.ids([escaped(one_line(r)) for r in new]), strict=True))
                 for key, role, text in zip(keys, roles, c.ids([escaped(t) for t in texts_of(piece.column(2))]), strict=True):
                     if now is not None and (now[0] != key or held >= CHUNK):
                         yield row()
@@ -154,8 +165,8 @@ def formatted(conversations: DataFrame, path: str) -> DataFrame:
 def digests(table: DataFrame, path: str) -> DataFrame:
     """``(conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars)``, read back from the ids and masks of ``formatted``.
 
-    Rows of one conversation must follow each other within a part, as
-    ``formatted`` gives them.
+    A conversation's digest runs over its turns one after the other, so its
+    chunks, in order, meet in one task, which holds one of them at a time.
     """
     names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
 
@@ -183,7 +194,8 @@ def digests(table: DataFrame, path: str) -> DataFrame:
         if out:
             yield pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in out], schema=_DIGESTS)
 
-    return table.select("conv_id", "ids", "loss").mapInArrow(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    ordered = table.repartition("conv_id").sortWithinPartitions("conv_id", "chunk").select("conv_id", "ids", "loss")
+    return ordered.mapInArrow(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 
 
 _DIGESTS = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())])

@@ -91,17 +91,23 @@ def bitmaps(docs: DataFrame, min_docs: int = 10, keep: str = "none", least_chars
 
 
 def apply(docs: DataFrame, maps: DataFrame) -> DataFrame:
-    """``docs`` with ``__kept`` (the text of its kept lines, joined by line feeds), ``__n_lines`` and ``__n_dropped``.
+    """``docs`` with ``kept_text`` (the text of its kept lines, joined by line feeds), ``n_lines`` and ``n_dropped``.
 
-    Only bitmaps that drop something are joined; other texts are their own result.
+    Only bitmaps that drop something are joined; other texts are their own
+    result. Columns of ``docs`` with one of these three names are replaced; all
+    other names may occur. Repeated rows each have a result. A text is handled
+    within its row, however long.
     """
-    cut = maps.where("n_dropped > 0").select(F.col("doc_id").alias("__id"), F.col("th").alias("__th"), "n_dropped", "runs")
+    cut = maps.where("n_dropped > 0").select(F.col("doc_id").alias("cut_id"), F.col("th").alias("cut_th"), F.col("n_dropped").alias("cut_n"), "runs")
+    rows = docs.select(F.struct("*").alias("doc"), F.col("doc_id").alias("id"), "text").withColumn("own_th", _hash_of(F.col("text")))
     flags = F.flatten(F.transform("runs", lambda n, i: F.array_repeat(i % 2 == 0, n)))
-    joined = docs.join(cut, docs["doc_id"].eqNullSafe(F.col("__id")) & (_hash_of(docs["text"]) == F.col("__th")), "left").withColumn("__lines", lines_of(F.col("text"))).withColumn("__flags", flags)
-    kept = F.array_join(F.filter("__lines", lambda x, i: F.element_at("__flags", i + 1)), "\n")
-    return joined.select(
-        *[docs[c] for c in docs.columns],
-        F.when(F.col("runs").isNull(), F.coalesce(F.col("text"), F.lit(""))).otherwise(kept).alias("__kept"),
-        F.size("__lines").cast("long").alias("__n_lines"),
-        F.coalesce(F.col("n_dropped"), F.lit(0)).cast("long").alias("__n_dropped"),
+    joined = rows.join(cut, F.col("id").eqNullSafe(F.col("cut_id")) & (F.col("own_th") == F.col("cut_th")), "left").withColumn("lines", lines_of(F.col("text"))).withColumn("flags", flags)
+    kept = F.array_join(F.filter("lines", lambda x, i: F.element_at("flags", i + 1)), "\n")
+    done = joined.select(
+        "doc",
+        F.when(F.col("runs").isNull(), F.coalesce(F.col("text"), F.lit(""))).otherwise(kept).alias("kept_text"),
+        F.size("lines").cast("long").alias("n_lines"),
+        F.coalesce(F.col("cut_n"), F.lit(0)).cast("long").alias("n_dropped"),
     )
+    new = ("kept_text", "n_lines", "n_dropped")
+    return done.select(*[F.col("doc").getField(c).alias(c) for c in docs.columns if c not in new], *new)

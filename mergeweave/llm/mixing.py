@@ -14,13 +14,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SEED = 42
-#: Up to so many sources their table of distributions goes to all tasks; beyond, it is joined by a shuffle.
-BROADCAST_SOURCES = 20_000
+#: Mean of one draw at most; a larger mean is the sum of several draws, each with a hash of its own, which is a Poisson number again.
+LARGEST = 512.0
+#: Up to so many cumulative probabilities (8 bytes each) of all sources go to all tasks; beyond, they are joined by a shuffle.
+BROADCAST_NUMBERS = 2_000_000
 
 
 def uniform(seed: int, *keys: Column) -> Column:
-    """A number in [0, 1) from the first 52 bits of an MD5 of seed and keys; a null key counts as empty."""
-    text = F.concat_ws(":", F.lit(str(seed)), *[F.coalesce(k.cast("string"), F.lit("")) for k in keys])
+    """A number in [0, 1) from the first 52 bits of an MD5 of seed and keys; a null key counts as empty, a further one that is null as none."""
+    text = F.concat_ws(":", F.lit(str(seed)), F.coalesce(keys[0].cast("string"), F.lit("")), *[k.cast("string") for k in keys[1:]])
     return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
@@ -49,7 +51,7 @@ def rates(docs: DataFrame, weights: dict[str, float] | None = None, power: float
 
 
 def distribution(rate: Column) -> Column:
-    """Cumulative probabilities of 0, 1, 2, ... at a Poisson mean, as far as they tell from 1 in double precision; summed in logarithms, so that large means don't underflow."""
+    """Cumulative probabilities of 0, 1, 2, ... at a Poisson mean of at most ``LARGEST``, as far as they tell from 1 in double precision; summed in logarithms, so that they don't underflow."""
     last = F.ceil(rate + 12 * F.sqrt(rate) + 30).cast("int")
     zero = F.struct(F.lit(0.0).alias("lf"), F.lit(0.0).alias("sum"), F.array().cast("array<double>").alias("cdf"))
 
@@ -63,34 +65,37 @@ def distribution(rate: Column) -> Column:
 
 
 def copies(docs: DataFrame, weights: dict[str, float] | None = None, power: float = 0.5, size: int | None = None, seed: int = SEED) -> DataFrame:
-    """``docs`` with a column ``__copies`` (int): how often each row is to occur.
+    """``(doc, copies)``: each row of ``docs`` as a struct, and how often it is to occur.
 
     Rows that share a doc_id, and rows without one, get the same number from the
     hash; with another source they may differ in counts.
     """
-    cdfs = rates(docs, weights, power, size).select(F.col("source").alias("__source"), distribution(F.col("rate")).alias("__cdf"))
-    if cdfs.select("__source").limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES:
+    rated = rates(docs, weights, power, size).withColumn("draws", F.greatest(F.lit(1), F.ceil(F.col("rate") / LARGEST)).cast("int"))
+    cdfs = rated.select(F.col("source").alias("of"), "draws", distribution(F.col("rate") / F.col("draws")).alias("cdf"))
+    if (cdfs.agg(F.sum(F.size("cdf") + 4)).first()[0] or 0) <= BROADCAST_NUMBERS:
         cdfs = F.broadcast(cdfs)
-    u = uniform(seed, F.col("doc_id"))
-    counted = F.size(F.filter("__cdf", lambda c: c <= F.col("__u"))).cast("int")
-    return (
-        docs.withColumn("__u", u)
-        .join(cdfs, F.col("source").eqNullSafe(F.col("__source")), "left")
-        .withColumn("__copies", F.coalesce(F.when(F.element_at("__cdf", 1) > 1, F.lit(0)).otherwise(counted), F.lit(0)))
-        .drop("__u", "__cdf", "__source")
-    )
+    rows = docs.select(F.struct("*").alias("doc"), F.col("doc_id").alias("id"), F.col("source").alias("from"))
+    # the first draw's key is the document's alone
+    drawn = F.transform(F.sequence(F.lit(1), F.col("draws")), lambda j: uniform(seed, F.col("id"), F.when(j > 1, j)))
+    count = lambda u: F.size(F.filter("cdf", lambda c: c <= u))
+    total = F.aggregate(F.col("drawn"), F.lit(0), lambda n, u: n + count(u))
+    joined = rows.join(cdfs, F.col("from").eqNullSafe(F.col("of"))).withColumn("drawn", drawn)
+    return joined.select("doc", F.when(F.element_at("cdf", 1) > 1, F.lit(0)).otherwise(total).alias("copies"))
 
 
 def mixed(docs: DataFrame, weights: dict[str, float] | None = None, power: float = 0.5, size: int | None = None, seed: int = SEED) -> DataFrame:
     """The mixture: all columns of ``docs``, ``copy`` (1 and up) and ``shuffle_key`` (long), in the order of that key within each part.
 
     Rows go to a part by their key's hash and are sorted by it there, so the
-    parts one after the other are a random order of the whole. An empty table
+    parts one after the other are a random order of the whole. Repeated rows
+    occur each as often as the number for their doc_id has it. Null texts and
+    sources are kept as they are, texts may be of any length. An empty table
     gives an empty mixture. Columns of the input named ``copy`` or
-    ``shuffle_key`` are replaced.
+    ``shuffle_key`` are replaced; all other names may occur.
     """
-    counted = copies(docs, weights, power, size, seed).where("__copies > 0")
-    exploded = counted.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).drop("__copies")
-    text = F.concat_ws(":", F.lit(str(seed)), F.lit("order"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("copy").cast("string"))
+    counted = copies(docs, weights, power, size, seed).where("copies > 0")
+    exploded = counted.select("doc", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
+    text = F.concat_ws(":", F.lit(str(seed)), F.lit("order"), F.coalesce(F.col("doc.doc_id").cast("string"), F.lit("")), F.col("copy").cast("string"))
     keyed = exploded.withColumn("shuffle_key", F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("long"))
-    return keyed.repartition("shuffle_key").sortWithinPartitions("shuffle_key", "doc_id", "copy")
+    dealt = keyed.repartition("shuffle_key").sortWithinPartitions("shuffle_key", "doc.doc_id", "copy")
+    return dealt.select(*[F.col("doc").getField(c).alias(c) for c in docs.columns if c not in ("copy", "shuffle_key")], "copy", "shuffle_key")

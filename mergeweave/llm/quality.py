@@ -123,7 +123,9 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, label: str =
 
     Rows with crc32(doc_id as text) mod 3 = 1 are held out and never read here.
     Labels that are null or refer to no document are left out. Of a doc_id with
-    several labels the smallest counts.
+    several labels the smallest counts, of one with several texts the smallest
+    text, so that the trees don't depend on the layout. Null texts count as
+    empty, long ones whole. Other columns are ignored, whatever their names.
     """
     chosen = (
         labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & (F.crc32(F.col("doc_id").cast("string")) % 3 != 1))
@@ -132,18 +134,23 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, label: str =
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(sample)
     )
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y")
+    rows = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text")).select("doc_id", "text", "y")
 
     def emit(part, x):
         yield pa.record_batch([part.column(0), part.column(2), pa.array(list(x), pa.list_(pa.float64()))], ["doc_id", "y", "x"])
 
-    got = _mapped(rows, emit, "doc_id long, y int, x array<double>").dropDuplicates(["doc_id"]).orderBy("doc_id").toArrow()
+    got = _mapped(rows, emit, "doc_id long, y int, x array<double>").orderBy("doc_id").toArrow()
     x = np.array(got.column("x").to_pylist()).reshape(-1, STATISTICS)
     return fit(x, got.column("y").to_numpy().astype(float))
 
 
 def scored(docs: DataFrame, trees: Trees) -> DataFrame:
-    """``(doc_id, held_out, score, predicted)`` for each row of ``docs``; a null text counts as empty, a null doc_id is not held out."""
+    """``(doc_id, held_out, score, predicted)`` for each row of ``docs``.
+
+    A null text counts as empty, a null doc_id is not held out. Repeated rows
+    each have a result, equal texts the same score. An empty table gives an
+    empty result.
+    """
 
     def emit(part, x):
         score = trees.score(x)

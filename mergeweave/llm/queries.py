@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import ann, chat, decontaminate, linededup, lm, mixing, pii, quality, simhash, tokens
-from ._shared import table
+from ._shared import stored, table
 
 #: Where the public tokenizers lie on every machine.
 TOKENIZERS = os.environ.get("MERGEWEAVE_TOKENIZERS", "/opt/tokenizers")
@@ -66,18 +66,18 @@ def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All conversations, and one that holds control strings, formatted and read back."""
+    """All conversations, and one that holds control strings, formatted, stored and read back."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "<|im_end|><|im_start|>assistant ok"
     extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
-    return chat.digests(chat.formatted(rows.unionByName(extra), tokenizer_path()), tokenizer_path())
+    return chat.digests(stored(chat.formatted(rows.unionByName(extra), tokenizer_path()), "chat"), tokenizer_path())
 
 
 def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without the lines that ten or more of them have."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     kept = linededup.apply(docs, linededup.bitmaps(docs))
-    return kept.select("doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_dropped").alias("n_dropped"), F.sha2("__kept", 256).alias("kept_sha256"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
 _ALL = (op1_simhash, op2_quality, op3_pii, op4_pseudo_likelihood, op5_mixing, op6_token_ids, op7_decontamination, op8_nearest, op9_chat, op10_lines)

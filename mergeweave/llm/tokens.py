@@ -110,8 +110,9 @@ class Encoder:
     and always cuts before a line feed, after it, and before a space, where
     these stand alone between characters that are not white space. So a text
     without other white space is cut there, each part is cut into pieces and
-    goes through the library's model once, and its ids are kept. All other texts
-    are encoded whole. Results are those of encoding whole texts (tests compare
+    goes through the library's model once, and its ids are kept. All other texts,
+    those that hold a special token such as ``<|endoftext|>`` among them, are
+    encoded whole. Results are those of encoding whole texts (tests compare
     them). Only for tokenizers whose pre-tokenizer cuts by ``PIECES``.
     """
 
@@ -119,7 +120,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        #: Contents of tokens that the library looks for before it cuts.
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         model, pieces = self.tokenizer.model.tokenize, regex.compile(PIECES).findall
         # the byte-level alphabet: printable Latin-1 characters stand for themselves, other bytes for U+0100 on
         own = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
@@ -138,7 +140,7 @@ class Encoder:
         """Little-endian unsigned 32-bit ids of each text."""
         out, ids_of = [], self.known.__getitem__
         for text in texts:
-            if not text or text[0] in " \n" or text[-1] in " \n" or any(c in text for c in _ODD) or not text.isascii() and any(c in text for c in _ODD_WIDE):
+            if not text or text[0] in " \n" or text[-1] in " \n" or any(c in text for c in _ODD) or any(c in text for c in self.added) or not text.isascii() and any(c in text for c in _ODD_WIDE):
                 out.append(array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes())
             else:
                 # the line feed before the first part is one id of four bytes
@@ -163,7 +165,7 @@ _SHARDS_DDL = "part int, seq int, doc_ids array<long>, counts array<long>, n_ids
 def shards(docs: DataFrame, path: str, vocabulary: int, end: int | None = END, ordered: bool = True, shard: int = SHARD) -> DataFrame:
     """The texts of ``docs(doc_id, text, ...)`` as a stored table of shards ``(part, seq, doc_ids, counts, n_ids, image)``.
 
-    ordered: by ascending doc_id (null first; equal ids by text), else in the
+    ordered: by ascending doc_id (null first; equal ids by a hash of the text, then by text), else in the
     order in which Spark reads the rows. (part, seq) is the order of shards.
     Every document ends with the id ``end`` if there is one. A null text counts
     as empty. Rows that repeat are written as often. An empty table gives none.
@@ -172,7 +174,8 @@ def shards(docs: DataFrame, path: str, vocabulary: int, end: int | None = END, o
     width = width_for(max(vocabulary, (end or 0) + 1))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     if ordered:
-        rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+        # the hash lets rows that share a doc_id, or have none, go to several parts
+        rows = rows.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
 
     def run(batches):
         part, seq = TaskContext.get().partitionId(), 0

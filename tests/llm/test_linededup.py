@@ -2,6 +2,7 @@ import hashlib
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from mergeweave.llm import linededup
 
@@ -31,7 +32,7 @@ def brute(pairs, least=10, keep="none"):
 
 def run(spark, pairs, **how):
     table = docs(spark, [t for _, t in pairs], [i for i, _ in pairs])
-    got = linededup.apply(table, linededup.bitmaps(table, **how)).selectExpr("doc_id", "__n_lines", "__n_dropped", "sha2(__kept, 256) as h").collect()
+    got = linededup.apply(table, linededup.bitmaps(table, **how)).selectExpr("doc_id", "n_lines", "n_dropped", "sha2(kept_text, 256) as h").collect()
     return sorted(map(tuple, got), key=str)
 
 
@@ -64,6 +65,14 @@ def test_runs(spark):
     assert got == {0: (4, 3, [0, 1, 1, 2]), 1: (1, 1, [0, 1]), 2: (1, 0, [1])}
 
 
+def test_names_of_its_own(spark):
+    names = ["__lines", "__flags", "__kept", "lines", "flags", "runs", "doc", "id", "cut_id", "kept_text", "n_lines", "a.b"]
+    table = docs(spark, ["a\nb", "a"]).select("doc_id", "text", *[F.lit("x").alias(n) for n in names])
+    out = linededup.apply(table, linededup.bitmaps(table, min_docs=2))
+    assert sorted(out.columns) == sorted(["doc_id", "text", *names, "n_dropped"])
+    assert {r["doc_id"]: (r["kept_text"], r["lines"], r["a.b"]) for r in out.collect()} == {0: ("b", "x", "x"), 1: ("", "x", "x")}
+
+
 def test_empty_and_wrong(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert linededup.bitmaps(none).count() == 0

@@ -2,6 +2,8 @@ import hashlib
 import math
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from mergeweave.llm import mixing
 
 from .helpers import SCHEMA, docs
@@ -12,9 +14,12 @@ def u(key, seed=42):
 
 
 def brute(key, rate):
-    """The inverse of the Poisson distribution."""
+    """The inverse of the Poisson distribution; of large means, the sum of several."""
     if rate <= 0:
         return 0
+    if rate > mixing.LARGEST:
+        n = math.ceil(rate / mixing.LARGEST)
+        return sum(brute(key if j == 1 else f"{key}:{j}", rate / n) for j in range(1, n + 1))
     x, k, total = u(key), 0, 0.0
     while True:
         total += math.exp((k * math.log(rate) if k else 0.0) - rate - math.lgamma(k + 1))
@@ -56,6 +61,18 @@ def test_same_on_any_layout_and_shuffled(spark):
     assert len({r[2] for r in one}) == len(one)
 
 
+def test_names_of_its_own(spark):
+    names = ["__copies", "__u", "__cdf", "copies", "doc", "cdf", "of", "from", "drawn", "copy", "a.b"]
+    table = docs(spark, ["t"] * 30).select("doc_id", "text", "source", *[F.lit("x").alias(n) for n in names])
+    for bound in (0, mixing.BROADCAST_NUMBERS):
+        mixing.BROADCAST_NUMBERS, before = bound, mixing.BROADCAST_NUMBERS
+        out = mixing.mixed(table)
+        mixing.BROADCAST_NUMBERS = before
+        assert sorted(out.columns) == sorted(["doc_id", "text", "source", *names, "shuffle_key"])
+        rows = out.collect()
+        assert Counter(r["doc_id"] for r in rows) == Counter({k: n for k in range(30) if (n := brute(k, 1.0))}) and all(r["copies"] == r["a.b"] == "x" for r in rows)
+
+
 def test_odd_rows_and_empty(spark):
     table = docs(spark, [None, "", "x", "x", "y"], ids=[1, 1, None, None, 5], sources=["a", "a", None, "b", "b"])
     out = mixing.mixed(table, weights={"a": 1.0, "b": 9.0}, size=50)

@@ -1,3 +1,4 @@
+import math
 import zlib
 
 import numpy as np
@@ -58,3 +59,57 @@ def test_odd_rows_and_empty(spark):
     assert kept.columns == SCHEMA.fieldNames() and kept.count() == sum(r["predicted"] for r in got)
     none = spark.createDataFrame([], SCHEMA)
     assert quality.scored(none, quality.learn(none, labels)).count() == 0
+
+
+def brute_statistics(text):
+    """By definition, character class by character class."""
+    raw = text.encode()
+    if not raw:
+        return [0.0] * quality.STATISTICS
+    classes = ["ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789", " ", "\n", "\t\r\x0b\x0c", None, "aeiouAEIOU", *quality._MARKS]
+    out = [sum(b > 127 if c is None else chr(b) in c for b in raw) / len(raw) for c in classes]
+    words, lines = raw.split(), [x for x in raw.split(b"\n") if x.strip()]
+    low, sizes = [w.lower() for w in words], [len(w) for w in words] or [0]
+    w, m, mean = max(1, len(words)), max(1, len(lines)), sum(sizes) / len(sizes)
+    share = [raw.count(bytes([b])) / len(raw) for b in set(raw)]
+    return out + [
+        math.log1p(len(raw)), math.log1p(len(words)), mean, math.sqrt(sum((s - mean) ** 2 for s in sizes) / len(sizes)), max(sizes), -sum(s * math.log2(s) for s in share),
+        len(set(low)) / w, max([low.count(x) for x in set(low)], default=0) / w, sum(a == b for a, b in zip(low, low[1:])) / w,
+        sum(x.isupper() for x in words) / w, sum(x.istitle() for x in words) / w, sum(x.isalpha() for x in words) / w,
+        math.log1p(len(lines)), len(set(lines)) / m, math.log1p(w / m), sum(x.endswith((b".", b"!", b"?")) for x in lines) / m,
+    ]
+
+
+def test_statistics_as_by_definition():
+    for text in [t or "" for t in ODD[:7]] + ["A b\nA b\n\n  \nÉté ÉTÉ. 12|34 the the THE!\t~x"]:
+        assert np.allclose(quality.statistics_of(text), brute_statistics(text))
+
+
+def test_first_split_and_leaves_as_by_definition():
+    draw = np.random.default_rng(4)
+    x = draw.integers(0, 9, size=(200, 3)).astype(float)
+    y = (x[:, 1] + draw.normal(size=200) > 4).astype(float)
+    got = quality.fit(x, y, trees=1, depth=1, bins=64, rate=1.0)
+    p = 1 / (1 + math.exp(-got.base))
+    g, h = p - y, np.full(200, p * (1 - p))
+    best = max(
+        ((sum(g[s]) ** 2 / (sum(h[s]) + 1) + sum(g[~s]) ** 2 / (sum(h[~s]) + 1) - sum(g) ** 2 / (sum(h) + 1)), -f, -at)
+        for f in range(3)
+        for at in np.unique(x[:, f])[:-1]
+        for s in [x[:, f] <= at]
+        if sum(h[s]) >= 2 and sum(h[~s]) >= 2
+    )
+    assert got.feature[0, 0] == -best[1] and ((x[:, got.feature[0, 0]] > got.threshold[0, 0]) == (x[:, -best[1]] > -best[2])).all()
+    for leaf, side in enumerate((x[:, -best[1]] <= -best[2], x[:, -best[1]] > -best[2])):
+        assert abs(got.value[0, leaf] + sum(g[side]) / (sum(h[side]) + 1)) < 1e-9
+
+
+def test_of_repeated_ids_the_smallest_text_is_learnt(spark):
+    labels = spark.createDataFrame([(k, k % 2) for k in range(60)], "doc_id long, quality int")
+    ids = [k for k in range(60) for _ in range(2)]
+    texts = [t for k in range(60) for t in (f"b other {k} | | |", f"a {'clean words here ' * (k % 2)}")]
+    one = quality.learn(docs(spark, texts, ids, parts=2), labels)
+    two = quality.learn(docs(spark, texts[::-1], ids[::-1], parts=5), labels)
+    alone = quality.learn(docs(spark, texts[1::2], ids[1::2]), labels)
+    for other in (two, alone):
+        assert (one.feature == other.feature).all() and (one.value == other.value).all()

@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import pytest
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -14,9 +15,8 @@ from .helpers import ODD, ODD_IDS, SCHEMA, docs
 
 @pytest.fixture(scope="module")
 def plain():
-    t = Tokenizer.from_file(tokenizer_path())
-    t.encode_special_tokens = True
-    return t
+    """The library's tokenizer as it comes."""
+    return Tokenizer.from_file(tokenizer_path())
 
 
 @pytest.mark.parametrize("width", [1, 3, 13, 16, 17, 31, 32])
@@ -45,7 +45,6 @@ ALPHABET = st.sampled_from(list("ab '1.\n\t é ́\U0001f600|<>") + ["  ", "'s",
 @given(st.lists(ALPHABET, max_size=14).map("".join))
 def test_parts_encode_as_the_whole(text):
     t = test_parts_encode_as_the_whole.__dict__.setdefault("t", Tokenizer.from_file(tokenizer_path()))
-    t.encode_special_tokens = True
     assert np.frombuffer(tokens.encoder(tokenizer_path()).encode([text])[0], dtype="<u4").tolist() == t.encode(text, add_special_tokens=False).ids
 
 
@@ -57,7 +56,8 @@ def test_documents_encode_as_the_whole(spark, plain):
 
 def brute(pairs, plain):
     out, at = [], 0
-    for i, t in sorted(pairs, key=lambda p: (p[0] is not None, p[0] or 0, p[1] or "")):
+    signed = lambda t: (xxhash.xxh64_intdigest((t or "").encode(), 42) ^ 1 << 63) - (1 << 63)
+    for i, t in sorted(pairs, key=lambda p: (p[0] is not None, p[0] or 0, signed(p[1]))):
         ids = [*plain.encode(t or "", add_special_tokens=False).ids, 2]
         out.append((i, at, len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes())))
         at += len(ids)
@@ -73,5 +73,12 @@ def test_read_back(spark, plain, tmp_path):
     assert sum(i.ids for i in images) == got[-1][1] + got[-1][2] and len(images) > 1
 
 
+def test_special_tokens_as_the_library_has_them(spark, plain):
+    text = "hello <|endoftext|> world"
+    assert 50256 in plain.encode(text, add_special_tokens=False).ids
+    got = tokens.read_back(tokens.shards(docs(spark, [text]), tokenizer_path(), VOCABULARY)).collect()
+    assert [tuple(r) for r in got] == brute([(0, text)], plain)
+
+
 def test_empty(spark):
     assert tokens.read_back(tokens.shards(spark.createDataFrame([], SCHEMA), tokenizer_path(), VOCABULARY)).count() == 0
