@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._shared import slices, stored, texts_of
-from .components import components
+from .components import components, matched
 
 SEED = 42
 TILE = 256
@@ -32,6 +32,12 @@ TILE = 256
 BLOCK = 1 << 19
 #: At least so many blocks, for parallel work on small inputs.
 BLOCKS = 12
+#: How many standard deviations more bits than expected at a similarity may differ in a pair that is to be checked.
+DEVIATIONS = 4.5
+#: Shortest spanning forests of each pair of blocks whose pairs are checked.
+FORESTS = 3
+#: Up to so many texts are named to all tasks (40 bytes each) to be read; beyond, by a shuffle.
+BROADCAST_TEXTS = 200_000
 _SPREAD = np.array([sum(((b >> i) & 1) << (8 * i) for i in range(8)) for b in range(256)], dtype=np.uint64)
 
 
@@ -60,43 +66,56 @@ def _majorities(h: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.packbits(counts * 2 > sizes[:, None], axis=1, bitorder="little").view("<u8")[:, 0]
 
 
-def fingerprints_of(texts: list[str], shingle: int, lanes: int) -> np.ndarray:
-    """(texts, lanes) unsigned 64-bit words."""
+def hashes_of(text: str, shingle: int) -> list[int]:
+    """Hashes of all word shingles, repeats included; of a text with fewer words, that of all of them; none without words."""
+    words = text.encode().lower().split()
+    if len(words) <= shingle:
+        return [xxhash.xxh64_intdigest(b" ".join(words), SEED)] if words else []
+    intdigest = xxhash.xxh64_intdigest
+    return [intdigest(s, SEED) for s in map(b" ".join, zip(*(words[k:] for k in range(shingle)), strict=False))]
+
+
+def fingerprints_of(texts: list[str], shingle: int, lanes: int) -> tuple[np.ndarray, list[int]]:
+    """(texts, lanes) unsigned 64-bit words, and how many different shingles each text has."""
     out = np.zeros((len(texts), lanes), dtype=np.uint64)
     hashes: list[int] = []
-    starts, rows = [], []
-    intdigest = xxhash.xxh64_intdigest
+    starts, rows, sizes = [], [], []
     for row, text in enumerate(texts):
-        words = text.encode().lower().split()
-        if not words:
-            continue
-        rows.append(row)
-        starts.append(len(hashes))
-        if len(words) <= shingle:
-            hashes.append(intdigest(b" ".join(words), SEED))
-        else:
-            hashes += [intdigest(s, SEED) for s in map(b" ".join, zip(*(words[k:] for k in range(shingle)), strict=False))]
+        own = hashes_of(text, shingle)
+        sizes.append(len(set(own)))
+        if own:
+            rows.append(row)
+            starts.append(len(hashes))
+            hashes += own
     if rows:
         h, at = np.array(hashes, dtype=np.uint64), np.array(starts)
         for lane in range(lanes):
             out[rows, lane] = _majorities(_mixed(h, lane), at)
-    return out
+    return out, sizes
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``(doc_id, text, h1, h2)``: 128 bits of hash stand for a text; null counts as empty."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).select("*", F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(7), "text").alias("h2"))
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, lanes: int = 1) -> DataFrame:
-    """``(doc_id, fp)``; fp is the big-endian binary of ``lanes`` 64-bit words.
+    """``(doc_id, h1, h2, size, fp)``: a hash of the text, its number of different shingles, and the big-endian binary of ``lanes`` 64-bit words.
 
     A-Z are lower-cased, words are runs without ASCII white space. Null and
     empty texts get zero. Other columns are ignored.
     """
+    names = ["doc_id", "h1", "h2", "size", "fp"]
 
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text"):
-                words = fingerprints_of(texts_of(part.column(1)), shingle, lanes).astype(">u8")
-                yield pa.record_batch([part.column(0), pa.array([w.tobytes() for w in words], pa.binary())], ["doc_id", "fp"])
+                words, sizes = fingerprints_of(texts_of(part.column(1)), shingle, lanes)
+                fp = pa.array([w.tobytes() for w in words.astype(">u8")], pa.binary())
+                yield pa.record_batch([part.column(0), part.column(2), part.column(3), pa.array(sizes, pa.int32()), fp], names)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, fp binary")
+    return _keyed(docs).mapInArrow(run, "doc_id long, h1 long, h2 long, size int, fp binary")
 
 
 def _roots(parent: np.ndarray) -> np.ndarray:
@@ -125,92 +144,161 @@ def _counts(x: np.ndarray) -> np.ndarray:
     return np.stack([quarters[0] + quarters[1], quarters[2] + quarters[3], *quarters], axis=1)
 
 
-def forest(left: np.ndarray, right: np.ndarray | None, radius: int, lane_radius: int | None = None, tile: int = TILE):
-    """Index pairs (into left followed by right) of a spanning forest of all links within ``radius``.
+def close_pairs(left: np.ndarray, right: np.ndarray | None, radius: int, tile: int = TILE, sizes: np.ndarray | None = None, ratio: float = 0.0):
+    """Index pairs (into left followed by right) within ``radius`` and their differing bits, tile by tile.
 
-    left, right: (n, lanes) words; right None: pairs within left.
-    lane_radius: differing bits that the first lane may have; radius if None.
+    left, right: (n, lanes) words; right None: pairs within left. Pairs of tiles
+    whose counts of any parts of all lanes differ by more than the radius are
+    skipped, and, with ``sizes``, those of which no pair of sizes has at least
+    the given ratio; neither can hold a pair that is asked for.
     """
     whole = left if right is None else np.concatenate([left, right])
-    near = radius if lane_radius is None else lane_radius
-    x = np.ascontiguousarray(whole[:, 0])
-    counts, space = _counts(x), np.empty((tile, tile), dtype=np.uint64)
+    lanes = whole.shape[1]
+    columns = [np.ascontiguousarray(whole[:, lane]) for lane in range(lanes)]
+    counts = np.concatenate([_counts(x) for x in columns], axis=1)
+    space = np.empty((tile, tile), dtype=np.uint64)
+    size = np.ones(len(whole)) if sizes is None else sizes.astype(float)
 
     def tiles(ids: np.ndarray):
-        """Ids by tile, and the least and largest counts of each tile."""
-        ids = ids[np.lexsort(counts[ids].T[[4, 2, 1, 0]])]
+        """Ids by tile, and the least and largest counts and sizes of each tile."""
+        ids = ids[np.lexsort((*counts[ids].T[[4, 2, 1, 0]], size[ids]))]
         at = np.arange(0, len(ids), tile)
         if not len(at):
-            return [], counts[:0], counts[:0]
-        return np.split(ids, at[1:]), np.minimum.reduceat(counts[ids], at), np.maximum.reduceat(counts[ids], at)
+            return [], counts[:0], counts[:0], size[:0], size[:0]
+        return np.split(ids, at[1:]), np.minimum.reduceat(counts[ids], at), np.maximum.reduceat(counts[ids], at), np.minimum.reduceat(size[ids], at), np.maximum.reduceat(size[ids], at)
 
-    mine, low, high = tiles(np.arange(len(left)))
-    other, olow, ohigh = (mine, low, high) if right is None else tiles(np.arange(len(left), len(whole)))
-    parent = np.arange(len(whole))
+    mine, low, high, least, most = tiles(np.arange(len(left)))
+    other, olow, ohigh, oleast, omost = (mine, low, high, least, most) if right is None else tiles(np.arange(len(left), len(whole)))
     for k, a in enumerate(mine):
-        gap = np.maximum(0, np.maximum(low[k] - ohigh, olow - high[k]))
-        bound = np.maximum(gap[:, 0], gap[:, 2] + gap[:, 3]) + np.maximum(gap[:, 1], gap[:, 4] + gap[:, 5])
-        for m in np.nonzero(bound <= near)[0]:
+        gap = np.maximum(0, np.maximum(low[k] - ohigh, olow - high[k])).reshape(len(other), lanes, 6)
+        bound = (np.maximum(gap[:, :, 0], gap[:, :, 2] + gap[:, :, 3]) + np.maximum(gap[:, :, 1], gap[:, :, 4] + gap[:, :, 5])).sum(axis=1)
+        alike = (omost >= ratio * least[k]) & (most[k] >= ratio * oleast)
+        for m in np.nonzero((bound <= radius) & alike)[0]:
             if right is None and m < k:
                 continue
             b = other[m]
-            differ = np.bitwise_count(np.bitwise_xor(x[a][:, None], x[b][None, :], out=space[: len(a), : len(b)]))
-            if differ.min() > near:
+            differ = None
+            for x in columns:
+                own = np.bitwise_count(np.bitwise_xor(x[a][:, None], x[b][None, :], out=space[: len(a), : len(b)]))
+                differ = own if differ is None else np.add(differ, own, out=differ, dtype=np.uint8) if lanes < 4 else differ.astype(np.uint16) + own
+            if differ.min() > radius:
                 continue
             # one dimension is searched several times faster than two
-            i, j = np.divmod(np.flatnonzero(differ.ravel() <= near), len(b))
-            i, j = a[i], b[j]
-            if whole.shape[1] > 1:
-                close = np.bitwise_count(whole[i] ^ whole[j]).sum(axis=1) <= radius
-                i, j = i[close], j[close]
-            parent = _unite(parent, i, j)
-    linked = np.nonzero(parent != np.arange(len(whole)))[0]
+            at = np.flatnonzero(differ.ravel() <= radius)
+            i, j = np.divmod(at, len(b))
+            d, i, j = differ.ravel()[at], a[i], b[j]
+            if right is None and m == k:
+                once = i < j
+                i, j, d = i[once], j[once], d[once]
+            if sizes is not None:
+                fits = np.minimum(size[i], size[j]) >= ratio * np.maximum(size[i], size[j])
+                i, j, d = i[fits], j[fits], d[fits]
+            yield i, j, d
+
+
+def forest(left: np.ndarray, right: np.ndarray | None, radius: int, tile: int = TILE):
+    """Index pairs of a spanning forest of all links within ``radius``."""
+    parent = np.arange(len(left) + (0 if right is None else len(right)))
+    for i, j, _ in close_pairs(left, right, radius, tile):
+        parent = _unite(parent, i, j)
+    linked = np.nonzero(parent != np.arange(len(parent)))[0]
     return linked, parent[linked]
 
 
-def links(nodes: DataFrame, lanes: int, radius: int, lane_radius: int | None) -> DataFrame:
-    """``nodes(node, fp)`` with distinct fp to ``(a, b)``: a spanning forest of the links of every pair of blocks."""
+def shortest_forests(n: int, i: np.ndarray, j: np.ndarray, d: np.ndarray, count: int = FORESTS):
+    """Of the edges ``(i, j)`` of length d among n nodes: those of a shortest spanning forest, of one of the rest, and so on ``count`` times."""
+    order = np.argsort(d, kind="stable")
+    i, j, d = i[order], j[order], d[order]
+    kept = []
+    for _ in range(count):
+        if not len(i):
+            break
+        parent, taken = np.arange(n), np.zeros(len(i), dtype=bool)
+        at, step = 0, 1024
+        while at < len(i):
+            a, b = parent[i[at : at + step]], parent[j[at : at + step]]
+            up: dict[int, int] = {}
+
+            def top(x, up=up):
+                while x in up:
+                    x = up[x]
+                return x
+
+            for k in np.flatnonzero(a != b).tolist():
+                x, y = top(int(a[k])), top(int(b[k]))
+                if x != y:
+                    up[max(x, y)] = min(x, y)
+                    taken[at + k] = True
+            if up:
+                parent[list(up)] = [top(x) for x in up]
+                parent = _roots(parent)
+            at, step = at + step, min(2 * step, 1 << 16)
+        kept.append((i[taken], j[taken], d[taken]))
+        i, j, d = i[~taken], j[~taken], d[~taken]
+    return tuple(np.concatenate(x) for x in zip(*kept, strict=True)) if kept else (i, j, d)
+
+
+def candidates(left, right, radius: int, sizes: np.ndarray, ratio: float, tile: int = TILE):
+    """``(i, j)`` of the shortest forests of all pairs within ``radius`` whose sizes have the ratio; what is held at once doesn't grow with the pairs."""
+    n = len(sizes)
+    held, some = [], 0
+    for part in close_pairs(left, right, radius, tile, sizes, ratio):
+        held.append(part)
+        some += len(part[0])
+        if some > max(1_000_000, 8 * FORESTS * n):
+            held = [shortest_forests(n, *map(np.concatenate, zip(*held, strict=True)))]
+            some = len(held[0][0])
+    if not held:
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    return shortest_forests(n, *map(np.concatenate, zip(*held, strict=True)))[:2]
+
+
+def links(nodes: DataFrame, lanes: int, radius: int, ratio: float | None = None) -> DataFrame:
+    """``nodes(node, size, fp)`` to ``(a, b)``, from every pair of blocks: a spanning forest of the links, or, with a ratio of sizes, the shortest forests."""
     blocks = max(BLOCKS, math.ceil(nodes.count() / BLOCK))
     cells = (
-        nodes.withColumn("block", F.pmod(F.xxhash64("fp"), F.lit(blocks)).cast("int"))
+        nodes.withColumn("block", F.pmod(F.xxhash64("node"), F.lit(blocks)).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-        .select((F.least("block", "other") * blocks + F.greatest("block", "other")).alias("cell"), "block", "node", "fp")
+        .select((F.least("block", "other") * blocks + F.greatest("block", "other")).alias("cell"), "block", "node", "size", "fp")
     )
 
     def compare(key, group):
         first, second = divmod(key[0].as_py(), blocks)
-        block = group.column("block").to_numpy()
-        node = group.column("node").to_numpy()
+        block, node, size = (group.column(c).to_numpy() for c in ("block", "node", "size"))
         fp = np.frombuffer(b"".join(group.column("fp").to_pylist()), dtype=">u8").reshape(-1, lanes).astype(np.uint64)
-        mine = np.nonzero(block == first)[0]
-        if first == second:
-            order = mine
-            a, b = forest(fp[mine], None, radius, lane_radius)
-        else:
-            other = np.nonzero(block == second)[0]
-            order = np.concatenate([mine, other])
-            a, b = forest(fp[mine], fp[other], radius, lane_radius)
+        mine, other = np.nonzero(block == first)[0], np.nonzero(block == second)[0]
+        order = mine if first == second else np.concatenate([mine, other])
+        right = None if first == second else fp[other]
+        a, b = forest(fp[mine], right, radius) if ratio is None else candidates(fp[mine], right, radius, size[order], ratio)
         return pa.table({"a": node[order][a], "b": node[order][b]}, schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
 
     return cells.groupBy("cell").applyInArrow(compare, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, lanes: int = 1, radius: int = 3, lane_radius: int | None = None) -> DataFrame:
+def _classes(nodes: DataFrame, found: DataFrame) -> DataFrame:
+    """``nodes(node, first, ...)`` with root and the smallest ``first`` of its class; links are ``found(a, b)``."""
+    rooted = nodes.join(components(found), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rooted = stored(rooted, "rooted")
+    smallest = rooted.groupBy("root").agg(F.min(F.struct("first", "node")).alias("best"), F.count("*").alias("n"))
+    return matched(rooted, smallest, "root", rooted.count()).drop("n")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 3, lanes: int = 1, radius: int = 3) -> DataFrame:
     """Every row of ``docs(doc_id, text, ...)`` as ``(doc_id, fingerprint, component_id)``.
 
     Two fingerprints link at ``radius`` or fewer differing bits; component_id is
     the smallest doc_id reachable over links, the row's own included. Equal
     fingerprints link too, those of empty texts among them. Rows that repeat
-    stay, each with the same result. Rows without doc_id keep their fingerprint
-    and get a null component. An empty table gives an empty result.
-
-    ``lane_radius`` bounds the differing bits of the first 64 of a longer
-    fingerprint before the rest is compared. None compares all bits of all.
+    stay, each with the same result; texts that share a doc_id may come with
+    different classes. Rows without doc_id keep their fingerprint and get a null
+    component. Texts of any length are taken whole, other columns are ignored.
+    An empty table gives an empty result.
     """
-    prints = stored(fingerprints(docs, shingle, lanes), "fingerprints")
-    nodes = stored(prints.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("node")), "distinct")
-    roots = components(links(nodes, lanes, radius, lane_radius))
-    classes = nodes.join(roots, "node", "left").select("fp", F.coalesce("root", "node").alias("component_id"))
+    prints = stored(fingerprints(docs, shingle, lanes).select("doc_id", "size", "fp"), "fingerprints")
+    distinct = prints.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("first"), F.min("size").alias("size"))
+    # the table is written before the ids are used, so they stay
+    nodes = stored(distinct.withColumn("node", F.monotonically_increasing_id()), "distinct")
+    classes = _classes(nodes, links(nodes, lanes, radius)).select("fp", F.col("best.first").alias("component_id"))
     return prints.join(classes, "fp", "left").select(
         "doc_id",
         F.lower(F.hex("fp")).alias("fingerprint"),
@@ -218,20 +306,52 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, lanes: int = 1, radius: i
     )
 
 
-def radius_for(similarity: float, bits: int) -> int:
-    """Differing bits that ``bits`` SimHash bits are expected to have at a Jaccard similarity of shingles."""
-    return round(bits * math.acos(2 * similarity / (1 + similarity)) / math.pi)
+def radius_for(similarity: float, bits: int, deviations: float = 0.0) -> int:
+    """Differing bits that ``bits`` SimHash bits are expected to have at a Jaccard similarity of shingles, and some standard deviations more."""
+    p = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return round(bits * p + deviations * math.sqrt(bits * p * (1 - p)))
+
 
+def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, similarity: float, shingle: int) -> DataFrame:
+    """Those of ``pairs(a, b)`` whose sets of shingles have the Jaccard similarity; only texts that occur in a pair are read."""
+    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).groupBy("node").agg(F.count("*").alias("n"))
+    need = stored(nodes.join(ends, "node").select("node", "n", F.col("first").alias("doc_id"), "h1", "h2"), "need")
+    asked = F.broadcast(need) if need.limit(BROADCAST_TEXTS + 1).count() <= BROADCAST_TEXTS else need
 
-def deduplicated(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, lanes: int = 4, lane_radius: int = 22) -> DataFrame:
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, "text"):
+                sets = [np.unique(np.array(hashes_of(t, shingle), dtype=np.uint64)).view(np.int64) for t in texts_of(part.column(2))]
+                yield pa.record_batch([part.column(0), part.column(1), pa.array(sets, pa.list_(pa.int64()))], ["node", "n", "set"])
+
+    texts = _keyed(docs).join(asked, ["doc_id", "h1", "h2"]).select("node", "n", "text")
+    sets = stored(texts.mapInArrow(run, "node long, n long, set array<long>").dropDuplicates(["node"]), "sets")
+    count = pairs.count()
+    side = lambda end: sets.select(F.col("node").alias(end), "n", F.col("set").alias(f"set_{end}"))
+    with_a = matched(pairs, side("a"), "a", count).drop("n")
+    both = matched(with_a, side("b"), "b", count)
+    common = F.size(F.array_intersect("set_a", "set_b"))
+    return both.where(common >= similarity * (F.size("set_a") + F.size("set_b") - common)).select("a", "b")
+
+
+def deduplicated(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, lanes: int = 2) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each group the row with the smallest doc_id stays, with all its columns.
 
-    ``similarity`` is that of five-word shingles; it is estimated by 256 bits, of
-    which as many may differ as are expected at that similarity. Of a pair
-    within that distance, the first 64 bits differ in more than ``lane_radius``
-    with a probability of about one in 100,000. Rows without doc_id stay.
+    SimHash proposes pairs: all pairs of different texts are compared within a
+    radius of ``DEVIATIONS`` standard deviations beyond what is expected at
+    ``similarity``. Of each pair of blocks the ``FORESTS`` shortest forests of
+    these pairs are checked by the exact Jaccard similarity of their sets of
+    five-word shingles; groups are connected by checked pairs. Texts without
+    words are near-duplicates of each other. Rows without doc_id stay. Of rows
+    that are equal in doc_id and text one stays; a doc_id that comes with
+    different texts is no duplicate by itself. Column names are free.
     """
-    groups = near_duplicates(docs, shingle, lanes, radius_for(similarity, 64 * lanes), lane_radius)
-    keep = groups.where("doc_id = component_id").select(F.col("doc_id").alias("__keep")).distinct()
-    kept = docs.join(keep, docs["doc_id"] == keep["__keep"], "left_semi")
-    return kept.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null"))
+    prints = stored(fingerprints(docs, shingle, lanes), "fingerprints")
+    distinct = prints.where("doc_id is not null").groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.min("fp").alias("fp"), F.min("size").alias("size"))
+    nodes = stored(distinct.withColumn("node", F.monotonically_increasing_id()), "distinct")
+    pairs = stored(links(nodes, lanes, radius_for(similarity, 64 * lanes, DEVIATIONS), similarity).distinct(), "pairs")
+    kept = _classes(nodes, verified(docs, nodes, pairs, similarity, shingle)).where("node = best.node").select(F.col("first").alias("doc_id"), "h1", "h2")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = docs.select(F.struct("*").alias("doc"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(7), text).alias("h2"))
+    stay = rows.join(kept, ["doc_id", "h1", "h2"], "left_semi").dropDuplicates(["doc_id", "h1", "h2"])
+    return stay.unionByName(rows.where("doc_id is null")).select(*[F.col("doc").getField(c).alias(c) for c in docs.columns])

@@ -90,6 +90,33 @@ def test_tiles(radius):
     assert (both == label).all()
 
 
+def test_pairs_and_shortest_forests():
+    draw = np.random.default_rng(6)
+    x = draw.integers(0, 2**64, (300, 2), dtype=np.uint64)
+    for k in range(100, 300):
+        x[k] = x[k % 40] ^ np.bitwise_or.reduce([np.uint64(1) << draw.integers(0, 64, 2, dtype=np.uint64) for _ in range(k % 9)] or [np.zeros(2, dtype=np.uint64)])
+    sizes = draw.integers(5, 9, 300)
+    d = np.bitwise_count(x[:, None] ^ x[None, :]).sum(axis=2)
+    want = {(i, j) for i in range(300) for j in range(i + 1, 300) if d[i, j] <= 14 and min(sizes[i], sizes[j]) >= 0.8 * max(sizes[i], sizes[j])}
+    got = [(min(i, j), max(i, j), k) for part in simhash.close_pairs(x, None, 14, 32, sizes, 0.8) for i, j, k in zip(*part)]
+    assert sorted(p[:2] for p in got) == sorted(want) and all(d[i, j] == k for i, j, k in got)
+    across = [(i, j) for part in simhash.close_pairs(x[:110], x[110:], 14, 32, sizes, 0.8) for i, j, _ in zip(*part)]
+    assert sorted(across) == sorted((i, j) for i, j in want if i < 110 <= j)
+    i, j, k = (np.array(z) for z in zip(*got))
+    for count in (1, 3):
+        a, b, c = simhash.shortest_forests(300, i, j, k, count)
+        # by definition: edges by length, each to the first forest in which it closes no circle
+        roots = [list(range(300)) for _ in range(count)]
+        total = 0
+        for u, v, w in sorted(got, key=lambda e: e[2]):
+            for r in roots:
+                if r[u] != r[v]:
+                    r[:] = [r[u] if y == r[v] else y for y in r]
+                    total += int(w)
+                    break
+        assert c.sum() == total and len(set(zip(a.tolist(), b.tolist()))) == len(a)
+
+
 def test_components(spark):
     links = [(k, k + 1) for k in range(40)] + [(100, 101), (103, 101), (5, 5), (None, 3)]
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
@@ -97,6 +124,59 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_a_hot_centre_is_spread(spark):
+    links = [(0, k) for k in range(1, 700)] + [(699, 900), (900, 901)]
+    got = {r["node"]: r["root"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {k: 0 for k in [*range(1, 700), 900, 901]}
+
+
+def test_texts_that_share_a_doc_id(spark):
+    texts, ids = ["alpha beta gamma delta epsilon zeta eta", "one two three four five six seven eight nine", "one two three four five six seven eight nine", "q"], [3, 3, 5, 3]
+    kept = sorted((r["doc_id"], r["text"]) for r in simhash.deduplicated(docs(spark, texts + texts[:1], ids + [3])).collect())
+    assert kept == sorted(zip([3, 3, 3], [texts[0], texts[1], "q"]))
+    own = {(r["fingerprint"], r["component_id"]) for r in simhash.near_duplicates(docs(spark, texts, ids)).collect()}
+    assert {c for _, c in own} == {3} and len(own) == 3
+
+
+def jaccard_groups(pairs, k=5, least=0.8):
+    """Ids that stay by exact Jaccard similarity of five-word shingles, found through an index of shingles."""
+    sets = {}
+    for i, t in pairs:
+        words = (t or "").encode().lower().split()
+        sets[i] = frozenset(tuple(words[n : n + k]) for n in range(max(1, len(words) - k + 1))) if words else frozenset()
+    root, index, empty = {i: i for i in sets}, {}, [i for i in sets if not sets[i]]
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    def unite(a, b):
+        a, b = sorted((find(a), find(b)))
+        root[b] = a
+
+    for i in empty:
+        unite(i, empty[0])
+    for i in sorted(sets):
+        common = {}
+        for s in sets[i]:
+            for o in index.setdefault(s, []):
+                common[o] = common.get(o, 0) + 1
+            index[s].append(i)
+        for o, n in common.items():
+            if n >= least * (len(sets[i]) + len(sets[o]) - n):
+                unite(i, o)
+    return sorted(i for i in sets if find(i) == i)
+
+
+def test_deduplicated_as_by_exact_similarity(spark):
+    table = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    want = jaccard_groups([(r["doc_id"], r["text"]) for r in table.select("doc_id", "text").collect()])
+    got = sorted(r["doc_id"] for r in simhash.deduplicated(table).select("doc_id").collect())
+    assert len(want) < 9_500
+    assert got == want
+
+
 def test_deduplicated_keeps_one_and_others(spark):
     base = [prose(300, s) for s in range(10)]
     near = [b.replace(b.split()[150], "other", 1) for b in base[:4]]
