@@ -3,7 +3,7 @@
 A document and a benchmark item that share a seed (``least`` words in a row) are
 compared: the longest match of words is marked, then the longest among what is
 left, and so on down to ``least`` words. Matches of every length are found by
-rolling Karp-Rabin hashes of word ids. The marked share of the item's words is
+Karp-Rabin hashes of word ids. The marked share of the item's words is
 its coverage, so that passages in another order count as well.
 """
 
@@ -14,13 +14,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import slices, texts_of
+from ._shared import slices, stored, texts_of
 
 LEAST = 5
 COVERAGE = 0.5
 #: Characters of benchmark text that tasks hold at once; a larger benchmark takes several passes over the documents.
 BLOCK_CHARS = 32_000_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 
 
 def words_of(text: str) -> list[bytes]:
@@ -28,44 +29,58 @@ def words_of(text: str) -> list[bytes]:
     return [w for w in (x.strip(b".,;:!?\"'()[]{}*#$%&|") for x in text.encode().lower().split()) if w]
 
 
-def rolling(ids: np.ndarray, width: int) -> np.ndarray:
-    """Karp-Rabin hashes of all windows of ``width`` ids, modulo 2 ** 64."""
-    n = len(ids) - width + 1
-    if n <= 0:
-        return np.zeros(0, dtype=np.uint64)
-    out = np.zeros(n, dtype=np.uint64)
-    with np.errstate(over="ignore"):
-        for k in range(width):
-            out = out * _BASE + ids[k : k + n]
-    return out
+class Windows:
+    """Karp-Rabin hashes of the windows of a sequence of ids, modulo 2 ** 64, of any width in one step for each window.
 
+    With powers of an odd base, which has an inverse, sums from the start differ
+    by a window's hash times a power: what rolling does step by step.
+    """
+
+    def __init__(self, ids: np.ndarray):
+        self.ids = ids
+        with np.errstate(over="ignore"):
+            self.power = _powers(_BASE, len(ids) + 1)
+            self.sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(ids * _powers(_INVERSE, len(ids)), dtype=np.uint64)])
+
+    def hashes(self, width: int) -> np.ndarray:
+        n = len(self.ids) - width + 1
+        if n <= 0:
+            return np.zeros(0, dtype=np.uint64)
+        with np.errstate(over="ignore"):
+            return (self.sums[width:] - self.sums[:-width]) * self.power[width - 1 : width - 1 + n]
+
+
+def _powers(base: np.uint64, n: int) -> np.ndarray:
+    out = np.full(n, base, dtype=np.uint64)
+    out[:1] = 1
+    return np.cumprod(out, dtype=np.uint64)
 
-def tile(item: np.ndarray, doc: np.ndarray, least: int = LEAST) -> list[tuple[int, int, int]]:
+
+def tile(item: np.ndarray, doc: np.ndarray, least: int = LEAST, of_doc: Windows | None = None) -> list[tuple[int, int, int]]:
     """Greedy string tiling: ``(start in item, start in doc, length)``, longest first, none overlapping another on either side.
 
     Equal lengths go by the smaller start in the item, then in the document.
     """
     pattern, text = np.ones(len(item), dtype=bool), np.ones(len(doc), dtype=bool)
+    of_item, of_doc = Windows(item), of_doc or Windows(doc)
     tiles: list[tuple[int, int, int]] = []
     length = min(len(item), len(doc))
     while length >= least:
         # the longest match not longer than the last: lengths at which windows of free words agree, by bisection
-        low, high, found = least, length, None
+        low, high = least, length
         while low <= high:
             mid = (low + high) // 2
-            hit = _matches(item, doc, pattern, text, mid)
-            if hit is not None:
-                low, found, best = mid + 1, hit, mid
+            if len(_common(of_item, of_doc, pattern, text, mid)[0]):
+                low = mid + 1
             else:
                 high = mid - 1
-        if found is None:
+        if high < least:
             break
-        length = best
-        for i, j in found:
-            if pattern[i : i + length].all() and text[j : j + length].all():
-                pattern[i : i + length] = False
-                text[j : j + length] = False
-                tiles.append((int(i), int(j), length))
+        length = high
+        before = len(tiles)
+        _mark(item, doc, pattern, text, length, *_common(of_item, of_doc, pattern, text, length), tiles)
+        if len(tiles) == before:  # hashes agreed, words didn't
+            length -= 1
     return tiles
 
 
@@ -74,22 +89,35 @@ def _free(mask: np.ndarray, width: int) -> np.ndarray:
     return np.nonzero(total[width:] - total[:-width] == width)[0]
 
 
-def _matches(item, doc, pattern, text, width):
-    """Pairs of starts at which ``width`` free words agree, by start in the item, then in the document; None if there are none."""
+def _common(of_item: Windows, of_doc: Windows, pattern, text, width):
+    """Starts of free windows in the item whose hash a free window of the document has; and those of the document by hash and start, with their hashes."""
     i, j = _free(pattern, width), _free(text, width)
-    if not len(i) or not len(j):
-        return None
-    hi, hj = rolling(item, width)[i], rolling(doc, width)[j]
+    hi, hj = of_item.hashes(width)[i], of_doc.hashes(width)[j]
+    near = np.isin(hj, hi)
+    j, hj = j[near], hj[near]
     order = np.argsort(hj, kind="stable")
-    left, right = np.searchsorted(hj[order], hi, "left"), np.searchsorted(hj[order], hi, "right")
-    out = [
-        (a, b)
-        for a, l, r in zip(i, left, right, strict=True)
-        if r > l
-        for b in j[order[l:r]]
-        if np.array_equal(item[a : a + width], doc[b : b + width])
-    ]
-    return out or None
+    hit = np.isin(hi, hj)
+    return i[hit], hi[hit], j[order], hj[order]
+
+
+def _mark(item, doc, pattern, text, width, i, hi, j, hj, tiles) -> None:
+    """Mark matches by start in the item, each at its first free place in the document. Places that aren't free any more are passed once."""
+    first = dict(zip(hj[::-1].tolist(), range(len(hj) - 1, -1, -1), strict=True))
+    for a, h in zip(i.tolist(), hi.tolist(), strict=True):
+        if not pattern[a : a + width].all():
+            continue
+        at = first[h]
+        while at < len(j) and hj[at] == h and not text[j[at] : j[at] + width].all():
+            at += 1
+        first[h] = at
+        while at < len(j) and hj[at] == h:
+            b = int(j[at])
+            if text[b : b + width].all() and np.array_equal(item[a : a + width], doc[b : b + width]):
+                pattern[a : a + width] = False
+                text[b : b + width] = False
+                tiles.append((a, b, width))
+                break
+            at += 1
 
 
 class Index:
@@ -105,7 +133,7 @@ class Index:
             # an item with fewer words than a seed is looked for as a whole
             width = min(least, len(ids))
             if width:
-                for h in rolling(ids, width):
+                for h in Windows(ids).hashes(width):
                     seeds.append((width, int(h)))
                     owner.append(len(self.items))
                 self.items.append((key, ids))
@@ -120,13 +148,12 @@ class Index:
         get = self.ids.get
         doc = np.array([get(w, 0) for w in words_of(text)], dtype=np.uint64)
         found: set[int] = set()
-        known = doc > 0
+        known, windows = doc > 0, Windows(doc)
         if known.any():
             for width, (hashes, owner) in self.seeds.items():
                 if len(doc) < width:
                     continue
-                h = rolling(doc, width)[_free(known, width)]
-                h = np.unique(h)
+                h = np.unique(windows.hashes(width)[_free(known, width)])
                 left, right = np.searchsorted(hashes, h, "left"), np.searchsorted(hashes, h, "right")
                 for a, b in zip(left[right > left], right[right > left], strict=True):
                     found.update(owner[a:b].tolist())
@@ -134,8 +161,7 @@ class Index:
         for k in sorted(found):
             key, ids = self.items[k]
             least = min(self.least, len(ids))
-            part = doc
-            tiles = tile(ids, part, least)
+            tiles = tile(ids, doc, least, windows)
             if tiles:
                 out.append((key, sum(t[2] for t in tiles) / len(ids), len(tiles)))
         return out
@@ -146,21 +172,30 @@ def matches(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, l
 
     Null or empty texts on either side match nothing; repeated rows match as
     often as they occur; repeated items count once for an item_id and text.
-    The benchmark goes to the tasks in blocks of at most ``BLOCK_CHARS``
-    characters (one item at least), one pass over the documents for each, so
-    that what a task holds doesn't grow with it. Documents are never shuffled.
+    Texts of any length are compared whole, other columns are ignored. The
+    benchmark goes to the tasks in blocks of at most ``BLOCK_CHARS`` characters
+    (one item at least), one pass over the documents for each. Where there are
+    several blocks, the result of one is stored before the next is read, so
+    that neither driver nor tasks hold more than one. Documents are never
+    shuffled.
     """
     schema = "doc_id long, item_id long, coverage double, n_tiles int"
-    out = None
-    for block in _blocks(benchmark):
-        def run(batches, block=block):
+    names = ["doc_id", "item_id", "coverage", "n_tiles"]
+    rows, out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), None
+
+    def pass_of(block):
+        def run(batches):
             index = Index(block, least)
             for batch in batches:
                 for part in slices(batch, "text"):
-                    rows = [(d, *m) for d, t in zip(part.column(0).to_pylist(), texts_of(part.column(1)), strict=True) for m in index.coverages(t) if m[1] >= coverage]
-                    yield pa.RecordBatch.from_pylist([dict(zip(("doc_id", "item_id", "coverage", "n_tiles"), r, strict=True)) for r in rows], schema=_MATCHES)
+                    found = [(d, *m) for d, t in zip(part.column(0).to_pylist(), texts_of(part.column(1)), strict=True) for m in index.coverages(t) if m[1] >= coverage]
+                    yield pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in found], schema=_MATCHES)
+
+        return rows.mapInArrow(run, schema)
 
-        one = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
+    for block, is_last in _blocks(benchmark):
+        one = pass_of(block)
+        one = one if is_last and out is None else stored(one, "matches")
         out = one if out is None else out.union(one)
     return docs.sparkSession.createDataFrame([], schema) if out is None else out
 
@@ -169,23 +204,24 @@ _MATCHES = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("coverag
 
 
 def _blocks(benchmark: DataFrame):
-    """Lists of ``(item_id, text)``, each of a bounded number of characters, read one after the other."""
+    """Lists of ``(item_id, text)``, each of a bounded number of characters, read one after the other, and whether it is the last."""
     rows = benchmark.where("text is not null and item_id is not null").select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
     block, held = [], 0
     for row in rows.orderBy("item_id", "text").toLocalIterator():
         if block and held + len(row["text"]) > BLOCK_CHARS:
-            yield block
+            yield block, False
             block, held = [], 0
         block.append((row["item_id"], row["text"]))
         held += len(row["text"])
     if block:
-        yield block
+        yield block, True
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, least: int = LEAST) -> DataFrame:
-    """The rows of ``docs``, all columns, that no benchmark item is covered in; the blocks of the benchmark filter one after the other."""
-    for block in _blocks(benchmark):
-        def run(batches, block=block):
+    """The rows of ``docs``, all columns, that no benchmark item is covered in; the blocks of the benchmark filter one after the other, what is left being stored in between."""
+
+    def pass_of(block, left):
+        def run(batches):
             index = Index(block, least)
             for batch in batches:
                 at = batch.schema.get_field_index("text")
@@ -193,5 +229,8 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVE
                 if keep:
                     yield batch.filter(pa.array(keep))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        return left.mapInArrow(run, left.schema)
+
+    for block, is_last in _blocks(benchmark):
+        docs = pass_of(block, docs) if is_last else stored(pass_of(block, docs), "left")
     return docs
