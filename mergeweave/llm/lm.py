@@ -2,185 +2,410 @@
 
 Every token is predicted from the two tokens on either side of it; a document's
 score is the sum of the logarithms of the conditional probabilities of its
-tokens. ``scored`` does so for all words, by the network of ``treelm``.
-
-The rest of this module is a small network for fixed classes of words: the most
-frequent words and buckets by hash, with coarse neighbours, so that the counts of
-4,096 contexts by 128 tokens describe a corpus for it. Spark adds the counts, and
-it is trained on the whole table in numpy. No query uses it.
+tokens. The most frequent words have a leaf and an embedding of their own; how
+many grows with the square root of the corpus, as vocabularies do. Rarer words
+share leaves by hash, and within a leaf go by their counts, which are those of
+the whole corpus.
+
+Leaves hang on a Huffman tree of 64 branches. A word's probability is the
+product of the choices on its path, one softmax each, so all words add up to 1
+without a sum over the vocabulary. At the start choices follow the counts, and
+the network predicts each word by its frequency. Executors then train on all
+windows of their documents; what each has changed is averaged row by row,
+weighted by the occurrences that it has seen.
 """
 
 from __future__ import annotations
 
+import heapq
+import math
 import zlib
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import treelm
-from ._shared import slices, texts_of
-from .treelm import tally, words_of
-
-#: Tokens; the last BUCKETS of them are for words beyond the most frequent.
-VOCABULARY, BUCKETS = 128, 16
-#: Classes of a neighbour at distance 1 and 2; the last of each stands for the edge of a text.
-NEAR, FAR = 16, 4
-CONTEXTS = NEAR * NEAR * FAR * FAR
+from ._shared import slices, stored, texts_of
 
+#: Words with a leaf of their own, times the square root of the number of tokens; one shared leaf for so many of them, and so many at least.
+GROWTH, SHARED, BUCKETS = 8, 8, 16
+SIZE, BRANCHES = 16, 32
+#: Tokens of a step of training, of a step of scoring, and of what is cut into steps at once.
+BATCH, SCORED, CHUNK = 8_192, 65_536, 1 << 18
+#: Nodes with fewer tokens in a step are computed together.
+FEW = 6
+RATE = 0.15
+#: Windows to train on at least: a smaller corpus is gone over several times, in ``ROUNDS`` rounds.
+EXAMPLES, PASSES, ROUNDS = 4_000_000, 48, 4
+#: Rows of parameters that are averaged together, for words, nodes and places.
+BLOCKS = (1 << 14, 1 << 8, 4)
+OFFSETS = (-2, -1, 1, 2)
 
-@dataclass
-class Words:
-    """Ids of words: ranks of the most frequent, hashed buckets for the rest."""
 
-    rank: dict[bytes, int]
+def words_of(text: str) -> list[bytes]:
+    return text.encode().lower().split()
 
-    def ids(self, words: list[bytes]) -> np.ndarray:
-        get, first = self.rank.get, VOCABULARY - BUCKETS
-        return np.array([k if (k := get(w)) is not None else first + zlib.crc32(w) % BUCKETS for w in words], dtype=np.int64)
 
+def tally(docs: DataFrame) -> DataFrame:
+    """``(word, n)`` of all texts."""
 
-def _class(ids: np.ndarray, classes: int) -> np.ndarray:
-    """Frequent words have a class of their own while there are any; the rest share the last but one."""
-    return np.minimum(ids, classes - 2)
+    def run(batches):
+        counts: Counter = Counter()
+        for batch in batches:
+            for t in texts_of(batch.column(0)):
+                counts.update(words_of(t))
+                if len(counts) > 400_000:
+                    yield pa.record_batch([pa.array(counts.keys(), pa.binary()), pa.array(counts.values(), pa.int64())], ["word", "n"])
+                    counts = Counter()
+        if counts:
+            yield pa.record_batch([pa.array(counts.keys(), pa.binary()), pa.array(counts.values(), pa.int64())], ["word", "n"])
 
+    return docs.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
-def contexts(ids: np.ndarray) -> np.ndarray:
-    """For each position, the number of the context made of its neighbours' classes; beyond the edges there is a class of its own."""
-    near = np.concatenate([[NEAR - 1], _class(ids, NEAR), [NEAR - 1]])
-    far = np.concatenate([[FAR - 1] * 2, _class(ids, FAR), [FAR - 1] * 2])
-    return ((near[:-2] * NEAR + near[2:]) * FAR + far[:-4]) * FAR + far[4:]
 
+@dataclass
+class Leaves:
+    """Leaves of words: those with a leaf of their own, then the shared ones; the counts of all."""
 
-def vocabulary(docs: DataFrame) -> Words:
-    """The most frequent words of all texts; equal counts go by the word's bytes."""
+    rank: dict[bytes, int]
+    counts: np.ndarray
 
-    total = tally(docs)
-    top = total.orderBy(F.desc("n"), "word").limit(VOCABULARY - BUCKETS).collect()
-    return Words({bytes(r["word"]): k for k, r in enumerate(top)})
+    def ids(self, words: list[bytes]) -> list[int]:
+        get, first = self.rank.get, len(self.rank)
+        shared = len(self.counts) - first
+        return [k if (k := get(w)) is not None else first + zlib.crc32(w) % shared for w in words]
 
 
-def counts(docs: DataFrame, words: Words) -> np.ndarray:
-    """(CONTEXTS, VOCABULARY) counts of all windows of all texts."""
+def leaves(docs: DataFrame) -> tuple[Leaves, DataFrame]:
+    """Leaves of all words of all texts; and ``(h, ln)``, the logarithms of the counts of rarer words that occur more than once, by a hash of the word.
 
-    def run(batches):
-        total = np.zeros(CONTEXTS * VOCABULARY, dtype=np.int64)
-        cells, held = [], 0
-        for batch in batches:
-            for t in texts_of(batch.column(0)):
-                ids = words.ids(words_of(t))
-                if len(ids):
-                    cells.append(contexts(ids) * VOCABULARY + ids)
-                    held += len(ids)
-                if held > 1_000_000:
-                    total += np.bincount(np.concatenate(cells), minlength=len(total))
-                    cells, held = [], 0
-        if cells:
-            total += np.bincount(np.concatenate(cells), minlength=len(total))
-        at = np.nonzero(total)[0]
-        if len(at):
-            yield pa.record_batch([pa.array(at.astype(np.int32)), pa.array(total[at])], ["cell", "n"])
-
-    table = docs.select("text").mapInArrow(run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(CONTEXTS * VOCABULARY)
-    out[table.column("cell").to_numpy()] = table.column("n").to_numpy()
-    return out.reshape(CONTEXTS, VOCABULARY)
+    A word has a leaf of its own from the smallest count (two at least) at which
+    there are no more such words than ``GROWTH`` allows; words of equal counts
+    are treated alike.
+    """
+    total = stored(tally(docs), "words")
+    sizes = total.groupBy("n").agg(F.count("*").alias("k")).orderBy(F.desc("n")).toArrow()
+    n, k = (sizes.column(c).to_numpy() for c in ("n", "k"))
+    fits = (np.cumsum(k) <= GROWTH * math.sqrt((n * k).sum())) & (n >= 2)
+    least = int(n[fits].min()) if fits.any() else int(n.max(initial=0)) + 1
+    own = total.where(F.col("n") >= least).orderBy(F.desc("n"), "word").toArrow()
+    rare = total.where(F.col("n") < least)
+    shared = max(BUCKETS, own.num_rows // SHARED)
+    sums = rare.groupBy((F.crc32("word") % shared).cast("int").alias("b")).agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(shared, dtype=np.int64)
+    counts[sums.column("b").to_numpy()] = sums.column("n").to_numpy()
+    several = rare.where("n > 1").groupBy(F.xxhash64("word").alias("h")).agg(F.log(F.sum("n").cast("double")).alias("ln"))
+    return Leaves({bytes(w): k for k, w in enumerate(own.column("word").to_pylist())}, np.concatenate([own.column("n").to_numpy(), counts])), several
+
+
+def huffman(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(node, branch, bias)``: for each leaf the inner nodes of its path from the root and the branch that it takes there (-1 beyond its end); bias (nodes, BRANCHES) by the counts."""
+    n = len(counts)
+    # a full tree has one leaf more than a multiple of BRANCHES - 1; what lacks weighs nothing
+    spare = -(n - 1) % (BRANCHES - 1) if n > 1 else BRANCHES - 1
+    heap = [(0, n + k) for k in range(spare)] + [(int(c) + 1, k) for k, c in enumerate(counts)]
+    heapq.heapify(heap)
+    size, made = n + spare, []
+    while len(heap) > 1 or not made:
+        made.append([heapq.heappop(heap) for _ in range(BRANCHES)])
+        heapq.heappush(heap, (sum(w for w, _ in made[-1]), size + len(made) - 1))
+    bias = np.full((len(made), BRANCHES), -60, dtype=np.float32)
+    paths: dict[int, list[tuple[int, int]]] = {size + len(made) - 1: []}
+    out: list[list[tuple[int, int]]] = [[]] * n
+    for node in range(len(made) - 1, -1, -1):
+        path, whole = paths.pop(size + node), sum(w for w, _ in made[node])
+        for branch, (w, child) in enumerate(made[node]):
+            if w:
+                bias[node, branch] = math.log(w / whole)
+            if child >= size:
+                paths[child] = [*path, (node, branch)]
+            elif child < n:
+                out[child] = [*path, (node, branch)]
+    depth = max(map(len, out), default=0)
+    node, branch = np.full((n, depth), -1, dtype=np.int32), np.zeros((n, depth), dtype=np.int64)
+    for k, path in enumerate(out):
+        for level, (a, b) in enumerate(path):
+            node[k, level], branch[k, level] = a, b
+    return node, branch, bias
+
+
+def _groups(sorted_keys: np.ndarray) -> np.ndarray:
+    """Where runs of equal keys begin, and the end."""
+    return np.flatnonzero(np.concatenate([[True], sorted_keys[1:] != sorted_keys[:-1], [True]]))
 
 
 @dataclass
 class Network:
-    """Logits = tanh(sum of the neighbours' embeddings + bias) @ output + bias."""
-
-    near_left: np.ndarray
-    near_right: np.ndarray
-    far_left: np.ndarray
-    far_right: np.ndarray
-    hidden_bias: np.ndarray
-    output: np.ndarray
-    output_bias: np.ndarray
-
-    def parameters(self) -> list[np.ndarray]:
-        return list(self.__dict__.values())
-
-    @staticmethod
-    def parts(context: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Classes of the neighbours: left, right, second left, second right."""
-        rest, far_right = np.divmod(context, FAR)
-        rest, far_left = np.divmod(rest, FAR)
-        near_left, near_right = np.divmod(rest, NEAR)
-        return near_left, near_right, far_left, far_right
-
-    def hidden(self, context: np.ndarray) -> np.ndarray:
-        nl, nr, fl, fr = self.parts(context)
-        return np.tanh(self.near_left[nl] + self.near_right[nr] + self.far_left[fl] + self.far_right[fr] + self.hidden_bias)
-
-    def log_probabilities(self, context: np.ndarray) -> np.ndarray:
-        z = self.hidden(context) @ self.output + self.output_bias
-        z -= z.max(axis=1, keepdims=True)
-        return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
-
-
-def train(table: np.ndarray, size: int = 32, steps: int = 300, rate: float = 0.03, seed: int = 42) -> Network:
-    """Adam on the mean negative log-likelihood of the whole table of counts. Without counts the network predicts all tokens alike."""
+    """The sum of the neighbours' embeddings, each turned by its place's matrix; choices are softmaxes of its products with the branches' vectors, and their bias."""
+
+    node: np.ndarray
+    branch: np.ndarray
+    #: Where a leaf stands among all in the order of the tree.
+    rank: np.ndarray
+    #: (leaves + 1, SIZE); the last row stands for what is beyond the edge of a text.
+    words: np.ndarray
+    #: (inner nodes, BRANCHES, SIZE + 1), the bias last.
+    nodes: np.ndarray
+    places: np.ndarray
+
+    def hidden(self, near: np.ndarray) -> np.ndarray:
+        """With a column of ones."""
+        out = np.ones((len(near), SIZE + 1), dtype=self.words.dtype)
+        out[:, :-1] = sum(self.words[near[:, p]] @ self.places[p] for p in range(len(OFFSETS)))
+        return out
+
+    def by_path(self, leaf: np.ndarray) -> np.ndarray:
+        """An order in which, at every level, tokens of one node follow each other."""
+        return np.argsort(self.rank[leaf], kind="stable")
+
+    def choices(self, h: np.ndarray, leaf: np.ndarray):
+        """For each level of tokens in the order ``by_path``: positions that have it, their nodes, where each node's begin, those of nodes with few, their rows of h, the branches they take, and the probabilities of all branches."""
+        for level in range(self.node.shape[1]):
+            node = self.node[leaf, level]
+            at = np.flatnonzero(node >= 0)
+            if not len(at):
+                return
+            node, own, branch = (node, h, self.branch[leaf, level]) if len(at) == len(leaf) else (node[at], h[at], self.branch[leaf[at], level])
+            starts = _groups(node)
+            sizes = np.diff(starts)
+            z = np.empty((len(at), BRANCHES), dtype=h.dtype)
+            for k in np.flatnonzero(sizes >= FEW).tolist():
+                a, b = starts[k], starts[k + 1]
+                np.matmul(own[a:b], self.nodes[node[a]].T, out=z[a:b])
+            some = np.flatnonzero(np.repeat(sizes < FEW, sizes))
+            if len(some):
+                z[some] = np.matmul(self.nodes[node[some]], own[some, :, None])[:, :, 0]
+            z -= z.max(axis=1, keepdims=True)
+            np.exp(z, out=z)
+            z /= z.sum(axis=1, keepdims=True)
+            yield at, node, starts, some, own, branch, z
+
+    def log_probabilities(self, near: np.ndarray, leaf: np.ndarray) -> np.ndarray:
+        """near: (tokens, 4) leaves of the neighbours."""
+        out = np.zeros(len(leaf))
+        for a in range(0, len(leaf), SCORED):
+            order = a + self.by_path(leaf[a : a + SCORED])
+            total = np.zeros(len(order))
+            for at, _, _, _, _, branch, p in self.choices(self.hidden(near[order]), leaf[order]):
+                total[at] += np.log(np.maximum(p[np.arange(len(at)), branch], 1e-37))
+            out[order] = total
+        return out
+
+
+def network(counts: np.ndarray, seed: int = 42) -> Network:
     draw = np.random.default_rng(seed)
-    small = lambda *shape: draw.normal(0, 0.1, shape)
-    total = table.sum()
-    bias = np.log((table.sum(axis=0) + 1) / (total + VOCABULARY))
-    net = Network(small(NEAR, size), small(NEAR, size), small(FAR, size), small(FAR, size), np.zeros(size), small(size, VOCABULARY), bias)
-    seen = np.nonzero(table.sum(axis=1))[0]
-    if not len(seen):
+    node, branch, bias = huffman(counts)
+    nodes = np.zeros((*bias.shape, SIZE + 1), dtype=np.float32)
+    nodes[:, :, -1] = bias
+    words = draw.normal(0, 0.3, (len(counts) + 1, SIZE)).astype(np.float32)
+    turns = [np.linalg.qr(draw.normal(size=(SIZE, SIZE)))[0] for _ in OFFSETS]
+    rank = np.empty(len(counts), dtype=np.int32)
+    rank[np.lexsort(node.T[::-1])] = np.arange(len(counts))
+    return Network(node, branch, rank, words, nodes, np.array(turns, dtype=np.float32))
+
+
+def windows(ids: list[list[int]], edge: int) -> tuple[np.ndarray, np.ndarray]:
+    """(near, leaf) of all tokens of texts."""
+    flat = np.full(sum(map(len, ids)) + 2 * len(ids) + 2, edge, dtype=np.int32)
+    at, mine = 2, []
+    for text in ids:
+        flat[at : at + len(text)] = text
+        mine.append(np.arange(at, at + len(text)))
+        at += len(text) + 2
+    where = np.concatenate(mine) if mine else np.zeros(0, dtype=np.int64)
+    return np.stack([flat[where + k] for k in OFFSETS], axis=1), flat[where]
+
+
+def _summed(keys: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys, sums of their rows, their numbers."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    starts = _groups(keys)
+    return keys[starts[:-1]], np.add.reduceat(rows[order], starts[:-1], axis=0), np.diff(starts)
+
+
+class Training:
+    """Steps of AdaGrad, a rate for each row, on a copy of a network; and what they have changed."""
+
+    def __init__(self, net: Network):
+        self.start, self.seen = net, 0
+        self.net = Network(net.node, net.branch, net.rank, net.words.copy(), net.nodes.copy(), net.places.copy())
+        self.square = [np.zeros(x.shape[:-1], dtype=np.float32) for x in (net.words, net.nodes)] + [np.zeros(len(net.places), dtype=np.float32)]
+        self.times = [np.zeros(len(x), dtype=np.float32) for x in (net.words, net.nodes)]
+
+    def _move(self, k: int, values: np.ndarray, rows: np.ndarray, g: np.ndarray) -> None:
+        axes = tuple(range(self.square[k].ndim, g.ndim))
+        self.square[k][rows] += (g * g).mean(axis=axes)
+        step = RATE / np.sqrt(self.square[k][rows] + 1e-8)
+        values[rows] += g * step.reshape(*step.shape, *[1] * len(axes))
+
+    def gradients(self, near: np.ndarray, leaf: np.ndarray):
+        """Of the sum of log-probabilities: ``(rows, gradients, occurrences)`` of words and of nodes, gradients of places."""
+        net = self.net
+        order = net.by_path(leaf)
+        near, leaf = near[order], leaf[order]
+        h = net.hidden(near)
+        back = np.zeros_like(h)
+        rows, sums, times = [], [], []
+        for at, node, starts, some, own, branch, p in net.choices(h, leaf):
+            error, sizes = np.negative(p, out=p), np.diff(starts)
+            error[np.arange(len(at)), branch] += 1
+            g = np.empty((len(sizes), BRANCHES, SIZE + 1), dtype=h.dtype)
+            down = np.empty_like(own)
+            for k in np.flatnonzero(sizes >= FEW).tolist():
+                a, b = starts[k], starts[k + 1]
+                np.matmul(error[a:b].T, own[a:b], out=g[k])
+                np.matmul(error[a:b], net.nodes[node[a]], out=down[a:b])
+            if len(some):
+                outer = error[some, :, None] * own[some, None, :]
+                g[sizes < FEW] = np.add.reduceat(outer, np.cumsum(sizes[sizes < FEW]) - sizes[sizes < FEW], axis=0)
+                down[some] = np.matmul(error[some, None, :], net.nodes[node[some]])[:, 0]
+            back[at] += down
+            rows.append(node[starts[:-1]])
+            sums.append(g)
+            times.append(sizes)
+        back = back[:, :-1]
+        of_nodes = tuple(np.concatenate(x) for x in (rows, sums, times))  # a node has one level
+        of_words = _summed(near.T.ravel(), np.concatenate([back @ m.T for m in net.places]))
+        return of_words, of_nodes, np.stack([net.words[near[:, p]].T @ back for p in range(len(OFFSETS))])
+
+    def step(self, near: np.ndarray, leaf: np.ndarray) -> None:
+        (w, gw, nw), (m, gm, nm), gp = self.gradients(near, leaf)
+        self._move(0, self.net.words, w, gw)
+        self._move(1, self.net.nodes, m, gm)
+        # matrices that all tokens share go a tenth of the way
+        self._move(2, self.net.places, np.arange(len(gp)), gp * 0.1)
+        self.times[0][w] += nw
+        self.times[1][m] += nm
+        self.seen += len(leaf)
+
+    def learn(self, ids: list[list[int]], passes: int) -> None:
+        near, leaf = windows(ids, len(self.net.words) - 1)
+        for _ in range(passes):
+            # a short input still makes some steps
+            size = min(BATCH, max(64, len(leaf) // 8))
+            for a in range(0, len(leaf), size):
+                self.step(near[a : a + size], leaf[a : a + size])
+
+    def changes(self):
+        """``(kind, block, rows, times, delta)``: kind 0 words, 1 nodes, 2 places."""
+        pairs = ((self.net.words, self.start.words), (self.net.nodes, self.start.nodes), (self.net.places, self.start.places))
+        for kind, (now, before) in enumerate(pairs):
+            times = self.times[kind] if kind < 2 else np.full(len(OFFSETS), self.seen, dtype=np.float32)
+            for block in range(0, len(now), BLOCKS[kind]):
+                rows = np.flatnonzero(times[block : block + BLOCKS[kind]])
+                if len(rows):
+                    at = rows + block
+                    yield kind, block // BLOCKS[kind], rows.astype("<i4"), times[at].astype("<f4"), (now[at] - before[at]).astype("<f2")
+
+
+_CHANGES = "kind int, block int, rows binary, times binary, delta binary"
+
+
+def _sent(kind: int, block: int, rows: np.ndarray, times: np.ndarray, delta: np.ndarray) -> pa.RecordBatch:
+    values = [[kind], [block], [rows.tobytes()], [times.tobytes()], [delta.tobytes()]]
+    return pa.record_batch([pa.array(v, t) for v, t in zip(values, (pa.int32(), pa.int32(), *[pa.binary()] * 3), strict=True)], ["kind", "block", "rows", "times", "delta"])
+
+
+def _averaged(batches):
+    """Changes of one row to their mean, weighted by the row's occurrences."""
+    sums: dict = {}
+    for batch in batches:
+        for r in batch.to_pylist():
+            rows, times = np.frombuffer(r["rows"], "<i4"), np.frombuffer(r["times"], "<f4")
+            delta = np.frombuffer(r["delta"], "<f2").reshape(len(rows), -1)
+            key = (r["kind"], r["block"])
+            if key not in sums:
+                sums[key] = np.zeros((BLOCKS[r["kind"]], delta.shape[1] + 1), dtype=np.float32)
+            sums[key][rows, :-1] += delta * times[:, None]
+            sums[key][rows, -1] += times
+    for (kind, block), s in sums.items():
+        rows = np.flatnonzero(s[:, -1])
+        yield _sent(kind, block, rows.astype("<i4"), s[rows, -1].astype("<f4"), (s[rows, :-1] / s[rows, -1:]).astype("<f2"))
+
+
+def trained(docs: DataFrame, words: Leaves) -> Network:
+    """The network of the corpus; every window of every text is trained on, once at least.
+
+    Two tasks a core train, on all partitions between them, so that the changes
+    that they send don't grow with the partitions.
+    """
+    net, tokens = network(words.counts), int(words.counts.sum())
+    if not tokens:
         return net
-    share, parts = table[seen] / total, net.parts(seen)
-    weight = share.sum(axis=1, keepdims=True)
-    params = net.parameters()
-    first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
-    for step in range(1, steps + 1):
-        hidden = net.hidden(seen)
-        z = hidden @ net.output + net.output_bias
-        p = np.exp(z - z.max(axis=1, keepdims=True))
-        p /= p.sum(axis=1, keepdims=True)
-        error = p * weight - share
-        back = (error @ net.output.T) * (1 - hidden**2)
-        grads = []
-        for k, classes in zip(parts, (NEAR, NEAR, FAR, FAR), strict=True):
-            g = np.zeros((classes, size))
-            np.add.at(g, k, back)
-            grads.append(g)
-        grads += [back.sum(axis=0), hidden.T @ error, error.sum(axis=0)]
-        now = rate * (1 - step / (steps + 1))
-        for value, g, a, b in zip(params, grads, first, second, strict=True):
-            a += 0.1 * (g - a)
-            b += 0.001 * (g * g - b)
-            value -= now * (a / (1 - 0.9**step)) / (np.sqrt(b / (1 - 0.999**step)) + 1e-10)
+    passes = min(PASSES, max(1, -(-EXAMPLES // tokens)))
+    rounds = min(ROUNDS, passes)
+    tasks = 2 * docs.sparkSession.sparkContext.defaultParallelism
+
+    def run(batches):
+        train, held, size = Training(net), [], 0
+        for batch in batches:
+            for part in slices(batch, "text"):
+                for t in texts_of(part.column(0)):
+                    ids = words.ids(words_of(t))
+                    if ids:
+                        held.append(ids)
+                        size += len(ids)
+                    if size > CHUNK:
+                        train.learn(held, -(-passes // rounds))
+                        held, size = [], 0
+        if held:
+            train.learn(held, -(-passes // rounds))
+        if train.seen:
+            for change in train.changes():
+                yield _sent(*change)
+
+    for _ in range(rounds):
+        made = docs.select("text").coalesce(tasks).mapInArrow(run, _CHANGES).repartition("kind", "block").mapInArrow(_averaged, _CHANGES).toArrow()
+        new = Network(net.node, net.branch, net.rank, net.words.copy(), net.nodes.copy(), net.places.copy())
+        for r in made.to_pylist():
+            rows, to = np.frombuffer(r["rows"], "<i4") + r["block"] * BLOCKS[r["kind"]], (new.words, new.nodes, new.places)[r["kind"]]
+            to[rows] += np.frombuffer(r["delta"], "<f2").reshape(len(rows), *to.shape[1:])
+        net = new
     return net
 
 
-def scores(docs: DataFrame, words: Words, net: Network) -> DataFrame:
+def scores(docs: DataFrame, words: Leaves, several: DataFrame, net: Network) -> DataFrame:
     """``(doc_id, n_tokens, log_prob, mean_log_prob)`` of each row of ``docs(doc_id, text, ...)``.
 
-    Null or empty texts have no tokens, a sum of 0 and no mean. Rows that repeat
-    each have a result; an empty table gives an empty result.
+    A word that shares a leaf has the leaf's probability times its part of the
+    leaf's count. Null or empty texts have no tokens, a sum of 0 and no mean.
+    Rows that repeat each have a result. Texts of any length are scored whole,
+    other columns are ignored. An empty table gives an empty result.
     """
-    logp = net.log_probabilities(np.arange(CONTEXTS)).ravel()
+    of_leaf = np.log(np.maximum(words.counts, 1))
 
     def run(batches):
+        first, seen = len(words.rank), TaskContext.get().partitionId() << 40
         for batch in batches:
-            for part in slices(batch, "text"):
-                n, total = [], []
-                for t in texts_of(part.column(1)):
-                    ids = words.ids(words_of(t))
-                    n.append(len(ids))
-                    total.append(float(logp[contexts(ids) * VOCABULARY + ids].sum()) if len(ids) else 0.0)
-                yield pa.record_batch([part.column(0), pa.array(n, pa.int64()), pa.array(total, pa.float64())], ["doc_id", "n_tokens", "log_prob"])
-
-    out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_tokens long, log_prob double")
-    return out.withColumn("mean_log_prob", F.when(F.col("n_tokens") > 0, F.col("log_prob") / F.col("n_tokens")))
+            for part in slices(batch, "text", 2_000_000):
+                texts = [words_of(t) for t in texts_of(part.column(1))]
+                ids = [words.ids(t) for t in texts]
+                n = np.array([len(x) for x in ids])
+                near, leaf = windows(ids, len(net.words) - 1)
+                logp = net.log_probabilities(near, leaf)
+                logp[leaf >= first] -= of_leaf[leaf[leaf >= first]]
+                total = np.bincount(np.repeat(np.arange(len(ids)), n), weights=logp, minlength=len(ids))
+                rare = [np.array([xxhash.xxh64_intdigest(w, 42) for w, k in zip(t, x, strict=True) if k >= first], dtype=np.uint64).view(np.int64) for t, x in zip(texts, ids, strict=True)]
+                rows = pa.array(np.arange(seen, seen + len(ids)))
+                seen += len(ids)
+                yield pa.record_batch([rows, part.column(0), pa.array(n, pa.int64()), pa.array(total, pa.float64()), pa.array(rare, pa.list_(pa.int64()))], ["row", "doc_id", "n_tokens", "own", "rare"])
+
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    made = stored(texts.mapInArrow(run, "row long, doc_id long, n_tokens long, own double, rare array<long>"), "scored")
+    parts = made.select("row", F.explode("rare").alias("h")).groupBy("row", "h").agg(F.count("*").alias("k"))
+    shares = parts.join(several, "h").groupBy("row").agg(F.sum(F.col("k") * F.col("ln")).alias("shares"))
+    log_prob = F.col("own") + F.coalesce("shares", F.lit(0.0))
+    mean = F.when(F.col("n_tokens") > 0, F.col("log_prob") / F.col("n_tokens"))
+    return made.drop("rare").join(shares, "row", "left").select("doc_id", "n_tokens", log_prob.alias("log_prob")).withColumn("mean_log_prob", mean)
 
 
 def scored(docs: DataFrame) -> DataFrame:
-    """``(doc_id, n_tokens, log_prob, mean_log_prob)`` as ``scores`` has it, by the network of ``treelm``, with the vocabulary and all windows of ``docs``."""
-    words = treelm.leaves(docs)
-    out = treelm.scores(docs, words, treelm.trained(docs, words))
-    return out.withColumn("mean_log_prob", F.when(F.col("n_tokens") > 0, F.col("log_prob") / F.col("n_tokens")))
+    """``scores`` by the vocabulary and all windows of ``docs`` itself."""
+    words, several = leaves(docs)
+    return scores(docs, words, several, trained(docs, words))

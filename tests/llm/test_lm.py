@@ -1,4 +1,5 @@
-import zlib
+import math
+import random
 from collections import Counter
 
 import numpy as np
@@ -8,58 +9,123 @@ from mergeweave.llm import lm
 from .helpers import ODD, ODD_IDS, SCHEMA, docs, prose
 
 
-def brute_context(ids, k):
-    def cls(j, n):
-        return n - 1 if not 0 <= j < len(ids) else min(ids[j], n - 2)
-
-    return ((cls(k - 1, lm.NEAR) * lm.NEAR + cls(k + 1, lm.NEAR)) * lm.FAR + cls(k - 2, lm.FAR)) * lm.FAR + cls(k + 2, lm.FAR)
-
-
-def brute_ids(text, rank):
-    return [rank[w] if w in rank else lm.VOCABULARY - lm.BUCKETS + zlib.crc32(w) % lm.BUCKETS for w in (text or "").encode().lower().split()]
-
-
-def test_vocabulary_counts_and_scores(spark):
-    texts = [prose(80, k) for k in range(12)] + ODD
+def pairs(swapped, seed):
+    """Frequent words around rare ones, each of which has a partner beside it; in swapped texts partners are dealt anew."""
+    r = random.Random(seed)
+    keys = [r.randrange(150) for _ in range(20)]
+    locks = keys[:]
+    if swapped:
+        random.Random(seed).shuffle(locks)
+    return " ".join(f"{r.choice('the of and to in'.split())} key{k} lock{j}" for k, j in zip(keys, locks))
+
+
+def test_swapped_words_score_lower(spark):
+    plain = [pairs(False, s) for s in range(300)]
+    # beyond the most frequent words, but each often enough to be known
+    frequent = [f"w{k}" for k in range(130)]
+    fill = [" ".join(frequent) for _ in range(60)]
+    swapped = [pairs(True, s) for s in range(8)]
+    assert all(Counter(a.split()) == Counter(b.split()) for a, b in zip(plain, swapped))
+    got = {r["doc_id"]: r["mean_log_prob"] for r in lm.scored(docs(spark, plain + fill + swapped)).collect()}
+    at = len(plain) + len(fill)
+    assert np.mean([got[k] - got[at + k] for k in range(8)]) > 0.3
+    assert all(got[k] > got[at + k] for k in range(8))
+
+
+def test_rare_words_go_by_their_counts(spark):
+    common = [prose(600, k) for k in range(30)]
+    once = " ".join(f"once{k}" for k in range(200))
+    twice = " ".join(f"twice{k}" for k in range(200))
+    got = {r["doc_id"]: r["mean_log_prob"] for r in lm.scored(docs(spark, [*common, once, twice, twice])).collect()}
+    assert abs(got[31] - got[32]) < 1e-4 and got[31] > got[30] + 0.5
+
+
+def test_vocabulary_grows(spark):
+    texts = [prose(800, k) for k in range(6)] + ODD + [" ".join(f"g{k}" for k in range(400))] * 12
+    count = Counter(w for t in texts for w in (t or "").encode().lower().split())
+    words, several = lm.leaves(docs(spark, texts))
+    least = min(count[w] for w in words.rank)
+    bound = lm.GROWTH * math.sqrt(sum(count.values()))
+    assert set(words.rank) == {w for w, n in count.items() if n >= least} and 400 < len(words.rank) <= bound
+    assert least == 2 or sum(n >= least - 1 for n in count.values()) > bound
+    assert words.counts.sum() == sum(count.values())
+    assert several.count() == sum(1 < n < least for n in count.values())
+
+
+def brute_log_prob(net, near, leaf):
+    """By definition, one token at a time."""
+    h = sum(net.words[n] @ net.places[p] for p, n in enumerate(near))
+    total = 0.0
+    for node, branch in zip(net.node[leaf], net.branch[leaf]):
+        if node >= 0:
+            z = net.nodes[node, :, :-1] @ h + net.nodes[node, :, -1]
+            total += z[branch] - z.max() - math.log(np.exp(z - z.max()).sum())
+    return total
+
+
+def trained_like(counts, dtype=np.float64):
+    draw = np.random.default_rng(1)
+    net = lm.network(counts)
+    for f in ("words", "nodes", "places"):
+        setattr(net, f, getattr(net, f).astype(dtype))
+    net.nodes[:, :, :-1] = draw.normal(size=net.nodes[:, :, :-1].shape)
+    return net
+
+
+def test_probabilities_as_by_definition_and_add_up():
+    for leaves in (1, 2, 16, 64, 65, 700):
+        counts = np.random.default_rng(leaves).integers(0, 1000, leaves)
+        net = trained_like(counts)
+        every = np.arange(leaves, dtype=np.int32)
+        near = np.tile(np.array([[0, leaves - 1, leaves, leaves // 2]], dtype=np.int32), (leaves, 1))
+        got = net.log_probabilities(near, every)
+        assert abs(np.exp(got).sum() - 1) < 1e-6
+        assert np.allclose(got, [brute_log_prob(net, near[0], k) for k in range(leaves)])
+        # without training, words have their frequencies
+        plain = np.exp(lm.network(counts).log_probabilities(near, every))
+        assert np.allclose(plain, (counts + 1) / (counts + 1).sum(), atol=1e-5)
+
+
+def test_gradients():
+    draw = np.random.default_rng(3)
+    net = trained_like(draw.integers(1, 50, 300))
+    near, leaf = draw.integers(0, 301, (90, 4)), draw.integers(0, 300, 90)
+    (w, gw, nw), (m, gm, nm), gp = lm.Training(net).gradients(near, leaf)
+    assert nw.sum() == 360 and nm.sum() == (net.node[leaf] >= 0).sum()
+    for values, rows, g in ((net.words, w, gw), (net.nodes, m, gm), (net.places, np.arange(4), gp)):
+        for k in (0, len(rows) // 2, len(rows) - 1):
+            for inner in ((2, 7), (5, 16), (9, 0)):
+                at = (rows[k], *(i % n for i, n in zip(inner, values.shape[1:])))
+                own, ends = values[at], []
+                for e in (1e-5, -1e-5):
+                    values[at] = own + e
+                    ends.append(net.log_probabilities(near, leaf).sum())
+                values[at] = own
+                assert abs((ends[0] - ends[1]) / 2e-5 - g[(k, *at[1:])]) < 1e-4
+
+
+def test_scores_as_by_definition(spark):
+    texts = [prose(300, k) for k in range(6)] + ["a b c d a", None]
     table = docs(spark, texts)
-    words = lm.vocabulary(table)
-    tally = Counter(w for t in texts for w in (t or "").encode().lower().split())
-    assert list(words.rank) == [w for w, _ in sorted(tally.items(), key=lambda x: (-x[1], x[0]))][: lm.VOCABULARY - lm.BUCKETS]
-    counted = lm.counts(table, words)
-    want = np.zeros((lm.CONTEXTS, lm.VOCABULARY))
-    for t in texts:
-        ids = brute_ids(t, words.rank)
-        for k, i in enumerate(ids):
-            want[brute_context(ids, k), i] += 1
-    assert (counted == want).all()
-    net = lm.train(counted, steps=30)
-    got = {r["doc_id"]: r for r in lm.scores(table, words, net).collect()}
-    for d, t in enumerate(texts[:8] + [texts[-1]]):
-        d = d if d < 8 else len(texts) - 1
-        ids = brute_ids(t, words.rank)
+    words, several = lm.leaves(table)
+    net = trained_like(words.counts, np.float32)
+    count = Counter(w for t in texts for w in (t or "").encode().lower().split())
+    got = {r["doc_id"]: r for r in lm.scores(table, words, several, net).collect()}
+    edge = len(words.counts)
+    for d, t in enumerate(texts):
+        own = lm.words_of(t or "")
+        ids = [edge, edge, *words.ids(own), edge, edge]
         total = 0.0
-        for k, i in enumerate(ids):
-            nl, nr, fl, fr = (int(x[0]) for x in net.parts(np.array([brute_context(ids, k)])))
-            h = np.tanh(net.near_left[nl] + net.near_right[nr] + net.far_left[fl] + net.far_right[fr] + net.hidden_bias)
-            z = h @ net.output + net.output_bias
-            total += z[i] - np.log(np.exp(z).sum())
-        assert got[d]["n_tokens"] == len(ids) and abs(got[d]["log_prob"] - total) < 1e-6 * max(1, abs(total))
-
-
-def test_training_beats_frequencies_and_gradient_is_right():
-    draw = np.random.default_rng(1)
-    table = np.zeros((lm.CONTEXTS, lm.VOCABULARY))
-    left = draw.integers(0, 14, 5000)
-    for c in left:
-        table[((c * lm.NEAR + 3) * lm.FAR + 1) * lm.FAR + 2, (c * 5) % 100] += 1
-    loss = lambda net: -(table * net.log_probabilities(np.arange(lm.CONTEXTS))).sum() / table.sum()
-    assert loss(lm.train(table)) < 0.3 < loss(lm.train(table, steps=0))
+        for k, w in enumerate(own):
+            at = k + 2
+            total += brute_log_prob(net, [ids[at - 2], ids[at - 1], ids[at + 1], ids[at + 2]], ids[at])
+            total += 0 if w in words.rank else math.log(count[w] / words.counts[ids[at]])
+        assert got[d]["n_tokens"] == len(own) and abs(got[d]["log_prob"] - total) < 1e-3 * max(1, abs(total))
 
 
 def test_fluent_scores_higher(spark):
     good = [("the of and to " * 40).strip() for _ in range(20)]
-    table = docs(spark, [*good, "to and of the " * 40])
-    got = {r["doc_id"]: r["mean_log_prob"] for r in lm.scored(table).collect()}
+    got = {r["doc_id"]: r["mean_log_prob"] for r in lm.scored(docs(spark, [*good, "to and of the " * 40])).collect()}
     assert got[0] > got[20]
 
 
