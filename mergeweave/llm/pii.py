@@ -1,18 +1,21 @@
 """Personal data: found by patterns, then sanitised by what terms disclose. DataFrame functions only.
 
 Patterns give the protected entities: e-mail and IP addresses, card and phone
-numbers. Words of a text that holds an entity are terms that may reveal it. Over
-the whole corpus, with N documents, a term t and an entity e with document
-frequencies df(t) and df(e), and df(t, e) documents that hold both:
+numbers; and, since most of these stand in one document only, what they belong
+to: an address's domain, a network, a card's issuer, a phone's area. Words of a
+text that holds an entity are terms that may reveal it. Over the whole corpus,
+with N documents, a term t and an entity e with document frequencies df(t) and
+df(e), and df(t, e) documents that hold both:
 
     PMI(t; e) = log(N * df(t, e) / (df(t) * df(e)))      what t tells about e
     IC(e)     = log(N / df(e))                           all there is to tell
 
 The ratio of the two is 1 where t occurs only beside e. Terms at ``REMOVE_AT`` or
-more are removed, those at ``GENERALISE_AT`` or more are replaced by a class, if
-so many common documents are not chance: all pairs of a term and an entity are
-tested, at a level of ``SIGNIFICANCE`` for all of them together. Evidence are
-different surroundings in different texts, so that copies reveal nothing.
+more are removed, those at ``GENERALISE_AT`` or more are replaced by the class
+that their letters show, if so many common documents are not chance: all pairs of
+a term and an entity are tested, at a level of ``SIGNIFICANCE`` for all of them
+together. Evidence are texts in which the entity has different surroundings, so
+that copies reveal nothing.
 """
 
 from __future__ import annotations
@@ -42,6 +45,8 @@ WINDOW = 80
 SIGNIFICANCE = 0.05
 GENERALISE_AT = 0.9
 REMOVE_AT = 0.99
+#: Matches whose positions are summed at once.
+RUN = 256
 #: Letters of a term at least.
 TERM = 3
 #: Up to so many terms go to all tasks; beyond, they are joined by a shuffle.
@@ -87,7 +92,12 @@ def _valid(kind: str, value: Column) -> Column:
 
 
 def _located(found: Column, pieces: Column) -> Column:
-    """Matches and the pieces between them to ``(start, end, value, left, right)``, in code points, end exclusive."""
+    """Matches and the pieces between them to ``(start, end, value, left, right)``, in code points, end exclusive.
+
+    Positions are sums over all matches before, first within runs of ``RUN``
+    matches, then over runs, so that texts with very many don't take time by the
+    square.
+    """
     around = F.transform(found, lambda m, i: F.struct(F.get(pieces, i).alias("p"), m.alias("m"), F.get(pieces, i + 1).alias("q")))
     kind = "array<struct<start:int,end:int,value:string,left:string,right:string>>"
     zero = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out"))
@@ -100,7 +110,13 @@ def _located(found: Column, pieces: Column) -> Column:
         )
         return F.struct(end.alias("at"), F.concat(state["out"], F.array(one)).alias("out"))
 
-    return F.aggregate(around, zero, step)["out"]
+    def join(state: Column, run: Column) -> Column:
+        moved = F.transform(run["out"], lambda s: F.struct((s["start"] + state["at"]).alias("start"), (s["end"] + state["at"]).alias("end"), s["value"].alias("value"), s["left"].alias("left"), s["right"].alias("right")))
+        return F.struct((state["at"] + run["at"]).alias("at"), F.concat(state["out"], F.array(moved)).alias("out"))
+
+    firsts = F.when(F.size(found) > 0, F.sequence(F.lit(1), F.greatest(F.size(found), F.lit(1)), F.lit(RUN))).otherwise(F.array().cast("array<int>"))
+    runs = F.transform(firsts, lambda i: F.aggregate(F.slice(around, i, F.lit(RUN)), zero, step))
+    return F.flatten(F.aggregate(runs, F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{kind}>").alias("out")), join)["out"])
 
 
 def _validator(kind: str):
@@ -135,6 +151,17 @@ def _same(rank: Column, value: Column) -> Column:
     return F.when(rank == 0, F.lower(value)).when(rank == 1, value).otherwise(_digits(value))
 
 
+def _group(rank: Column, value: Column) -> Column:
+    """What an entity belongs to: an address's domain, the first three numbers of an IP, the first six digits of a card, a phone's digits less the last seven."""
+    digits = _digits(value)
+    return (
+        F.when(rank == 0, F.lower(F.substring_index(value, "@", -1)))
+        .when(rank == 1, F.substring_index(value, ".", 3))
+        .when(rank == 2, F.substring(digits, 1, 6))
+        .otherwise(F.substring(digits, F.lit(1), F.length(digits) - 7))
+    )
+
+
 def _words(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"[^\p{L}]++", -1), lambda w: F.length(w) >= TERM)
 
@@ -149,30 +176,35 @@ def _chance(k: Column, n: Column, q: Column) -> Column:
 def disclosures(docs: DataFrame, found: DataFrame) -> DataFrame:
     """``(term, ratio)``: the largest ratio of PMI to information content that a term reaches for any entity, at ``GENERALISE_AT`` or more and beyond chance.
 
-    found: the stored result of ``entities``. All documents, all entities and all
-    words are counted.
+    found: the stored result of ``entities``. All documents, all entities, what
+    these belong to, and all words are counted. A hash of 64 bits stands for an
+    entity.
     """
-    near = found.where(F.size("spans") > 0).select("doc_id", "th", F.explode("spans").alias("s"))
-    near = near.select("doc_id", "th", F.col("s.rank").alias("rank"), _same(F.col("s.rank"), F.col("s.value")).alias("value"), F.xxhash64("s.left", "s.right").alias("context"))
+    spans = found.where(F.size("spans") > 0).select("doc_id", "th", F.explode("spans").alias("s")).select("doc_id", "th", "s.*")
+    entity = F.struct(F.lit(0).alias("level"), "rank", _same(F.col("rank"), F.col("value")).alias("value"))
+    belongs = F.struct(F.lit(1).alias("level"), "rank", _group(F.col("rank"), F.col("value")).alias("value"))
+    near = spans.select("doc_id", "th", F.xxhash64("left", "right").alias("context"), F.explode(F.array(entity, belongs)).alias("e")).select("doc_id", "th", "context", F.xxhash64("e").alias("e"))
     near = stored(near.distinct(), "near")
     rows = docs.count()
     text = F.coalesce(F.col("text"), F.lit(""))
     held = docs.select(text.alias("text")).withColumn("th", F.xxhash64("text")).join(near.select("th").distinct(), "th", "left_semi")
     held = stored(held.select("th", F.array_distinct(_words(F.col("text"))).alias("terms")).dropDuplicates(["th"]), "held")
-    tests = near.select("rank", "value", "th").distinct().join(held.select("th", F.size("terms").alias("n")), "th").agg(F.sum("n")).first()[0] or 0
-    evidence = F.least(F.countDistinct("context"), F.countDistinct("th")).cast("double")
-    document = F.countDistinct(F.struct("doc_id", "th"))
-    entity = near.groupBy("rank", "value").agg(document.alias("df_e"), evidence.alias("all_e")).where(F.col("df_e") < rows)
+    # of texts in which an entity has the same surroundings one is evidence
+    evidence = near.groupBy("e", "context").agg(F.min("th").alias("th")).select("e", "th").distinct().withColumn("k", F.lit(1))
+    pairs = near.groupBy("e", "th").agg(F.countDistinct(F.struct("doc_id")).alias("n")).join(evidence, ["e", "th"], "left").select("e", "th", "n", F.coalesce("k", F.lit(0)).alias("k"))
+    pairs = stored(pairs, "pairs")
+    tests = pairs.join(held.select("th", F.size("terms").alias("m")), "th").agg(F.sum("m")).first()[0] or 0
+    entity = pairs.groupBy("e").agg(F.sum("n").alias("df_e"), F.sum("k").cast("double").alias("all_e")).where(F.col("df_e") < rows)
     level = F.log(F.lit(SIGNIFICANCE / max(1, tests)))
     # No term of an entity has less chance than one that is in all of its texts and nowhere else. Where that one would
     # not pass, as in every entity of a single text unless the corpus has many times more documents than there are tests, none can.
     entity = stored(entity.where(_chance(F.col("all_e"), F.col("all_e"), F.col("all_e") / rows) <= level + 1e-9), "entities")
     joint = (
-        near.join(entity.select("rank", "value"), ["rank", "value"], "left_semi")
+        pairs.join(entity.select("e"), "e", "left_semi")
         .join(held, "th")
-        .select("rank", "value", "context", "doc_id", "th", F.explode("terms").alias("term"))
-        .groupBy("rank", "value", "term")
-        .agg(document.alias("n"), evidence.alias("k"))
+        .select("e", "n", "k", F.explode("terms").alias("term"))
+        .groupBy("e", "term")
+        .agg(F.sum("n").alias("n"), F.sum("k").cast("double").alias("k"))
     )
     # A term occurs in as many documents at least as it stands beside any entity in. Common words are beside many, and
     # drop out by this bound of the ratio before their occurrences are counted; no term that qualifies can.
@@ -187,7 +219,7 @@ def disclosures(docs: DataFrame, found: DataFrame) -> DataFrame:
         e, t = F.col("all_e"), F.col(df_t).cast("double")
         return F.least(_chance(F.col("k"), e, t / rows), _chance(F.col("k"), t, e / rows)) <= level
 
-    likely = joint.join(entity, ["rank", "value"]).join(beside, "term").where((ratio("least_t") >= GENERALISE_AT) & beyond_chance("least_t"))
+    likely = joint.join(entity, "e").join(beside, "term").where((ratio("least_t") >= GENERALISE_AT) & beyond_chance("least_t"))
     likely = stored(likely.select("term", "n", "df_e", "k", "all_e"), "likely")
     terms = likely.select("term").distinct()
     size = terms.limit(BROADCAST_TERMS + 1).count()
@@ -201,8 +233,13 @@ def disclosures(docs: DataFrame, found: DataFrame) -> DataFrame:
     return both.where(F.col("ratio") >= GENERALISE_AT).groupBy("term").agg(F.max("ratio").alias("ratio"))
 
 
+def shape_of(term: Column) -> Column:
+    """The class that takes a term's place: what its letters show."""
+    return F.when(term.rlike(r"^\p{Lu}{2,}$"), "acronym").when(term.rlike(r"^\p{Lu}"), "name").otherwise("word")
+
+
 def term_spans(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """``(doc_id, th, terms)``: where documents hold the terms, an array of ``(start, end, removed)``; rows without any are left out."""
+    """``(doc_id, th, terms)``: where documents hold the terms, an array of ``(start, end, removed, shape)``; rows without any are left out."""
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select("doc_id", text.alias("text")).withColumn("th", F.xxhash64("text"))
     hits = (
@@ -219,7 +256,7 @@ def term_spans(docs: DataFrame, terms: DataFrame) -> DataFrame:
     held = held.withColumn("m", F.regexp_extract_all("text", F.col("pattern"), F.lit(0))).withColumn("p", F.split("text", F.col("pattern"), -1))
     located = F.transform(
         _located(F.col("m"), F.col("p")),
-        lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.array_contains("out", F.lower(s["value"])).alias("removed")),
+        lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.array_contains("out", F.lower(s["value"])).alias("removed"), shape_of(s["value"]).alias("shape")),
     )
     return held.select("doc_id", "th", located.alias("terms")).dropDuplicates(["doc_id", "th"])
 
@@ -228,12 +265,12 @@ def spans(docs: DataFrame) -> DataFrame:
     """``(doc_id, th, spans, terms)`` of each row of ``docs(doc_id, text, ...)``; th is a hash of the text.
 
     spans: base spans ``(start, rank, end, value, left, right)``, rank by
-    ``KINDS``. terms: disclosing terms ``(start, end, removed)`` outside base
-    spans. Null and empty texts have none. Rows that repeat each have a result.
+    ``KINDS``. terms: disclosing terms ``(start, end, removed, shape)`` outside
+    base spans. Null and empty texts have none. Rows that repeat each have a result.
     """
     found = stored(entities(docs), "spans")
     terms = stored(disclosures(docs, found), "terms")
-    none = F.array().cast("array<struct<start:int,end:int,removed:boolean>>")
+    none = F.array().cast("array<struct<start:int,end:int,removed:boolean,shape:string>>")
     if terms.limit(1).count() == 0:
         return found.withColumn("terms", none)
     extra = term_spans(docs, F.broadcast(terms) if terms.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS else terms)
@@ -244,17 +281,23 @@ def spans(docs: DataFrame) -> DataFrame:
 
 
 def sanitised(docs: DataFrame) -> DataFrame:
-    """``docs``, with ``text`` in which entities are replaced by their kind in brackets, terms by ``[term]`` or, if removed, by nothing."""
+    """``docs``, with ``text`` in which entities are replaced by their kind in brackets, terms by their class in brackets or, if removed, by nothing.
+
+    All other columns stay as they are, whatever their names; so do null texts
+    and those without a span. Repeated rows each have the same result.
+    """
     marks = spans(docs)
+    kinds = F.array(*map(F.lit, KINDS))
+    bracketed = lambda c: F.concat(F.lit("["), c, F.lit("]"))
     masked = F.sort_array(
         F.concat(
-            F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.concat(F.lit("["), F.element_at(F.array(*map(F.lit, KINDS)), s["rank"] + 1), F.lit("]")).alias("mask"))),
-            F.transform("terms", lambda t: F.struct(t["start"].alias("start"), t["end"].alias("end"), F.when(t["removed"], F.lit("")).otherwise(F.lit("[term]")).alias("mask"))),
+            F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), bracketed(F.element_at(kinds, s["rank"] + 1)).alias("mask"))),
+            F.transform("terms", lambda t: F.struct(t["start"].alias("start"), t["end"].alias("end"), F.when(t["removed"], F.lit("")).otherwise(bracketed(t["shape"])).alias("mask"))),
         )
     )
-    cuts = marks.select(F.col("doc_id").alias("__id"), F.col("th").alias("__th"), masked.alias("__cuts")).where(F.size("__cuts") > 0).dropDuplicates(["__id", "__th"])
-    rows = docs.withColumn("__own", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
-    joined = rows.join(cuts, rows["doc_id"].eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__th")), "left")
+    cuts = marks.select(F.col("doc_id").alias("cut_id"), F.col("th").alias("cut_th"), masked.alias("cuts")).where(F.size("cuts") > 0).dropDuplicates(["cut_id", "cut_th"])
+    rows = docs.select(F.struct("*").alias("doc"), F.col("doc_id").alias("id"), "text", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("own"))
+    joined = rows.join(cuts, F.col("id").eqNullSafe(F.col("cut_id")) & (F.col("own") == F.col("cut_th")), "left")
     zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
 
     def step(state: Column, c: Column) -> Column:
@@ -263,9 +306,10 @@ def sanitised(docs: DataFrame) -> DataFrame:
             F.struct(c["end"].alias("at"), F.concat(state["out"], F.array(before, c["mask"])).alias("out"))
         )
 
-    done = F.aggregate("__cuts", zero, step)
-    text = F.concat(F.array_join(done["out"], ""), F.substring(F.col("text"), done["at"] + 1, F.length("text")))
-    return joined.select(*[F.when(F.col("__cuts").isNull(), docs["text"]).otherwise(text).alias("text") if c == "text" else docs[c] for c in docs.columns])
+    done = joined.select("doc", "text", F.when(F.col("cuts").isNotNull(), F.aggregate("cuts", zero, step)).alias("done"))
+    rest = F.concat(F.array_join("done.out", ""), F.substring(F.col("text"), F.col("done.at") + 1, F.length("text")))
+    new = done.select("doc", F.when(F.col("done").isNull(), F.col("text")).otherwise(rest).alias("new"))
+    return new.select(*[F.col("new").alias(c) if c == "text" else F.col("doc").getField(c).alias(c) for c in docs.columns])
 
 
 def _listed(items: Column) -> Column:
