@@ -1,12 +1,16 @@
 """Approximate nearest neighbours: NN-descent and greedy graph search.
 
-Equal vectors are one node. A few random-projection trees, fitted on a bounded
-sample, put all nodes into leaves; the nearest within leaves are the first
-neighbour lists. Each round of NN-descent then joins nodes with their
-neighbours and reverse neighbours, compares what meets at a node, and keeps the
-nearest that anyone met. A query walks the graph: from its entries it opens the
-nearest nodes that it has not opened yet, ``BEAM`` at a time, and keeps the
-``POOL`` nearest nodes seen, until all of these are open.
+Equal vectors are one node. Random-projection trees, fitted on a bounded sample,
+put all nodes into leaves; the nearest within leaves are the first neighbour
+lists. Each round of NN-descent joins nodes with the vectors of their neighbours
+and reverse neighbours, compares all that meet at a node with each other, and
+keeps what is nearer than what a list had; rounds go on until few entries
+change. A query walks the graph from its own node: it opens the nearest nodes
+that it has not opened yet, ``BEAM`` at a time, and keeps the ``POOL`` nearest
+nodes seen, until all of these are open.
+
+The graph is a table of edges. What meets at a node comes to a worker as sorted
+rows, so that memory holds some thousand of them, whatever the table's size.
 """
 
 from __future__ import annotations
@@ -20,37 +24,39 @@ from pyspark.sql import functions as F
 
 from ._shared import stored
 
-#: Neighbours of a node in its list, and reverse neighbours that a round or the graph adds, the nearest first.
+#: Neighbours of a node in its list, and reverse neighbours that the graph adds, the nearest first.
 NEIGHBOURS = 24
 REVERSE = 24
-TREES = 4
-LEAF = 512
+TREES = 12
+LEAF = 1_024
 #: Vectors that trees are fitted on, those with the smallest hash of the id.
 SAMPLE = 8_192
-ROUNDS = 3
-POOL = 320
-BEAM = 40
-HOPS = 24
-_PAIRS = "array<struct<d:double,id:long>>"
+#: NN-descent ends once a round changes no more than this share of the lists' entries.
+CHANGED = 0.05
+POOL = 128
+BEAM = 48
+#: Edges that are compared at once.
+ROWS = 20_000
+_STATE = "array<struct<d:double,id:long,open:boolean>>"
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """``(vec_id, v)``, v an array of floats: rows whose vector is not null, zero or empty, has finite components only, and the length that most have."""
-    v = F.col("embedding").cast("array<float>")
+    """``(vec_id, v)``, v an array of doubles: rows whose vector is not null, zero or empty, and has finite components only. Shorter vectors end in zeros."""
+    v = F.col("embedding").cast("array<double>")
     good = F.forall(v, lambda x: F.coalesce((x == x) & (F.abs(x) < float("inf")), F.lit(False))) & F.exists(v, lambda x: x != 0)
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v")).where(F.col("vec_id").isNotNull() & v.isNotNull() & good)
-    most = rows.groupBy(F.size("v").alias("n")).agg(F.count("*").alias("k")).orderBy(F.desc("k"), "n").limit(1).collect()
-    return rows.where(F.size("v") == (most[0]["n"] if most else 0))
+    longest = rows.agg(F.max(F.size("v"))).first()[0] or 0
+    return rows.select("vec_id", F.concat("v", F.array_repeat(F.lit(0.0), F.lit(longest) - F.size("v"))).alias("v"))
 
 
 def classes(rows: DataFrame, top: int) -> tuple[DataFrame, DataFrame]:
-    """Nodes ``(id, v)`` of different vectors, id the smallest vec_id; and ``(vec_id, node, place)`` of the ``top`` smallest vec_ids of each."""
+    """Nodes ``(id, v)`` of different vectors, id the smallest vec_id; and ``(vec_id, node)`` of the ``top`` smallest vec_ids of each."""
     nodes = rows.groupBy("v").agg(F.min("vec_id").alias("id"))
     # the place limits rows before the shuffle too, so a vector that many rows share stays small
     order = Window.partitionBy("v").orderBy("vec_id")
     members = rows.distinct().withColumn("place", F.row_number().over(order)).where(F.col("place") <= top)
     first = members.groupBy("v").agg(F.min("vec_id").alias("node"))
-    return nodes, members.join(first, "v").select("vec_id", "node", "place")
+    return nodes, members.join(first, "v").select("vec_id", "node")
 
 
 class Trees:
@@ -84,169 +90,183 @@ class Trees:
         return out
 
 
-def _matrix(column: pa.Array, width: int | None = None) -> np.ndarray:
+def _matrix(column: pa.Array) -> np.ndarray:
     flat = column.flatten().to_numpy(zero_copy_only=False)
-    return flat.reshape(len(column), -1) if len(column) else np.zeros((0, width or 1), dtype=np.float32)
+    return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 1), dtype=np.float32)
 
 
-def _nearest(ids: np.ndarray, x: np.ndarray, k: int):
-    """For each row of x: the k nearest other rows, as ids and distances."""
-    x = x.astype(np.float64)
-    k = min(k, len(x) - 1)
+def _squares(x: np.ndarray) -> np.ndarray:
+    """Squared distances of all rows, about their mean so that large vectors keep their digits; a row is infinitely far from itself."""
+    x = x - x.mean(axis=0)
     square = (x * x).sum(axis=1)
-    for at in range(0, len(x), 512):
-        d = square[at : at + 512, None] - 2 * x[at : at + 512] @ x.T + square[None, :]
-        d[np.arange(len(d)), at + np.arange(len(d))] = np.inf
-        best = np.argpartition(d, k - 1, axis=1)[:, :k] if k < len(x) - 1 else np.argsort(d, axis=1)[:, :k]
-        rows = np.arange(len(d))[:, None]
-        yield ids[at : at + 512], ids[best], np.sqrt(np.maximum(d[rows, best], 0))
+    d = np.maximum(square[:, None] - 2 * x @ x.T + square[None, :], 0)
+    np.fill_diagonal(d, np.inf)
+    return d
 
 
-def _lists(ids: np.ndarray, near: np.ndarray, d: np.ndarray) -> pa.RecordBatch:
-    offsets = np.arange(len(ids) + 1, dtype=np.int32) * near.shape[1]
-    pairs = pa.StructArray.from_arrays([pa.array(d.ravel()), pa.array(near.ravel())], ["d", "id"])
-    return pa.record_batch([pa.array(ids), pa.ListArray.from_arrays(pa.array(offsets), pairs)], ["id", "near"])
+_EDGES = "id long, other long, d float"
 
 
-def _merged(lists: DataFrame, k: int) -> DataFrame:
-    """Lists of one node to its k nearest; the same neighbour may come with distances that differ in the last bits."""
-    flat = F.flatten(F.collect_list("near"))
-    rounded = F.transform(flat, lambda p: F.struct(F.round(p["d"], 6).alias("d"), p["id"].alias("id")))
-    return lists.groupBy("id").agg(F.slice(F.array_sort(F.array_distinct(rounded)), 1, k).alias("near"))
+def _edges(ids: np.ndarray, others: np.ndarray, d: np.ndarray) -> pa.RecordBatch:
+    return pa.record_batch([pa.array(ids, pa.int64()), pa.array(others, pa.int64()), pa.array(d, pa.float32())], ["id", "other", "d"])
 
 
-def first_lists(nodes: DataFrame, n: int, k: int, seed: int = 42) -> DataFrame:
-    """``(id, near)`` from the leaves of the trees; a leaf with more nodes than twice ``LEAF`` is dealt into parts."""
-    sample = nodes.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).toArrow().column("v").combine_chunks()
-    depth = max(0, min(math.ceil(math.log2(max(1, n / LEAF))), 20))
-    trees = Trees(_matrix(sample).astype(np.float32), min(depth, 12), seed)
+def _nearest(edges: DataFrame, k: int) -> DataFrame:
+    """``(id, other, d, known)``: the k nearest of each node among edges ``(id, other, d, known)``, repeated ones once."""
+    once = edges.repartition("id").groupBy("id", "other").agg(F.min("d").alias("d"), F.max("known").alias("known"))
+    order = Window.partitionBy("id").orderBy("d", "other")
+    return once.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k).drop("place")
+
+
+def first_edges(nodes: DataFrame, n: int, k: int, seed: int = 42) -> DataFrame:
+    """Edges from the leaves of the trees; a leaf with more nodes than twice ``LEAF`` is dealt into parts."""
+    sample = nodes.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).toArrow().column("x").combine_chunks()
+    depth = max(0, math.ceil(math.log2(max(1, n / LEAF))))
+    trees = Trees(_matrix(sample), min(depth, 12), seed)
 
     def leaves(batches):
         for batch in batches:
             if batch.num_rows:
                 found = trees.leaves(_matrix(batch.column(1)))
                 for t in range(found.shape[1]):
-                    yield pa.record_batch([batch.column(0), batch.column(1), pa.array(found[:, t] * TREES + t)], ["id", "v", "leaf"])
+                    yield pa.record_batch([batch.column(0), batch.column(1), pa.array(found[:, t] * TREES + t)], ["id", "x", "leaf"])
 
-    dealt = nodes.select("id", "v").mapInArrow(leaves, "id long, v array<float>, leaf long")
+    dealt = nodes.select("id", "x").mapInArrow(leaves, "id long, x array<float>, leaf long")
     sizes = dealt.groupBy("leaf").agg(F.ceil(F.count("*") / (2 * LEAF)).alias("parts"))
     parted = dealt.join(sizes, "leaf").withColumn("part", F.pmod(F.xxhash64("id", "leaf"), F.col("parts")))
 
     def compare(group):
-        ids, x = group.column("id").to_numpy(), _matrix(group.column("v").combine_chunks())
-        if len(ids) < 2:
-            return pa.table(_lists(ids[:0], np.zeros((0, 1), dtype=np.int64), np.zeros((0, 1))).to_pydict(), schema=_LISTS)
-        return pa.Table.from_batches([_lists(*part) for part in _nearest(ids, x, k)], schema=None)
-
-    return parted.groupBy("leaf", "part").applyInArrow(compare, f"id long, near {_PAIRS}")
-
+        ids, d = group.column("id").to_numpy(), _squares(_matrix(group.column("x").combine_chunks()))
+        few = min(k, len(ids) - 1)
+        best = np.argpartition(d, few, axis=1)[:, :few] if few else np.zeros((len(ids), 0), dtype=np.int64)
+        rows = np.repeat(np.arange(len(ids)), few)
+        return pa.Table.from_batches([_edges(ids[rows], ids[best.ravel()], np.sqrt(d[rows, best.ravel()]))])
 
-_LISTS = pa.schema([("id", pa.int64()), ("near", pa.list_(pa.struct([("d", pa.float64()), ("id", pa.int64())])))])
+    return parted.groupBy("leaf", "part").applyInArrow(compare, _EDGES)
 
 
 def both_ways(graph: DataFrame, reverse: int) -> DataFrame:
     """``(id, other)``: neighbours of a node, and of the nodes whose neighbour it is the ``reverse`` nearest."""
-    edges = graph.select("id", F.explode("near").alias("p")).select("id", F.col("p.id").alias("other"), F.col("p.d").alias("d"))
     order = Window.partitionBy("other").orderBy("d", "id")
-    back = edges.withColumn("place", F.row_number().over(order)).where(F.col("place") <= reverse)
-    return edges.select("id", "other").union(back.select("other", "id")).distinct()
+    back = graph.withColumn("place", F.row_number().over(order)).where(F.col("place") <= reverse)
+    return graph.select("id", "other").union(back.select("other", "id")).distinct()
+
+
+def _meetings(batches):
+    """Sorted rows ``(id, other, worst, x)`` to edges: of all that meet at one id, each pair that is nearer than what either end has."""
+
+    def met(rows: pa.Table):
+        ids = rows.column("id").to_numpy()
+        other, worst, x = rows.column("other").to_numpy(), rows.column("worst").to_numpy(), _matrix(rows.column("x").combine_chunks())
+        starts = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
+        left, right, far = [], [], []
+        for a, b in zip(starts, [*starts[1:], len(ids)], strict=True):
+            d = _squares(x[a:b])
+            i, j = np.nonzero(d < worst[a:b, None] ** 2)
+            left.append(other[a:b][i])
+            right.append(other[a:b][j])
+            far.append(np.sqrt(d[i, j]))
+        return _edges(*map(np.concatenate, (left, right, far)))
+
+    held: list[pa.RecordBatch] = []
+    some = 0
+    for batch in batches:
+        held.append(batch)
+        some += batch.num_rows
+        if some < ROWS:
+            continue
+        table = pa.Table.from_batches(held)
+        ids = table.column("id").to_numpy()
+        cut = int(np.searchsorted(ids, ids[-1]))  # the last id may go on in the next batch
+        if cut:
+            yield met(table.slice(0, cut))
+        held = table.slice(cut).to_batches()
+        some = len(ids) - cut
+    if some:
+        yield met(pa.Table.from_batches(held))
 
 
 def descend(graph: DataFrame, nodes: DataFrame, k: int, reverse: int) -> DataFrame:
     """One round: everything that meets at a node, as neighbour or reverse neighbour, is compared with each other."""
-    met = both_ways(graph, reverse).join(nodes.select(F.col("id").alias("other"), "v"), "other")
-    groups = met.groupBy("id").agg(F.collect_list(F.struct("other", "v")).alias("met"))
-
-    def compare(batches):
-        for batch in batches:
-            met = batch.column(0)
-            ends = np.cumsum(met.value_lengths().to_numpy())
-            flat = met.flatten()
-            ids, x = flat.field("other").to_numpy(), _matrix(flat.field("v"))
-            size, best = [], []
-            for a, b in zip(ends - met.value_lengths().to_numpy(), ends, strict=True):
-                if b - a < 2:
-                    continue
-                y = x[a:b]
-                square = (y * y).sum(axis=1)
-                d = square[:, None] - 2 * y @ y.T + square[None, :]
-                np.fill_diagonal(d, np.inf)
-                few = min(8, b - a - 1)
-                near = np.argpartition(d, few - 1, axis=1)[:, :few]
-                best.append((ids[a:b].repeat(few), ids[a:b][near].ravel(), np.repeat(np.arange(a, b), few), (near + a).ravel()))
-                size.append(np.full(b - a, few))
-            if best:
-                left, other, i, j = (np.concatenate(z) for z in zip(*best, strict=True))
-                d = np.sqrt(((x[i].astype(np.float64) - x[j]) ** 2).sum(axis=1))
-                lengths = np.concatenate(size)
-                offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
-                pairs = pa.StructArray.from_arrays([pa.array(d), pa.array(other)], ["d", "id"])
-                yield pa.record_batch([pa.array(left[offsets[:-1]]), pa.ListArray.from_arrays(pa.array(offsets), pairs)], ["id", "near"])
-
-    better = groups.select("met").mapInArrow(compare, f"id long, near {_PAIRS}")
-    return _merged(graph.union(better), k)
-
-
-def build(nodes: DataFrame, k: int = NEIGHBOURS, reverse: int = REVERSE, rounds: int = ROUNDS) -> DataFrame:
-    """The neighbour graph ``(id, near)`` of ``nodes(id, v)``; rounds end early when the mean distance no longer falls by a thousandth."""
-    n = nodes.count()
-    graph = stored(_merged(first_lists(nodes, n, k), k), "graph")
-    mean = F.avg(F.aggregate("near", F.lit(0.0), lambda s, p: s + p["d"]))
-    before = graph.agg(mean).first()[0]
-    for _ in range(rounds):
+    # a list that isn't full takes whatever comes
+    worst = graph.groupBy("id").agg(F.when(F.count("*") >= k, F.max("d")).otherwise(F.lit(float("inf"))).cast("float").alias("worst"))
+    ends = nodes.join(worst, "id", "left").select(F.col("id").alias("other"), F.coalesce("worst", F.lit(float("inf")).cast("float")).alias("worst"), "x")
+    met = both_ways(graph, reverse).join(ends, "other").select("id", "other", "worst", "x").repartition("id").sortWithinPartitions("id")
+    better = met.mapInArrow(_meetings, _EDGES).withColumn("known", F.lit(False))
+    return _nearest(graph.withColumn("known", F.lit(True)).unionByName(better), k)
+
+
+def build(nodes: DataFrame, k: int = NEIGHBOURS, reverse: int = REVERSE) -> DataFrame:
+    """The neighbour graph ``(id, other, d)`` of ``nodes(id, x)``."""
+    graph = stored(_nearest(first_edges(nodes, nodes.count(), k).withColumn("known", F.lit(True)), k), "graph")
+    while True:
         graph = stored(descend(graph, nodes, k, reverse), "graph")
-        now = graph.agg(mean).first()[0]
-        if before is None or now is None or now > 0.999 * before:
-            break
-        before = now
-    return graph
+        changed, entries = graph.agg(F.count_if(~F.col("known")), F.count("*")).first()
+        if changed <= CHANGED * entries:
+            return graph
 
 
 def distance(a: Column, b: Column) -> Column:
-    """Euclidean distance of arrays of floats, in double precision."""
+    """Euclidean distance of two arrays, in double precision."""
     return F.sqrt(F.aggregate(F.zip_with(a, b, lambda x, y: (x.cast("double") - y.cast("double")) * (x.cast("double") - y.cast("double"))), F.lit(0.0), lambda s, z: s + z))
 
 
-def search(queries: DataFrame, graph: DataFrame, nodes: DataFrame, reverse: int = REVERSE, pool: int = POOL, beam: int = BEAM, hops: int = HOPS) -> DataFrame:
-    """``(q, pool)`` for ``queries(q, entry, v)``: the nearest nodes found, ``(d, id, open)`` by distance; entry is the node to start from."""
+def search(starts: DataFrame, graph: DataFrame, nodes: DataFrame, reverse: int = REVERSE, pool: int = POOL, beam: int = BEAM) -> DataFrame:
+    """``(q, pool)`` for ``starts(q, x)``, q the node to start from: the nearest nodes found, ``(d, id, open)`` by distance.
+
+    A node is fetched and compared once for each query. Each step opens a node
+    or more of each query that isn't done, so there is an end.
+    """
     adjacent = stored(both_ways(graph, reverse).groupBy("id").agg(F.collect_list("other").alias("others")), "adjacent")
-    vectors = nodes.select(F.col("id").alias("c"), F.col("v").alias("w"))
-    state = "array<struct<d:double,id:long,open:boolean>>"
-    now = stored(queries.select("q", F.array(F.struct(F.lit(0.0).alias("d"), F.col("entry").alias("id"), F.lit(True).alias("open"))).cast(state).alias("pool")), "pool")
-    for _ in range(hops):
-        opened = now.withColumn("go", F.slice(F.filter("pool", lambda p: p["open"]), 1, beam)).withColumn("go", F.transform("go", lambda p: p["id"]))
+    vectors = nodes.select(F.col("id").alias("c"), F.col("x").alias("w"))
+    own = F.struct(F.lit(0.0).alias("d"), F.col("q").alias("id"), F.lit(True).alias("open"))
+    now = stored(starts.select("q", F.array(own).cast(_STATE).alias("pool"), F.array("q").alias("seen")), "pool")
+    while True:
+        opened = now.withColumn("go", F.transform(F.slice(F.filter("pool", lambda p: p["open"]), 1, beam), lambda p: p["id"]))
         step = opened.where(F.size("go") > 0).select("q", F.explode("go").alias("id"))
         if step.limit(1).count() == 0:
-            break
-        reached = step.join(adjacent, "id").select("q", F.explode("others").alias("c")).distinct()
-        new = reached.join(vectors, "c").join(queries.select("q", "v"), "q").select("q", F.struct(distance(F.col("v"), F.col("w")).alias("d"), F.col("c").alias("id"), F.lit(True).alias("open")).alias("p"))
-        lists = new.groupBy("q").agg(F.collect_list("p").alias("new"))
+            return now.select("q", "pool")
+        reached = step.join(adjacent, "id").groupBy("q").agg(F.array_distinct(F.flatten(F.collect_list("others"))).alias("reached"))
+        joined = opened.join(reached, "q", "left").withColumn("fresh", F.coalesce(F.array_except("reached", "seen"), F.array().cast("array<long>")))
+        joined = stored(joined.select("q", "pool", "seen", "go", "fresh"), "fresh")
+        new = joined.select("q", F.explode("fresh").alias("c")).join(vectors, "c").join(starts, "q")
+        found = new.select("q", F.struct(distance(F.col("x"), F.col("w")).alias("d"), F.col("c").alias("id"), F.lit(True).alias("open")).alias("p"))
+        lists = found.groupBy("q").agg(F.collect_list("p").alias("new"))
         shut = F.transform("pool", lambda p: F.struct(p["d"].alias("d"), p["id"].alias("id"), (p["open"] & ~F.array_contains("go", p["id"])).alias("open")))
-        ids = F.transform("pool", lambda p: p["id"])
-        joined = opened.join(lists, "q", "left").withColumn("ids", ids).withColumn("shut", shut)
-        fresh = F.filter(F.coalesce("new", F.array().cast(state)), lambda p: ~F.array_contains("ids", p["id"]))
-        now = stored(joined.select("q", F.slice(F.array_sort(F.concat("shut", fresh)), 1, pool).alias("pool")), "pool")
-    return now
+        merged = joined.join(lists, "q", "left").withColumn("shut", shut)
+        both = F.array_sort(F.concat("shut", F.coalesce("new", F.array().cast(_STATE))))
+        now = stored(merged.select("q", F.slice(both, 1, pool).alias("pool"), F.concat("seen", "fresh").alias("seen")), "pool")
 
 
 def neighbours(vectors: DataFrame, is_query: Column | None = None, top: int = 10) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the ``top`` nearest found of each query among all rows but its own, nearest first, ties by vec_id.
 
-    vectors: ``(vec_id, embedding, ...)``. is_query: condition on vec_id, ids
-    divisible by 100 if None. Unusable vectors (see ``usable``) and rows without
-    vec_id take no part. Repeated rows count once. Where fewer candidates than
-    ``top`` are found, all are returned; an empty table gives an empty result.
+    vectors: ``(vec_id, embedding, ...)``; other columns are ignored. is_query:
+    condition on vec_id, ids divisible by 100 if None. Null, zero and empty
+    vectors, those with null or non-finite components, and rows without vec_id
+    take no part; vectors that are shorter than the longest count as if they
+    ended in zeros. The graph is searched with floats, scores are of the
+    vectors as they are, in double precision. Repeated rows count once. Where
+    fewer candidates than ``top`` are found, all are returned; an empty table
+    gives an empty result.
     """
     rows = stored(usable(vectors).repartition("vec_id"), "vectors")
     nodes, members = classes(rows, top + 1)
-    nodes, members = stored(nodes, "nodes"), stored(members, "members")
+    nodes = stored(nodes.select("id", "v", F.col("v").cast("array<float>").alias("x")), "nodes")
+    members = stored(members, "members")
     graph = build(nodes)
-    mine = rows.where(F.col("vec_id") % 100 == 0 if is_query is None else is_query).dropDuplicates(["vec_id"])
-    asked = stored(mine.join(nodes, "v").select(F.col("vec_id").alias("q"), F.col("id").alias("entry"), "v"), "queries")
-    pools = search(asked, graph, nodes)
-    # the nearest nodes hold the nearest rows; each has one at least, the query's own aside
-    best = pools.select("q", F.explode(F.slice("pool", 1, top + 1)).alias("p")).select("q", F.col("p.id").alias("node"), F.col("p.d").alias("score"))
-    found = best.join(members, "node").where("vec_id <> q")
-    order = Window.partitionBy("q").orderBy("score", "vec_id")
-    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    # a row's first vector counts, of those that share a vec_id
+    mine = rows.where(F.col("vec_id") % 100 == 0 if is_query is None else is_query).groupBy("vec_id").agg(F.min("v").alias("v"))
+    asked = stored(mine.join(nodes.select("v", F.col("id").alias("node")), "v").select(F.col("vec_id").alias("q"), "node"), "queries")
+    starts = stored(asked.select(F.col("node").alias("id")).distinct().join(nodes, "id").select(F.col("id").alias("q"), "x"), "starts")
+    pools = search(starts, graph, nodes)
+    # the nearest nodes hold the nearest rows, each has one at least, the query's own aside; which these are, doubles decide
+    near = pools.select(F.col("q").alias("node"), F.explode("pool").alias("p")).select("node", F.col("p.id").alias("id"))
+    ends = nodes.select("id", "v")
+    scored = near.join(ends, "id").join(ends.select(F.col("id").alias("node"), F.col("v").alias("own")), "node").select("node", "id", distance(F.col("own"), F.col("v")).alias("score"))
+    order = Window.partitionBy("node").orderBy("score", "vec_id")
+    reached = scored.join(members.select(F.col("node").alias("id"), "vec_id"), "id")
+    best = reached.withColumn("place", F.row_number().over(order)).where(F.col("place") <= top + 1).select("node", "vec_id", "score")
+    found = asked.join(best, "node").where("vec_id <> q")
+    ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("q").orderBy("score", "vec_id"))).where(F.col("rank") <= top)
     return ranked.select(F.col("q").alias("query_id"), "rank", "vec_id", "score")
