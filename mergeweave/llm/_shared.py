@@ -2,40 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL: dict[str, str] = {}
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``.
-
-    Where the session names none (local tests), a temporary folder serves.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _LOCAL:
-        _LOCAL[app] = tempfile.mkdtemp(prefix="mergeweave-")
-    return _LOCAL[app]
-
-
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` as a table in the shared folder and read it again.
-
-    This cuts the lineage: a lost executor costs the tasks that ran on it, not
-    the work of the steps before.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+from ..sources.scratch import shared_dir, stored
 
+__all__ = ["shared_dir", "slices", "stored", "table", "texts_of"]
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
