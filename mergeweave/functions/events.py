@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from . import schemas as S
-from .coerce import at, bigint, boolean, extras, kind, listed, parsed, project, string
+from .coerce import at, bigint, boolean, extras, is_object, listed, parsed_once, project, string
 
 #: JSON of payloads that count as ``{}``.
 _EMPTY = ['""', "0", "0.0", "-0.0", "false", "[]"]
@@ -22,8 +22,7 @@ def relevant() -> Column:
 def has_payload_object() -> Column:
     """Whether the payload is an object, or missing, null or empty, which count as ``{}``."""
     payload = at(F.col(V), "$.payload")
-    shape = kind(payload)
-    return payload.isNull() | shape.startswith("OBJECT") | (shape == "VOID") | F.to_json(payload).isin(_EMPTY)
+    return payload.isNull() | is_object(payload) | F.is_variant_null(payload) | F.to_json(payload).isin(_EMPTY)
 
 
 def repo_id() -> Column:
@@ -77,14 +76,14 @@ def push_helpers() -> tuple[Column, Column, Column]:
     return F.when(push, string(V, "$.payload.ref")), F.when(push, string(V, "$.payload.head")), F.when(push, shas)
 
 
-def normalized(lines: DataFrame, buckets: int, keep_extra: bool = False, columns: list[str] | None = None) -> DataFrame:
+def normalized(lines: DataFrame, buckets: int, keep_extra: bool = False, columns: list[str] | None = None, seen: Observation | None = None) -> DataFrame:
     """Typed rows of the relevant events among JSON lines; the filters read few paths and come before the wide projection.
 
     Lines that are blank, malformed or no objects give no row, as do events
     without repository id. columns: those of the event table that are wanted;
-    others aren't even analysed.
+    others aren't even analysed. seen: observes lines and malformed ones.
     """
-    rows = lines.where(F.trim("value") != "").select(parsed(F.col("value")).alias(V)).where(F.col(V).isNotNull() & kind(F.col(V)).startswith("OBJECT"))
+    rows = parsed_once(lines, "value", V, seen)
     rows = rows.withColumn("type", string(V, "$.type")).where(relevant() & has_payload_object()).withColumn("repo_id", repo_id()).where("repo_id is not null")
 
     def payload(path: str, types: list[str], struct: str) -> Column:

@@ -1,79 +1,525 @@
 """Schemas of the three tables, and the key sets that JSON objects are read by.
 
-The field names and types, and the event types, are fixed values: the tables
-must have them to be exchangeable.
+Fixed values: the tables must have these names, types and orders of fields to be
+exchangeable, and events these types. ``*_extra_json`` holds JSON text.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import types as T
 
-_SCALARS = {"s": T.StringType(), "i": T.LongType(), "b": T.BooleanType(), "n": T.IntegerType(), "x": T.BinaryType()}
-
-#: name:type; s string, i bigint, b boolean, n int, x binary (JSON text), a struct by its name, [..] an array.
-_EVENT_SPECS = {
-    "user": "login:s id:i url:s html_url:s avatar_url:s type:s site_admin:b user_extra_json:x",
-    "license": "key:s name:s spdx_id:s url:s node_id:s license_extra_json:x",
-    "repo": "id:i node_id:s name:s full_name:s private:b fork:b archived:b disabled:b description:s homepage:s language:s default_branch:s html_url:s url:s created_at:s updated_at:s pushed_at:s size:i stargazers_count:i watchers_count:i forks_count:i open_issues_count:i has_issues:b has_projects:b has_downloads:b has_wiki:b has_pages:b license:license owner:user repo_extra_json:x",
-    "ref": "label:s ref:s sha:s user:user repo:repo ref_extra_json:x",
-    "label": "id:i node_id:s url:s name:s color:s default:b description:s label_extra_json:x",
-    "milestone": "id:i node_id:s number:i title:s description:s state:s html_url:s created_at:s updated_at:s due_on:s closed_at:s creator:user milestone_extra_json:x",
-    "pull_request": "id:i node_id:s number:i state:s title:s body:s draft:b locked:b html_url:s url:s comments_url:s review_comments_url:s commits_url:s statuses_url:s created_at:s updated_at:s closed_at:s merged_at:s merge_commit_sha:s merged:b author_association:s user:user labels:[label] assignees:[user] requested_reviewers:[user] milestone:milestone additions:i deletions:i changed_files:i commits:i comments:i review_comments:i base:ref head:ref pr_extra_json:x",
-    "issue": "id:i number:i state:s title:s body:s html_url:s updated_at:s issue_extra_json:x",
-    "comment": "id:i html_url:s url:s created_at:s updated_at:s author_association:s body:s commit_id:s user:user comment_extra_json:x",
-    "review": "id:i state:s submitted_at:s body:s html_url:s user:user review_extra_json:x",
-    "author": "name:s email:s username:s author_extra_json:x",
-    "commit": "sha:s message:s url:s distinct:b author:author commit_extra_json:x",
-    "push": "ref:s before:s head:s size:i distinct_size:i commits:[commit] push_extra_json:x",
-    "status": "sha:s state:s context:s description:s target_url:s status_extra_json:x",
-    "check_pr": "number:i url:s head_sha:s check_pr_ref_extra_json:x",
-    "check_run": "id:i name:s status:s conclusion:s head_sha:s details_url:s external_id:s pull_requests:[check_pr] check_run_extra_json:x",
-    "check_suite": "id:i status:s conclusion:s head_sha:s pull_requests:[check_pr] check_suite_extra_json:x",
-    "event": "repo_bucket:n repo_id:i repo_name:s event_id:s type:s created_at:s public:b actor:user direct_pr_number:i check_pr_numbers:[i] join_sha:s push_ref:s push_head:s push_commit_shas:[s] action:s pull_request:pull_request issue:issue comment:comment review:review push:push status:status check_run:check_run check_suite:check_suite event_extra_json:x payload_extra_json:x",
-}
-#: What differs in the table of pull requests.
-_PR_SPECS = _EVENT_SPECS | {
-    "license": "key:s name:s spdx_id:s url:s node_id:s",
-    "label": "id:i node_id:s url:s name:s color:s default:b description:s",
-    "pull_request": _EVENT_SPECS["pull_request"].replace("merged:b ", "merged:b mergeable:b rebaseable:b mergeable_state:s merged_by:user "),
-    "issue": "number:i state:s title:s html_url:s updated_at:s issue_extra_json:x",
-    "comment": "id:i html_url:s url:s created_at:s updated_at:s author_association:s body:s user:user comment_extra_json:x",
-    "check_run": "id:i name:s status:s conclusion:s head_sha:s details_url:s external_id:s check_run_extra_json:x",
-    "check_suite": "id:i status:s conclusion:s head_sha:s check_suite_extra_json:x",
-    "nested_event": "id:s type:s created_at:s public:b actor:user event_repo_id:i event_repo_name:s action:s number:i issue:issue comment:comment review:review push:push status:status check_run:check_run check_suite:check_suite event_extra_json:x",
-    "body_version": "source:s at:s event_id:s body:s",
-    "pr_row": "repo_id:i pr_number:i pull_request:pull_request participants:[s] head_refs:[s] head_shas:[s] landed_commit_sha:s landed_commit_shas:[s] landed_inferred:b pr_body_versions:[body_version] events:[nested_event]",
-}
-_CODE_SPECS = {
-    "code_commit": "sha:s subject:s patch:s patch_truncated:b",
-    "file": "path:s blob_sha:s size:i content:s content_truncated:b error:s",
-    "debug": "extract_repo_full_name:s extract_clone_url:s extract_pr_number:i extract_base_sha:s extract_head_sha:s repo_dir:s git_error:s git_stderr_tail:s",
-    "code": "status:s reason:s repo_full_name:s pr_number:i base_sha:s head_sha:s merge_base:s used_base_sha:s used_head_sha:s discussion_event_count:n touched_files:[s] touched_files_truncated:b repo_files_at_base:[s] repo_files_at_base_truncated:b compare_diff:s compare_diff_truncated:b commit_count:n commits_truncated:b commits:[code_commit] base_files_at_base:[file] base_files_at_base_truncated:b debug:debug",
-}
-
-
-def _build(name: str, specs: dict[str, str]) -> T.StructType:
-    def kind(word: str) -> T.DataType:
-        if word[0] == "[":
-            return T.ArrayType(kind(word[1:-1]))
-        return _SCALARS[word] if word in _SCALARS else _build(word, specs)
-
-    return T.StructType([T.StructField(field, kind(word)) for field, word in (x.split(":") for x in specs[name].split())])
+STRING, BIGINT, INT, BOOLEAN, BINARY = T.StringType(), T.LongType(), T.IntegerType(), T.BooleanType(), T.BinaryType()
+
+
+def _struct(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
+
+
+USER = _struct(
+    login=STRING,
+    id=BIGINT,
+    url=STRING,
+    html_url=STRING,
+    avatar_url=STRING,
+    type=STRING,
+    site_admin=BOOLEAN,
+    user_extra_json=BINARY,
+)
+
+LABEL = _struct(
+    id=BIGINT,
+    node_id=STRING,
+    url=STRING,
+    name=STRING,
+    color=STRING,
+    default=BOOLEAN,
+    description=STRING,
+    label_extra_json=BINARY,
+)
+
+MILESTONE = _struct(
+    id=BIGINT,
+    node_id=STRING,
+    number=BIGINT,
+    title=STRING,
+    description=STRING,
+    state=STRING,
+    html_url=STRING,
+    created_at=STRING,
+    updated_at=STRING,
+    due_on=STRING,
+    closed_at=STRING,
+    creator=USER,
+    milestone_extra_json=BINARY,
+)
+
+LICENSE = _struct(
+    key=STRING,
+    name=STRING,
+    spdx_id=STRING,
+    url=STRING,
+    node_id=STRING,
+    license_extra_json=BINARY,
+)
+
+REPO = _struct(
+    id=BIGINT,
+    node_id=STRING,
+    name=STRING,
+    full_name=STRING,
+    private=BOOLEAN,
+    fork=BOOLEAN,
+    archived=BOOLEAN,
+    disabled=BOOLEAN,
+    description=STRING,
+    homepage=STRING,
+    language=STRING,
+    default_branch=STRING,
+    html_url=STRING,
+    url=STRING,
+    created_at=STRING,
+    updated_at=STRING,
+    pushed_at=STRING,
+    size=BIGINT,
+    stargazers_count=BIGINT,
+    watchers_count=BIGINT,
+    forks_count=BIGINT,
+    open_issues_count=BIGINT,
+    has_issues=BOOLEAN,
+    has_projects=BOOLEAN,
+    has_downloads=BOOLEAN,
+    has_wiki=BOOLEAN,
+    has_pages=BOOLEAN,
+    license=LICENSE,
+    owner=USER,
+    repo_extra_json=BINARY,
+)
+
+REF = _struct(
+    label=STRING,
+    ref=STRING,
+    sha=STRING,
+    user=USER,
+    repo=REPO,
+    ref_extra_json=BINARY,
+)
+
+PULL_REQUEST = _struct(
+    id=BIGINT,
+    node_id=STRING,
+    number=BIGINT,
+    state=STRING,
+    title=STRING,
+    body=STRING,
+    draft=BOOLEAN,
+    locked=BOOLEAN,
+    html_url=STRING,
+    url=STRING,
+    comments_url=STRING,
+    review_comments_url=STRING,
+    commits_url=STRING,
+    statuses_url=STRING,
+    created_at=STRING,
+    updated_at=STRING,
+    closed_at=STRING,
+    merged_at=STRING,
+    merge_commit_sha=STRING,
+    merged=BOOLEAN,
+    author_association=STRING,
+    user=USER,
+    labels=T.ArrayType(LABEL),
+    assignees=T.ArrayType(USER),
+    requested_reviewers=T.ArrayType(USER),
+    milestone=MILESTONE,
+    additions=BIGINT,
+    deletions=BIGINT,
+    changed_files=BIGINT,
+    commits=BIGINT,
+    comments=BIGINT,
+    review_comments=BIGINT,
+    base=REF,
+    head=REF,
+    pr_extra_json=BINARY,
+)
+
+ISSUE = _struct(
+    id=BIGINT,
+    number=BIGINT,
+    state=STRING,
+    title=STRING,
+    body=STRING,
+    html_url=STRING,
+    updated_at=STRING,
+    issue_extra_json=BINARY,
+)
+
+COMMENT = _struct(
+    id=BIGINT,
+    html_url=STRING,
+    url=STRING,
+    created_at=STRING,
+    updated_at=STRING,
+    author_association=STRING,
+    body=STRING,
+    commit_id=STRING,
+    user=USER,
+    comment_extra_json=BINARY,
+)
+
+REVIEW = _struct(
+    id=BIGINT,
+    state=STRING,
+    submitted_at=STRING,
+    body=STRING,
+    html_url=STRING,
+    user=USER,
+    review_extra_json=BINARY,
+)
+
+AUTHOR = _struct(
+    name=STRING,
+    email=STRING,
+    username=STRING,
+    author_extra_json=BINARY,
+)
+
+COMMIT = _struct(
+    sha=STRING,
+    message=STRING,
+    url=STRING,
+    distinct=BOOLEAN,
+    author=AUTHOR,
+    commit_extra_json=BINARY,
+)
+
+PUSH = _struct(
+    ref=STRING,
+    before=STRING,
+    head=STRING,
+    size=BIGINT,
+    distinct_size=BIGINT,
+    commits=T.ArrayType(COMMIT),
+    push_extra_json=BINARY,
+)
+
+STATUS = _struct(
+    sha=STRING,
+    state=STRING,
+    context=STRING,
+    description=STRING,
+    target_url=STRING,
+    status_extra_json=BINARY,
+)
+
+CHECK_PR = _struct(
+    number=BIGINT,
+    url=STRING,
+    head_sha=STRING,
+    check_pr_ref_extra_json=BINARY,
+)
+
+CHECK_RUN = _struct(
+    id=BIGINT,
+    name=STRING,
+    status=STRING,
+    conclusion=STRING,
+    head_sha=STRING,
+    details_url=STRING,
+    external_id=STRING,
+    pull_requests=T.ArrayType(CHECK_PR),
+    check_run_extra_json=BINARY,
+)
+
+CHECK_SUITE = _struct(
+    id=BIGINT,
+    status=STRING,
+    conclusion=STRING,
+    head_sha=STRING,
+    pull_requests=T.ArrayType(CHECK_PR),
+    check_suite_extra_json=BINARY,
+)
+
+EVENT = _struct(
+    repo_bucket=INT,
+    repo_id=BIGINT,
+    repo_name=STRING,
+    event_id=STRING,
+    type=STRING,
+    created_at=STRING,
+    public=BOOLEAN,
+    actor=USER,
+    direct_pr_number=BIGINT,
+    check_pr_numbers=T.ArrayType(BIGINT),
+    join_sha=STRING,
+    push_ref=STRING,
+    push_head=STRING,
+    push_commit_shas=T.ArrayType(STRING),
+    action=STRING,
+    pull_request=PULL_REQUEST,
+    issue=ISSUE,
+    comment=COMMENT,
+    review=REVIEW,
+    push=PUSH,
+    status=STATUS,
+    check_run=CHECK_RUN,
+    check_suite=CHECK_SUITE,
+    event_extra_json=BINARY,
+    payload_extra_json=BINARY,
+)
+
+PR_ISSUE = _struct(
+    number=BIGINT,
+    state=STRING,
+    title=STRING,
+    html_url=STRING,
+    updated_at=STRING,
+    issue_extra_json=BINARY,
+)
+
+PR_COMMENT = _struct(
+    id=BIGINT,
+    html_url=STRING,
+    url=STRING,
+    created_at=STRING,
+    updated_at=STRING,
+    author_association=STRING,
+    body=STRING,
+    user=USER,
+    comment_extra_json=BINARY,
+)
+
+PR_CHECK_RUN = _struct(
+    id=BIGINT,
+    name=STRING,
+    status=STRING,
+    conclusion=STRING,
+    head_sha=STRING,
+    details_url=STRING,
+    external_id=STRING,
+    check_run_extra_json=BINARY,
+)
+
+PR_CHECK_SUITE = _struct(
+    id=BIGINT,
+    status=STRING,
+    conclusion=STRING,
+    head_sha=STRING,
+    check_suite_extra_json=BINARY,
+)
+
+NESTED_EVENT = _struct(
+    id=STRING,
+    type=STRING,
+    created_at=STRING,
+    public=BOOLEAN,
+    actor=USER,
+    event_repo_id=BIGINT,
+    event_repo_name=STRING,
+    action=STRING,
+    number=BIGINT,
+    issue=PR_ISSUE,
+    comment=PR_COMMENT,
+    review=REVIEW,
+    push=PUSH,
+    status=STATUS,
+    check_run=PR_CHECK_RUN,
+    check_suite=PR_CHECK_SUITE,
+    event_extra_json=BINARY,
+)
+
+PR_LABEL = _struct(
+    id=BIGINT,
+    node_id=STRING,
+    url=STRING,
+    name=STRING,
+    color=STRING,
+    default=BOOLEAN,
+    description=STRING,
+)
+
+PR_LICENSE = _struct(
+    key=STRING,
+    name=STRING,
+    spdx_id=STRING,
+    url=STRING,
+    node_id=STRING,
+)
+
+PR_REPO = _struct(
+    id=BIGINT,
+    node_id=STRING,
+    name=STRING,
+    full_name=STRING,
+    private=BOOLEAN,
+    fork=BOOLEAN,
+    archived=BOOLEAN,
+    disabled=BOOLEAN,
+    description=STRING,
+    homepage=STRING,
+    language=STRING,
+    default_branch=STRING,
+    html_url=STRING,
+    url=STRING,
+    created_at=STRING,
+    updated_at=STRING,
+    pushed_at=STRING,
+    size=BIGINT,
+    stargazers_count=BIGINT,
+    watchers_count=BIGINT,
+    forks_count=BIGINT,
+    open_issues_count=BIGINT,
+    has_issues=BOOLEAN,
+    has_projects=BOOLEAN,
+    has_downloads=BOOLEAN,
+    has_wiki=BOOLEAN,
+    has_pages=BOOLEAN,
+    license=PR_LICENSE,
+    owner=USER,
+    repo_extra_json=BINARY,
+)
+
+PR_REF = _struct(
+    label=STRING,
+    ref=STRING,
+    sha=STRING,
+    user=USER,
+    repo=PR_REPO,
+    ref_extra_json=BINARY,
+)
+
+PR_PULL_REQUEST = _struct(
+    id=BIGINT,
+    node_id=STRING,
+    number=BIGINT,
+    state=STRING,
+    title=STRING,
+    body=STRING,
+    draft=BOOLEAN,
+    locked=BOOLEAN,
+    html_url=STRING,
+    url=STRING,
+    comments_url=STRING,
+    review_comments_url=STRING,
+    commits_url=STRING,
+    statuses_url=STRING,
+    created_at=STRING,
+    updated_at=STRING,
+    closed_at=STRING,
+    merged_at=STRING,
+    merge_commit_sha=STRING,
+    merged=BOOLEAN,
+    mergeable=BOOLEAN,
+    rebaseable=BOOLEAN,
+    mergeable_state=STRING,
+    merged_by=USER,
+    author_association=STRING,
+    user=USER,
+    labels=T.ArrayType(PR_LABEL),
+    assignees=T.ArrayType(USER),
+    requested_reviewers=T.ArrayType(USER),
+    milestone=MILESTONE,
+    additions=BIGINT,
+    deletions=BIGINT,
+    changed_files=BIGINT,
+    commits=BIGINT,
+    comments=BIGINT,
+    review_comments=BIGINT,
+    base=PR_REF,
+    head=PR_REF,
+    pr_extra_json=BINARY,
+)
+
+BODY_VERSION = _struct(
+    source=STRING,
+    at=STRING,
+    event_id=STRING,
+    body=STRING,
+)
+
+PR_ROW = _struct(
+    repo_id=BIGINT,
+    pr_number=BIGINT,
+    pull_request=PR_PULL_REQUEST,
+    participants=T.ArrayType(STRING),
+    head_refs=T.ArrayType(STRING),
+    head_shas=T.ArrayType(STRING),
+    landed_commit_sha=STRING,
+    landed_commit_shas=T.ArrayType(STRING),
+    landed_inferred=BOOLEAN,
+    pr_body_versions=T.ArrayType(BODY_VERSION),
+    events=T.ArrayType(NESTED_EVENT),
+)
+
+CODE_COMMIT = _struct(
+    sha=STRING,
+    subject=STRING,
+    patch=STRING,
+    patch_truncated=BOOLEAN,
+)
+
+FILE = _struct(
+    path=STRING,
+    blob_sha=STRING,
+    size=BIGINT,
+    content=STRING,
+    content_truncated=BOOLEAN,
+    error=STRING,
+)
+
+DEBUG = _struct(
+    extract_repo_full_name=STRING,
+    extract_clone_url=STRING,
+    extract_pr_number=BIGINT,
+    extract_base_sha=STRING,
+    extract_head_sha=STRING,
+    repo_dir=STRING,
+    git_error=STRING,
+    git_stderr_tail=STRING,
+)
+
+CODE = _struct(
+    status=STRING,
+    reason=STRING,
+    repo_full_name=STRING,
+    pr_number=BIGINT,
+    base_sha=STRING,
+    head_sha=STRING,
+    merge_base=STRING,
+    used_base_sha=STRING,
+    used_head_sha=STRING,
+    discussion_event_count=INT,
+    touched_files=T.ArrayType(STRING),
+    touched_files_truncated=BOOLEAN,
+    repo_files_at_base=T.ArrayType(STRING),
+    repo_files_at_base_truncated=BOOLEAN,
+    compare_diff=STRING,
+    compare_diff_truncated=BOOLEAN,
+    commit_count=INT,
+    commits_truncated=BOOLEAN,
+    commits=T.ArrayType(CODE_COMMIT),
+    base_files_at_base=T.ArrayType(FILE),
+    base_files_at_base_truncated=BOOLEAN,
+    debug=DEBUG,
+)
+
+
+#: Structs that payloads are read as.
+PAYLOADS = {
+    "user": USER, "pull_request": PULL_REQUEST, "issue": ISSUE, "comment": COMMENT, "review": REVIEW, "push": PUSH, "status": STATUS, "check_run": CHECK_RUN,
+    "check_suite": CHECK_SUITE,
+}
 
 
 def event_struct(name: str) -> T.StructType:
     """A struct of the event table, such as "pull_request"."""
-    return _build(name, _EVENT_SPECS)
-
+    return PAYLOADS[name]
 
-EVENT = _build("event", _EVENT_SPECS)
-PR_ROW = _build("pr_row", _PR_SPECS)
-NESTED_EVENT = _build("nested_event", _PR_SPECS)
-CODE = _build("code", _CODE_SPECS)
 
 #: Event types.
 DIRECT_TYPES = ["PullRequestEvent", "PullRequestReviewEvent", "PullRequestReviewCommentEvent", "IssueCommentEvent"]
-CHECK_RUN_TYPES, CHECK_SUITE_TYPES, STATUS_TYPES = ["CheckRunEvent", "check_run"], ["CheckSuiteEvent", "check_suite"], ["StatusEvent", "status"]
+CHECK_RUN_TYPES = ["CheckRunEvent", "check_run"]
+CHECK_SUITE_TYPES = ["CheckSuiteEvent", "check_suite"]
+STATUS_TYPES = ["StatusEvent", "status"]
 CHECK_TYPES = CHECK_RUN_TYPES + CHECK_SUITE_TYPES
 SHA_TYPES = ["CommitCommentEvent", *STATUS_TYPES, *CHECK_TYPES]
 PR_TYPES = [*DIRECT_TYPES, *SHA_TYPES, "PushEvent"]
@@ -81,4 +527,7 @@ PR_TYPES = [*DIRECT_TYPES, *SHA_TYPES, "PushEvent"]
 #: Keys of an object that are not "extra" although no field holds them, and those of events and payloads.
 SILENT_KEYS = {"issue": ["pull_request"], "push": ["push_id"]}
 EVENT_KEYS = ["id", "type", "actor", "repo", "repo_id", "repo_name", "created_at", "public", "payload", "org"]
-PAYLOAD_KEYS = "action number pull_request issue comment review check_run check_suite sha state context description target_url ref before head size distinct_size commits push_id".split()
+PAYLOAD_KEYS = [
+    "action", "number", "pull_request", "issue", "comment", "review", "check_run", "check_suite", "sha", "state", "context", "description", "target_url", "ref",
+    "before", "head", "size", "distinct_size", "commits", "push_id",
+]

@@ -14,7 +14,8 @@ BUCKETS = 16
 
 def lines(spark: SparkSession, sf_dir: str, shift: int = 0) -> DataFrame:
     """``value``: a JSON line for each event; ``shift`` is taken from repository ids."""
-    e = spark.read.parquet(f"{sf_dir}/events.parquet")
+    # the table is a single row group, archives are many files
+    e = spark.read.parquet(f"{sf_dir}/events.parquet").repartition(spark.sparkContext.defaultParallelism)
     k = F.get_json_object("props", "$.k").cast("int")
     e = e.withColumn("k", k).withColumn("repo", F.col("user_id") - shift).withColumn("pr", F.col("k") % 5)
     kind = F.col("event_type")

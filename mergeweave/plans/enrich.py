@@ -21,6 +21,7 @@ from ..functions import schemas as S
 from ..functions.text import first_of
 from ..operators import gitops
 from ..sources import sinks
+from ..sources.scratch import stored
 
 
 def discussion_count(events: Column) -> Column:
@@ -100,11 +101,15 @@ def enriched(rows: DataFrame, limits: gitops.Limits | None = None, clone_url: Ca
 
 
 def run(spark, in_dir: str, out_dir: str, buckets: list[int] | None = None, rows_per_file: int = 5_000, **how) -> None:
-    """Enrich what isn't in ``out_dir`` yet, by (repo_id, pr_number), and append it."""
+    """Enrich what isn't in ``out_dir`` yet, by (repo_id, pr_number), and append it. Buckets that are noted as done aren't read."""
     spark.conf.set("spark.sql.execution.arrow.useLargeVarTypes", "true")
     rows = sinks.read_bucketed(spark, in_dir, None, buckets)
+    done = sinks.finished(spark, out_dir, rows)
+    rows = rows.where(~F.col("repo_bucket").isin(done)) if done else rows
     left = sinks.remaining(rows, sinks.existing(spark, out_dir))
-    sinks.write_bucketed(enriched(left, **how), out_dir, [F.col("repo_id"), F.col("pr_number")], rows_per_file, mode="append")
+    made = stored(enriched(left, **how), "enriched")
+    sinks.write_bucketed(made, out_dir, [F.col("repo_id"), F.col("pr_number")], rows_per_file, mode="append")
+    sinks.note_finished(out_dir, rows)
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import argparse
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +13,7 @@ from ..operators.landed import with_landed
 from ..operators.quality import kept as quality_kept
 from ..operators.snapshot import KEY, body_versions, snapshots
 from ..sources import sinks
+from ..sources.scratch import stored
 
 
 def kept_pull_requests(pr_events: DataFrame, other_events: DataFrame, inference_source: str = "pr_events", bucket_local: bool = True) -> DataFrame:
@@ -28,11 +27,11 @@ def kept_pull_requests(pr_events: DataFrame, other_events: DataFrame, inference_
 
 
 def pull_request_rows(
-    pr_events: DataFrame, other_events: DataFrame, inference_source: str = "pr_events", bucket_local: bool = True, keep: Callable[[DataFrame], DataFrame] = lambda df: df
+    pr_events: DataFrame, other_events: DataFrame, inference_source: str = "pr_events", bucket_local: bool = True
 ) -> DataFrame:
-    """``repo_bucket`` and the columns of ``schemas.PR_ROW``. keep: what to do with the kept rows before they are joined four times, such as storing them."""
+    """``repo_bucket`` and the columns of ``schemas.PR_ROW``. The kept pull requests are stored before events are joined to them in four ways."""
     configure(pr_events.sparkSession)
-    kept = keep(kept_pull_requests(pr_events, other_events, inference_source, bucket_local))
+    kept = stored(kept_pull_requests(pr_events, other_events, inference_source, bucket_local), "kept")
     ranked = pr_events.withColumn("src_rank", F.lit(0)).unionByName(other_events.withColumn("src_rank", F.lit(1)))
     # nothing but relevant types is attached
     lists = nested(attached(ranked.where(F.col("type").isin(S.PR_TYPES)), kept, bucket_local))
@@ -81,13 +80,13 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--max-rows-per-file", type=int, default=100_000)
     p.add_argument("--inference-source", choices=["pr_events", "all", "none"], default="pr_events")
     p.add_argument("--compression", default="zstd")
+    p.add_argument("--parts", type=int, help="tasks that write the table; shuffle partitions by default")
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName("mergeweave-group").getOrCreate()
     buckets = sinks.bucket_list(a.buckets)
     pr, other = (sinks.read_events(spark, f"{a.stage1_dir}/{n}", buckets) for n in ("pr_events", "other_events"))
-    kept_dir = f"{a.out_dir}/_kept"
-    rows = pull_request_rows(pr, other, a.inference_source, keep=lambda df: sinks.stored_at(df, kept_dir))
-    sinks.write_pr_rows(rows, a.out_dir, a.max_rows_per_file, a.compression)
+    rows = stored(pull_request_rows(pr, other, a.inference_source), "rows")
+    sinks.write_pr_rows(rows, a.out_dir, a.max_rows_per_file, a.compression, parts=a.parts)
 
 
 if __name__ == "__main__":

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.coerce import configure
@@ -13,10 +13,10 @@ from ..functions.schemas import DIRECT_TYPES
 from ..sources import archive, sinks
 
 
-def events(lines: DataFrame, buckets: int = 1024, keep_extra: bool = False, columns: list[str] | None = None) -> DataFrame:
+def events(lines: DataFrame, buckets: int = 1024, keep_extra: bool = False, columns: list[str] | None = None, seen: Observation | None = None) -> DataFrame:
     """The event table of a table of lines (column ``value``), or some columns of it."""
     configure(lines.sparkSession)
-    return normalized(lines, buckets, keep_extra, columns)
+    return normalized(lines, buckets, keep_extra, columns, seen)
 
 
 def statistics(lines: DataFrame, kept: DataFrame) -> DataFrame:
@@ -26,12 +26,17 @@ def statistics(lines: DataFrame, kept: DataFrame) -> DataFrame:
     return archive.line_statistics(lines).join(F.broadcast(counts))
 
 
-def run(spark: SparkSession, in_dir: str, out_dir: str, buckets: int = 1024, keep_extra: bool = False, max_bad_lines: int | None = None, **sink) -> None:
+def run(spark: SparkSession, in_dir: str, out_dir: str, buckets: int = 1024, keep_extra: bool = False, max_bad_lines: int | None = None, **sink) -> dict[str, int]:
+    """Type the archives below ``in_dir`` and write both tables; counts of lines and events, from the same pass."""
     lines = archive.lines(spark, in_dir)
     configure(spark)
     if max_bad_lines is not None:
         lines = archive.within_budget(lines, max_bad_lines)
-    sinks.write_events(events(lines, buckets, keep_extra), out_dir, **sink)
+    seen, kept, direct = Observation(), Observation(), F.col("type").isin(DIRECT_TYPES)
+    rows = events(lines, buckets, keep_extra, seen=seen)
+    rows = rows.observe(kept, F.count(F.lit(1)).alias("events_kept"), F.count_if(direct).alias("kept_pr"), F.count_if(~direct).alias("kept_other"))
+    sinks.write_events(rows, out_dir, **sink)
+    return seen.get | kept.get
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -43,9 +48,10 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--keep-extra-json", action="store_true")
     p.add_argument("--max-bad-lines", type=int, help="malformed lines after which a file is left; none by default")
     p.add_argument("--compression", default="zstd")
+    p.add_argument("--parts", type=int, help="tasks that write a table; shuffle partitions by default")
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName("mergeweave-shard").getOrCreate()
-    run(spark, a.in_dir, a.out_dir, a.buckets, a.keep_extra_json, a.max_bad_lines, rows_per_file=a.flush_rows, compression=a.compression)
+    print(run(spark, a.in_dir, a.out_dir, a.buckets, a.keep_extra_json, a.max_bad_lines, rows_per_file=a.flush_rows, compression=a.compression, parts=a.parts))
 
 
 if __name__ == "__main__":

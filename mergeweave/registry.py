@@ -10,7 +10,6 @@ from __future__ import annotations
 import os
 import subprocess
 import tempfile
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +21,7 @@ from .functions.schemas import DIRECT_TYPES
 from .operators import attach, landed, quality, snapshot
 from .plans import enrich, group, shard
 from .sources import sinks
+from .sources.scratch import new_path
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -50,8 +50,7 @@ def _tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """The two tables of stage 1, written once in a session, as stage 2 reads them."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _STAGE1:
-        shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="mergeweave-")
-        root = f"{shared.rstrip('/')}/stage1-{uuid.uuid4().hex}"
+        root = new_path(spark, "stage1")
         sinks.write_events(_events(spark, sf_dir), root)
         _STAGE1[key] = root
     coerce.configure(spark)

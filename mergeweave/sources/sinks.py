@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import schemas as S
+from .scratch import stored
 
 
 def bucket_list(text: str) -> list[int] | None:
@@ -18,23 +20,36 @@ def _bucketed(df: DataFrame) -> DataFrame:
     return df.withColumn("repo_bucket", F.lpad(F.col("repo_bucket").cast("string"), 4, "0"))
 
 
-def write_bucketed(df: DataFrame, path: str, order: list, rows_per_file: int, compression: str = "zstd", files_per_bucket: int = 1, mode: str = "overwrite") -> None:
-    """One folder for each bucket. A bucket goes to ``files_per_bucket`` tasks, dealt by repository, so that a hot bucket can be split."""
-    if files_per_bucket > 1:
-        dealt = df.withColumn("__slice", F.pmod(F.xxhash64("repo_id"), F.lit(files_per_bucket))).repartition("repo_bucket", "__slice").drop("__slice")
-    else:
-        dealt = df.repartition("repo_bucket")
-    sorted_ = dealt.sortWithinPartitions("repo_bucket", *order)
-    writer = _bucketed(sorted_).write.partitionBy("repo_bucket").option("compression", compression).option("partitionOverwriteMode", "dynamic")
+def write_bucketed(df: DataFrame, path: str, order: list, rows_per_file: int, compression: str = "zstd", mode: str = "overwrite", parts: int | None = None) -> None:
+    """One folder for each bucket, rows in ``order`` within files.
+
+    Rows are range-partitioned by bucket and order, so a hot bucket, and a hot
+    repository in it, spreads over as many tasks as its rows need; small buckets
+    share one. Ranges come from a sample of the rows, so ``df`` should be a
+    table. parts: number of ranges, that of shuffle partitions if None.
+    """
+    keys = ["repo_bucket", *order]
+    dealt = df.repartitionByRange(parts, *keys) if parts else df.repartitionByRange(*keys)
+    writer = _bucketed(dealt.sortWithinPartitions(*keys)).write.partitionBy("repo_bucket").option("compression", compression).option("partitionOverwriteMode", "dynamic")
     writer.option("maxRecordsPerFile", rows_per_file).mode(mode).parquet(path)
 
 
-def write_events(events: DataFrame, root: str, rows_per_file: int = 1_000_000, compression: str = "zstd", files_per_bucket: int = 1) -> None:
-    """``pr_events`` for types with a number of their own, ``other_events`` for all others."""
-    order = [F.coalesce("repo_id", F.lit(-1)), F.coalesce("created_at", F.lit("")), F.coalesce("event_id", F.lit(""))]
+def scan_order() -> list:
+    """By repository, time and id; a missing one comes first."""
+    return [F.coalesce("repo_id", F.lit(-1)), F.coalesce("created_at", F.lit("")), F.coalesce("event_id", F.lit(""))]
+
+
+def write_events(events: DataFrame, root: str, rows_per_file: int = 1_000_000, compression: str = "zstd", parts: int | None = None) -> DataFrame:
+    """``pr_events`` for types with a number of their own, ``other_events`` for all others.
+
+    Lines are parsed and typed once: what comes of it is stored, then sampled,
+    split and sorted. Returns the stored rows, unsorted.
+    """
+    typed = stored(events, "typed")
     direct = F.col("type").isin(S.DIRECT_TYPES)
-    write_bucketed(events.where(direct), f"{root}/pr_events", order, rows_per_file, compression, files_per_bucket)
-    write_bucketed(events.where(~direct), f"{root}/other_events", order, rows_per_file, compression, files_per_bucket)
+    write_bucketed(typed.where(direct), f"{root}/pr_events", scan_order(), rows_per_file, compression, parts=parts)
+    write_bucketed(typed.where(~direct), f"{root}/other_events", scan_order(), rows_per_file, compression, parts=parts)
+    return typed
 
 
 def read_bucketed(spark: SparkSession, path: str, schema=None, buckets: list[int] | None = None) -> DataFrame:
@@ -58,13 +73,33 @@ def row_count(spark: SparkSession, path: str) -> int:
     return spark.read.option("aggregatePushdown", "true").parquet(path).count()
 
 
-def write_pr_rows(rows: DataFrame, path: str, rows_per_file: int = 100_000, compression: str = "zstd", mode: str = "overwrite") -> None:
-    write_bucketed(rows, path, [F.col("repo_id"), F.col("pr_number")], rows_per_file, compression, mode=mode)
+def write_pr_rows(rows: DataFrame, path: str, rows_per_file: int = 100_000, compression: str = "zstd", mode: str = "overwrite", parts: int | None = None) -> None:
+    write_bucketed(rows, path, [F.col("repo_id"), F.col("pr_number")], rows_per_file, compression, mode, parts)
 
 
-def stored_at(df: DataFrame, path: str) -> DataFrame:
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def files_of(spark: SparkSession, path: str) -> DataFrame:
+    """``(repo_bucket, file, rows)`` of a bucketed table, by bucket and name."""
+    table = spark.read.parquet(path).select(F.col("repo_bucket").cast("int").alias("repo_bucket"), F.col("_metadata.file_path").alias("file"))
+    return table.groupBy("repo_bucket", "file").agg(F.count("*").alias("rows")).orderBy("repo_bucket", "file")
+
+
+def bucket_rows(rows: DataFrame) -> DataFrame:
+    """``(repo_bucket, rows)``; of a table only folder names and footers are read."""
+    return rows.groupBy("repo_bucket").agg(F.count("*").alias("rows"))
+
+
+def finished(spark: SparkSession, path: str, rows: DataFrame) -> list[int]:
+    """Buckets that an earlier run has noted in ``path/_state`` as done with as many input rows as they have now. Their number is bounded by that of buckets."""
+    try:
+        state = spark.read.parquet(f"{path}/_state")
+    except AnalysisException:
+        return []
+    return [r[0] for r in bucket_rows(rows).join(state, ["repo_bucket", "rows"], "left_semi").select("repo_bucket").collect()]
+
+
+def note_finished(path: str, rows: DataFrame) -> None:
+    """Append the buckets of ``rows`` to the table of buckets that are done."""
+    bucket_rows(rows).coalesce(1).write.mode("append").parquet(f"{path}/_state")
 
 
 def remaining(rows: DataFrame, done: DataFrame | None, keys: tuple[str, ...] = ("repo_id", "pr_number")) -> DataFrame:
@@ -80,8 +115,6 @@ def remaining(rows: DataFrame, done: DataFrame | None, keys: tuple[str, ...] = (
 
 def existing(spark: SparkSession, path: str) -> DataFrame | None:
     """What an earlier run wrote to ``path``, None if nothing."""
-    from pyspark.errors import AnalysisException
-
     try:
         return spark.read.parquet(path)
     except AnalysisException:

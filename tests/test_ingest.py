@@ -116,7 +116,8 @@ def test_sources_and_tables(spark, tmp_path):
     whole = gzip.compress("".join(json.dumps(opened(1, id=f"z{k}")) + "\n" for k in range(3000)).encode())
     (tmp_path / "in/d.jsonl.gz").write_bytes(whole[: len(whole) // 2])
     assert archive.line_statistics(archive.lines(spark, str(tmp_path / "in"), "*.json.gz")).first()[:] == (3, 1)
-    shard.run(spark, str(tmp_path / "in"), str(tmp_path / "out"), buckets=8)
+    counts = shard.run(spark, str(tmp_path / "in"), str(tmp_path / "out"), buckets=8)
+    assert counts["lines"] >= 3 and counts["bad_lines"] >= 1 and counts["kept_pr"] + counts["kept_other"] == counts["events_kept"]
     pr = sinks.read_events(spark, str(tmp_path / "out/pr_events"))
     ids = {r["event_id"] for r in pr.collect()}
     assert {"1", "3", "z0"} <= ids and "4" not in ids and "2" not in ids
