@@ -9,14 +9,12 @@ from __future__ import annotations
 
 import os
 import subprocess
-import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import lens
 from .functions import coerce, text
-from .functions.events import bucket
 from .functions.schemas import DIRECT_TYPES
 from .operators import attach, landed, quality, snapshot
 from .plans import enrich, group, shard
@@ -127,16 +125,6 @@ def s1_join_helpers(spark, sf_dir):
     )
 
 
-@_query(
-    """SELECT user_id, string_agg(k, ',' ORDER BY first) AS ks FROM (SELECT user_id, k, min(event_id) AS first FROM raw GROUP BY user_id, k) GROUP BY user_id"""
-)
-def s1_unique_array(spark, sf_dir):
-    """Distinct in order of first occurrence."""
-    rows = spark.read.parquet(f"{sf_dir}/events.parquet").select("user_id", "event_id", F.get_json_object("props", "$.k").cast("int").alias("k"))
-    listed = rows.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("event_id", "k"))).alias("all"))
-    return listed.select("user_id", F.array_join(F.array_distinct(F.transform("all", lambda x: x["k"])), ",").alias("ks"))
-
-
 @_query("SELECT repo_id, pr::BIGINT AS pr_number, k % 3 = 0 AS merged, sha AS head_sha, 'T' || k AS title, updated_at FROM snap")
 def s2_latest_snapshot(spark, sf_dir):
     """The snapshot of each pull request that changed last (A1)."""
@@ -326,29 +314,8 @@ def s3_resume_antijoin(spark, sf_dir):
     return sinks.remaining(rows, done).select("repo_id", "pr_number")
 
 
-@_query("SELECT DISTINCT ((user_id % 16) + 16) % 16 AS repo_bucket FROM raw", lens_sql=True)
-def s2_buckets(spark, sf_dir):
-    """Distinct buckets."""
-    return spark.read.parquet(f"{sf_dir}/events.parquet").select(bucket(F.col("user_id"), 16).cast("long").alias("repo_bucket")).distinct()
-
-
-@_query()
-def s3_git_enrich(spark, sf_dir):
-    """Rows with code from a repository made for this purpose (G1-G15); there is no SQL for it."""
-    root = tempfile.mkdtemp(prefix="mergeweave-git-")
-    base, head = _repository(f"{root}/r.git")
-    pr = "struct('r/x' as full_name, 1L as id) as repo"
-    rows = spark.range(3).selectExpr(
-        "1L as repo_id", "id + 1 as pr_number",
-        f"struct(id + 1 as number, struct('{base}' as sha, {pr}) as base, struct(if(id = 2, null, '{head}') as sha, {pr}) as head) as pull_request",
-        "array(struct('PullRequestEvent' as type)) as events",
-    )
-    done = enrich.enriched(rows, clone_url=lambda name: f"file://{root}/r.git")
-    return done.select("repo_id", "pr_number", *[F.col(f"code.{c}").alias(c) for c in ("status", "reason", "commit_count", "discussion_event_count", "compare_diff_truncated")], F.array_join("code.touched_files", ",").alias("touched"))
-
-
 def _repository(path: str) -> tuple[str, str]:
-    """A repository with two commits, the second as head of pull requests 1 and 2; their SHAs."""
+    """A repository of three commits, the last as head of pull requests 0 to 9; the SHAs of the first and the last."""
     os.makedirs(path)
     env = os.environ | {"GIT_AUTHOR_NAME": "a", "GIT_AUTHOR_EMAIL": "a@example.com", "GIT_COMMITTER_NAME": "a", "GIT_COMMITTER_EMAIL": "a@example.com"}
     run = lambda *a: subprocess.run(["git", "-C", path, *a], check=True, capture_output=True, env=env).stdout.decode().strip()
@@ -356,14 +323,13 @@ def _repository(path: str) -> tuple[str, str]:
     run("config", "uploadpack.allowFilter", "true")
     run("config", "uploadpack.allowAnySHA1InWant", "true")
     shas = []
-    for n, content in enumerate(("one\n", "one\ntwo\n")):
-        with open(f"{path}/a.txt", "w") as f:
+    for n, (name, content) in enumerate((("a.txt", "one\n"), ("a.txt", "one\ntwo\n"), ("dir/b.txt", "three\n"))):
+        os.makedirs(os.path.dirname(f"{path}/{name}"), exist_ok=True)
+        with open(f"{path}/{name}", "w") as f:
             f.write(content)
         run("add", "-A")
         run("commit", "-q", "-m", f"commit {n}")
         shas.append(run("rev-parse", "HEAD"))
-    for n in (1, 2):
-        run("update-ref", f"refs/pull/{n}/head", shas[1])
-    return shas[0], shas[1]
-
-
+    for n in range(10):
+        run("update-ref", f"refs/pull/{n}/head", shas[-1])
+    return shas[0], shas[-1]

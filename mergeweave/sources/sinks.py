@@ -17,7 +17,7 @@ def bucket_list(text: str) -> list[int] | None:
 
 def _bucketed(df: DataFrame) -> DataFrame:
     """With the bucket as four digits or more, which is how its folder is named."""
-    return df.withColumn("repo_bucket", F.lpad(F.col("repo_bucket").cast("string"), 4, "0"))
+    return df.withColumn("repo_bucket", F.format_string("%04d", F.col("repo_bucket").cast("int")))
 
 
 def write_bucketed(df: DataFrame, path: str, order: list, rows_per_file: int, compression: str = "zstd", mode: str = "overwrite", parts: int | None = None) -> None:
@@ -29,8 +29,10 @@ def write_bucketed(df: DataFrame, path: str, order: list, rows_per_file: int, co
     table. parts: number of ranges, that of shuffle partitions if None.
     """
     keys = ["repo_bucket", *order]
-    dealt = df.repartitionByRange(parts, *keys) if parts else df.repartitionByRange(*keys)
-    writer = _bucketed(dealt.sortWithinPartitions(*keys)).write.partitionBy("repo_bucket").option("compression", compression).option("partitionOverwriteMode", "dynamic")
+    # the folder's name is what is sorted by: else the writer would sort once more, by the folder alone
+    named = _bucketed(df)
+    dealt = named.repartitionByRange(parts, *keys) if parts else named.repartitionByRange(*keys)
+    writer = dealt.sortWithinPartitions(*keys).write.partitionBy("repo_bucket").option("compression", compression).option("partitionOverwriteMode", "dynamic")
     writer.option("maxRecordsPerFile", rows_per_file).mode(mode).parquet(path)
 
 
