@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from . import wide
 from .functions import coerce, events, text
+from .functions import schemas as S
 from .operators import attach, gitops, landed, snapshot
 from .plans import enrich, group, shard
 from .registry import _ROWS, _query, _repository, _tables
@@ -273,6 +274,40 @@ def s3_bytes(spark, sf_dir):
     )
 
 
+_NESTED = ["issue", "comment", "review", "check_run", "check_suite"]
+_PR_REF = '{"check_pr_ref_extra_json":null,"head_sha":%s,"number":1@,"url":%s}'
+
+
+@_query(
+    "SELECT event_id::VARCHAR AS id, event_id AS event_repo_id, 'o/r' || event_id AS event_repo_name, "
+    + ", ".join(f"{wide.sql(n, S.NESTED_EVENT[n].dataType)} AS {n}" for n in _NESTED)
+    + """, CASE WHEN event_id % 12 IN (2, 3, 4) AND event_id % 3 <> 0 THEN '{"commit_id":"commit_id ' || event_id || ' é"}' END AS moved_commit,
+    CASE WHEN event_id % 12 BETWEEN 7 AND 10 THEN replace(CASE WHEN event_id % 3 = 0 THEN '{"pull_requests":[ODD]}' ELSE '{"pull_requests":[EVEN]}' END, '@', event_id::VARCHAR) END AS moved_refs,
+    CASE event_id % 12 WHEN 0 THEN ('7' || event_id)::BIGINT WHEN 4 THEN NULL WHEN 5 THEN NULL WHEN 6 THEN NULL WHEN 7 THEN NULL WHEN 8 THEN NULL WHEN 9 THEN NULL WHEN 10 THEN NULL WHEN 11 THEN NULL
+        ELSE ('1' || event_id)::BIGINT END AS number FROM events""".replace("ODD", _PR_REF % ("null", "null")).replace("EVEN", _PR_REF % ('"head_sha @ é"', '"url @ é"')),
+    lens_sql=False,
+)
+def s2_nested_structs(spark, sf_dir):
+    """Events of all types as elements of a row: payloads by the narrower schema, what has no field there in extras."""
+    # without inner extras, as the struct has none either, but for what is moved
+    rows = _wide(spark, sf_dir).select(attach.nested_event().alias("e")).select("e.*")
+    moved = rows.withColumn("moved_commit", F.decode("comment.comment_extra_json", "UTF-8")).withColumn("moved_refs", F.decode(F.coalesce("check_run.check_run_extra_json", "check_suite.check_suite_extra_json"), "UTF-8"))
+    shown = [F.to_json(F.col(n).dropFields(f"{n}_extra_json")).alias(n) for n in _NESTED]
+    return moved.select("id", "event_repo_id", "event_repo_name", *shown, "moved_commit", "moved_refs", "number")
+
+
+@_query(
+    f"SELECT event_id, n < {len(text.BUMP_TERMS)} AS bump FROM (SELECT event_id, event_id % {len(text.BUMP_TERMS) + 3} AS n FROM events)",
+    lens_sql=False,
+)
+def s2_bump_terms(spark, sf_dir):
+    """Every word of trivial updates, in upper case amid a text; and texts without."""
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id")
+    listed = [f"xx {t.upper()}yy" for t in text.BUMP_TERMS] + ["a bu mp", "upgrade the dependency", ""]
+    title = F.element_at(F.array(*map(F.lit, listed)), (F.col("event_id") % len(listed) + 1).cast("int"))
+    return rows.select("event_id", text.mentions_bump(title).alias("bump"))
+
+
 def _pr_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     pr, other = _tables(spark, sf_dir)
     return stored(group.pull_request_rows(pr, other, inference_source="all"), "rows")

@@ -72,11 +72,11 @@ def given(number: int, odd: bool) -> str:
     return _text(event)
 
 
-def expected(number: int, odd: bool, member: str) -> str | None:
-    """The template of a payload struct as it must come out; None if the type has no such."""
+def expected(number: int, odd: bool, member: str, schema: T.StructType | None = None) -> str | None:
+    """The template of a payload struct as it must come out, by another schema if given; None if the type has no such."""
     parts = KINDS[number][1]
     struct = parts.get(member, parts.get("") if member in ("push", "status") and S.event_struct(member) == parts.get("") else None)
-    return None if struct is None else _text(_object(struct, odd, False))
+    return None if struct is None else _text(_object(schema or struct, odd, False))
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,9 +93,10 @@ def _sql_text(text: str | None) -> str:
     return "NULL" if text is None else "'" + text.replace("'", "''") + "'"
 
 
-def sql(member: str) -> str:
+def sql(member: str, schema: T.StructType | None = None) -> str:
     """SQL of a payload struct as JSON, from event_id."""
-    cases = " ".join(f"WHEN event_id % {len(KINDS)} = {k} THEN CASE WHEN event_id % 3 = 0 THEN {_sql_text(expected(k, True, member))} ELSE {_sql_text(expected(k, False, member))} END" for k in range(len(KINDS)))
+    texts = [[_sql_text(expected(k, odd, member, schema)) for odd in (True, False)] for k in range(len(KINDS))]
+    cases = " ".join(f"WHEN event_id % {len(KINDS)} = {k} THEN CASE WHEN event_id % 3 = 0 THEN {a} ELSE {b} END" for k, (a, b) in enumerate(texts))
     return f"replace(CASE {cases} END, '@', event_id::VARCHAR)"
 
 
