@@ -118,5 +118,64 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
 FROM marked GROUP BY doc_id
 """
 
+#: Base spans; the tables that it is held against hold no term that tells of an entity, as tests by definition find too, so these are all spans.
+_ENTITIES = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+m AS (
+    SELECT r, 0 AS rank, 'email' AS kind, regexp_extract_all(t, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+') AS found, string_split_regex(t, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+') AS pieces FROM d
+    UNION ALL SELECT r, 1, 'ip', regexp_extract_all(t, '[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)'), string_split_regex(t, '[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)') FROM d
+    UNION ALL SELECT r, 2, 'card', regexp_extract_all(t, '[0-9]([\x20-]?[0-9])+'), string_split_regex(t, '[0-9]([\x20-]?[0-9])+') FROM d
+    UNION ALL SELECT r, 3, 'phone', regexp_extract_all(t, '\+[0-9][\x20().0-9-]+[0-9]'), string_split_regex(t, '\+[0-9][\x20().0-9-]+[0-9]') FROM d
+),
+each AS (SELECT r, rank, kind, unnest(found) AS v, unnest(pieces[1:len(found)]) AS before, generate_subscripts(found, 1) AS i FROM m WHERE len(found) > 0),
+placed AS (
+    SELECT *, regexp_replace(v, '[^0-9]', '', 'g') AS digits, (sum(length(before)) OVER w + sum(length(v)) OVER w - length(v))::BIGINT AS a FROM each
+    WINDOW w AS (PARTITION BY r, rank ORDER BY i ROWS UNBOUNDED PRECEDING)
+),
+good AS (
+    SELECT r, rank, kind, a, a + length(v) AS b FROM placed WHERE CASE kind
+        WHEN 'email' THEN true
+        WHEN 'ip' THEN list_max(list_transform(string_split(v, '.'), lambda p: CASE WHEN length(ltrim(p, '0')) > 3 THEN 999 ELSE ('0' || ltrim(p, '0'))::INTEGER END)) <= 255
+        WHEN 'card' THEN length(digits) BETWEEN 14 AND 19 AND list_sum(list_transform(range(1, length(digits) + 1), lambda i:
+            CASE WHEN i % 2 = 1 THEN reverse(digits)[i]::INTEGER WHEN reverse(digits)[i]::INTEGER > 4 THEN 2 * reverse(digits)[i]::INTEGER - 9 ELSE 2 * reverse(digits)[i]::INTEGER END)) % 10 = 0
+        ELSE length(digits) BETWEEN 10 AND 15 END
+),
+listed AS (
+    SELECT r, string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, rank) AS spans,
+        count(*) FILTER (rank = 0) AS n_email, count(*) FILTER (rank = 1) AS n_ip, count(*) FILTER (rank = 2) AS n_card, count(*) FILTER (rank = 3) AS n_phone
+    FROM good GROUP BY r
+)
+SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card, coalesce(n_phone, 0) AS n_phone,
+    sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN listed USING (r)
+"""
+
+#: All pairs; on the table that it is held against the search finds all that are nearest.
+_NEAREST = """
+WITH v AS (
+    SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings WHERE embedding IS NOT NULL AND len(embedding) > 0
+        AND len(list_filter(embedding, lambda e: e IS NULL OR isnan(e) OR isinf(e))) = 0 AND len(list_filter(embedding, lambda e: e <> 0)) > 0
+),
+pairs AS (
+    SELECT q.vec_id AS query_id, c.vec_id, sqrt(list_reduce(list_transform(list_zip(q.x, c.x), lambda p: (p[1] - p[2]) * (p[1] - p[2])), lambda s, y: s + y)) AS score
+    FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0
+),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS rank FROM pairs)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+_CHAT = r"""
+WITH c AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+    UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+    coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    sum(length('<|im_start|>') + length(role) + 1 + length(text) + len(regexp_extract_all(text, '<\\*\|')) + length('<|im_end|>') + 1)::BIGINT AS formatted_chars
+FROM c GROUP BY conv_id
+"""
+
 #: Others have no SQL: their tests compare them with brute force on small tables.
-SQL: dict[str, str] = {"op5_mixing": _POISSON, "op10_lines": _LINES}
+SQL: dict[str, str] = {"op3_pii": _ENTITIES, "op5_mixing": _POISSON, "op8_nearest": _NEAREST, "op9_chat": _CHAT, "op10_lines": _LINES}
