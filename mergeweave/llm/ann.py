@@ -25,16 +25,16 @@ from pyspark.sql import functions as F
 from ._shared import stored
 
 #: Neighbours of a node in its list, and reverse neighbours that the graph adds, the nearest first.
-NEIGHBOURS = 24
-REVERSE = 24
+NEIGHBOURS = 32
+REVERSE = 32
 TREES = 12
 LEAF = 1_024
 #: Vectors that trees are fitted on, those with the smallest hash of the id.
 SAMPLE = 8_192
 #: NN-descent ends once a round changes no more than this share of the lists' entries.
-CHANGED = 0.05
-POOL = 128
-BEAM = 48
+CHANGED = 0.01
+POOL = 192
+BEAM = 64
 #: Edges that are compared at once.
 ROWS = 20_000
 _STATE = "array<struct<d:double,id:long,open:boolean>>"
