@@ -47,6 +47,8 @@ GENERALISE_AT = 0.9
 REMOVE_AT = 0.99
 #: Matches whose positions are summed at once.
 RUN = 256
+#: Texts of an entity from which its terms are dealt into parts, and parts at most.
+TEXTS, PARTS = 512, 32
 #: Letters of a term at least.
 TERM = 3
 #: Up to so many terms go to all tasks; beyond, they are joined by a shuffle.
@@ -183,8 +185,11 @@ def disclosures(docs: DataFrame, found: DataFrame) -> DataFrame:
     spans = found.where(F.size("spans") > 0).select("doc_id", "th", F.explode("spans").alias("s")).select("doc_id", "th", "s.*")
     entity = F.struct(F.lit(0).alias("level"), "rank", _same(F.col("rank"), F.col("value")).alias("value"))
     belongs = F.struct(F.lit(1).alias("level"), "rank", _group(F.col("rank"), F.col("value")).alias("value"))
-    near = spans.select("doc_id", "th", F.xxhash64("left", "right").alias("context"), F.explode(F.array(entity, belongs)).alias("e")).select("doc_id", "th", "context", F.xxhash64("e").alias("e"))
-    near = stored(near.distinct(), "near")
+    base = stored(spans.select("doc_id", "th", F.xxhash64("left", "right").alias("context"), F.xxhash64(entity).alias("own"), F.xxhash64(belongs).alias("of")).distinct(), "base")
+    # what one entity alone belongs to tells no more than the entity
+    shared = base.groupBy("of").agg(F.min("own").alias("a"), F.max("own").alias("b")).where("a <> b").select("of")
+    one, more = base.select("doc_id", "th", "context", F.col("own").alias("e")), base.join(shared, "of", "left_semi").select("doc_id", "th", "context", F.col("of").alias("e"))
+    near = stored(one.unionByName(more).distinct(), "near")
     rows = docs.count()
     text = F.coalesce(F.col("text"), F.lit(""))
     held = docs.select(text.alias("text")).withColumn("th", F.xxhash64("text")).join(near.select("th").distinct(), "th", "left_semi")
@@ -199,16 +204,19 @@ def disclosures(docs: DataFrame, found: DataFrame) -> DataFrame:
     # No term of an entity has less chance than one that is in all of its texts and nowhere else. Where that one would
     # not pass, as in every entity of a single text unless the corpus has many times more documents than there are tests, none can.
     entity = stored(entity.where(_chance(F.col("all_e"), F.col("all_e"), F.col("all_e") / rows) <= level + 1e-9), "entities")
+    # Texts go to their entity as lists of terms, those of an entity with many texts in several parts by the terms' hash,
+    # and are counted there: lists are far smaller than rows of an entity and a term.
+    spread = F.least(F.lit(PARTS), F.ceil(F.col("df_e") / TEXTS)).cast("int")
+    dealt = pairs.join(entity.select("e", spread.alias("parts")), "e").join(held, "th").select("e", "n", "k", "terms", "parts", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    mine = F.when(F.col("parts") == 1, F.col("terms")).otherwise(F.filter("terms", lambda t: F.pmod(F.hash(t), F.col("parts")) == F.col("part")))
     joint = (
-        pairs.join(entity.select("e"), "e", "left_semi")
-        .join(held, "th")
-        .select("e", "n", "k", F.explode("terms").alias("term"))
-        .groupBy("e", "term")
+        dealt.select("e", "part", "n", "k", mine.alias("terms"))
+        .repartition("e", "part")
+        .select("e", "part", "n", "k", F.explode("terms").alias("term"))
+        .groupBy("e", "part", "term")
         .agg(F.sum("n").alias("n"), F.sum("k").cast("double").alias("k"))
+        .drop("part")
     )
-    # A term occurs in as many documents at least as it stands beside any entity in. Common words are beside many, and
-    # drop out by this bound of the ratio before their occurrences are counted; no term that qualifies can.
-    beside = near.select("doc_id", "th").distinct().join(held, "th").select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("least_t"))
 
     def ratio(df_t: str) -> Column:
         together = F.least("n", df_t, "df_e").cast("double")
@@ -219,7 +227,14 @@ def disclosures(docs: DataFrame, found: DataFrame) -> DataFrame:
         e, t = F.col("all_e"), F.col(df_t).cast("double")
         return F.least(_chance(F.col("k"), e, t / rows), _chance(F.col("k"), t, e / rows)) <= level
 
-    likely = joint.join(entity, "e").join(beside, "term").where((ratio("least_t") >= GENERALISE_AT) & beyond_chance("least_t"))
+    # A term occurs in as many documents at least as it stands beside any entity in. Common words are beside many, and
+    # drop out by this bound of the ratio before their occurrences are counted; no term that qualifies can.
+    possible = stored(joint.join(entity, "e").where(beyond_chance("n")).select("term", "n", "df_e", "k", "all_e"), "possible")
+    named = possible.select("term").distinct()
+    named = F.broadcast(named) if named.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS else named
+    words_beside = near.select("doc_id", "th").distinct().join(held, "th").select(F.explode("terms").alias("term"))
+    beside = words_beside.join(named, "term").groupBy("term").agg(F.count("*").alias("least_t"))
+    likely = possible.join(beside, "term").where((ratio("least_t") >= GENERALISE_AT) & beyond_chance("least_t"))
     likely = stored(likely.select("term", "n", "df_e", "k", "all_e"), "likely")
     terms = likely.select("term").distinct()
     size = terms.limit(BROADCAST_TERMS + 1).count()
