@@ -2,8 +2,7 @@
 
 Patterns give the protected entities: e-mail and IP addresses, card and phone
 numbers; and, since most of these stand in one document only, what they belong
-to: an address's domain, a network, a card's issuer, a phone's area. Words of a
-text that holds an entity are terms that may reveal it. Over the whole corpus,
+to: an address's domain, an IP's network. Words of a text that holds an entity are terms that may reveal it. Over the whole corpus,
 with N documents, a term t and an entity e with document frequencies df(t) and
 df(e), and df(t, e) documents that hold both:
 
@@ -154,14 +153,8 @@ def _same(rank: Column, value: Column) -> Column:
 
 
 def _group(rank: Column, value: Column) -> Column:
-    """What an entity belongs to: an address's domain, the first three numbers of an IP, the first six digits of a card, a phone's digits less the last seven."""
-    digits = _digits(value)
-    return (
-        F.when(rank == 0, F.lower(F.substring_index(value, "@", -1)))
-        .when(rank == 1, F.substring_index(value, ".", 3))
-        .when(rank == 2, F.substring(digits, 1, 6))
-        .otherwise(F.substring(digits, F.lit(1), F.length(digits) - 7))
-    )
+    """What an entity belongs to: an address's domain, an IP's first three numbers. Issuers of cards and areas of phones are nobody's; null."""
+    return F.when(rank == 0, F.lower(F.substring_index(value, "@", -1))).when(rank == 1, F.substring_index(value, ".", 3))
 
 
 def _words(text: Column) -> Column:
@@ -185,9 +178,9 @@ def disclosures(docs: DataFrame, found: DataFrame) -> DataFrame:
     spans = found.where(F.size("spans") > 0).select("doc_id", "th", F.explode("spans").alias("s")).select("doc_id", "th", "s.*")
     entity = F.struct(F.lit(0).alias("level"), "rank", _same(F.col("rank"), F.col("value")).alias("value"))
     belongs = F.struct(F.lit(1).alias("level"), "rank", _group(F.col("rank"), F.col("value")).alias("value"))
-    base = stored(spans.select("doc_id", "th", F.xxhash64("left", "right").alias("context"), F.xxhash64(entity).alias("own"), F.xxhash64(belongs).alias("of")).distinct(), "base")
+    base = stored(spans.select("doc_id", "th", F.xxhash64("left", "right").alias("context"), F.xxhash64(entity).alias("own"), F.when(F.col("rank") < 2, F.xxhash64(belongs)).alias("of")).distinct(), "base")
     # what one entity alone belongs to tells no more than the entity
-    shared = base.groupBy("of").agg(F.min("own").alias("a"), F.max("own").alias("b")).where("a <> b").select("of")
+    shared = base.where("of is not null").groupBy("of").agg(F.min("own").alias("a"), F.max("own").alias("b")).where("a <> b").select("of")
     one, more = base.select("doc_id", "th", "context", F.col("own").alias("e")), base.join(shared, "of", "left_semi").select("doc_id", "th", "context", F.col("of").alias("e"))
     near = stored(one.unionByName(more).distinct(), "near")
     rows = docs.count()
