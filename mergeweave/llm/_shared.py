@@ -9,6 +9,7 @@ from ..sources.scratch import shared_dir, stored
 
 __all__ = ["shared_dir", "slices", "stored", "table", "texts_of"]
 
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

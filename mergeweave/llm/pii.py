@@ -2,9 +2,10 @@
 
 Patterns give the protected entities: e-mail and IP addresses, card and phone
 numbers; and, since most of these stand in one document only, what they belong
-to: an address's domain, an IP's network. Words of a text that holds an entity are terms that may reveal it. Over the whole corpus,
-with N documents, a term t and an entity e with document frequencies df(t) and
-df(e), and df(t, e) documents that hold both:
+to: an address's domain, an IP's network. Words of a text that holds an entity are
+terms that may reveal it. Over the whole corpus, with N documents, a term t and an
+entity e with document frequencies df(t) and df(e), and df(t, e) documents that
+hold both:
 
     PMI(t; e) = log(N * df(t, e) / (df(t) * df(e)))      what t tells about e
     IC(e)     = log(N / df(e))                           all there is to tell
