@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, decontaminate, linededup, lm, mixing, pii, quality, simhash, tokens
+from . import ann, chat, decontaminate, linededup, lm, mixing, pii, quality, simhash, tokens, warc
 from ._shared import stored, table
 
 #: Where the public tokenizers lie on every machine.
@@ -80,7 +80,12 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-_ALL = (op1_simhash, op2_quality, op3_pii, op4_pseudo_likelihood, op5_mixing, op6_token_ids, op7_decontamination, op8_nearest, op9_chat, op10_lines)
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as WARC records in seekable bundles, read back."""
+    return warc.revisits(warc.bundles(table(spark, sf_dir, "pages")))
+
+
+_ALL = (op1_simhash, op2_quality, op3_pii, op4_pseudo_likelihood, op5_mixing, op6_token_ids, op7_decontamination, op8_nearest, op9_chat, op10_lines, op13_warc)
 QUERIES = {f.__name__: f for f in _ALL}
 
 _POISSON = """
@@ -177,5 +182,14 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM c GROUP BY conv_id
 """
 
+_WARC = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+d AS (SELECT page_id, octet_length(payload) AS payload_bytes, sha256(payload) AS payload_digest FROM p),
+f AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first,
+    row_number() OVER (PARTITION BY payload_digest ORDER BY page_id NULLS LAST) AS nth FROM d),
+t AS (SELECT *, first IS NULL OR nth = 1 AS whole FROM f)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN whole THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN NOT whole THEN first END AS refers_to FROM t
+"""
+
 #: Others have no SQL: their tests compare them with brute force on small tables.
-SQL: dict[str, str] = {"op3_pii": _ENTITIES, "op5_mixing": _POISSON, "op8_nearest": _NEAREST, "op9_chat": _CHAT, "op10_lines": _LINES}
+SQL: dict[str, str] = {"op3_pii": _ENTITIES, "op5_mixing": _POISSON, "op8_nearest": _NEAREST, "op9_chat": _CHAT, "op10_lines": _LINES, "op13_warc": _WARC}
