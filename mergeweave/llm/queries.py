@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, decontaminate, linededup, lm, mixing, pii, quality, simhash, tokens, warc
+from . import ann, chat, decontaminate, linededup, lm, mixing, pii, quality, repair, simhash, tokens, warc
 from ._shared import stored, table
 
 #: Where the public tokenizers lie on every machine.
@@ -80,12 +80,18 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, damaged at known places, with their faults and cheapest repair."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return repair.report(repair.damaged(rows), rows)
+
+
 def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages as WARC records in seekable bundles, read back."""
     return warc.revisits(warc.bundles(table(spark, sf_dir, "pages")))
 
 
-_ALL = (op1_simhash, op2_quality, op3_pii, op4_pseudo_likelihood, op5_mixing, op6_token_ids, op7_decontamination, op8_nearest, op9_chat, op10_lines, op13_warc)
+_ALL = (op1_simhash, op2_quality, op3_pii, op4_pseudo_likelihood, op5_mixing, op6_token_ids, op7_decontamination, op8_nearest, op9_chat, op10_lines, op11_repair, op13_warc)
 QUERIES = {f.__name__: f for f in _ALL}
 
 _POISSON = """
