@@ -197,5 +197,76 @@ t AS (SELECT *, first IS NULL OR nth = 1 AS whole FROM f)
 SELECT page_id, payload_bytes, payload_digest, CASE WHEN whole THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN NOT whole THEN first END AS refers_to FROM t
 """
 
+#: CRC-32 by its table of bytes; costs from the last turn to the first, then letters from the first to the last.
+_REPAIR = r"""
+WITH RECURSIVE bits(n, k, v) AS (
+    SELECT n, 0, n::BIGINT FROM range(256) r(n) UNION ALL SELECT n, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM bits WHERE k < 8
+),
+crc AS (SELECT list(v ORDER BY n) AS t FROM bits WHERE k = 8),
+told AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS said FROM conversations),
+fated AS (
+    SELECT told.*, xor(list_reduce(list_transform(string_split(said, ''), lambda c: ord(c)::BIGINT), lambda s, b: xor(s >> 8, t[(xor(s, b) & 255) + 1]), 4294967295), 4294967295) % 20 AS fate FROM told, crc
+),
+damaged AS (
+    SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role, CASE fate WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+        unnest(range(CASE WHEN fate = 3 THEN 2 ELSE 1 END)) AS copy
+    FROM fated WHERE fate <> 0
+),
+placed AS (
+    SELECT *, left(role, 1) AS ini, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS shown, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+        row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again
+    FROM damaged
+),
+turns AS (
+    SELECT *, CASE WHEN shown = '' THEN 'b' WHEN again THEN 'd' WHEN right(shown, 1) NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault,
+        lag(ini) OVER (PARTITION BY conv_id ORDER BY i) AS before
+    FROM placed
+),
+counts AS (
+    SELECT conv_id, max(i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate,
+        count(*) FILTER (fault = 't') AS truncated, count(*) FILTER (i > 1 AND before || ini NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM turns GROUP BY conv_id
+),
+priced AS (SELECT conv_id, i, ini, role, text, fault IN ('', 't') AS free, CASE WHEN fault = 't' THEN 1 ELSE 0 END AS cut FROM turns),
+-- what the rest costs after nothing, a system turn, a user's, an assistant's
+rest(conv_id, i, c) AS (
+    SELECT conv_id, n + 1, [0, 4, 2, 0] FROM counts
+    UNION ALL
+    SELECT conv_id, i, [least(b[1], 2 + b[3], 4 + b[4]), least(b[2], 2 + b[3], 4 + b[4]), least(b[3], 2 + b[4]), least(b[4], 2 + b[3])] FROM (
+        SELECT p.conv_id, p.i, [
+            least(3 + c[1], CASE WHEN free THEN least(2 + cut + c[3], CASE ini WHEN 's' THEN cut + c[2] WHEN 'u' THEN cut + c[3] END) END),
+            least(3 + c[2], CASE WHEN free THEN least(2 + cut + c[3], CASE ini WHEN 'u' THEN cut + c[3] END) END),
+            least(3 + c[3], CASE WHEN free THEN least(2 + cut + c[4], CASE ini WHEN 'a' THEN cut + c[4] END) END),
+            least(3 + c[4], CASE WHEN free THEN least(2 + cut + c[3], CASE ini WHEN 'u' THEN cut + c[3] END) END)] AS b
+        FROM rest r JOIN priced p ON p.conv_id IS NOT DISTINCT FROM r.conv_id AND p.i = r.i - 1
+    )
+),
+steps AS (
+    SELECT a.conv_id, a.i, a.c, b.c AS d, ini, role, text, free, cut, p.i IS NULL AS ended
+    FROM rest a LEFT JOIN rest b ON b.conv_id IS NOT DISTINCT FROM a.conv_id AND b.i = a.i + 1 LEFT JOIN priced p ON p.conv_id IS NOT DISTINCT FROM a.conv_id AND p.i = a.i
+),
+walk(conv_id, i, q, audit, lines) AS (
+    SELECT conv_id, 1::BIGINT, 1, '', []::VARCHAR[] FROM counts
+    UNION ALL
+    SELECT conv_id, CASE WHEN letter = 'I' THEN i ELSE i + 1 END, to_, audit || letter,
+        CASE letter WHEN 'D' THEN lines WHEN 'K' THEN list_append(lines, role || ':' || text) ELSE list_append(lines, CASE to_ WHEN 3 THEN 'user:' ELSE 'assistant:' END || CASE letter WHEN 'R' THEN text ELSE '' END) END
+    FROM (
+        SELECT *, CASE letter WHEN 'D' THEN q WHEN 'K' THEN CASE ini WHEN 's' THEN 2 WHEN 'u' THEN 3 ELSE 4 END ELSE [3, 3, 4, 3][q] END AS to_ FROM (
+            SELECT w.conv_id, w.i, w.q, audit, lines, ini, role, text, CASE
+                WHEN NOT ended AND 3 + d[q] = c[q] THEN 'D'
+                WHEN 2 + c[[3, 3, 4, 3][q]] = c[q] THEN 'I'
+                WHEN free AND cut + CASE WHEN ini = 's' AND q = 1 THEN d[2] WHEN ini = 'u' AND q <> 3 THEN d[3] WHEN ini = 'a' AND q = 3 THEN d[4] END = c[q] THEN 'K'
+                ELSE 'R' END AS letter
+            FROM walk w JOIN steps s ON s.conv_id IS NOT DISTINCT FROM w.conv_id AND s.i = w.i WHERE NOT (ended AND c[q] = 0)
+        )
+    )
+),
+fixed AS (SELECT w.conv_id, gaps, blank, duplicate, truncated, illegal, w.audit, w.lines, r.c[1]::BIGINT AS cost
+    FROM counts k JOIN walk w ON w.conv_id IS NOT DISTINCT FROM k.conv_id AND w.i = n + 1 AND w.q IN (1, 4) JOIN rest r ON r.conv_id IS NOT DISTINCT FROM k.conv_id AND r.i = 1)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost,
+    coalesce(audit, '') AS audit, sha256(coalesce(array_to_string(lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN fixed f ON f.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
 #: Others have no SQL: their tests compare them with brute force on small tables.
-SQL: dict[str, str] = {"op3_pii": _ENTITIES, "op5_mixing": _POISSON, "op8_nearest": _NEAREST, "op9_chat": _CHAT, "op10_lines": _LINES, "op13_warc": _WARC}
+SQL: dict[str, str] = {"op3_pii": _ENTITIES, "op5_mixing": _POISSON, "op8_nearest": _NEAREST, "op9_chat": _CHAT, "op10_lines": _LINES, "op11_repair": _REPAIR, "op13_warc": _WARC}
