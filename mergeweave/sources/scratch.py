@@ -27,13 +27,13 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, **options: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it again.
 
     This cuts the lineage: a lost executor costs the tasks that ran on it, not
     the work of the steps before. Tables stay until the folder is cleared, since
-    results that are not read yet may need them.
+    results that are not read yet may need them. options: of the writer.
     """
     path = new_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
