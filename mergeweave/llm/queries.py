@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, decontaminate, linededup, lm, mixing, pii, quality, repair, simhash, tokens, warc
+from . import align, ann, chat, decontaminate, linededup, lm, mixing, pii, quality, repair, simhash, tokens, warc
 from ._shared import stored, table
 
 #: Where the public tokenizers lie on every machine.
@@ -86,12 +86,17 @@ def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.report(repair.damaged(rows), rows)
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level and piece tokens of all documents, aligned and linked."""
+    return align.report(table(spark, sf_dir, "documents"), tokenizer_path(), tokenizer_path("piece_bpe_32k.model"))
+
+
 def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages as WARC records in seekable bundles, read back."""
     return warc.revisits(warc.bundles(table(spark, sf_dir, "pages")))
 
 
-_ALL = (op1_simhash, op2_quality, op3_pii, op4_pseudo_likelihood, op5_mixing, op6_token_ids, op7_decontamination, op8_nearest, op9_chat, op10_lines, op11_repair, op13_warc)
+_ALL = (op1_simhash, op2_quality, op3_pii, op4_pseudo_likelihood, op5_mixing, op6_token_ids, op7_decontamination, op8_nearest, op9_chat, op10_lines, op11_repair, op12_alignment, op13_warc)
 QUERIES = {f.__name__: f for f in _ALL}
 
 _POISSON = """
