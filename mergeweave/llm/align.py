@@ -26,7 +26,7 @@ from .tokens import _ODD, _ODD_WIDE, PIECES
 #: Up to so many different groups (two hashes and three numbers each) go to all tasks; beyond, they are joined by a shuffle.
 BROADCAST_GROUPS = 1_000_000
 #: Different parts of texts whose ids a worker keeps.
-CACHE = 800_000
+CACHE = 250_000
 
 
 class Tokenizers:
