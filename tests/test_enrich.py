@@ -109,10 +109,78 @@ def test_timeout():
     assert done.code == 124 and b"[TIMEOUT]" in done.err
 
 
-def test_truncated_answers():
-    assert gitops._batch(b"", ["a"]) == {"a": "truncated: no header"}
-    assert gitops._batch(b"s blob 9\nabc", ["a"]) == {"a": "truncated: payload"}
-    assert gitops._batch(b"what\ns blob 1\nx\n", ["a", "b"]) == {"a": "bad header: what", "b": ("s", 1, b"x")}
+def test_answers_that_break_off(tmp_path, monkeypatch):
+    """A stand-in for git that says what it is told to."""
+    fake = tmp_path / "bin" / "git"
+    fake.parent.mkdir()
+    monkeypatch.setenv("PATH", f"{fake.parent}:{os.environ['PATH']}")
+
+    def says(check, batch):
+        fake.write_text(f"#!/bin/sh\ncase \"$*\" in *--batch-check*) printf '{check}' ;; *) printf '{batch}' ;; esac\n")
+        fake.chmod(0o755)
+        return gitops.Repository(str(tmp_path), "u").files(["a", "b"])
+
+    assert says("", "") == {"a": "truncated: no header"}
+    assert says("x blob 9\\n", "x blob 9\\nabc") == {"a": "truncated: payload", "b": "truncated: no header"}
+    assert says("what\\nx blob 1\\n", "x blob 1\\nx\\n") == {"a": "bad header: what", "b": ("x", 1, b"x", False)}
+    assert says("x blob 1\\ny blob 1\\n", "x blob 1\\nx\\n") == {"a": ("x", 1, b"x", False), "b": "truncated: no header"}
+    assert says("x tree 1\\nb missing\\n", "") == {"a": "not_blob:tree", "b": "missing"}
+    fake.write_text("#!/bin/sh\nexit 3\n")
+    assert gitops.Repository(str(tmp_path), "u").files(["a"]) == {"a": "cat-file rc=3"}
+
+
+def test_memory_is_bounded_by_the_caps(tmp_path):
+    """A diff and a file of 300 MB each, read with caps of 1 MB by a process that may have 200 MB more than it starts with."""
+    import sys
+
+    path = str(tmp_path / "big")
+    script = f"""
+import os, resource, subprocess, sys
+sys.path.insert(0, {os.path.dirname(os.path.dirname(os.path.abspath(__file__)))!r})
+from mergeweave.operators import gitops
+env = os.environ | {{f"GIT_{{w}}_{{x}}": v for w in ("AUTHOR", "COMMITTER") for x, v in (("NAME", "n"), ("EMAIL", "n@example.com"))}}
+git = lambda *a: subprocess.run(["git", "-C", {path!r}, *a], check=True, capture_output=True, env=env).stdout.decode().strip()
+os.makedirs({path!r})
+git("init", "-q", "-b", "main")
+open({path!r} + "/f", "w").write("small\\n")
+git("add", "-A"); git("commit", "-qm", "one")
+a = git("rev-parse", "HEAD")
+with open({path!r} + "/f", "w") as f:
+    for k in range(300):
+        f.write(f"line {{k}} " + "x" * 999_980 + "\\n")
+git("-c", "core.compression=0", "-c", "core.bigFileThreshold=2g", "add", "-A"); git("commit", "-qm", "two")
+b = git("rev-parse", "HEAD")
+r = gitops.Repository({path!r} + "/.git", "u")
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+diff, cut = r.diff(a, b, 1_000_000)
+assert cut and len(diff) == 1_000_000
+patch, cut = r.patch(b, 1_000_000)
+assert cut and patch.startswith("two")
+blob, size, raw, cut = r.files([f"{{b}}:f"], 1_000_000)[f"{{b}}:f"]
+assert cut and len(raw) == 1_000_000 and size > 290_000_000
+grown = (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) / 1024
+assert grown < 100, grown
+"""
+    subprocess.run([sys.executable, "-c", script], check=True, timeout=300)
+
+
+def test_mirrors(origin, tmp_path):
+    path, base, head = origin
+    one, two = gitops.Mirrors(str(tmp_path / "m")), gitops.Mirrors(str(tmp_path / "m"))
+    at_ = one.enter("r", f"file://{path}")
+    assert two.enter("r", f"file://{path}") == at_ and os.path.isdir(f"{at_}/objects")
+    repo = gitops.Repository(str(tmp_path / "own"), f"file://{path}", mirror=at_)
+    code = gitops.enrich(want(base, head), lambda _: repo, gitops.Limits())
+    plain = gitops.enrich(want(base, head), at(origin, tmp_path), gitops.Limits())
+    assert os.path.isfile(tmp_path / "own/objects/info/alternates")
+    assert {k: v for k, v in code.items() if k != "debug"} == {k: v for k, v in plain.items() if k != "debug"}
+    one.leave("r")
+    assert os.path.isdir(at_)
+    # a process that is gone holds nothing
+    open(f"{at_}.users/999999999-x", "w").close()
+    two.leave("r")
+    assert not os.path.exists(at_)
+    assert gitops.Mirrors(str(tmp_path / "m")).enter("gone", "file:///nowhere") is None
 
 
 def rows(spark, origin, numbers):
