@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -11,7 +14,7 @@ from .functions import schemas as S
 from .operators import attach, gitops, landed, snapshot
 from .plans import enrich, group, shard
 from .registry import _ROWS, _query, _repository, _tables
-from .sources import archive, sinks
+from .sources import archive, commits, sinks
 from .sources.scratch import new_path, stored
 from .streaming import ingest
 
@@ -341,7 +344,7 @@ def _on(base: str, head: str):
 )
 def s3_git_enrich(spark, sf_dir):
     """All rows of stage 2 with code from a repository made for this: clone, head, merge base, commits, patches, diff, tree, files."""
-    where = new_path(spark, "git").removeprefix("file://").removeprefix("file:")
+    where = _shared_folder(spark)
     base, head = _repository(f"{where}/r.git")
     rows = _pr_rows(spark, sf_dir).withColumn("pull_request", _on(base, head)).withColumn("hosted", F.transform(F.array(F.col("pull_request.base.repo.full_name")), text.clone_url)[0])
     done = enrich.enriched(rows, clone_url=lambda name: f"file://{where}/r.git")
@@ -356,46 +359,105 @@ def s3_git_enrich(spark, sf_dir):
     )
 
 
+def _shared_folder(spark: SparkSession) -> str:
+    """A new folder that git can open as well as Spark: only where the session's shared folder is one of the machine's file system."""
+    where = new_path(spark, "git")
+    if "://" in where and not where.startswith("file://"):
+        raise ValueError("queries that make a repository need a shared folder that git can open")
+    return where.removeprefix("file://").removeprefix("file:")
+
+
 @_query(
-    """SELECT * FROM (VALUES (1, 'skip', 'missing_repo_or_pr_or_base', NULL, 0, NULL), (2, 'error', 'git_clone_or_fetch_failed', NULL, 0, NULL), (3, 'error', 'git_diff_names_failed', NULL, 0, NULL),
-    (4, 'ok', NULL, 1, 1, 'a.txt'), (5, 'ok', NULL, 2, 2, 'a.txt,dir/b.txt')) t(id, status, reason, commit_count, n_files, touched)""",
-    lens_sql=False,
+    _ROWS
+    + """ SELECT repo_id, p.pr::BIGINT AS pr_number, CASE p.pr % 5 WHEN 0 THEN 'skip' WHEN 1 THEN 'error' WHEN 2 THEN 'error' ELSE 'ok' END AS status,
+        CASE p.pr % 5 WHEN 0 THEN 'missing_repo_or_pr_or_base' WHEN 1 THEN 'git_clone_or_fetch_failed' WHEN 2 THEN 'git_diff_names_failed' END AS reason,
+        CASE p.pr % 5 WHEN 3 THEN 1 WHEN 4 THEN 2 END AS commit_count, CASE p.pr % 5 WHEN 3 THEN 1 WHEN 4 THEN 2 ELSE 0 END AS n_files,
+        CASE p.pr % 5 WHEN 3 THEN 'a.txt' WHEN 4 THEN 'a.txt,dir/b.txt' END AS touched FROM picked p"""
 )
 def s3_git_cases(spark, sf_dir):
-    """Rows that lack something, repositories and commits that aren't there, limits, a head that only its reference knows."""
-    where = new_path(spark, "git").removeprefix("file://").removeprefix("file:")
+    """All rows of stage 2, by number with one lack or another: no repository, one that can't be cloned, a base that isn't there, limits, a head that only its reference knows."""
+    where = _shared_folder(spark)
     base, head = _repository(f"{where}/r.git")
-    cases = [(1, None, base, head), (2, "r/none", base, head), (3, "r/x", "f" * 40, head), (4, "r/x", base, head), (5, "r/x", base, "e" * 40)]
-    rows = spark.createDataFrame(cases, "id int, repo string, base string, head string").selectExpr(
-        "id", "cast(id as long) as repo_id", "1L as pr_number",
-        "struct(1L as number, struct(base as sha, struct(repo as full_name, cast(id as long) as id) as repo) as base, struct(head as sha, struct(repo as full_name, cast(id as long) as id) as repo) as head) as pull_request",
-        "array(struct('PullRequestEvent' as type)) as events",
-    )
+    rows, case = _pr_rows(spark, sf_dir), F.pmod("pr_number", F.lit(5))
+    pr, repo = F.col("pull_request"), F.col("pull_request.base.repo")
+    named = repo.withField("full_name", F.when(case == 0, None).when(case == 1, "r/none").otherwise(repo["full_name"]))
+    of = lambda side, sha: pr[side].withField("sha", sha).withField("repo", named)
+    asked = pr.withField("base", of("base", F.when(case == 2, "f" * 40).otherwise(base))).withField("head", of("head", F.when(case == 4, "e" * 40).otherwise(head)))
+    rows = stored(rows.withColumn("pull_request", asked), "cases")
     url = lambda name: f"file://{where}/{'none' if name == 'r/none' else 'r.git'}"
-    few = enrich.enriched(rows.where("id = 4"), gitops.Limits(commits=1, touched_files=1), clone_url=url)
-    rest = enrich.enriched(rows.where("id <> 4"), clone_url=url)
+    few = enrich.enriched(rows.where("pmod(pr_number, 5) = 3"), gitops.Limits(commits=1, touched_files=1), clone_url=url)
+    rest = enrich.enriched(rows.where("pmod(pr_number, 5) <> 3"), clone_url=url)
     c = F.col("code")
     return few.union(rest).select(
-        "id", c["status"].alias("status"), c["reason"].alias("reason"), c["commit_count"].alias("commit_count"), F.size(c["base_files_at_base"]).alias("n_files"),
+        "repo_id", "pr_number", c["status"].alias("status"), c["reason"].alias("reason"), c["commit_count"].alias("commit_count"), F.size(c["base_files_at_base"]).alias("n_files"),
         F.nullif(F.array_join(c["touched_files"], ","), F.lit("")).alias("touched"),
     )
 
 
+def _given(spark: SparkSession, sf_dir: str, where: str) -> str:
+    """The rows of stage 2, about two commits of a repository made at ``where``, as a bucketed table."""
+    base, head = _repository(f"{where}/r.git")
+    given = new_path(spark, "prs")
+    sinks.write_pr_rows(_pr_rows(spark, sf_dir).withColumn("pull_request", _on(base, head)), given)
+    return given
+
+
 @_query(_ROWS + " SELECT repo_id % 16 AS repo_bucket, count(*) AS n, count(*) AS distinct_rows, true AS noted FROM picked GROUP BY 1")
 def s3_resumed(spark, sf_dir):
     """Three runs of stage 3, the first over half of the buckets: every row once, and every bucket noted as done."""
-    where = new_path(spark, "git").removeprefix("file://").removeprefix("file:")
-    base, head = _repository(f"{where}/r.git")
-    given, out = new_path(spark, "prs"), new_path(spark, "code")
-    sinks.write_pr_rows(_pr_rows(spark, sf_dir).withColumn("pull_request", _on(base, head)), given)
+    where = _shared_folder(spark)
+    given, out = _given(spark, sf_dir, where), new_path(spark, "code")
     for buckets in (list(range(8)), None, None):
         enrich.run(spark, given, out, buckets, clone_url=lambda name: f"file://{where}/r.git")
-    rows = sinks.existing(spark, out).withColumn("repo_bucket", F.col("repo_bucket").cast("long"))
-    noted = set(sinks.finished(spark, out, sinks.read_bucketed(spark, given)))
+    rows = commits.committed(spark, out).withColumn("repo_bucket", F.col("repo_bucket").cast("long"))
+    noted = set(commits.finished(spark, out, sinks.read_bucketed(spark, given)))
     counted = rows.groupBy("repo_bucket").agg(F.count("*").alias("n"), F.countDistinct("repo_id", "pr_number").alias("distinct_rows"))
     return counted.withColumn("noted", F.col("repo_bucket").isin([int(b) for b in noted]))
 
 
+@_query(_ROWS + " SELECT repo_id % 16 AS repo_bucket, count(*) AS n, count(*) AS distinct_rows, CASE WHEN repo_id % 16 IN (1, 5) THEN 'first' ELSE 'second' END AS read_by FROM picked GROUP BY ALL")
+def s3_killed_run(spark, sf_dir):
+    """A run of stage 3 over four buckets that dies in the third, and one over all: what the first committed isn't read from git again, every row is there once."""
+    where = _shared_folder(spark)
+    given, out = _given(spark, sf_dir, where), new_path(spark, "code")
+    os.symlink(f"{where}/r.git", f"{where}/first.git")
+
+    def dies(name: str) -> str:
+        if int(name.removeprefix("r/")) % 16 >= 9:
+            raise RuntimeError("as if the machine had gone")
+        return f"file://{where}/first.git"
+
+    try:
+        enrich.run(spark, given, out, [1, 5, 9, 13], rows_per_commit=1, clone_url=dies)
+    except PySparkException:
+        pass
+    enrich.run(spark, given, out, clone_url=lambda name: f"file://{where}/r.git")
+    rows = commits.committed(spark, out).withColumn("repo_bucket", F.col("repo_bucket").cast("long"))
+    first = F.col("code.debug.extract_clone_url").endswith("first.git")
+    return rows.groupBy("repo_bucket", F.when(first, "first").otherwise("second").alias("read_by")).agg(F.count("*").alias("n"), F.countDistinct("repo_id", "pr_number").alias("distinct_rows"))
+
+
+@_query(
+    _ROWS
+    + """, shares AS (SELECT p.repo_id % 10 <> 0 AS hot, count(*) AS n FROM picked p GROUP BY 1)
+    SELECT hot, n, n AS ok, n AS as_unsplit, true AS spread FROM shares"""
+)
+def s3_hot_repository(spark, sf_dir):
+    """Rows of stage 2 of which nine in ten are of one repository: no task has more than a third of it, and the code read is that of an unsplit run."""
+    where = _shared_folder(spark)
+    base, head = _repository(f"{where}/r.git")
+    hot = F.col("repo_id") % 10 != 0
+    rows = _pr_rows(spark, sf_dir).withColumn("pull_request", _on(base, head)).withColumn("at", F.xxhash64("repo_id", "pr_number")).withColumn("hot", hot)
+    rows = stored(rows.withColumn("repo_id", F.when(hot, -1).otherwise(F.col("repo_id")).cast("long")), "hot")
+    url = lambda name: f"file://{where}/r.git"
+    said = F.xxhash64(F.col("code").dropFields("debug"))
+    split = stored(enrich.enriched(rows, clone_url=url, least_chunk=1).select("hot", "at", said.alias("said"), F.col("code.status").alias("status"), F.spark_partition_id().alias("task")), "split")
+    whole = enrich.enriched(rows, clone_url=url, least_chunk=1 << 30).select("at", said.alias("unsplit"))
+    by_task = split.groupBy("hot", "task").agg(F.count("*").alias("n")).groupBy("hot").agg((~F.col("hot") | (F.sum("n") < 8) | (F.max("n") <= F.sum("n") / 3)).alias("spread"))
+    each = split.join(whole, "at").groupBy("hot").agg(F.count("*").alias("n"), F.count_if(F.col("status") == "ok").alias("ok"), F.count_if(F.col("said") == F.col("unsplit")).alias("as_unsplit"))
+    return each.join(by_task, "hot").select("hot", "n", "ok", "as_unsplit", "spread")
+
+
 @_query(
     """SELECT (SELECT count(*) FROM e) AS events_seen, (SELECT count(*) FROM kept_) AS prs_kept, (SELECT count(*) FROM kept_ WHERE k % 6 <> 0) AS inferred_used, count(*) AS attachments, count(DISTINCT eid) AS events_attached
     FROM by_direct JOIN kept_ USING (repo_id, pr)""".replace("SELECT (SELECT", ", kept_ AS (SELECT s.repo_id, s.pr, s.k FROM snap s LEFT JOIN landed l USING (repo_id, pr) WHERE s.k % 3 = 0 AND (s.k % 6 = 0 OR l.shas IS NOT NULL))\n    SELECT (SELECT", 1)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,6 +35,12 @@ def write_bucketed(df: DataFrame, path: str, order: list, rows_per_file: int, co
     writer.option("maxRecordsPerFile", rows_per_file).mode(mode).parquet(path)
 
 
+def append_bucketed(df: DataFrame, path: str, order: list, rows_per_file: int, compression: str = "zstd") -> None:
+    """One folder for each bucket, rows in ``order`` within files, each task writing what it has: for rows whose making is what costs, which are neither sampled nor shuffled once made."""
+    named = _bucketed(df).sortWithinPartitions("repo_bucket", *order)
+    named.write.partitionBy("repo_bucket").option("compression", compression).option("maxRecordsPerFile", rows_per_file).mode("append").parquet(path)
+
+
 def scan_order() -> list:
     """By repository, time and id; a missing one comes first."""
     return [F.coalesce("repo_id", F.lit(-1)), F.coalesce("created_at", F.lit("")), F.coalesce("event_id", F.lit(""))]
@@ -90,20 +95,6 @@ def bucket_rows(rows: DataFrame) -> DataFrame:
     return rows.groupBy("repo_bucket").agg(F.count("*").alias("rows"))
 
 
-def finished(spark: SparkSession, path: str, rows: DataFrame) -> list[int]:
-    """Buckets that an earlier run has noted in ``path/_state`` as done with as many input rows as they have now. Their number is bounded by that of buckets."""
-    try:
-        state = spark.read.parquet(f"{path}/_state")
-    except AnalysisException:
-        return []
-    return [r[0] for r in bucket_rows(rows).join(state, ["repo_bucket", "rows"], "left_semi").select("repo_bucket").collect()]
-
-
-def note_finished(path: str, rows: DataFrame) -> None:
-    """Append the buckets of ``rows`` to the table of buckets that are done."""
-    bucket_rows(rows).coalesce(1).write.mode("append").parquet(f"{path}/_state")
-
-
 def remaining(rows: DataFrame, done: DataFrame | None, keys: tuple[str, ...] = ("repo_id", "pr_number")) -> DataFrame:
     """Rows whose key isn't in ``done`` yet; all if there is none. Null keys are equal to each other."""
     if done is None:
@@ -113,11 +104,3 @@ def remaining(rows: DataFrame, done: DataFrame | None, keys: tuple[str, ...] = (
     for k in keys:
         same = same & rows[k].eqNullSafe(have[f"__{k}"])
     return rows.join(have, same, "left_anti")
-
-
-def existing(spark: SparkSession, path: str) -> DataFrame | None:
-    """What an earlier run wrote to ``path``, None if nothing."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None

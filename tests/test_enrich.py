@@ -2,11 +2,12 @@ import os
 import subprocess
 
 import pytest
+from pyspark.sql import functions as F
 
 from mergeweave.functions import schemas, text
 from mergeweave.operators import gitops
 from mergeweave.plans import enrich
-from mergeweave.sources import sinks
+from mergeweave.sources import commits, sinks
 
 
 @pytest.fixture(scope="module")
@@ -201,11 +202,48 @@ def test_frame(spark, origin):
 
 def test_resume(spark, origin, tmp_path):
     path, out = origin[0], str(tmp_path / "out")
-    for numbers in ([7], [7, 8]):
+    told = []
+    for numbers in ([7], [7, 8], [7, 8]):
         rows(spark, origin, numbers).write.mode("overwrite").partitionBy("repo_bucket").parquet(str(tmp_path / "in"))
-        enrich.run(spark, str(tmp_path / "in"), out, clone_url=lambda n: f"file://{path}")
-    assert sorted(r["pr_number"] for r in spark.read.parquet(out).collect()) == [7, 8]
-    assert sinks.existing(spark, str(tmp_path / "none")) is None
+        told.append(enrich.run(spark, str(tmp_path / "in"), out, clone_url=lambda n: f"file://{path}"))
+    assert told == [{"ok": 1, "skip": 0, "error": 0}, {"ok": 1, "skip": 0, "error": 0}, {"ok": 0, "skip": 0, "error": 0}]
+    assert sorted(r["pr_number"] for r in commits.committed(spark, out).collect()) == [7, 8]
+    assert commits.committed(spark, str(tmp_path / "none")) is None
+
+
+def test_what_a_dead_run_left_counts_for_nothing(spark, origin, tmp_path):
+    path, given, out = origin[0], str(tmp_path / "in"), str(tmp_path / "out")
+    rows(spark, origin, [7, 8]).write.partitionBy("repo_bucket").parquet(given)
+    # as if a run had died between its data and its entry in the log
+    lost = commits.folder(out, commits.new_commit())
+    sinks.append_bucketed(enrich.enriched(sinks.read_bucketed(spark, given), clone_url=lambda n: f"file://{path}"), lost, ["repo_id", "pr_number"], 10)
+    assert commits.committed(spark, out) is None and commits.forgotten(spark, out) == [lost]
+    enrich.run(spark, given, out, clone_url=lambda n: f"file://{path}")
+    assert sorted(r["pr_number"] for r in commits.committed(spark, out).collect()) == [7, 8]
+    assert commits.forgotten(spark, out) == [lost]
+
+
+def test_packing_and_groups():
+    assert enrich.packed([5, 1, 1, 1, 4], 2) == [0, 1, 0, 1, 1]
+    assert enrich.packed([], 3) == []
+    assert enrich.grouped([(3, 5), (1, 4), (2, 4), (9, 100), (10, 1)], 8) == [[1, 2], [3], [9], [10]]
+
+
+def test_a_hot_repository_is_spread_and_shares_a_mirror(spark, origin, tmp_path):
+    path, root = origin[0], tmp_path / "clones"
+    root.mkdir()
+    few = rows(spark, origin, list(range(40)))
+    split = enrich.enriched(few, clone_url=lambda n: f"file://{path}", clone_root=str(root), least_chunk=1).select("pr_number", F.col("code").dropFields("debug").alias("code"), F.spark_partition_id().alias("task")).collect()
+    whole = enrich.enriched(few, clone_url=lambda n: f"file://{path}", least_chunk=1000).select("pr_number", F.col("code").dropFields("debug").alias("code")).collect()
+    assert len({r["task"] for r in split}) >= 6
+    assert {r["pr_number"]: r["code"] for r in split} == {r["pr_number"]: r["code"] for r in whole} and len(split) == 40
+    assert not [x for d, _, files in os.walk(root) for x in files if not x.endswith(".lock")]
+
+
+def test_rows_without_repository_spread(spark):
+    some = spark.range(200).selectExpr("id", "cast(null as long) as k")
+    parts = enrich.dealt(some, "k", "id", rows_per_task=20).groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in parts) == 200 and max(r["count"] for r in parts) < 60
 
 
 def test_scalars(spark):
