@@ -34,8 +34,8 @@ BLOCK = 1 << 19
 BLOCKS = 12
 #: How many standard deviations more bits than expected at a similarity may differ in a pair that is to be checked.
 DEVIATIONS = 4.5
-#: Shortest spanning forests of each pair of blocks whose pairs are checked.
-FORESTS = 3
+#: A group that checks pairs holds about so many different texts and so many of their shingles at most (more only for a longer text).
+CHECKED_TEXTS, CHECKED_SHINGLES = 4096, 2_000_000
 #: Up to so many texts are named to all tasks (40 bytes each) to be read; beyond, by a shuffle.
 BROADCAST_TEXTS = 200_000
 _SPREAD = np.array([sum(((b >> i) & 1) << (8 * i) for i in range(8)) for b in range(256)], dtype=np.uint64)
@@ -196,65 +196,69 @@ def close_pairs(left: np.ndarray, right: np.ndarray | None, radius: int, tile: i
             yield i, j, d
 
 
-def forest(left: np.ndarray, right: np.ndarray | None, radius: int, tile: int = TILE):
-    """Index pairs of a spanning forest of all links within ``radius``."""
+def forest(left: np.ndarray, right: np.ndarray | None, radius: int, tile: int = TILE, sizes: np.ndarray | None = None, ratio: float = 0.0):
+    """Index pairs of a spanning forest of all links within ``radius``, with ``sizes`` of those whose sizes have the ratio."""
     parent = np.arange(len(left) + (0 if right is None else len(right)))
-    for i, j, _ in close_pairs(left, right, radius, tile):
+    for i, j, _ in close_pairs(left, right, radius, tile, sizes, ratio):
         parent = _unite(parent, i, j)
     linked = np.nonzero(parent != np.arange(len(parent)))[0]
     return linked, parent[linked]
 
 
-def shortest_forests(n: int, i: np.ndarray, j: np.ndarray, d: np.ndarray, count: int = FORESTS):
-    """Of the edges ``(i, j)`` of length d among n nodes: those of a shortest spanning forest, of one of the rest, and so on ``count`` times."""
-    order = np.argsort(d, kind="stable")
-    i, j, d = i[order], j[order], d[order]
-    kept = []
-    for _ in range(count):
-        if not len(i):
-            break
-        parent, taken = np.arange(n), np.zeros(len(i), dtype=bool)
-        at, step = 0, 1024
+class _Sets:
+    """Sets of hashes, and how many members pairs of them have in common."""
+
+    def __init__(self, flat: np.ndarray, sizes: np.ndarray):
+        self.sizes = sizes.astype(np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        known, self.ids = np.unique(flat, return_inverse=True)
+        self.mark = np.zeros(len(known) + 1, dtype=bool)
+
+    def common(self, i: int, others: np.ndarray) -> np.ndarray:
+        own = self.ids[self.starts[i] :][: self.sizes[i]]
+        self.mark[own] = True
+        sizes = self.sizes[others]
+        ends = np.cumsum(sizes)
+        at = np.repeat(self.starts[others] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+        total = np.concatenate([[0], np.cumsum(self.mark[self.ids[at]], dtype=np.int64)])
+        self.mark[own] = False
+        return total[ends] - total[ends - sizes]
+
+
+def checked_forest(fp: np.ndarray, split: int | None, sets: _Sets, radius: int, similarity: float):
+    """Index pairs of a spanning forest of all pairs within ``radius`` whose sets have the Jaccard similarity.
+
+    Pairs within the first ``split``, with those after it (None: all pairs).
+    Every pair is checked unless pairs that were checked connect its ends already.
+    """
+    n = len(fp)
+    parent = np.arange(n)
+    left, right = (fp, None) if split is None else (fp[:split], fp[split:])
+    for i, j, d in close_pairs(left, right, radius, sizes=sets.sizes, ratio=similarity):
+        # nearest first, a few to begin with: what they connect needs no further check
+        order = np.argsort(d, kind="stable")
+        i, j = i[order], j[order]
+        at, step = 0, 256
         while at < len(i):
-            a, b = parent[i[at : at + step]], parent[j[at : at + step]]
-            up: dict[int, int] = {}
-
-            def top(x, up=up):
-                while x in up:
-                    x = up[x]
-                return x
-
-            for k in np.flatnonzero(a != b).tolist():
-                x, y = top(int(a[k])), top(int(b[k]))
-                if x != y:
-                    up[max(x, y)] = min(x, y)
-                    taken[at + k] = True
-            if up:
-                parent[list(up)] = [top(x) for x in up]
-                parent = _roots(parent)
-            at, step = at + step, min(2 * step, 1 << 16)
-        kept.append((i[taken], j[taken], d[taken]))
-        i, j, d = i[~taken], j[~taken], d[~taken]
-    return tuple(np.concatenate(x) for x in zip(*kept, strict=True)) if kept else (i, j, d)
-
-
-def candidates(left, right, radius: int, sizes: np.ndarray, ratio: float, tile: int = TILE):
-    """``(i, j)`` of the shortest forests of all pairs within ``radius`` whose sizes have the ratio; what is held at once doesn't grow with the pairs."""
-    n = len(sizes)
-    held, some = [], 0
-    for part in close_pairs(left, right, radius, tile, sizes, ratio):
-        held.append(part)
-        some += len(part[0])
-        if some > max(1_000_000, 8 * FORESTS * n):
-            held = [shortest_forests(n, *map(np.concatenate, zip(*held, strict=True)))]
-            some = len(held[0][0])
-    if not held:
-        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-    return shortest_forests(n, *map(np.concatenate, zip(*held, strict=True)))[:2]
+            a, b = i[at : at + step], j[at : at + step]
+            open_ = parent[a] != parent[b]
+            a, b = a[open_], b[open_]
+            by = np.argsort(a, kind="stable")
+            a, b = a[by], b[by]
+            cuts = np.flatnonzero(np.diff(a)) + 1
+            for k, m in zip([0, *cuts], [*cuts, len(a)], strict=True):
+                if k < m:
+                    x, ys = int(a[k]), b[k:m]
+                    both = sets.common(x, ys)
+                    true = ys[both >= similarity * (sets.sizes[x] + sets.sizes[ys] - both)]
+                    parent = _unite(parent, np.full(len(true), x), true)
+            at, step = at + step, min(2 * step, 1 << 14)
+    linked = np.nonzero(parent != np.arange(n))[0]
+    return linked, parent[linked]
 
 
 def links(nodes: DataFrame, lanes: int, radius: int, ratio: float | None = None) -> DataFrame:
-    """``nodes(node, size, fp)`` to ``(a, b)``, from every pair of blocks: a spanning forest of the links, or, with a ratio of sizes, the shortest forests."""
+    """``nodes(node, size, fp)`` to ``(a, b)``, from every pair of blocks: a spanning forest of the links, with a ratio of those whose sizes have it."""
     blocks = max(BLOCKS, math.ceil(nodes.count() / BLOCK))
     cells = (
         nodes.withColumn("block", F.pmod(F.xxhash64("node"), F.lit(blocks)).cast("int"))
@@ -269,7 +273,7 @@ def links(nodes: DataFrame, lanes: int, radius: int, ratio: float | None = None)
         mine, other = np.nonzero(block == first)[0], np.nonzero(block == second)[0]
         order = mine if first == second else np.concatenate([mine, other])
         right = None if first == second else fp[other]
-        a, b = forest(fp[mine], right, radius) if ratio is None else candidates(fp[mine], right, radius, size[order], ratio)
+        a, b = forest(fp[mine], right, radius, sizes=None if ratio is None else size[order], ratio=ratio or 0.0)
         return pa.table({"a": node[order][a], "b": node[order][b]}, schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
 
     return cells.groupBy("cell").applyInArrow(compare, "a long, b long")
@@ -312,36 +316,73 @@ def radius_for(similarity: float, bits: int, deviations: float = 0.0) -> int:
     return round(bits * p + deviations * math.sqrt(bits * p * (1 - p)))
 
 
-def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, similarity: float, shingle: int) -> DataFrame:
-    """Those of ``pairs(a, b)`` whose sets of shingles have the Jaccard similarity; only texts that occur in a pair are read."""
-    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).groupBy("node").agg(F.count("*").alias("n"))
-    need = stored(nodes.join(ends, "node").select("node", "n", F.col("first").alias("doc_id"), "h1", "h2"), "need")
+def verified(docs: DataFrame, nodes: DataFrame, classes: DataFrame, radius: int, similarity: float, shingle: int, lanes: int) -> DataFrame:
+    """``(a, b)``: a spanning forest of the links of exact Jaccard similarity within each of ``classes(node, root)``, which are connected by pairs that SimHash proposes.
+
+    Only texts of classes are read. Small classes meet by several in a group,
+    large ones are cut into blocks, and each pair of blocks is a group: none
+    holds more than a bounded number of texts and shingles, and every proposed pair meets in one.
+    """
+    members = classes.unionByName(classes.select(F.col("root").alias("node"), "root").distinct())
+    need = stored(nodes.join(members, "node").select("node", "root", "size", "fp", F.col("first").alias("doc_id"), "h1", "h2"), "need")
     asked = F.broadcast(need) if need.limit(BROADCAST_TEXTS + 1).count() <= BROADCAST_TEXTS else need
 
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text"):
-                sets = [np.unique(np.array(hashes_of(t, shingle), dtype=np.uint64)).view(np.int64) for t in texts_of(part.column(2))]
-                yield pa.record_batch([part.column(0), part.column(1), pa.array(sets, pa.list_(pa.int64()))], ["node", "n", "set"])
+                sets = [np.unique(np.array(hashes_of(t, shingle), dtype=np.uint64)).view(np.int64) for t in texts_of(part.column(3))]
+                yield pa.record_batch([*part.columns[:3], pa.array(sets, pa.list_(pa.int64()))], ["node", "root", "fp", "set"])
+
+    texts = _keyed(docs).join(asked, ["doc_id", "h1", "h2"]).select("node", "root", "fp", "text")
+    sets = stored(texts.mapInArrow(run, "node long, root long, fp binary, set array<long>").dropDuplicates(["node"]), "sets")
+    classed = sets.groupBy("root").agg(F.count("*").alias("n"), F.sum(F.size("set")).alias("shingles"))
+    blocks = F.greatest(F.ceil(F.col("n") / CHECKED_TEXTS), F.ceil(F.col("shingles") / CHECKED_SHINGLES)).cast("int")
+    sized = stored(classed.withColumn("blocks", blocks), "sized")
+    some = sized.where("blocks = 1").agg(F.sum("n"), F.sum("shingles")).first()
+    bins = max(1, math.ceil((some[0] or 0) / CHECKED_TEXTS), math.ceil((some[1] or 0) / CHECKED_SHINGLES))
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    rows = matched(sets, sized, "root", max(1, need.count())).withColumn("block", block)
+    alone = rows.where("blocks = 1").select(F.lit(None).cast("long").alias("large"), F.pmod(F.xxhash64("root"), F.lit(bins)).cast("int").alias("x"), F.lit(0).alias("y"), "block", "node", "root", "fp", "set")
+    cut = rows.where("blocks > 1").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cells = alone.unionByName(cut.select(F.col("root").alias("large"), F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "node", "root", "fp", "set"))
+
+    def check(key, group):
+        first, second = key[1].as_py(), key[2].as_py()
+        large = key[0].as_py() is not None
+        node, root, block_ = (group.column(c).to_numpy() for c in ("node", "root", "block"))
+        fp = np.frombuffer(b"".join(group.column("fp").to_pylist()), dtype=">u8").reshape(-1, lanes).astype(np.uint64)
+        lists = group.column("set").combine_chunks()
+        lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+        bounds = lists.offsets.to_numpy()
+        flat, sizes = np.asarray(lists.values)[bounds[0] : bounds[-1]], np.diff(bounds)
+        starts = bounds[:-1] - bounds[0]
+        a, b = [], []
+        order = np.lexsort((block_ == second, root)) if large and first != second else np.argsort(root, kind="stable")
+        ends = np.append(np.flatnonzero(np.diff(root[order])) + 1, len(order))
+        at = 0
+        for to in ends:
+            own, at = order[at:to], to
+            if len(own) < 2:
+                continue
+            values = np.concatenate([flat[starts[k] :][: sizes[k]] for k in own])
+            split = int((block_[own] == first).sum()) if large and first != second else None
+            i, j = checked_forest(fp[own], split, _Sets(values, sizes[own]), radius, similarity)
+            a.append(node[own][i])
+            b.append(node[own][j])
+        none = np.zeros(0, dtype=np.int64)
+        return pa.table({"a": np.concatenate([none, *a]), "b": np.concatenate([none, *b])}, schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
 
-    texts = _keyed(docs).join(asked, ["doc_id", "h1", "h2"]).select("node", "n", "text")
-    sets = stored(texts.mapInArrow(run, "node long, n long, set array<long>").dropDuplicates(["node"]), "sets")
-    count = pairs.count()
-    side = lambda end: sets.select(F.col("node").alias(end), "n", F.col("set").alias(f"set_{end}"))
-    with_a = matched(pairs, side("a"), "a", count).drop("n")
-    both = matched(with_a, side("b"), "b", count)
-    common = F.size(F.array_intersect("set_a", "set_b"))
-    return both.where(common >= similarity * (F.size("set_a") + F.size("set_b") - common)).select("a", "b")
+    return cells.groupBy("large", "x", "y").applyInArrow(check, "a long, b long")
 
 
-def deduplicated(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, lanes: int = 2) -> DataFrame:
+def deduplicated(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, lanes: int = 4) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each group the row with the smallest doc_id stays, with all its columns.
 
     SimHash proposes pairs: all pairs of different texts are compared within a
     radius of ``DEVIATIONS`` standard deviations beyond what is expected at
-    ``similarity``. Of each pair of blocks the ``FORESTS`` shortest forests of
-    these pairs are checked by the exact Jaccard similarity of their sets of
-    five-word shingles; groups are connected by checked pairs. Texts without
+    ``similarity``. Each of these pairs is checked by the exact Jaccard similarity
+    of their sets of five-word shingles, unless pairs that were checked connect
+    it already; groups are connected by checked pairs. Texts without
     words are near-duplicates of each other. Rows without doc_id stay. Of rows
     that are equal in doc_id and text one stays; a doc_id that comes with
     different texts is no duplicate by itself. Column names are free.
@@ -349,8 +390,10 @@ def deduplicated(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, lan
     prints = stored(fingerprints(docs, shingle, lanes), "fingerprints")
     distinct = prints.where("doc_id is not null").groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.min("fp").alias("fp"), F.min("size").alias("size"))
     nodes = stored(distinct.withColumn("node", F.monotonically_increasing_id()), "distinct")
-    pairs = stored(links(nodes, lanes, radius_for(similarity, 64 * lanes, DEVIATIONS), similarity).distinct(), "pairs")
-    kept = _classes(nodes, verified(docs, nodes, pairs, similarity, shingle)).where("node = best.node").select(F.col("first").alias("doc_id"), "h1", "h2")
+    radius = radius_for(similarity, 64 * lanes, DEVIATIONS)
+    proposed = stored(components(links(nodes, lanes, radius, similarity)), "proposed")
+    true = stored(verified(docs, nodes, proposed, radius, similarity, shingle, lanes), "pairs")
+    kept = _classes(nodes, true).where("node = best.node").select(F.col("first").alias("doc_id"), "h1", "h2")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.struct("*").alias("doc"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(7), text).alias("h2"))
     stay = rows.join(kept, ["doc_id", "h1", "h2"], "left_semi").dropDuplicates(["doc_id", "h1", "h2"])

@@ -90,7 +90,7 @@ def test_tiles(radius):
     assert (both == label).all()
 
 
-def test_pairs_and_shortest_forests():
+def test_pairs():
     draw = np.random.default_rng(6)
     x = draw.integers(0, 2**64, (300, 2), dtype=np.uint64)
     for k in range(100, 300):
@@ -102,19 +102,64 @@ def test_pairs_and_shortest_forests():
     assert sorted(p[:2] for p in got) == sorted(want) and all(d[i, j] == k for i, j, k in got)
     across = [(i, j) for part in simhash.close_pairs(x[:110], x[110:], 14, 32, sizes, 0.8) for i, j, _ in zip(*part)]
     assert sorted(across) == sorted((i, j) for i, j in want if i < 110 <= j)
-    i, j, k = (np.array(z) for z in zip(*got))
-    for count in (1, 3):
-        a, b, c = simhash.shortest_forests(300, i, j, k, count)
-        # by definition: edges by length, each to the first forest in which it closes no circle
-        roots = [list(range(300)) for _ in range(count)]
-        total = 0
-        for u, v, w in sorted(got, key=lambda e: e[2]):
-            for r in roots:
-                if r[u] != r[v]:
-                    r[:] = [r[u] if y == r[v] else y for y in r]
-                    total += int(w)
-                    break
-        assert c.sum() == total and len(set(zip(a.tolist(), b.tolist()))) == len(a)
+
+
+def test_checked_forest_by_definition():
+    draw = np.random.default_rng(8)
+    sets = [set(draw.integers(0, 60, draw.integers(0, 40)).tolist()) for _ in range(120)] + [set()] * 3
+    sets += [s | {100} for s in sets[:30]]
+    flat, sizes = np.array([x for s in sets for x in sorted(s)], dtype=np.int64), np.array([len(s) for s in sets])
+    fp = np.zeros((len(sets), 2), dtype=np.uint64)
+    for split in (None, 50):
+        pairs = [(i, j) for i in range(len(sets)) for j in range(i + 1, len(sets)) if split is None or i < split <= j]
+        true = [(i, j) for i, j in pairs if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+        a, b = simhash.checked_forest(fp, split, simhash._Sets(flat, sizes), 10, 0.8)
+        root = list(range(len(sets)))
+        for i, j in true:
+            root = [root[i] if x == root[j] else x for x in root]
+        got = list(range(len(sets)))
+        for i, j in zip(a.tolist(), b.tolist()):
+            got = [got[i] if x == got[j] else x for x in got]
+        same = lambda r: {frozenset(k for k in range(len(r)) if r[k] == v) for v in r}
+        assert same(got) == same(root) and len(true) > 20
+
+
+def template(n, seed=4):
+    """``n`` texts of one template, half of them a text with four slots of its own, the others one of these with four more slots changed (a
+    similarity of 0.815); the rest of the pairs are at 0.65 or so. Also which ids stay, from the slots alone."""
+    draw = np.random.default_rng(seed)
+    slots, words = 39, [f"t{k}" for k in range(200)]
+    filled = np.zeros((n, slots), dtype=np.int64)
+    for k in range(n // 2):
+        filled[k, draw.choice(slots, 4, replace=False)] = 1 + k
+        filled[n // 2 + k] = filled[k]
+        filled[n // 2 + k, draw.choice(np.flatnonzero(filled[k] == 0), 4, replace=False)] = n + k
+    root = np.arange(n)
+    # five shingles hold a slot, one none
+    links = 0
+    for i in range(n):
+        common = 1 + 5 * (filled[i] == filled[i + 1 :]).sum(axis=1)
+        for j in i + 1 + np.flatnonzero(common >= 0.8 * (2 * 196 - common)):
+            links += 1
+            a, b = sorted((root[i], root[j]))
+            root[root == b] = a
+    texts = [" ".join(f"x{f}_{k}" if k % 5 == 4 and k < 195 and (f := filled[i, k // 5]) else w for k, w in enumerate(words)) for i in range(n)]
+    return texts, sorted(np.unique(root).tolist()), links
+
+
+@pytest.mark.parametrize(("n", "blocks", "texts"), [(800, 12, 4096), (800, 1, 4096), (800, 12, 100), (4800, 12, 4096)])
+def test_a_template_loses_no_link(spark, monkeypatch, n, blocks, texts):
+    monkeypatch.setattr(simhash, "BLOCKS", blocks)
+    monkeypatch.setattr(simhash, "CHECKED_TEXTS", texts)
+    given, stay, links = template(n)
+    assert links >= n // 2
+    got = sorted(r["doc_id"] for r in simhash.deduplicated(docs(spark, given)).select("doc_id").collect())
+    assert got == stay
+
+
+def test_a_template_by_brute_force():
+    given, stay, _ = template(200)
+    assert jaccard_groups(list(enumerate(given))) == stay
 
 
 def test_components(spark):
