@@ -12,16 +12,16 @@ back to the documents.
 
 from __future__ import annotations
 
+import os
 from array import array
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._shared import slices, stored, texts_of
-from .tokens import _ODD, _ODD_WIDE, PIECES
+from .tokens import _ODD, _ODD_WIDE
 
 #: Up to so many different groups (two hashes and three numbers each) go to all tasks; beyond, they are joined by a shuffle.
 BROADCAST_GROUPS = 1_000_000
@@ -42,21 +42,19 @@ class Tokenizers:
         import sentencepiece
         from tokenizers import Tokenizer
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks are what runs side by side
         self.a = Tokenizer.from_file(a_path)
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         others = [b for b in range(256) if b not in set(own)]
         byte_of = {chr(b): b for b in own} | {chr(0x100 + k): b for k, b in enumerate(others)}
-        self.to_letters = {b: chr(0x100 + k) for k, b in enumerate(others)}
         size = self.a.get_vocab_size(with_added_tokens=True)
         self.a_bytes = [bytes(byte_of[c] for c in self.a.id_to_token(i)) if all(c in byte_of for c in self.a.id_to_token(i)) else b"" for i in range(size)]
         n = self.b.get_piece_size()
         self.b_bytes = [bytes([int(self.b.id_to_piece(i)[3:5], 16)]) if self.b.is_byte(i) else b"" if self.b.is_control(i) else self.b.id_to_piece(i).replace("▁", " ").encode() for i in range(n)]
         self.a_sizes, self.b_sizes = (np.array([len(x) for x in t], dtype=np.int32) for t in (self.a_bytes, self.b_bytes))
         self.cuts = not any("▁" in self.b.id_to_piece(i).lstrip("▁") or "\n" in self.b.id_to_piece(i) for i in range(n))
-        self.pieces = regex.compile(PIECES).findall
-        self.model = self.a.model.tokenize
         self.known: dict[str, tuple[bytes, bytes] | None] = {}
         self.room = cache
 
@@ -71,35 +69,48 @@ class Tokenizers:
             return None
         return array("I", a).tobytes(), array("I", b).tobytes()
 
-    def _part(self, part: str) -> tuple[bytes, bytes] | None:
-        feed = part[:1] == "\n"
-        said = part if feed else f" {part}"
-        a = [t.id for piece in self.pieces(said) for t in self.model(piece.encode().decode("latin-1").translate(self.to_letters))]
-        # B puts a space before what it is given, which is a token of its own before a line feed
-        b = self.b.encode(part)[1:] if feed else self.b.encode(part)
-        want = said.encode()
-        if b"".join([self.a_bytes[i] for i in a]) != want or b"".join([self.b_bytes[i] for i in b]) != want:
+    def _learn(self, parts: list[str], into: dict[str, tuple[bytes, bytes] | None]) -> None:
+        """Ids of parts, by one call of each library; None for parts that either doesn't tell whole."""
+        feeds = [p[:1] == "\n" for p in parts]
+        said = [p if feed else f" {p}" for p, feed in zip(parts, feeds, strict=True)]
+        a_bytes, b_bytes = self.a_bytes.__getitem__, self.b_bytes.__getitem__
+        encodings = self.a.encode_batch_fast(said, add_special_tokens=False)
+        for part, feed, text, encoding, b in zip(parts, feeds, said, encodings, self.b.encode(parts, num_threads=1), strict=True):
+            # B puts a space before what it is given, which is a token of its own before a line feed
+            a, b, want = encoding.ids, b[1:] if feed else b, text.encode()
+            whole = b"".join(map(a_bytes, a)) == want and b"".join(map(b_bytes, b)) == want
+            into[part] = (array("I", a).tobytes(), array("I", b).tobytes()) if whole else None
+
+    def _parts(self, text: str) -> list[str] | None:
+        """Where the text can be cut, else None."""
+        if not self.cuts or text[0] in " \n" or text[-1] in " \n" or any(c in text for c in _ODD) or not text.isascii() and any(c in text for c in _ODD_WIDE):
             return None
-        return array("I", a).tobytes(), array("I", b).tobytes()
+        return text.replace("\n", " \n").split(" ")
 
-    def encode(self, text: str) -> tuple[bytes, bytes] | None:
-        """As ``whole``; None for an empty text too."""
-        if not text:
-            return None
-        if not self.cuts or text[0] in " \n" or text[-1] in " \n" or any(c in text for c in _ODD) or not text.isascii() and any(c in text for c in _ODD_WIDE):
-            return self.whole(text)
-        known, found = self.known, []
-        for part in text.replace("\n", " \n").split(" "):
-            got = known.get(part)
-            if got is None:
-                got = self._part(part)
-                if got is None:
-                    return self.whole(text)
-                if len(known) < self.room:
-                    known[part] = got
-            found.append(got)
-        a, b = zip(*found, strict=True)
-        return b"".join(a), b"".join(b)
+    def encode(self, texts: list[str]) -> list[tuple[bytes, bytes] | None]:
+        """As ``whole`` for each text; None for an empty text too."""
+        cut = [self._parts(t) if t else None for t in texts]
+        known, here = self.known, {}
+        try:
+            self._learn([p for p in {p for parts in cut if parts for p in parts} if p not in known], here)
+        except UnicodeEncodeError:
+            return [self.whole(t) if t else None for t in texts]
+        if len(known) + len(here) <= self.room:
+            known.update(here)
+            here = {}
+        get = known.get if not here else lambda p: known[p] if p in known else here[p]
+        out = []
+        for text, parts in zip(texts, cut, strict=True):
+            if not text:
+                out.append(None)
+                continue
+            found = [get(p) for p in parts] if parts else [None]
+            if None in found:
+                out.append(self.whole(text))
+            else:
+                a, b = zip(*found, strict=True)
+                out.append((b"".join(a), b"".join(b)))
+        return out
 
 
 _PAIRS: dict[tuple[str, str], Tokenizers] = {}
@@ -124,7 +135,7 @@ def tokenised(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
         t = tokenizers_of(a_path, b_path)
         for batch in batches:
             for piece in slices(batch, "text", 2_000_000):
-                found = [t.encode(x) or (b"", b"") for x in texts_of(piece.column(1))]
+                found = [x or (b"", b"") for x in t.encode(texts_of(piece.column(1)))]
                 out = [piece.column(0)]
                 for k, sizes in enumerate((t.a_sizes, t.b_sizes)):
                     counts = np.array([len(x[k]) // 4 for x in found], dtype=np.int64)
@@ -173,9 +184,12 @@ def alignment(docs: DataFrame, a_path: str, b_path: str) -> tuple[DataFrame, Dat
     """Two tables: a stored one of all rows ``(row, doc_id, n_a, n_b, groups)``, and of each different id pair that is linked ``(pair, a, n)``: in how many documents."""
     rows = aligned(tokenised(docs, a_path, b_path)).withColumn("row", F.monotonically_increasing_id())
     made = stored(rows, "aligned", compression="zstd")
-    pairs = F.array_distinct(F.flatten(F.transform(F.array_distinct("groups"), links_of)))
+    # most groups are a token of each, and so a link themselves
+    many = lambda g: F.contains(g, F.lit(","))
+    made = made.withColumn("different", F.array_distinct("groups"))
+    pairs = F.array_union(F.filter("different", lambda g: ~many(g)), F.flatten(F.transform(F.filter("different", many), links_of)))
     counted = made.select(F.explode(pairs).alias("pair")).groupBy("pair").agg(F.count("*").alias("n"))
-    return made, stored(counted.select("pair", F.split_part("pair", F.lit("|"), F.lit(1)).cast("int").alias("a"), "n"), "pairs")
+    return made.drop("different"), stored(counted.select("pair", F.split_part("pair", F.lit("|"), F.lit(1)).cast("int").alias("a"), "n"), "pairs")
 
 
 def report(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:

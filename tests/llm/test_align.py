@@ -96,7 +96,13 @@ ALPHABET = st.sampled_from(list("ab '1.\n\té ́\U0001f600|<>中▁") + ["  ", "
 @given(st.lists(ALPHABET, max_size=14).map("".join))
 def test_parts_encode_as_the_whole(text):
     t = align.tokenizers_of(A, B)
-    assert t.encode(text) == (t.whole(text) if text else None)
+    assert t.encode([text, text, ""]) == [t.whole(text) if text else None] * 2 + [None]
+
+
+def test_no_more_parts_are_kept_than_there_is_room_for():
+    t = align.Tokenizers(A, B, 50)
+    texts = [prose(30, k) for k in range(20)]
+    assert [t.encode([x])[0] for x in texts] == [t.whole(x) for x in texts] and len(t.known) <= 50
 
 
 def test_given_table(spark, data, plain):
