@@ -60,18 +60,29 @@ def by_number(events: DataFrame, kept: DataFrame) -> DataFrame:
 
 
 def by_branch(events: DataFrame, kept: DataFrame, bucket_local: bool = True) -> DataFrame:
-    """Pushes to the branch of a pull request. Where it has commits on record, the push's head must be one of them, or, without head, any of its commits."""
-    branches = kept.where("head_repo_id is not null").select(*KEY, "head_repo_id", "head_shas", F.explode("head_refs").alias("push_ref"))
+    """Pushes to the branch of a pull request. Where it has commits on record, the push's head must be one of them, or, without head, any of its commits.
+
+    Each case is an equi-join of its own, on the commit too where one decides,
+    so a push to a busy branch only meets pull requests that it belongs to.
+    """
+    branches = kept.where("head_repo_id is not null").select(*KEY, F.col("head_repo_id").alias("__repo"), "head_shas", F.explode("head_refs").alias("push_ref"))
+    on_record = F.coalesce(F.size("head_shas"), F.lit(0)) > 0
+    told = branches.where(on_record)
+    by_sha = told.select(*KEY, "__repo", "push_ref", F.explode(F.array_distinct("head_shas")).alias("__sha"))
     pushes = _events(events.where(is_push() & (F.col("push_ref") != "")))
-    joined = pushes.join(branches.withColumnRenamed("head_repo_id", "__repo"), ["__repo", "push_ref"])
-    some = F.size("head_shas") > 0
-    commits = F.coalesce("push_commit_shas", F.array().cast("array<string>"))
-    fits = (
-        F.when((F.coalesce(F.col("push_head"), F.lit("")) != "") & some, F.array_contains("head_shas", F.col("push_head")))
-        .when((F.size(commits) > 0) & some, F.arrays_overlap("head_shas", commits))
-        .otherwise(F.lit(True))
-    )
-    return _same_bucket(joined.where(fits), bucket_local)
+    has_head, has_commits = F.coalesce(F.col("push_head"), F.lit("")) != "", F.coalesce(F.size("push_commit_shas"), F.lit(0)) > 0
+    branch, commit = ["__repo", "push_ref"], ["__repo", "push_ref", "__sha"]
+    columns = [*KEY, *[c for c in pushes.columns if c not in KEY]]
+    by_head = pushes.where(has_head).withColumn("__sha", F.col("push_head")).join(by_sha, commit)
+    # a push without head may share several commits with a pull request, which it belongs to once
+    listed = pushes.where(~has_head & has_commits).withColumn("__push", F.monotonically_increasing_id()).withColumn("__sha", F.explode(F.array_distinct("push_commit_shas")))
+    by_commits = listed.join(by_sha, commit).dropDuplicates(["__push", *KEY])
+    by_neither = pushes.where(~has_head & ~has_commits).join(told.select(*KEY, *branch), branch)
+    no_record = pushes.join(branches.where(~on_record).select(*KEY, *branch), branch)
+    out = by_head.select(*columns)
+    for part in (by_commits, by_neither, no_record):
+        out = out.unionByName(part.select(*columns))
+    return _same_bucket(out, bucket_local)
 
 
 def unique_heads(kept: DataFrame, bucket_local: bool = True) -> DataFrame:

@@ -154,6 +154,48 @@ def s1_archives(spark, sf_dir):
     )
 
 
+def _harmed(spark: SparkSession, root: str, sf_dir: str) -> str:
+    """A copy of a folder of archives: the first is followed by the header of another member that never comes, the second by four bytes that are none."""
+    out, jvm, conf = new_path(spark, "harmed"), spark._jvm, spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path
+    source = path(f"{sf_dir}/events.parquet")
+    held = source.getFileSystem(conf)
+    one = source if held.getFileStatus(source).isFile() else [s.getPath() for s in held.listStatus(source) if s.getPath().getName().endswith(".parquet")][0]
+    for k, name in enumerate(_NAMES[:4]):
+        here, there = path(f"{root}/{name}"), path(f"{out}/{name}")
+        store = here.getFileSystem(conf)
+        if not store.exists(here):
+            continue
+        to = store.create(there, True)
+        more = [(store, here, 10)] if k == 0 else [(held, one, 4)] if k == 1 else []
+        given = store.open(here)
+        jvm.org.apache.hadoop.io.IOUtils.copyBytes(given, to, 65536, False)
+        given.close()
+        for fs, what, size in more:
+            given = fs.open(what)
+            to.write(given.readNBytes(size))
+            given.close()
+        to.close()
+    return out
+
+
+@_query(
+    """SELECT ['a.json.gz', 'b.jsonl.gz', 'c.ndjson.gz', 'd.json.gz'][event_id % 4 + 1] AS file, count(*) AS lines, count(*) FILTER (event_id % 14 = 1) AS bad,
+    CASE event_id % 4 WHEN 0 THEN 'truncated' WHEN 1 THEN 'Error -3 while decompressing data: incorrect header check' END AS reason,
+    (SELECT count(DISTINCT event_id % 4) FROM events WHERE event_id % 4 < 2) AS bad_files FROM events GROUP BY event_id % 4""",
+    lens_sql=False,
+)
+def s1_damaged_archives(spark, sf_dir):
+    """Archives of which two are damaged: all lines before the damage, where and why they end, and how many stage 1 counts."""
+    root = _harmed(spark, _folder(spark, sf_dir), sf_dir)
+    rows = stored(archive.checked(spark, root), "lines")
+    counts = shard.run(spark, root, new_path(spark, "counted"), 16, count_damage=True)
+    bad = F.col("value").isNotNull() & (F.trim("value") != "") & coerce.parsed(F.col("value")).isNull()
+    return rows.groupBy(F.substring_index("path", "/", -1).alias("file")).agg(
+        F.count("value").alias("lines"), F.count_if(bad).alias("bad"), F.max("damage.reason").alias("reason"), F.lit(counts["bad_files"]).cast("long").alias("bad_files")
+    )
+
+
 @_query(
     f"""SELECT CASE WHEN event_id % 14 = 12 THEN 'pr_events' ELSE 'other_events' END AS kind, ((repo_id % 16) + 16) % 16 AS repo_bucket, count(*) AS n
     FROM (SELECT event_id, ({_CASE(1)})::BIGINT AS repo_id FROM events WHERE event_id % 14 IN ({', '.join(map(str, _KEPT))})) GROUP BY ALL""",

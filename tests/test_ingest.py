@@ -133,6 +133,58 @@ def test_budget_of_bad_lines(spark, tmp_path):
     write_gz(tmp_path / "a.json.gz", [opened(1, id="1"), "{", opened(1, id="2"), "{", opened(1, id="3"), "{"])
     rows = archive.within_budget(archive.lines(spark, str(tmp_path)), 2)
     assert sorted(r["event_id"] for r in shard.events(rows, 8).collect()) == ["1", "2"]
+    plan = rows._jdf.queryExecution().toString()
+    assert "Sort" not in plan and "Exchange" not in plan
+
+
+def test_budget_over_many_files_and_batches(spark, tmp_path):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        want = {}
+        for n in range(9):
+            sent = ["{" if (k * (n + 1)) % 5 == 1 else "" if k % 7 == 0 else json.dumps({"k": k}) for k in range(40)]
+            write_gz(tmp_path / f"{n}.json.gz", sent)
+            bad, kept = 0, []
+            for x in sent:
+                if bad < 3:
+                    kept.append(x)
+                bad += x == "{"
+            want[f"{n}.json.gz"] = kept
+        for source in (archive.lines, archive.checked):
+            got = {}
+            for r in archive.within_budget(source(spark, str(tmp_path)), 3).collect():
+                got.setdefault(r["path"].rpartition("/")[2], []).append(r["value"])
+            assert got == want
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_damage_of_files(spark, tmp_path):
+    text = "".join(f"line {k} é\n" for k in range(40_000)).encode()
+    whole = gzip.compress(text)
+    broken = bytearray(whole)
+    broken[len(whole) // 2] ^= 0xFF
+    files = {
+        "ok": whole, "two": gzip.compress(b"a\n") + gzip.compress(b"b\nc"), "padded": gzip.compress(b"a\n") + bytes(600), "cut": whole[: len(whole) // 2], "crc": whole[:-8] + bytes(4) + whole[-4:], "broken": bytes(broken), "not": b"plain", "none": b"",
+        "bomb": gzip.compress(b"x" * 30_000_000 + b"\n"),
+    }
+    for name, raw in files.items():
+        (tmp_path / f"{name}.json.gz").write_bytes(raw)
+    rows = archive.checked(spark, str(tmp_path))
+    name = lambda r: r["path"].rpartition("/")[2].removesuffix(".json.gz")
+    bad = {name(r): r for r in archive.damaged_files(rows).collect()}
+    assert set(bad) == {"cut", "crc", "broken", "not"}
+    assert bad["cut"]["reason"] == "truncated" and "data check" in bad["crc"]["reason"] and "header" in bad["not"]["reason"]
+    assert bad["crc"]["lines"] == 40_000 and bad["crc"]["at"] == len(text) and bad["not"]["lines"] == 0
+    lines_ = {}
+    for r in rows.where("value is not null").collect():
+        lines_.setdefault(name(r), []).append(r["value"])
+    assert lines_["ok"] == text.decode().split("\n")[:-1] and lines_["two"] == ["a", "b", "c"] and lines_["padded"] == ["a"] and len(lines_["bomb"][0]) == 30_000_000
+    # whatever came out before the damage, up to the last complete line
+    assert 0 < bad["cut"]["lines"] == len(lines_["cut"]) and lines_["cut"] == lines_["ok"][: len(lines_["cut"])] and bad["cut"]["at"] < len(text)
+    assert len(lines_["broken"]) > 10_000
+    counts = shard.run(spark, str(tmp_path), str(tmp_path / "out"), buckets=4, count_damage=True)
+    assert counts["bad_files"] == 4 and counts["lines"] == sum(map(len, lines_.values()))
 
 
 def test_stream(spark, tmp_path):
