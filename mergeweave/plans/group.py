@@ -84,7 +84,7 @@ def main(argv: list[str] | None = None) -> None:
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName("mergeweave-group").getOrCreate()
     buckets = sinks.bucket_list(a.buckets)
-    pr, other = (sinks.read_events(spark, f"{a.stage1_dir}/{n}", buckets) for n in ("pr_events", "other_events"))
+    pr, other = (sinks.read_events(spark, sinks.event_table(spark, a.stage1_dir, n), buckets) for n in ("pr_events", "other_events"))
     rows = stored(pull_request_rows(pr, other, a.inference_source), "rows")
     sinks.write_pr_rows(rows, a.out_dir, a.max_rows_per_file, a.compression, parts=a.parts)
 

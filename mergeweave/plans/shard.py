@@ -48,12 +48,14 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--flush-rows", type=int, default=1_000_000, help="rows of a file at most")
     p.add_argument("--keep-extra-json", action="store_true")
     p.add_argument("--max-bad-lines", type=int, help="malformed lines after which a file is left; none by default")
+    p.add_argument("--row-group-rows", type=int, help="rows of a row group at most")
+    p.add_argument("--row-group-size", type=int, help="bytes of a row group")
     p.add_argument("--count-damage", action="store_true", help="count damaged files; a task then holds an archive as it lies in the store")
     p.add_argument("--compression", default="zstd")
     p.add_argument("--parts", type=int, help="tasks that write a table; shuffle partitions by default")
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName("mergeweave-shard").getOrCreate()
-    print(run(spark, a.in_dir, a.out_dir, a.buckets, a.keep_extra_json, a.max_bad_lines, a.count_damage, rows_per_file=a.flush_rows, compression=a.compression, parts=a.parts))
+    print(run(spark, a.in_dir, a.out_dir, a.buckets, a.keep_extra_json, a.max_bad_lines, a.count_damage, rows_per_file=a.flush_rows, compression=a.compression, parts=a.parts, row_group_rows=a.row_group_rows, row_group_bytes=a.row_group_size))
 
 
 if __name__ == "__main__":

@@ -52,7 +52,7 @@ def _tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
         sinks.write_events(_events(spark, sf_dir), root)
         _STAGE1[key] = root
     coerce.configure(spark)
-    return sinks.read_events(spark, f"{_STAGE1[key]}/pr_events"), sinks.read_events(spark, f"{_STAGE1[key]}/other_events")
+    return tuple(sinks.read_events(spark, sinks.event_table(spark, _STAGE1[key], n)) for n in ("pr_events", "other_events"))
 
 
 def _open(pr: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from . import wide
+from . import lens, wide
 from .functions import coerce, events, text
 from .functions import schemas as S
 from .operators import attach, gitops, landed, snapshot
@@ -225,6 +225,40 @@ def s1_files_in_order(spark, sf_dir):
     return rows.groupBy("direct", F.regexp_extract("file", "repo_bucket=([0-9]+)", 1).alias("folder")).agg(F.count("*").alias("n"), F.count_if(F.col("before") > F.col("key")).alias("out_of_order"))
 
 
+@_query("SELECT kind IN ('view', 'click', 'signup') AS direct, lpad((repo_id % 16)::VARCHAR, 4, '0') AS folder, count(*) AS n, 2::BIGINT AS versions FROM e WHERE repo_id % 3 = 0 GROUP BY ALL")
+def s1_second_run(spark, sf_dir):
+    """Both tables written again from a third of the repositories: readers find the second version alone, whole (K1, K3)."""
+    root = new_path(spark, "stage1")
+    rows = stored(shard.events(lens.lines(spark, sf_dir), lens.BUCKETS), "events")
+    for some in (rows, rows.where("repo_id % 3 = 0")):
+        sinks.write_events(some, root)
+    parts = []
+    for name, direct in (("pr_events", True), ("other_events", False)):
+        table = sinks.read_events(spark, sinks.event_table(spark, root, name))
+        parts.append(table.select(F.lit(direct).alias("direct"), F.regexp_extract(F.col("_metadata.file_path"), "repo_bucket=([0-9]+)", 1).alias("folder")))
+    versions = len(sinks.superseded(spark, root)) + 1
+    return parts[0].union(parts[1]).groupBy("direct", "folder").agg(F.count("*").alias("n"), F.lit(versions).cast("long").alias("versions"))
+
+
+@_query(
+    """SELECT direct, count(*) AS n, true AS small, true AS skipped, sum(CASE WHEN repo_id = least THEN 1 ELSE 0 END)::BIGINT AS of_least
+    FROM (SELECT repo_id, kind IN ('view', 'click', 'signup') AS direct, min(repo_id) OVER (PARTITION BY kind IN ('view', 'click', 'signup')) AS least FROM e) GROUP BY direct"""
+)
+def s1_row_groups(spark, sf_dir):
+    """Row groups of 20 rows at most, as footers tell; of those, few may hold the smallest repository id, and a scan for it finds all its rows (K1)."""
+    root = new_path(spark, "groups")
+    sinks.write_events(shard.events(lens.lines(spark, sf_dir), lens.BUCKETS), root, row_group_rows=20)
+    parts = []
+    for name, direct in (("pr_events", True), ("other_events", False)):
+        at = sinks.event_table(spark, root, name)
+        groups = stored(sinks.row_groups(spark, at, "repo_id"), "footers")
+        least = groups.agg(F.min("least")).first()[0]
+        found = sinks.read_events(spark, at).where(F.col("repo_id") == F.lit(least)).agg(F.count("*").alias("of_least"))
+        shown = groups.agg(F.sum("rows").alias("n"), (F.max("rows") <= 20).alias("small"), (2 * F.count_if(F.lit(least).between(F.col("least"), F.col("most"))) < F.count("*")).alias("skipped"))
+        parts.append(shown.join(F.broadcast(found)).select(F.lit(direct).alias("direct"), "n", "small", "skipped", "of_least"))
+    return parts[0].union(parts[1])
+
+
 @_query("SELECT repo_id % 16 AS repo_bucket, type, count(*) AS n FROM e WHERE kind IN ('purchase', 'error') AND repo_id % 16 IN (3, 5, 11) GROUP BY ALL")
 def s2_bucket_scan(spark, sf_dir):
     """Some columns of some buckets, named in a list; other folders aren't opened."""

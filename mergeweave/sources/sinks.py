@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import schemas as S
+from . import commits
 from .scratch import stored
 
 
@@ -19,20 +20,23 @@ def _bucketed(df: DataFrame) -> DataFrame:
     return df.withColumn("repo_bucket", F.format_string("%04d", F.col("repo_bucket").cast("int")))
 
 
-def write_bucketed(df: DataFrame, path: str, order: list, rows_per_file: int, compression: str = "zstd", mode: str = "overwrite", parts: int | None = None) -> None:
+def write_bucketed(df: DataFrame, path: str, order: list, rows_per_file: int, compression: str = "zstd", mode: str = "overwrite", parts: int | None = None, row_group_rows: int | None = None, row_group_bytes: int | None = None, look_up: tuple[str, ...] = ()) -> None:
     """One folder for each bucket, rows in ``order`` within files.
 
     Rows are range-partitioned by bucket and order, so a hot bucket, and a hot
     repository in it, spreads over as many tasks as its rows need; small buckets
     share one. Ranges come from a sample of the rows, so ``df`` should be a
     table. parts: number of ranges, that of shuffle partitions if None.
+    row_group_rows, row_group_bytes: what a row group holds at most. look_up:
+    columns with Bloom filters, by which readers skip row groups that lack a value.
     """
     keys = ["repo_bucket", *order]
     # the folder's name is what is sorted by: else the writer would sort once more, by the folder alone
     named = _bucketed(df)
     dealt = named.repartitionByRange(parts, *keys) if parts else named.repartitionByRange(*keys)
     writer = dealt.sortWithinPartitions(*keys).write.partitionBy("repo_bucket").option("compression", compression).option("partitionOverwriteMode", "dynamic")
-    writer.option("maxRecordsPerFile", rows_per_file).mode(mode).parquet(path)
+    limits = {"parquet.block.row.count.limit": row_group_rows, "parquet.block.size": row_group_bytes} | {f"parquet.bloom.filter.enabled#{c}": "true" for c in look_up}
+    writer.options(**{k: v for k, v in limits.items() if v is not None}).option("maxRecordsPerFile", rows_per_file).mode(mode).parquet(path)
 
 
 def append_bucketed(df: DataFrame, path: str, order: list, rows_per_file: int, compression: str = "zstd") -> None:
@@ -46,19 +50,62 @@ def scan_order() -> list:
     return [F.coalesce("repo_id", F.lit(-1)), F.coalesce("created_at", F.lit("")), F.coalesce("event_id", F.lit(""))]
 
 
-def write_events(events: DataFrame, root: str, rows_per_file: int = 1_000_000, compression: str = "zstd", parts: int | None = None) -> DataFrame:
-    """``pr_events`` for types with a number of their own, ``other_events`` for all others.
+def write_events(events: DataFrame, root: str, rows_per_file: int = 1_000_000, compression: str = "zstd", parts: int | None = None, row_group_rows: int | None = None, row_group_bytes: int | None = None) -> DataFrame:
+    """``pr_events`` for types with a number of their own, ``other_events`` for all others, as the new version of both in one commit.
 
     Lines are parsed and typed once: what comes of it is stored, then sampled,
-    split and sorted. Returns the stored rows, unsorted.
+    split and sorted. Returns the stored rows, unsorted. Readers see the version
+    before until both tables are there, then both new ones; nothing of
+    an earlier version is left in what they see. ``superseded`` names what may be removed.
     """
+    spark, commit = events.sparkSession, commits.new_commit()
     typed = stored(events, "typed")
     direct = F.col("type").isin(S.DIRECT_TYPES)
-    write_bucketed(typed.where(direct), f"{root}/pr_events", scan_order(), rows_per_file, compression, parts=parts)
-    write_bucketed(typed.where(~direct), f"{root}/other_events", scan_order(), rows_per_file, compression, parts=parts)
+    for name, which in (("pr_events", direct), ("other_events", ~direct)):
+        write_bucketed(
+            typed.where(which), f"{commits.folder(root, commit)}/{name}", scan_order(), rows_per_file, compression, parts=parts, row_group_rows=row_group_rows, row_group_bytes=row_group_bytes,
+            look_up=("repo_id", "join_sha"),
+        )
+    n = typed.count()
+    commits.record(spark, root, commit, [(None, n, n)])
     return typed
 
 
+def event_table(spark: SparkSession, root: str, name: str) -> str:
+    """Where the current version of ``pr_events`` or ``other_events`` below ``root`` lies; tables that a stream appends to have no versions."""
+    last = commits.log(spark, root).where("repo_bucket is null").orderBy(F.desc("at")).select("commit").first()
+    return f"{commits.folder(root, last[0])}/{name}" if last else f"{root}/{name}"
+
+
+def superseded(spark: SparkSession, root: str) -> list[str]:
+    """Folders of earlier versions, which may be removed once nobody reads them."""
+    names = [r[0] for r in commits.log(spark, root).where("repo_bucket is null").orderBy("at").select("commit").collect()]
+    return [commits.folder(root, n) for n in names[:-1]]
+
+
+def row_groups(spark: SparkSession, path: str, column: str) -> DataFrame:
+    """``(file, row_group, rows, least, most)`` of the Parquet files below ``path``, from their footers: what readers skip row groups by. A task holds a file."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path).select("path", "content")
+    names = ["file", "row_group", "rows", "least", "most"]
+
+    def run(batches):
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+
+        for batch in batches:
+            for file, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                meta = pq.ParquetFile(pa.BufferReader(content.as_buffer())).metadata
+                rows = []
+                for k in range(meta.num_row_groups):
+                    group = meta.row_group(k)
+                    told = next(c.statistics for c in map(group.column, range(group.num_columns)) if c.path_in_schema == column)
+                    some = told is not None and told.has_min_max
+                    rows.append((file, k, group.num_rows, told.min if some else None, told.max if some else None))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int64()], strict=True)], names)
+
+    return files.mapInArrow(run, "file string, row_group int, rows long, least long, most long")
+
+
 def read_bucketed(spark: SparkSession, path: str, schema=None, buckets: list[int] | None = None) -> DataFrame:
     """The table with an int bucket; only folders of ``buckets`` are read if given."""
     reader = spark.read.schema(schema) if schema is not None else spark.read

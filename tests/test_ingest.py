@@ -1,5 +1,6 @@
 import gzip
 import json
+import os
 
 import pytest
 from hypothesis import given, settings
@@ -118,14 +119,15 @@ def test_sources_and_tables(spark, tmp_path):
     assert archive.line_statistics(archive.lines(spark, str(tmp_path / "in"), "*.json.gz")).first()[:] == (3, 1)
     counts = shard.run(spark, str(tmp_path / "in"), str(tmp_path / "out"), buckets=8)
     assert counts["lines"] >= 3 and counts["bad_lines"] >= 1 and counts["kept_pr"] + counts["kept_other"] == counts["events_kept"]
-    pr = sinks.read_events(spark, str(tmp_path / "out/pr_events"))
+    at_ = sinks.event_table(spark, str(tmp_path / "out"), "pr_events")
+    pr = sinks.read_events(spark, at_)
     ids = {r["event_id"] for r in pr.collect()}
     assert {"1", "3", "z0"} <= ids and "4" not in ids and "2" not in ids
-    assert (tmp_path / "out/pr_events/repo_bucket=0007").is_dir()
-    assert [r["repo_bucket"] for r in sinks.buckets_of(spark, str(tmp_path / "out/pr_events")).collect()] == [2, 7]
-    one = sinks.read_events(spark, str(tmp_path / "out/pr_events"), [7])
+    assert os.path.isdir(f"{at_}/repo_bucket=0007")
+    assert [r["repo_bucket"] for r in sinks.buckets_of(spark, at_).collect()] == [2, 7]
+    one = sinks.read_events(spark, at_, [7])
     assert {r["event_id"] for r in one.collect()} == {"3"}
-    assert "PartitionFilters: [" in one._jdf.queryExecution().toString() and sinks.row_count(spark, str(tmp_path / "out/other_events")) == 1
+    assert "PartitionFilters: [" in one._jdf.queryExecution().toString() and sinks.row_count(spark, sinks.event_table(spark, str(tmp_path / "out"), "other_events")) == 1
     assert sinks.bucket_list(" 3,1,,3") == [3, 1] and sinks.bucket_list("") is None
 
 
