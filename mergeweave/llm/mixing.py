@@ -3,21 +3,26 @@
 A source with n documents and the target share w of a mixture of ``size``
 documents gets the mean repetition rate w * size / n. How often a document
 occurs is the inverse of the Poisson distribution with that mean at a number
-that is hashed from the seed and the doc_id: the same in every run, on every
-layout of the rows, and without any state. Rows are exploded by their counts and
-dealt over the cluster by another hash.
+that is hashed from the seed and what the document is: its doc_id, its text and,
+among rows that are equal in both, its place. So each row has a draw of its own, the same in every run and on
+every layout of the rows, without any state. Rows are exploded by their counts
+and dealt over the cluster by another hash of the same, which no two copies share.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ._shared import stored
+
 SEED = 42
 #: Mean of one draw at most; a larger mean is the sum of several draws, each with a hash of its own, which is a Poisson number again.
 LARGEST = 512.0
 #: Up to so many cumulative probabilities (8 bytes each) of all sources go to all tasks; beyond, they are joined by a shuffle.
 BROADCAST_NUMBERS = 2_000_000
+#: Up to so many groups of rows that are equal in doc_id and text (50 bytes each) go to all tasks; beyond, they are joined by a shuffle.
+BROADCAST_TWINS = 200_000
 
 
 def uniform(seed: int, *keys: Column) -> Column:
@@ -64,23 +69,46 @@ def distribution(rate: Column) -> Column:
     return F.when(rate > 0, cdf).otherwise(F.array(F.lit(2.0)))
 
 
-def copies(docs: DataFrame, weights: dict[str, float] | None = None, power: float = 0.5, size: int | None = None, seed: int = SEED) -> DataFrame:
-    """``(doc, copies)``: each row of ``docs`` as a struct, and how often it is to occur.
+def identified(docs: DataFrame) -> DataFrame:
+    """``(doc, source, identity)`` of each row: a text that no other row has, of doc_id, a hash of the text and, from the second on, the place among rows equal in both.
 
-    Rows that share a doc_id, and rows without one, get the same number from the
-    hash; with another source they may differ in counts.
+    Places go from 1 to the number of such rows on any layout. Only rows that
+    have equals are numbered: within each task that read them, after those that
+    tasks before it read, so a large group stays spread.
     """
+    th = F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"))
+    rows = docs.select(F.struct("*").alias("doc"), F.col("doc_id").cast("string").alias("id"), F.col("source"), th.alias("th"))
+    twins = stored(rows.groupBy("id", "th").agg(F.count("*").alias("n")).where("n > 1").select(F.col("id").alias("t_id"), F.col("th").alias("t_th")), "twins")
+    few = twins.limit(BROADCAST_TWINS + 1).count()
+    named = F.concat_ws(":", F.coalesce("id", F.lit("")), "th")
+    if not few:
+        return rows.select("doc", "source", named.alias("identity"))
+    same = F.col("id").eqNullSafe(F.col("t_id")) & (F.col("th") == F.col("t_th"))
+    twins = F.broadcast(twins) if few <= BROADCAST_TWINS else twins
+    alone = rows.join(twins, same, "left_anti").select("doc", "source", named.alias("identity"))
+    equal = stored(rows.join(twins, same, "left_semi").withColumn("task", F.spark_partition_id()), "equal")
+    counts = equal.groupBy("id", "th", "task").agg(F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("id", "th").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = counts.select(F.col("id").alias("s_id"), F.col("th").alias("s_th"), F.col("task").alias("s_task"), before.alias("before"))
+    numbered = equal.withColumn("nth", F.row_number().over(Window.partitionBy("id", "th", "task").orderBy(F.lit(0))))
+    placed = numbered.join(starts, F.col("id").eqNullSafe(F.col("s_id")) & (F.col("th") == F.col("s_th")) & (F.col("task") == F.col("s_task")))
+    place = F.col("before") + F.col("nth")
+    return alone.unionByName(placed.select("doc", "source", F.concat_ws(":", named, F.when(place > 1, place.cast("string"))).alias("identity")))
+
+
+def copies(docs: DataFrame, weights: dict[str, float] | None = None, power: float = 0.5, size: int | None = None, seed: int = SEED) -> DataFrame:
+    """``(doc, identity, copies)``: each row of ``docs`` as a struct, what tells it from others, and how often it is to occur."""
     rated = rates(docs, weights, power, size).withColumn("draws", F.greatest(F.lit(1), F.ceil(F.col("rate") / LARGEST)).cast("int"))
     cdfs = rated.select(F.col("source").alias("of"), "draws", distribution(F.col("rate") / F.col("draws")).alias("cdf"))
     if (cdfs.agg(F.sum(F.size("cdf") + 4)).first()[0] or 0) <= BROADCAST_NUMBERS:
         cdfs = F.broadcast(cdfs)
-    rows = docs.select(F.struct("*").alias("doc"), F.col("doc_id").alias("id"), F.col("source").alias("from"))
+    rows = identified(docs).withColumnRenamed("source", "from")
     # the first draw's key is the document's alone
-    drawn = F.transform(F.sequence(F.lit(1), F.col("draws")), lambda j: uniform(seed, F.col("id"), F.when(j > 1, j)))
+    drawn = F.transform(F.sequence(F.lit(1), F.col("draws")), lambda j: uniform(seed, F.col("identity"), F.when(j > 1, j)))
     count = lambda u: F.size(F.filter("cdf", lambda c: c <= u))
     total = F.aggregate(F.col("drawn"), F.lit(0), lambda n, u: n + count(u))
     joined = rows.join(cdfs, F.col("from").eqNullSafe(F.col("of"))).withColumn("drawn", drawn)
-    return joined.select("doc", F.when(F.element_at("cdf", 1) > 1, F.lit(0)).otherwise(total).alias("copies"))
+    return joined.select("doc", "identity", F.when(F.element_at("cdf", 1) > 1, F.lit(0)).otherwise(total).alias("copies"))
 
 
 def mixed(docs: DataFrame, weights: dict[str, float] | None = None, power: float = 0.5, size: int | None = None, seed: int = SEED) -> DataFrame:
@@ -88,14 +116,14 @@ def mixed(docs: DataFrame, weights: dict[str, float] | None = None, power: float
 
     Rows go to a part by their key's hash and are sorted by it there, so the
     parts one after the other are a random order of the whole. Repeated rows
-    occur each as often as the number for their doc_id has it. Null texts and
-    sources are kept as they are, texts may be of any length. An empty table
+    and rows without doc_id have a draw each. Null texts (which count as empty
+    for the draw) and sources are kept as they are, texts may be of any length. An empty table
     gives an empty mixture. Columns of the input named ``copy`` or
     ``shuffle_key`` are replaced; all other names may occur.
     """
     counted = copies(docs, weights, power, size, seed).where("copies > 0")
-    exploded = counted.select("doc", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
-    text = F.concat_ws(":", F.lit(str(seed)), F.lit("order"), F.coalesce(F.col("doc.doc_id").cast("string"), F.lit("")), F.col("copy").cast("string"))
+    exploded = counted.select("doc", "identity", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
+    text = F.concat_ws(":", F.lit(str(seed)), F.lit("order"), "identity", F.col("copy").cast("string"))
     keyed = exploded.withColumn("shuffle_key", F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("long"))
     dealt = keyed.repartition("shuffle_key").sortWithinPartitions("shuffle_key", "doc.doc_id", "copy")
     return dealt.select(*[F.col("doc").getField(c).alias(c) for c in docs.columns if c not in ("copy", "shuffle_key")], "copy", "shuffle_key")

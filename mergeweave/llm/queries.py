@@ -109,12 +109,16 @@ cdf AS (
     SELECT source, rate, k + 1, lf + ln(k + 1), p + exp((k + 1) * ln(rate) - rate - (lf + ln(k + 1)))
     FROM cdf WHERE k < ceil(rate + 12 * sqrt(rate) + 30)
 ),
-u AS (SELECT *, ('0x' || substr(md5('42:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u FROM documents),
+named AS (
+    SELECT *, coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, '')) || CASE WHEN place > 1 THEN ':' || place ELSE '' END AS identity
+    FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, coalesce(text, '')) AS place FROM documents)
+),
+u AS (SELECT *, ('0x' || substr(md5('42:' || identity), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u FROM named),
 counted AS (
-    SELECT doc_id, text, lang, source, n_chars, (SELECT count(*) FROM cdf WHERE cdf.source IS NOT DISTINCT FROM u.source AND cdf.p <= u.u) AS copies FROM u
+    SELECT doc_id, text, lang, source, n_chars, identity, (SELECT count(*) FROM cdf WHERE cdf.source IS NOT DISTINCT FROM u.source AND cdf.p <= u.u) AS copies FROM u
 )
 SELECT doc_id, text, lang, source, n_chars, copy::INTEGER AS copy,
-    ('0x' || substr(md5('42:order:' || coalesce(doc_id::VARCHAR, '') || ':' || copy), 1, 13))::BIGINT AS shuffle_key
+    ('0x' || substr(md5('42:order:' || identity || ':' || copy), 1, 13))::BIGINT AS shuffle_key
 FROM (SELECT *, unnest(range(1, copies + 1)) AS copy FROM counted WHERE copies > 0)
 """
 

@@ -8,6 +8,7 @@ from mergeweave.llm import decontaminate, mixing, quality
 from .helpers import ODD, ODD_IDS, SCHEMA, docs
 from .test_decontaminate import brute_tiles
 from .test_mixing import brute as poisson
+from .test_mixing import name as identity
 from .test_simhash import jaccard_groups
 
 
@@ -40,7 +41,7 @@ def test_stages(spark, data):
             assert bad and {r["doc_id"] for r in done.collect()} == {r["doc_id"] for r in before.collect()} - bad
         elif name == "mixing sources":
             rates = {r["source"]: r["rate"] for r in mixing.rates(before).collect()}
-            want = Counter({r["doc_id"]: n for r in before.collect() if (n := poisson(r["doc_id"], rates[r["source"]]))})
+            want = Counter({r["doc_id"]: n for r in before.collect() if (n := poisson(identity(r["doc_id"], r["text"]), rates[r["source"]]))})
             assert Counter(r["doc_id"] for r in done.collect()) == want
         else:
             got = sorted(done.collect(), key=lambda r: r["start"])
