@@ -17,6 +17,7 @@ from .registry import _ROWS, _query, _repository, _tables
 from .sources import archive, commits, sinks
 from .sources.scratch import new_path, stored
 from .streaming import ingest
+from .streaming import snapshots as kept
 
 
 def _wide(spark: SparkSession, sf_dir: str, keep_extra: bool = False, columns: list[str] | None = None) -> DataFrame:
@@ -225,6 +226,25 @@ def s1_files_in_order(spark, sf_dir):
     return rows.groupBy("direct", F.regexp_extract("file", "repo_bucket=([0-9]+)", 1).alias("folder")).agg(F.count("*").alias("n"), F.count_if(F.col("before") > F.col("key")).alias("out_of_order"))
 
 
+@_query("SELECT repo_id, pr::BIGINT AS pr_number, k % 3 = 0 AS merged, sha AS head_sha, 'T' || k AS title, updated_at, array_to_string(participants, ',') AS participants, true AS several FROM snap")
+def s2_stream_snapshots(spark, sf_dir):
+    """The latest snapshots kept over a stream of the direct events, some files a trigger, later events first (A1, A4)."""
+    pr, _ = _tables(spark, sf_dir)
+    source, out = new_path(spark, "late"), new_path(spark, "kept")
+    # files by time, the last of them first: what comes later has to leave what came before alone
+    late = pr.repartitionByRange(6, F.desc("created_at")).withColumn("file", F.spark_partition_id())
+    late.write.partitionBy("file").parquet(f"{source}-made")
+    for k in range(6):
+        spark.read.schema(S.EVENT).parquet(f"{source}-made/file={k}").coalesce(1).write.mode("append").parquet(source)
+    kept.start(kept.events(spark, source, files_per_trigger=1), out, new_path(spark, "state")).awaitTermination()
+    triggers = spark.read.parquet(out).agg(F.countDistinct("trigger")).first()[0]
+    snap = F.col("pull_request")
+    return kept.current(spark, out).select(
+        "repo_id", "pr_number", snap["merged"].alias("merged"), snap["head"]["sha"].alias("head_sha"), snap["title"].alias("title"), snap["updated_at"].alias("updated_at"),
+        F.array_join("participants", ",").alias("participants"), F.lit(triggers > 1).alias("several"),
+    )
+
+
 @_query("SELECT kind IN ('view', 'click', 'signup') AS direct, lpad((repo_id % 16)::VARCHAR, 4, '0') AS folder, count(*) AS n, 2::BIGINT AS versions FROM e WHERE repo_id % 3 = 0 GROUP BY ALL")
 def s1_second_run(spark, sf_dir):
     """Both tables written again from a third of the repositories: readers find the second version alone, whole (K1, K3)."""
