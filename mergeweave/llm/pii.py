@@ -154,8 +154,14 @@ def _same(rank: Column, value: Column) -> Column:
 
 
 def _group(rank: Column, value: Column) -> Column:
-    """What an entity belongs to: an address's domain, an IP's first three numbers. Issuers of cards and areas of phones are nobody's; null."""
-    return F.when(rank == 0, F.lower(F.substring_index(value, "@", -1))).when(rank == 1, F.substring_index(value, ".", 3))
+    """What an entity belongs to: an address's domain, an IP's first three numbers, the first six digits of a card, a phone's digits less the last seven."""
+    digits = _digits(value)
+    return (
+        F.when(rank == 0, F.lower(F.substring_index(value, "@", -1)))
+        .when(rank == 1, F.substring_index(value, ".", 3))
+        .when(rank == 2, F.substring(digits, 1, 6))
+        .otherwise(F.substring(digits, F.lit(1), F.length(digits) - 7))
+    )
 
 
 def _words(text: Column) -> Column:
@@ -179,9 +185,9 @@ def disclosures(docs: DataFrame, found: DataFrame) -> DataFrame:
     spans = found.where(F.size("spans") > 0).select("doc_id", "th", F.explode("spans").alias("s")).select("doc_id", "th", "s.*")
     entity = F.struct(F.lit(0).alias("level"), "rank", _same(F.col("rank"), F.col("value")).alias("value"))
     belongs = F.struct(F.lit(1).alias("level"), "rank", _group(F.col("rank"), F.col("value")).alias("value"))
-    base = stored(spans.select("doc_id", "th", F.xxhash64("left", "right").alias("context"), F.xxhash64(entity).alias("own"), F.when(F.col("rank") < 2, F.xxhash64(belongs)).alias("of")).distinct(), "base")
+    base = stored(spans.select("doc_id", "th", F.xxhash64("left", "right").alias("context"), F.xxhash64(entity).alias("own"), F.xxhash64(belongs).alias("of")).distinct(), "base")
     # what one entity alone belongs to tells no more than the entity
-    shared = base.where("of is not null").groupBy("of").agg(F.min("own").alias("a"), F.max("own").alias("b")).where("a <> b").select("of")
+    shared = base.groupBy("of").agg(F.min("own").alias("a"), F.max("own").alias("b")).where("a <> b").select("of")
     one, more = base.select("doc_id", "th", "context", F.col("own").alias("e")), base.join(shared, "of", "left_semi").select("doc_id", "th", "context", F.col("of").alias("e"))
     near = stored(one.unionByName(more).distinct(), "near")
     rows = docs.count()
@@ -198,17 +204,28 @@ def disclosures(docs: DataFrame, found: DataFrame) -> DataFrame:
     # No term of an entity has less chance than one that is in all of its texts and nowhere else. Where that one would
     # not pass, as in every entity of a single text unless the corpus has many times more documents than there are tests, none can.
     entity = stored(entity.where(_chance(F.col("all_e"), F.col("all_e"), F.col("all_e") / rows) <= level + 1e-9), "entities")
-    # Texts go to their entity as lists of terms, those of an entity with many texts in several parts by the terms' hash,
-    # and are counted there: lists are far smaller than rows of an entity and a term.
+    # A term occurs in as many documents at least as it stands beside any entity in. An entity's own frequency bounds
+    # what stands beside it, so a term's ratio reaches the threshold only if its frequency is at most this; common words drop
+    # out before texts go to entities, and no term that qualifies can.
+    most = lambda df_e: F.pow(F.lit(float(max(rows, 1))), F.lit(1 - GENERALISE_AT)) * F.pow(df_e, F.lit(GENERALISE_AT)) * (1 + 1e-9)
+    largest = entity.agg(most(F.max("df_e"))).first()[0] or 0.0
+    holders = near.select("doc_id", "th").distinct().groupBy("th").agg(F.count("*").alias("times"))
+    words_beside = held.join(holders, "th").select("th", "times", F.explode("terms").alias("term"))
+    beside = words_beside.groupBy("term").agg(F.sum("times").alias("least_t")).where(F.col("least_t") <= largest)
+    rare = stored(words_beside.join(beside, "term").groupBy("th").agg(F.collect_list(F.struct("term", "least_t")).alias("terms")), "rare")
+    # Texts go to their entity as lists of the terms that may tell of it, those of an entity with many texts in several
+    # parts by the terms' hash, and are counted there: lists are far smaller than rows of an entity and a term.
     spread = F.least(F.lit(PARTS), F.ceil(F.col("df_e") / TEXTS)).cast("int")
-    dealt = pairs.join(entity.select("e", spread.alias("parts")), "e").join(held, "th").select("e", "n", "k", "terms", "parts", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    mine = F.when(F.col("parts") == 1, F.col("terms")).otherwise(F.filter("terms", lambda t: F.pmod(F.hash(t), F.col("parts")) == F.col("part")))
+    dealt = pairs.join(entity.select("e", most(F.col("df_e")).alias("most"), spread.alias("parts")), "e").join(rare, "th")
+    dealt = dealt.select("e", "n", "k", F.filter("terms", lambda t: t["least_t"] <= F.col("most")).alias("terms"), "parts").where(F.size("terms") > 0)
+    dealt = dealt.select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    mine = F.when(F.col("parts") == 1, F.col("terms")).otherwise(F.filter("terms", lambda t: F.pmod(F.hash(t["term"]), F.col("parts")) == F.col("part")))
     joint = (
         dealt.select("e", "part", "n", "k", mine.alias("terms"))
         .repartition("e", "part")
-        .select("e", "part", "n", "k", F.explode("terms").alias("term"))
-        .groupBy("e", "part", "term")
-        .agg(F.sum("n").alias("n"), F.sum("k").cast("double").alias("k"))
+        .select("e", "part", "n", "k", F.explode("terms").alias("t"))
+        .groupBy("e", "part", F.col("t.term").alias("term"))
+        .agg(F.sum("n").alias("n"), F.sum("k").cast("double").alias("k"), F.max("t.least_t").alias("least_t"))
         .drop("part")
     )
 
@@ -221,14 +238,7 @@ def disclosures(docs: DataFrame, found: DataFrame) -> DataFrame:
         e, t = F.col("all_e"), F.col(df_t).cast("double")
         return F.least(_chance(F.col("k"), e, t / rows), _chance(F.col("k"), t, e / rows)) <= level
 
-    # A term occurs in as many documents at least as it stands beside any entity in. Common words are beside many, and
-    # drop out by this bound of the ratio before their occurrences are counted; no term that qualifies can.
-    possible = stored(joint.join(entity, "e").where(beyond_chance("n")).select("term", "n", "df_e", "k", "all_e"), "possible")
-    named = possible.select("term").distinct()
-    named = F.broadcast(named) if named.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS else named
-    words_beside = near.select("doc_id", "th").distinct().join(held, "th").select(F.explode("terms").alias("term"))
-    beside = words_beside.join(named, "term").groupBy("term").agg(F.count("*").alias("least_t"))
-    likely = possible.join(beside, "term").where((ratio("least_t") >= GENERALISE_AT) & beyond_chance("least_t"))
+    likely = joint.join(entity, "e").where((ratio("least_t") >= GENERALISE_AT) & beyond_chance("least_t"))
     likely = stored(likely.select("term", "n", "df_e", "k", "all_e"), "likely")
     terms = likely.select("term").distinct()
     size = terms.limit(BROADCAST_TERMS + 1).count()
