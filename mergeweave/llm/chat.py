@@ -167,6 +167,8 @@ def digests(table: DataFrame, path: str) -> DataFrame:
 
     A conversation's digest runs over its turns one after the other, so its
     chunks, in order, meet in one task, which holds one of them at a time.
+    Conversations without an assistant's turn have no loss: zero, and the hash of
+    an empty string. The one without conv_id has a row too. An empty table gives an empty result.
     """
     names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
 

@@ -177,7 +177,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, l
     (one item at least), one pass over the documents for each. Where there are
     several blocks, the result of one is stored before the next is read, so
     that neither driver nor tasks hold more than one. Documents are never
-    shuffled.
+    shuffled. An empty table on either side gives an empty result.
     """
     schema = "doc_id long, item_id long, coverage double, n_tiles int"
     names = ["doc_id", "item_id", "coverage", "n_tiles"]
@@ -218,7 +218,12 @@ def _blocks(benchmark: DataFrame):
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, least: int = LEAST) -> DataFrame:
-    """The rows of ``docs``, all columns, that no benchmark item is covered in; the blocks of the benchmark filter one after the other, what is left being stored in between."""
+    """The rows of ``docs``, all columns, that no benchmark item is covered in; the blocks of the benchmark filter one after the other, what is left being stored in between.
+
+    Null and empty texts, and rows without doc_id, stay unless a text matches.
+    Rows that repeat stay or go alike. Texts are compared whole, however long.
+    Column names are free. An empty table gives an empty one, an empty benchmark leaves all rows.
+    """
 
     def pass_of(block, left):
         def run(batches):

@@ -7,7 +7,7 @@ many grows with the square root of the corpus, as vocabularies do. Rarer words
 share leaves by hash, and within a leaf go by their counts, which are those of
 the whole corpus.
 
-Leaves hang on a Huffman tree of 64 branches. A word's probability is the
+Leaves hang on a Huffman tree of 32 branches. A word's probability is the
 product of the choices on its path, one softmax each, so all words add up to 1
 without a sum over the vocabulary. At the start choices follow the counts, and
 the network predicts each word by its frequency. Executors then train on all

@@ -286,6 +286,8 @@ def spans(docs: DataFrame) -> DataFrame:
     spans: base spans ``(start, rank, end, value, left, right)``, rank by
     ``KINDS``. terms: disclosing terms ``(start, end, removed, shape)`` outside
     base spans. Null and empty texts have none. Rows that repeat each have a result.
+    Texts are searched whole, however long. Other columns are ignored, whatever
+    their names; an empty table gives an empty result.
     """
     found = stored(entities(docs), "spans")
     terms = stored(disclosures(docs, found), "terms")
@@ -336,7 +338,11 @@ def _listed(items: Column) -> Column:
 
 
 def digests(marks: DataFrame) -> DataFrame:
-    """``(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans)`` of the result of ``spans``."""
+    """``(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans)`` of the result of ``spans``, a row for each of its rows.
+
+    Without spans counts are zero, the hash is that of an empty string and the
+    list is empty, for null and empty texts too. An empty table gives an empty result.
+    """
     kinds = F.array(*map(F.lit, KINDS))
     base = F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end"), F.element_at(kinds, s["rank"] + 1).alias("kind")))
     terms = F.transform("terms", lambda t: F.struct(t["start"].alias("start"), F.lit(len(KINDS)).alias("rank"), t["end"].alias("end"), F.lit("term").alias("kind")))

@@ -161,7 +161,12 @@ def scored(docs: DataFrame, trees: Trees) -> DataFrame:
 
 
 def accepted(docs: DataFrame, trees: Trees) -> DataFrame:
-    """The rows of ``docs``, all columns, whose text scores 0.5 or more."""
+    """The rows of ``docs``, all columns, whose text scores 0.5 or more.
+
+    A null text is scored as an empty one. Texts are scored whole, however long.
+    Rows that repeat stay or go alike, rows without doc_id are rows like others.
+    Column names are free; an empty table gives an empty one.
+    """
     schema = docs.schema
 
     def run(batches):

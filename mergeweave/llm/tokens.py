@@ -207,7 +207,9 @@ def read_back(table: DataFrame) -> DataFrame:
     """``(doc_id, start, n_tokens, ids_crc32)`` of each document, from the images of a table of shards.
 
     start counts the ids of all documents before it. The only thing that meets
-    in one place is a number for each part.
+    in one place is a number for each part. Rows that were written from a null or
+    empty text have the end id alone; rows that repeat, or lack a doc_id, each
+    have a result. A document of any length lies in one shard. An empty table gives an empty result.
     """
     from pyspark.sql import Window
 
