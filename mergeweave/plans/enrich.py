@@ -59,8 +59,8 @@ def _arrow(kind: T.DataType) -> pa.DataType:
 
 #: A task takes about so many rows at most, and a repository isn't cut into chunks of fewer than the least.
 ROWS_PER_TASK, LEAST_CHUNK = 1000, 8
-#: Small repositories are packed by groups, so many for each task.
-GROUPS = 8
+#: Small repositories are packed by groups, so many for each task, and large ones by chunks of such a part of what a task takes: hashes fill chunks unevenly.
+GROUPS, CHUNKS = 8, 4
 
 
 def packed(weights: list[int], bins: int) -> list[int]:
@@ -79,13 +79,14 @@ def dealt(rows: DataFrame, key: str, item: str, rows_per_task: int = ROWS_PER_TA
 
     Keys with more rows than fit a task are cut into chunks by a hash of
     ``item``, rows without key go by it alone. ``rows`` is read several times, so it should be a table. The driver packs chunks and groups of small keys; there are
-    ``GROUPS`` groups and two chunks for each task at most, whatever the keys.
+    ``GROUPS`` groups and ``2 * CHUNKS`` chunks for each task at most, whatever the keys.
     """
     spark = rows.sparkSession
     total = rows.count()
     tasks = max(spark.sparkContext.defaultParallelism, -(-total // rows_per_task))
-    chunk = max(least, min(rows_per_task, -(-total // tasks)))
-    large = rows.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("__of")).agg(F.count("*").alias("__rows")).where(F.col("__rows") > chunk)
+    fair = max(least, min(rows_per_task, -(-total // tasks)))
+    chunk = max(least, -(-fair // CHUNKS))
+    large = rows.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("__of")).agg(F.count("*").alias("__rows")).where(F.col("__rows") > fair)
     large = large.select("__of", F.ceil(F.col("__rows") / chunk).cast("int").alias("__chunks"))
     marked = rows.join(large, F.col(key) == F.col("__of"), "left").drop("__of")
     shared = F.col("__chunks").isNotNull()

@@ -539,17 +539,19 @@ def s3_killed_run(spark, sf_dir):
     SELECT hot, n, n AS ok, n AS as_unsplit, true AS spread FROM shares"""
 )
 def s3_hot_repository(spark, sf_dir):
-    """Rows of stage 2 of which nine in ten are of one repository: no task has more than a third of it, and the code read is that of an unsplit run."""
+    """Rows of stage 2 of which nine in ten are of one repository: no task has more than half of it, and the code read is that of an unsplit run."""
     where = _shared_folder(spark)
     base, head = _repository(f"{where}/r.git")
     hot = F.col("repo_id") % 10 != 0
     rows = _pr_rows(spark, sf_dir).withColumn("pull_request", _on(base, head)).withColumn("at", F.xxhash64("repo_id", "pr_number")).withColumn("hot", hot)
-    rows = stored(rows.withColumn("repo_id", F.when(hot, -1).otherwise(F.col("repo_id")).cast("long")), "hot")
+    # numbers of one repository differ
+    rows = rows.withColumn("repo_id", F.when(hot, -1).otherwise(F.col("repo_id")).cast("long")).withColumn("pr_number", F.pmod("at", F.lit(1_000_000_007)))
+    rows = stored(rows, "hot")
     url = lambda name: f"file://{where}/r.git"
     said = F.xxhash64(F.col("code").dropFields("debug"))
     split = stored(enrich.enriched(rows, clone_url=url, least_chunk=1).select("hot", "at", said.alias("said"), F.col("code.status").alias("status"), F.spark_partition_id().alias("task")), "split")
     whole = enrich.enriched(rows, clone_url=url, least_chunk=1 << 30).select("at", said.alias("unsplit"))
-    by_task = split.groupBy("hot", "task").agg(F.count("*").alias("n")).groupBy("hot").agg((~F.col("hot") | (F.sum("n") < 8) | (F.max("n") <= F.sum("n") / 3)).alias("spread"))
+    by_task = split.groupBy("hot", "task").agg(F.count("*").alias("n")).groupBy("hot").agg((~F.col("hot") | (F.sum("n") < 8) | (F.max("n") <= F.sum("n") / 2)).alias("spread"))
     each = split.join(whole, "at").groupBy("hot").agg(F.count("*").alias("n"), F.count_if(F.col("status") == "ok").alias("ok"), F.count_if(F.col("said") == F.col("unsplit")).alias("as_unsplit"))
     return each.join(by_task, "hot").select("hot", "n", "ok", "as_unsplit", "spread")
 
