@@ -49,12 +49,24 @@ REMOVE_AT = 0.99
 RUN = 256
 #: Texts of an entity from which its terms are dealt into parts, and parts at most.
 TEXTS, PARTS = 512, 32
+#: Entities fall into so many buckets by hash, those in ``LARGE`` documents or more into as many of their own.
+BUCKETS, LARGE = 8, 64
 #: Letters of a term at least.
 TERM = 3
 #: Up to so many terms go to all tasks; beyond, they are joined by a shuffle.
 BROADCAST_TERMS = 100_000
 #: Up to so many documents with terms to look for go to all tasks, with a pattern each; beyond, texts are shuffled to them.
 BROADCAST_HITS = 20_000
+#: Up to so many texts with entities go to all tasks, 20 bytes each; beyond, their words are shuffled to them.
+BROADCAST_TEXTS = 1_000_000
+#: Bytes of strings that go to all tasks at most.
+BROADCAST_BYTES = 32 << 20
+
+
+def _broadcast_if_small(rows: DataFrame, string: str, most: int) -> DataFrame:
+    """``rows``, a stored table, marked to go to all tasks if it has no more than ``most`` rows and the strings of one column are no longer than ``BROADCAST_BYTES``."""
+    n, size = rows.agg(F.count("*"), F.sum(F.octet_length(string))).first()
+    return F.broadcast(rows) if n <= most and (size or 0) <= BROADCAST_BYTES else rows
 
 
 def _may_hold(text: Column, kind: str) -> Column:
@@ -208,16 +220,36 @@ def disclosures(docs: DataFrame, found: DataFrame) -> DataFrame:
     # what stands beside it, so a term's ratio reaches the threshold only if its frequency is at most this; common words drop
     # out before texts go to entities, and no term that qualifies can.
     most = lambda df_e: F.pow(F.lit(float(max(rows, 1))), F.lit(1 - GENERALISE_AT)) * F.pow(df_e, F.lit(GENERALISE_AT)) * (1 + 1e-9)
-    largest = entity.agg(most(F.max("df_e"))).first()[0] or 0.0
-    holders = near.select("doc_id", "th").distinct().groupBy("th").agg(F.count("*").alias("times"))
-    words_beside = held.join(holders, "th").select("th", "times", F.explode("terms").alias("term"))
-    beside = words_beside.groupBy("term").agg(F.sum("times").alias("least_t")).where(F.col("least_t") <= largest)
-    rare = stored(words_beside.join(beside, "term").groupBy("th").agg(F.collect_list(F.struct("term", "least_t")).alias("terms")), "rare")
+    # Likewise, of a term's documents the entity must be in the share (df_e / N)^(1 - threshold), and in so many that chance is
+    # ruled out if the term is nowhere else. Entities share buckets; a bucket that holds too few of a term's documents
+    # holds no entity that the term tells of, and most terms have no other.
+    bucket = (F.pmod("e", F.lit(BUCKETS)) + F.when(F.col("df_e") >= LARGE, BUCKETS).otherwise(0)).cast("int")
+    entity = entity.withColumn("bucket", bucket).withColumn("bit", F.expr("shiftleft(1, bucket)"))
+    share = F.min(F.pow(F.col("df_e") / rows, F.lit(1 - GENERALISE_AT)))
+    bounds = entity.groupBy("bit").agg(share.alias("share"), F.min(-level / F.log(F.lit(float(rows)) / F.col("all_e"))).alias("least"), F.max(most(F.col("df_e"))).alias("most")).collect()
+    if not bounds:
+        return entity.select(F.lit("").alias("term"), F.lit(0.0).alias("ratio")).where("false")
+    bits = pairs.join(entity.select("e", "bit"), "e").groupBy("th").agg(F.bit_or("bit").alias("bits"))
+    holders = near.select("doc_id", "th").distinct().groupBy("th").agg(F.count("*").alias("times")).join(bits, "th", "left").select("th", "times", F.coalesce("bits", F.lit(0)).alias("bits"))
+    holders = stored(holders, "holders")
+    if holders.count() <= BROADCAST_TEXTS:
+        holders = F.broadcast(holders)
+    words_beside = held.join(holders, "th").select("th", "times", "bits", F.explode("terms").alias("term"))
+    in_bucket = [F.sum(F.when(F.col("bits").bitwiseAND(b["bit"]) != 0, F.col("times")).otherwise(0)).alias(f"in{b['bit']}") for b in bounds]
+    mask = F.lit(0)
+    for b in bounds:
+        enough = F.greatest(F.col("least_t") * b["share"], F.lit(b["least"])) * (1 - 1e-9)
+        mask = mask + F.when((F.col(f"in{b['bit']}") >= enough) & (F.col("least_t") <= b["most"]), b["bit"]).otherwise(0)
+    beside = words_beside.groupBy("term").agg(F.sum("times").alias("least_t"), *in_bucket).select("term", "least_t", mask.alias("mask")).where("mask <> 0")
+    beside = _broadcast_if_small(stored(beside, "beside"), "term", BROADCAST_TERMS)
+    told = words_beside.where("bits <> 0").join(beside, "term").where(F.col("bits").bitwiseAND(F.col("mask")) != 0)
+    rare = stored(told.groupBy("th").agg(F.collect_list(F.struct("term", "least_t", "mask")).alias("terms")), "rare")
     # Texts go to their entity as lists of the terms that may tell of it, those of an entity with many texts in several
     # parts by the terms' hash, and are counted there: lists are far smaller than rows of an entity and a term.
     spread = F.least(F.lit(PARTS), F.ceil(F.col("df_e") / TEXTS)).cast("int")
-    dealt = pairs.join(entity.select("e", most(F.col("df_e")).alias("most"), spread.alias("parts")), "e").join(rare, "th")
-    dealt = dealt.select("e", "n", "k", F.filter("terms", lambda t: t["least_t"] <= F.col("most")).alias("terms"), "parts").where(F.size("terms") > 0)
+    dealt = pairs.join(entity.select("e", "bit", most(F.col("df_e")).alias("most"), spread.alias("parts")), "e").join(rare, "th")
+    mine = F.filter("terms", lambda t: (t["mask"].bitwiseAND(F.col("bit")) != 0) & (t["least_t"] <= F.col("most")))
+    dealt = dealt.select("e", "n", "k", mine.alias("terms"), "parts").where(F.size("terms") > 0)
     dealt = dealt.select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
     mine = F.when(F.col("parts") == 1, F.col("terms")).otherwise(F.filter("terms", lambda t: F.pmod(F.hash(t["term"]), F.col("parts")) == F.col("part")))
     joint = (
@@ -240,12 +272,9 @@ def disclosures(docs: DataFrame, found: DataFrame) -> DataFrame:
 
     likely = joint.join(entity, "e").where((ratio("least_t") >= GENERALISE_AT) & beyond_chance("least_t"))
     likely = stored(likely.select("term", "n", "df_e", "k", "all_e"), "likely")
-    terms = likely.select("term").distinct()
-    size = terms.limit(BROADCAST_TERMS + 1).count()
-    if size == 0:
+    if likely.limit(1).count() == 0:
         return likely.select("term", F.lit(0.0).alias("ratio")).where("false")
-    if size <= BROADCAST_TERMS:
-        terms = F.broadcast(terms)
+    terms = _broadcast_if_small(stored(likely.select("term").distinct(), "terms"), "term", BROADCAST_TERMS)
     words = docs.select(F.explode(F.array_distinct(_words(F.coalesce(F.col("text"), F.lit(""))))).alias("term"))
     frequency = words.join(terms, "term").groupBy("term").agg(F.count("*").alias("df_t"))
     both = likely.join(frequency, "term").where(beyond_chance("df_t")).select("term", ratio("df_t").alias("ratio"))
@@ -268,9 +297,7 @@ def term_spans(docs: DataFrame, terms: DataFrame) -> DataFrame:
         .agg(F.array_sort(F.collect_set(F.when(F.col("ratio") >= REMOVE_AT, F.col("term")))).alias("out"), F.array_sort(F.collect_set("term")).alias("all"))
         .select(F.col("doc_id").alias("__id"), F.col("th").alias("__th"), "out", F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), F.array_join("all", "|"), F.lit(r")(?!\p{L})")).alias("pattern"))
     )
-    hits = stored(hits, "hits")
-    if hits.limit(BROADCAST_HITS + 1).count() <= BROADCAST_HITS:
-        hits = F.broadcast(hits)
+    hits = _broadcast_if_small(stored(hits, "hits"), "pattern", BROADCAST_HITS)
     held = rows.join(hits, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("th") == F.col("__th")))
     held = held.withColumn("m", F.regexp_extract_all("text", F.col("pattern"), F.lit(0))).withColumn("p", F.split("text", F.col("pattern"), -1))
     located = F.transform(
@@ -294,7 +321,7 @@ def spans(docs: DataFrame) -> DataFrame:
     none = F.array().cast("array<struct<start:int,end:int,removed:boolean,shape:string>>")
     if terms.limit(1).count() == 0:
         return found.withColumn("terms", none)
-    extra = term_spans(docs, F.broadcast(terms) if terms.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS else terms)
+    extra = term_spans(docs, _broadcast_if_small(terms, "term", BROADCAST_TERMS))
     extra = extra.select(F.col("doc_id").alias("__id"), F.col("th").alias("__th"), F.col("terms").alias("__terms"))
     joined = found.join(extra, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("th") == F.col("__th")), "left")
     outside = F.filter("__terms", lambda t: ~F.exists("spans", lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])))
