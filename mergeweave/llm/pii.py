@@ -57,7 +57,7 @@ TERM = 3
 BROADCAST_TERMS = 100_000
 #: Up to so many documents with terms to look for go to all tasks, with a pattern each; beyond, texts are shuffled to them.
 BROADCAST_HITS = 20_000
-#: Up to so many texts with entities go to all tasks, 20 bytes each; beyond, their words are shuffled to them.
+#: Up to so many texts with entities go to all tasks, 20 bytes each; beyond, texts and their words are shuffled to them.
 BROADCAST_TEXTS = 1_000_000
 #: Bytes of strings that go to all tasks at most.
 BROADCAST_BYTES = 32 << 20
@@ -204,7 +204,10 @@ def disclosures(docs: DataFrame, found: DataFrame) -> DataFrame:
     near = stored(one.unionByName(more).distinct(), "near")
     rows = docs.count()
     text = F.coalesce(F.col("text"), F.lit(""))
-    held = docs.select(text.alias("text")).withColumn("th", F.xxhash64("text")).join(near.select("th").distinct(), "th", "left_semi")
+    holding = stored(near.select("th").distinct(), "holding")
+    if holding.count() <= BROADCAST_TEXTS:
+        holding = F.broadcast(holding)
+    held = docs.select(text.alias("text")).withColumn("th", F.xxhash64("text")).join(holding, "th", "left_semi")
     held = stored(held.select("th", F.array_distinct(_words(F.col("text"))).alias("terms")).dropDuplicates(["th"]), "held")
     # of texts in which an entity has the same surroundings one is evidence
     evidence = near.groupBy("e", "context").agg(F.min("th").alias("th")).select("e", "th").distinct().withColumn("k", F.lit(1))
@@ -242,7 +245,7 @@ def disclosures(docs: DataFrame, found: DataFrame) -> DataFrame:
         mask = mask + F.when((F.col(f"in{b['bit']}") >= enough) & (F.col("least_t") <= b["most"]), b["bit"]).otherwise(0)
     beside = words_beside.groupBy("term").agg(F.sum("times").alias("least_t"), *in_bucket).select("term", "least_t", mask.alias("mask")).where("mask <> 0")
     beside = _broadcast_if_small(stored(beside, "beside"), "term", BROADCAST_TERMS)
-    told = words_beside.where("bits <> 0").join(beside, "term").where(F.col("bits").bitwiseAND(F.col("mask")) != 0)
+    told = words_beside.where("bits <> 0").drop("times").join(beside, "term").where(F.col("bits").bitwiseAND(F.col("mask")) != 0)
     rare = stored(told.groupBy("th").agg(F.collect_list(F.struct("term", "least_t", "mask")).alias("terms")), "rare")
     # Texts go to their entity as lists of the terms that may tell of it, those of an entity with many texts in several
     # parts by the terms' hash, and are counted there: lists are far smaller than rows of an entity and a term.

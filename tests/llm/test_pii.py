@@ -1,6 +1,9 @@
 import hashlib
+import itertools
 import math
+import random
 import re
+from collections import Counter
 
 from mergeweave.llm import pii
 
@@ -111,3 +114,34 @@ def test_sanitised_keeps_columns_and_odd_rows(spark):
     out = pii.sanitised(docs(spark, ODD, ODD_IDS))
     assert out.columns == SCHEMA.fieldNames() and out.count() == len(ODD)
     assert {r["text"] for r in out.collect()} == set(ODD)
+
+
+def test_terms_by_definition(spark):
+    """Terms of every strength, of users and of the domains that they share, against the definition: no term that qualifies is pruned, none is added."""
+    draw, words = random.Random(5), ["".join(c) for c in itertools.product("bcdf", "aeio", "lmnr")]
+    told = {(d, a): f"{x}{y}tell" for d, x in enumerate(("sun", "oak", "elm")) for a, y in enumerate(("one", "two", "six", "ten"))}
+    texts, held = [], []
+    for i in range(900):
+        d = i % 9 if i % 9 < 3 else None
+        mine = draw.sample(words, 12) + [w for (e, a), w in told.items() if draw.random() < ((1, 0.9, 0.6, 0.3)[a] if e == d else (0, 0.003, 0.004, 0.01)[a])]
+        mail = "" if d is None else f"{'ab'[i % 2]}{'xyz'[d]}@{('sun', 'oak', 'elm')[d]}.example.org"
+        texts.append(f"{i} {' '.join(mine)} {i} {mail} {i}")
+        held.append([] if d is None else [mail, mail.split("@")[1]])
+    beside = [{w for w in re.split("[^a-z]+", t) if len(w) >= pii.TERM} for t in texts]
+    n, df_e, df_t = len(texts), Counter(e for x in held for e in x), Counter(w for x in beside for w in x)
+    both = Counter((e, w) for x, y in zip(held, beside, strict=True) for e in x for w in y)
+    level = math.log(pii.SIGNIFICANCE / sum(both.values()))
+
+    def chance(k, m, q):
+        a = k / m
+        return -m * (a * math.log(a / q) + ((1 - a) * math.log((1 - a) / (1 - q)) if a < 1 else 0)) if a > q else 0
+
+    want: dict = {}
+    for (e, w), k in both.items():
+        ratio = math.log(k * n / (df_t[w] * df_e[e])) / math.log(n / df_e[e])
+        if ratio >= pii.GENERALISE_AT and min(chance(k, df_e[e], df_t[w] / n), chance(k, df_t[w], df_e[e] / n)) <= level:
+            want[w] = max(want.get(w, 0), ratio)
+    table = docs(spark, texts)
+    got = {r["term"]: r["ratio"] for r in pii.disclosures(table, pii.entities(table)).collect()}
+    assert len(want) > 3 and len(want) < len(told) + 9
+    assert got.keys() == want.keys() and all(abs(got[w] - want[w]) < 1e-9 for w in want)
