@@ -36,9 +36,9 @@ from ._shared import slices, stored, texts_of
 GROWTH, SHARED, BUCKETS = 8, 8, 16
 SIZE, BRANCHES = 16, 32
 #: Tokens of a step of training, of a step of scoring, and of what is cut into steps at once.
-BATCH, SCORED, CHUNK = 8_192, 65_536, 1 << 18
-#: Nodes with fewer tokens in a step are computed together.
-FEW = 6
+BATCH, SCORED, CHUNK = 8_192, 16_384, 1 << 18
+#: Nodes with fewer tokens in a step are computed together with those of as many.
+FEW = 16
 RATE = 0.15
 #: Windows to train on at least: a smaller corpus is gone over several times, in ``ROUNDS`` rounds.
 EXAMPLES, PASSES, ROUNDS = 4_000_000, 48, 4
@@ -139,6 +139,20 @@ def _groups(sorted_keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate([[True], sorted_keys[1:] != sorted_keys[:-1], [True]]))
 
 
+def _by_size(starts: np.ndarray) -> list:
+    """``(runs, rows)`` of runs that begin at ``starts``: a long run alone, as a slice of rows, and short ones with all of their size, rows by run."""
+    sizes = np.diff(starts)
+    short = np.flatnonzero(sizes < FEW)
+    short = short[np.argsort(sizes[short], kind="stable")]
+    out: list = [(k, slice(starts[k], starts[k + 1])) for k in np.flatnonzero(sizes >= FEW).tolist()]
+    if len(short):
+        bounds = _groups(sizes[short])
+        for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+            runs = short[a:b]
+            out.append((runs, starts[runs, None] + np.arange(sizes[runs[0]])))
+    return out
+
+
 @dataclass
 class Network:
     """The sum of the neighbours' embeddings, each turned by its place's matrix; choices are softmaxes of its products with the branches' vectors, and their bias."""
@@ -161,10 +175,11 @@ class Network:
 
     def by_path(self, leaf: np.ndarray) -> np.ndarray:
         """An order in which, at every level, tokens of one node follow each other."""
-        return np.argsort(self.rank[leaf], kind="stable")
+        return np.argsort(self.rank[leaf])
 
     def choices(self, h: np.ndarray, leaf: np.ndarray):
-        """For each level of tokens in the order ``by_path``: positions that have it, their nodes, where each node's begin, those of nodes with few, their rows of h, the branches they take, and the probabilities of all branches."""
+        """For each level of tokens in the order ``by_path``: positions that have it, nodes, their tokens as ``_by_size`` has them, rows of h, the branches taken, and weights of all branches with their sums."""
+        ones = np.ones(BRANCHES, dtype=h.dtype)
         for level in range(self.node.shape[1]):
             node = self.node[leaf, level]
             at = np.flatnonzero(node >= 0)
@@ -172,18 +187,19 @@ class Network:
                 return
             node, own, branch = (node, h, self.branch[leaf, level]) if len(at) == len(leaf) else (node[at], h[at], self.branch[leaf[at], level])
             starts = _groups(node)
-            sizes = np.diff(starts)
+            nodes, runs = node[starts[:-1]], _by_size(starts)
             z = np.empty((len(at), BRANCHES), dtype=h.dtype)
-            for k in np.flatnonzero(sizes >= FEW).tolist():
-                a, b = starts[k], starts[k + 1]
-                np.matmul(own[a:b], self.nodes[node[a]].T, out=z[a:b])
-            some = np.flatnonzero(np.repeat(sizes < FEW, sizes))
-            if len(some):
-                z[some] = np.matmul(self.nodes[node[some]], own[some, :, None])[:, :, 0]
-            z -= z.max(axis=1, keepdims=True)
-            np.exp(z, out=z)
-            z /= z.sum(axis=1, keepdims=True)
-            yield at, node, starts, some, own, branch, z
+            for k, rows in runs:
+                z[rows] = own[rows] @ self.nodes[nodes[k]].swapaxes(-1, -2)
+            with np.errstate(over="ignore"):
+                weights = np.exp(z)
+            sums = weights @ ones
+            # where exponentials leave the range of numbers, they are taken from the largest
+            far = np.flatnonzero(~((sums > 1e-3) & (sums < 1e30)))
+            if len(far):
+                weights[far] = np.exp(z[far] - z[far].max(axis=1, keepdims=True))
+                sums[far] = weights[far] @ ones
+            yield at, nodes, np.diff(starts), runs, own, branch, weights, sums
 
     def log_probabilities(self, near: np.ndarray, leaf: np.ndarray) -> np.ndarray:
         """near: (tokens, 4) leaves of the neighbours."""
@@ -191,8 +207,8 @@ class Network:
         for a in range(0, len(leaf), SCORED):
             order = a + self.by_path(leaf[a : a + SCORED])
             total = np.zeros(len(order))
-            for at, _, _, _, _, branch, p in self.choices(self.hidden(near[order]), leaf[order]):
-                total[at] += np.log(np.maximum(p[np.arange(len(at)), branch], 1e-37))
+            for at, _, _, _, _, branch, weights, sums in self.choices(self.hidden(near[order]), leaf[order]):
+                total[at] += np.log(np.maximum(weights[np.arange(len(at)), branch] / sums, 1e-37))
             out[order] = total
         return out
 
@@ -223,10 +239,14 @@ def windows(ids: list[list[int]], edge: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _summed(keys: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct keys, sums of their rows, their numbers."""
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     keys = keys[order]
     starts = _groups(keys)
-    return keys[starts[:-1]], np.add.reduceat(rows[order], starts[:-1], axis=0), np.diff(starts)
+    rows, out = rows[order], np.empty((len(starts) - 1, rows.shape[1]), dtype=rows.dtype)
+    for k, at in _by_size(starts):
+        some = rows[at]
+        out[k] = np.ones(some.shape[-2], dtype=rows.dtype) @ some
+    return keys[starts[:-1]], out, np.diff(starts)
 
 
 class Training:
@@ -240,8 +260,10 @@ class Training:
 
     def _move(self, k: int, values: np.ndarray, rows: np.ndarray, g: np.ndarray) -> None:
         axes = tuple(range(self.square[k].ndim, g.ndim))
-        self.square[k][rows] += (g * g).mean(axis=axes)
-        step = RATE / np.sqrt(self.square[k][rows] + 1e-8)
+        flat = g.reshape(*g.shape[: self.square[k].ndim], -1)
+        square = self.square[k][rows] + (flat * flat) @ np.full(flat.shape[-1], 1 / flat.shape[-1], dtype=g.dtype)
+        self.square[k][rows] = square
+        step = RATE / np.sqrt(square + 1e-8)
         values[rows] += g * step.reshape(*step.shape, *[1] * len(axes))
 
     def gradients(self, near: np.ndarray, leaf: np.ndarray):
@@ -251,28 +273,22 @@ class Training:
         near, leaf = near[order], leaf[order]
         h = net.hidden(near)
         back = np.zeros_like(h)
-        rows, sums, times = [], [], []
-        for at, node, starts, some, own, branch, p in net.choices(h, leaf):
-            error, sizes = np.negative(p, out=p), np.diff(starts)
+        of_nodes: list = []
+        for at, nodes, sizes, runs, own, branch, weights, sums in net.choices(h, leaf):
+            error = weights * (-1 / sums)[:, None]
             error[np.arange(len(at)), branch] += 1
-            g = np.empty((len(sizes), BRANCHES, SIZE + 1), dtype=h.dtype)
+            g = np.empty((len(nodes), BRANCHES, SIZE + 1), dtype=h.dtype)
             down = np.empty_like(own)
-            for k in np.flatnonzero(sizes >= FEW).tolist():
-                a, b = starts[k], starts[k + 1]
-                np.matmul(error[a:b].T, own[a:b], out=g[k])
-                np.matmul(error[a:b], net.nodes[node[a]], out=down[a:b])
-            if len(some):
-                outer = error[some, :, None] * own[some, None, :]
-                g[sizes < FEW] = np.add.reduceat(outer, np.cumsum(sizes[sizes < FEW]) - sizes[sizes < FEW], axis=0)
-                down[some] = np.matmul(error[some, None, :], net.nodes[node[some]])[:, 0]
+            for k, rows in runs:
+                e = error[rows]
+                g[k] = e.swapaxes(-1, -2) @ own[rows]
+                down[rows] = e @ net.nodes[nodes[k]]
             back[at] += down
-            rows.append(node[starts[:-1]])
-            sums.append(g)
-            times.append(sizes)
+            of_nodes.append((nodes, g, sizes))
         back = back[:, :-1]
-        of_nodes = tuple(np.concatenate(x) for x in (rows, sums, times))  # a node has one level
         of_words = _summed(near.T.ravel(), np.concatenate([back @ m.T for m in net.places]))
-        return of_words, of_nodes, np.stack([net.words[near[:, p]].T @ back for p in range(len(OFFSETS))])
+        # a node has one level
+        return of_words, tuple(np.concatenate(x) for x in zip(*of_nodes, strict=True)), np.stack([net.words[near[:, p]].T @ back for p in range(len(OFFSETS))])
 
     def step(self, near: np.ndarray, leaf: np.ndarray) -> None:
         (w, gw, nw), (m, gm, nm), gp = self.gradients(near, leaf)

@@ -104,6 +104,27 @@ def test_gradients():
                 assert abs((ends[0] - ends[1]) / 2e-5 - g[(k, *at[1:])]) < 1e-4
 
 
+def test_runs_of_a_size_go_together():
+    sizes = np.array([1, 3, lm.FEW, 1, 2 * lm.FEW, 3, 1])
+    starts = np.concatenate([[0], np.cumsum(sizes)])
+    own = np.repeat(np.arange(len(sizes)), sizes)
+    got = lm._by_size(starts)
+    every = np.concatenate([np.arange(starts[-1])[rows].ravel() for _, rows in got])
+    assert sorted(every.tolist()) == list(range(starts[-1])) and len(got) == len(set(sizes.tolist()))
+    assert all((own[rows].T == k).all() for k, rows in got)
+
+
+def test_choices_beyond_the_range_of_exponentials():
+    net = trained_like(np.random.default_rng(5).integers(1, 1000, 100), np.float32)
+    net.nodes[:, :, :-1] *= 40
+    near, leaf = np.random.default_rng(6).integers(0, 101, (60, 4)), np.arange(60)
+    want = [brute_log_prob(net, n, k) for n, k in zip(near, leaf)]
+    assert min(want) < -100
+    # each choice counts as 1e-37 at least
+    got = net.log_probabilities(near, leaf)
+    assert all(abs(a - b) < 1e-2 * max(1, abs(b)) for a, b in zip(got, want) if b > -80) and np.isfinite(got).all()
+
+
 def test_scores_as_by_definition(spark):
     texts = [prose(300, k) for k in range(6)] + ["a b c d a", None]
     table = docs(spark, texts)
