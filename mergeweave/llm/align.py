@@ -1,19 +1,18 @@
 """Alignment of two tokenizers over the same texts.
 
-Python only tokenises: each text becomes ids and the byte offsets at which
-tokens end, for a byte-level BPE (A) and a piece BPE with byte fallback (B).
-Everything after is Spark's functions over these arrays. Offsets at which a token
-of both ends (``array_intersect``) cut the text into groups: sorted in among
-the tokens of a tokenizer, they part it, and the parts of both, zipped, are the
-groups. Tokens of a group are linked, each of A's with each of B's. Documents
-with a linked pair of ids are counted by one aggregation; what that makes of each different group goes
-back to the documents.
+Python tokenises, by a byte-level BPE (A) and a piece BPE with byte fallback (B).
+Byte offsets at which a token of both ends cut the tokens into groups. Where a text
+can be cut, so that both tokenizers encode its parts apart, each part ends at such
+an offset, and the groups of a text are those of its parts in order; so they are
+made once for a part that is kept. Tokens of a group are linked, each of A's with
+each of B's. All counting is Spark's: documents with a linked pair of ids by one
+aggregation; what that makes of each different group goes back to the documents.
 """
 
 from __future__ import annotations
 
 import os
-from array import array
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,10 +24,23 @@ from .tokens import _ODD, _ODD_WIDE
 
 #: Up to so many different groups (two hashes and three numbers each) go to all tasks; beyond, they are joined by a shuffle.
 BROADCAST_GROUPS = 1_000_000
-#: Different parts of texts whose ids a worker keeps.
+#: Different parts of texts whose groups a worker keeps.
 CACHE = 250_000
 
 
+#: Groups as ``a1,a2|b1;a3|b2``, and the numbers of tokens of A and B.
+Groups = tuple[str, int, int]
+
+
+class _Known(dict):
+    """Groups of parts that are kept, and beside them those of one call alone."""
+
+    beside: dict[str, Groups | None]
+
+    def __missing__(self, part: str) -> Groups | None:
+        return self.beside[part]
+
+
 class Tokenizers:
     """A over space and text, B over the text, which puts the space there itself.
 
@@ -53,13 +65,31 @@ class Tokenizers:
         self.a_bytes = [bytes(byte_of[c] for c in self.a.id_to_token(i)) if all(c in byte_of for c in self.a.id_to_token(i)) else b"" for i in range(size)]
         n = self.b.get_piece_size()
         self.b_bytes = [bytes([int(self.b.id_to_piece(i)[3:5], 16)]) if self.b.is_byte(i) else b"" if self.b.is_control(i) else self.b.id_to_piece(i).replace("▁", " ").encode() for i in range(n)]
-        self.a_sizes, self.b_sizes = (np.array([len(x) for x in t], dtype=np.int32) for t in (self.a_bytes, self.b_bytes))
+        self.a_sizes, self.b_sizes = (np.array([len(x) for x in t], dtype=np.int64) for t in (self.a_bytes, self.b_bytes))
+        # a token and what follows it: in its group, and at its end; those of B after those of A
+        said = [f"{i}{mark}" for count, marks in ((size, ",|"), (n, ",;")) for i in range(count) for mark in marks]
+        self.said, self.lengths = np.array(said, dtype=object), np.array([len(x) for x in said], dtype=np.int64)
         self.cuts = not any("▁" in self.b.id_to_piece(i).lstrip("▁") or "\n" in self.b.id_to_piece(i) for i in range(n))
-        self.known: dict[str, tuple[bytes, bytes] | None] = {}
+        self.known = _Known()
         self.room = cache
 
-    def whole(self, text: str) -> tuple[bytes, bytes] | None:
-        """Ids of A and B as bytes of unsigned 32-bit integers; None where the bytes of either aren't those of the text."""
+    def _groups(self, a: list[int], b: list[int], n_a: list[int], n_b: list[int]) -> Iterator[Groups]:
+        """Groups of several parts at once, that have so many of the tokens each, and the same bytes by both tokenizers."""
+        a_ids, b_ids = np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
+        a_ends, b_ends = np.cumsum(self.a_sizes[a_ids]), np.cumsum(self.b_sizes[b_ids])
+        a_last, b_last = np.isin(a_ends, b_ends), np.isin(b_ends, a_ends)
+        a_stops, b_stops = np.flatnonzero(a_last) + 1, np.flatnonzero(b_last) + 1
+        # a group's tokens of A come after those of B of all groups before, those of B after those of A up to its own
+        a_at = np.arange(len(a_ids)) + np.repeat(np.concatenate([[0], b_stops[:-1]]), np.diff(a_stops, prepend=0))
+        b_at = np.arange(len(b_ids)) + np.repeat(a_stops, np.diff(b_stops, prepend=0))
+        which = np.empty(len(a_ids) + len(b_ids), dtype=np.int64)
+        which[a_at], which[b_at] = 2 * a_ids + a_last, 2 * (len(self.a_sizes) + b_ids) + b_last
+        every = "".join(self.said[which].tolist())
+        stops = np.cumsum(self.lengths[which])[np.cumsum(np.add(n_a, n_b)) - 1].tolist()
+        return zip([every[x : y - 1] for x, y in zip([0, *stops], stops, strict=False)], n_a, n_b, strict=True)
+
+    def whole(self, text: str) -> Groups | None:
+        """Groups of a text encoded whole; None where the bytes of either tokenizer aren't those of the text."""
         try:
             want = f" {text}".encode()
         except UnicodeEncodeError:
@@ -67,19 +97,27 @@ class Tokenizers:
         a, b = self.a.encode(f" {text}", add_special_tokens=False).ids, self.b.encode(text)
         if b"".join([self.a_bytes[i] for i in a]) != want or b"".join([self.b_bytes[i] for i in b]) != want:
             return None
-        return array("I", a).tobytes(), array("I", b).tobytes()
+        return next(self._groups(a, b, [len(a)], [len(b)]))
 
-    def _learn(self, parts: list[str], into: dict[str, tuple[bytes, bytes] | None]) -> None:
-        """Ids of parts, by one call of each library; None for parts that either doesn't tell whole."""
-        feeds = [p[:1] == "\n" for p in parts]
-        said = [p if feed else f" {p}" for p, feed in zip(parts, feeds, strict=True)]
+    def _learn(self, parts: list[str], into: dict[str, Groups | None]) -> None:
+        """Groups of parts, by one call of each library; None for parts that either doesn't tell whole."""
+        said = [p if p[:1] == "\n" else f" {p}" for p in parts]
         a_bytes, b_bytes = self.a_bytes.__getitem__, self.b_bytes.__getitem__
         encodings = self.a.encode_batch_fast(said, add_special_tokens=False)
-        for part, feed, text, encoding, b in zip(parts, feeds, said, encodings, self.b.encode(parts, num_threads=1), strict=True):
+        told, every_a, every_b, n_a, n_b = [], [], [], [], []
+        for part, text, encoding, b in zip(parts, said, encodings, self.b.encode(parts, num_threads=1), strict=True):
             # B puts a space before what it is given, which is a token of its own before a line feed
-            a, b, want = encoding.ids, b[1:] if feed else b, text.encode()
-            whole = b"".join(map(a_bytes, a)) == want and b"".join(map(b_bytes, b)) == want
-            into[part] = (array("I", a).tobytes(), array("I", b).tobytes()) if whole else None
+            a, b, want = encoding.ids, b if text[0] == " " else b[1:], text.encode()
+            if b"".join(map(a_bytes, a)) == want and b"".join(map(b_bytes, b)) == want:
+                told.append(part)
+                every_a += a
+                every_b += b
+                n_a.append(len(a))
+                n_b.append(len(b))
+            else:
+                into[part] = None
+        if told:
+            into.update(zip(told, self._groups(every_a, every_b, n_a, n_b), strict=True))
 
     def _parts(self, text: str) -> list[str] | None:
         """Where the text can be cut, else None."""
@@ -87,29 +125,28 @@ class Tokenizers:
             return None
         return text.replace("\n", " \n").split(" ")
 
-    def encode(self, texts: list[str]) -> list[tuple[bytes, bytes] | None]:
+    def encode(self, texts: list[str]) -> list[Groups | None]:
         """As ``whole`` for each text; None for an empty text too."""
         cut = [self._parts(t) if t else None for t in texts]
         known, here = self.known, {}
         try:
-            self._learn([p for p in {p for parts in cut if parts for p in parts} if p not in known], here)
+            self._learn(list(set().union(*filter(None, cut)).difference(known)), here)
         except UnicodeEncodeError:
             return [self.whole(t) if t else None for t in texts]
         if len(known) + len(here) <= self.room:
             known.update(here)
             here = {}
-        get = known.get if not here else lambda p: known[p] if p in known else here[p]
-        out = []
+        known.beside, get, out = here, known.__getitem__, []
         for text, parts in zip(texts, cut, strict=True):
             if not text:
                 out.append(None)
                 continue
-            found = [get(p) for p in parts] if parts else [None]
+            found = list(map(get, parts)) if parts else [None]
             if None in found:
                 out.append(self.whole(text))
             else:
-                a, b = zip(*found, strict=True)
-                out.append((b"".join(a), b"".join(b)))
+                said, a, b = zip(*found, strict=True)
+                out.append((";".join(said), sum(a), sum(b)))
         return out
 
 
@@ -123,50 +160,25 @@ def tokenizers_of(a_path: str, b_path: str) -> Tokenizers:
     return _PAIRS[a_path, b_path]
 
 
-#: What is set in a long that is an end, not a token.
-_AFTER = 1 << 31
-
-
-def tokenised(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
-    """``(doc_id, a, a_ends, b, b_ends)`` of every row of ``docs``: tokens as ``end << 32 | id``, in order, and their ends as ``end << 32 | 1 << 31``,
-    which come after what ends there. Ends count bytes of space and text. All four are empty for texts that have no tokens."""
+def aligned(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
+    """``(doc_id, n_a, n_b, n_groups, groups)`` of every row of ``docs``; groups: ``a1,a2|b1;a3|b2``, in order, empty for texts that have no tokens."""
 
     def run(batches):
         t = tokenizers_of(a_path, b_path)
         for batch in batches:
             for piece in slices(batch, "text", 2_000_000):
-                found = [x or (b"", b"") for x in t.encode(texts_of(piece.column(1)))]
-                out = [piece.column(0)]
-                for k, sizes in enumerate((t.a_sizes, t.b_sizes)):
-                    counts = np.array([len(x[k]) // 4 for x in found], dtype=np.int64)
-                    offsets = np.concatenate([[0], np.cumsum(counts)])
-                    ids = np.frombuffer(b"".join([x[k] for x in found]), dtype=np.uint32).astype(np.int64)
-                    total = np.concatenate([[0], np.cumsum(sizes[ids], dtype=np.int64)])
-                    ends = (total[1:] - np.repeat(total[offsets[:-1]], counts)) << 32
-                    out += [pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(x)) for x in (ends | ids, ends | _AFTER)]
-                yield pa.RecordBatch.from_arrays(out, ["doc_id", "a", "a_ends", "b", "b_ends"])
+                found = [x or ("", 0, 0) for x in t.encode(texts_of(piece.column(1)))]
+                said, a, b = zip(*found, strict=True)
+                n = [g.count("|") for g in said]
+                yield pa.RecordBatch.from_arrays([piece.column(0), *(pa.array(x, pa.int64()) for x in (a, b, n)), pa.array(said, pa.string())], ["doc_id", "n_a", "n_b", "n_groups", "groups"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, a array<long>, a_ends array<long>, b array<long>, b_ends array<long>")
-
-
-def aligned(tokens: DataFrame) -> DataFrame:
-    """``(doc_id, n_a, n_b, groups)`` of a table of tokens and ends; groups: ``a1,a2|b1`` each, in order.
-
-    All functions are over whole arrays and strings, but for two short lambdas; the cost grows with the tokens, sorts being merges of two runs.
-    """
-    rows = tokens.select("*", F.array_intersect("a_ends", "b_ends").alias("common"))
+    return rows.mapInArrow(run, "doc_id long, n_a long, n_b long, n_groups long, groups string")
 
-    def parted(side: str) -> Column:
-        in_order = F.sort_array(F.concat(side, "common"))
-        said = F.transform(in_order, lambda x: F.when(x.bitwiseAND(F.lit(_AFTER)) == 0, x.bitwiseAND(F.lit(_AFTER - 1)).cast("string")).otherwise(";"))
-        joined = F.replace(F.concat(F.array_join(said, ","), F.lit(",")), F.lit(",;,"), F.lit(";"))
-        return F.split(F.rtrim(joined, F.lit(";,")), ";")
 
-    long = lambda c: F.size(c).cast("long")
-    groups = F.zip_with(parted("a"), parted("b"), lambda x, y: F.concat(x, F.lit("|"), y))
-    none = F.array().cast("array<string>")
-    return rows.select("doc_id", long("a").alias("n_a"), long("b").alias("n_b"), F.when(F.size("common") > 0, groups).otherwise(none).alias("groups"))
+def each_group(groups: Column) -> Column:
+    """Of the groups of a document, which has some."""
+    return F.split(groups, ";")
 
 
 def links_of(group: Column) -> Column:
@@ -181,15 +193,15 @@ def _key(group: Column) -> list[Column]:
 
 
 def alignment(docs: DataFrame, a_path: str, b_path: str) -> tuple[DataFrame, DataFrame]:
-    """Two tables: a stored one of all rows ``(row, doc_id, n_a, n_b, groups)``, and of each different id pair that is linked ``(pair, a, n)``: in how many documents."""
-    rows = aligned(tokenised(docs, a_path, b_path)).withColumn("row", F.monotonically_increasing_id())
+    """Two tables: a stored one of all rows ``(row, doc_id, n_a, n_b, n_groups, groups)``, and of each different id pair that is linked ``(pair, a, n)``: in how many documents."""
+    rows = aligned(docs, a_path, b_path).withColumn("row", F.monotonically_increasing_id())
     made = stored(rows, "aligned", compression="zstd")
     # most groups are a token of each, and so a link themselves
     many = lambda g: F.contains(g, F.lit(","))
-    made = made.withColumn("different", F.array_distinct("groups"))
+    some = made.where("n_groups > 0").select(F.array_distinct(each_group(F.col("groups"))).alias("different"))
     pairs = F.array_union(F.filter("different", lambda g: ~many(g)), F.flatten(F.transform(F.filter("different", many), links_of)))
-    counted = made.select(F.explode(pairs).alias("pair")).groupBy("pair").agg(F.count("*").alias("n"))
-    return made.drop("different"), stored(counted.select("pair", F.split_part("pair", F.lit("|"), F.lit(1)).cast("int").alias("a"), "n"), "pairs")
+    counted = some.select(F.explode(pairs).alias("pair")).groupBy("pair").agg(F.count("*").alias("n"))
+    return made, stored(counted.select("pair", F.split_part("pair", F.lit("|"), F.lit(1)).cast("int").alias("a"), "n"), "pairs")
 
 
 def report(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
@@ -205,18 +217,19 @@ def report(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     made, counted = alignment(docs, a_path, b_path)
     most = counted.groupBy("a").agg(F.max("n").alias("most"))
     valued = counted.join(most, "a").select("pair", "n", (F.col("n") == F.col("most")).cast("long").alias("best"))
-    different = made.select(F.explode(F.array_distinct("groups")).alias("group")).distinct()
+    some = made.where("n_groups > 0").select("row", each_group(F.col("groups")).alias("groups"))
+    different = some.select(F.explode(F.array_distinct("groups")).alias("group")).distinct()
     links = different.select(*_key(F.col("group")), F.explode(links_of(F.col("group"))).alias("pair"))
     worth = stored(links.join(valued, "pair").groupBy("h1", "h2").agg(F.count("*").alias("links"), F.sum("best").alias("best"), F.sum("n").alias("counts")), "groups")
     small = worth.limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS
-    each = made.select("row", F.explode("groups").alias("group")).select("row", *_key(F.col("group")))
+    each = some.select("row", F.explode("groups").alias("group")).select("row", *_key(F.col("group")))
     if small:
         found = each.join(F.broadcast(worth), ["h1", "h2"]).groupBy("row").agg(F.sum("links").alias("n_links"), F.sum("best").alias("n_best"), F.sum("counts").alias("count_sum"))
     else:  # a document's repeated groups go as one
         times = each.groupBy("row", "h1", "h2").agg(F.count("*").alias("times"))
         product = lambda c: F.sum(F.col(c) * F.col("times"))
         found = times.join(worth, ["h1", "h2"]).groupBy("row").agg(product("links").alias("n_links"), product("best").alias("n_best"), product("counts").alias("count_sum"))
-    digest = F.when(F.size("groups") > 0, F.sha2(F.array_join("groups", ";"), 256)).otherwise("")
-    plain = made.select("row", "doc_id", "n_a", "n_b", F.size("groups").cast("long").alias("n_groups"), digest.alias("groups_sha256"))
+    digest = F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise("")
+    plain = made.select("row", "doc_id", "n_a", "n_b", "n_groups", digest.alias("groups_sha256"))
     zero = lambda c: F.coalesce(c, F.lit(0).cast("long")).alias(c)
     return plain.join(found, "row", "left").select("doc_id", "n_a", "n_b", "n_groups", zero("n_links"), zero("n_best"), zero("count_sum"), "groups_sha256")

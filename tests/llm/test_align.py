@@ -99,6 +99,16 @@ def test_parts_encode_as_the_whole(text):
     assert t.encode([text, text, ""]) == [t.whole(text) if text else None] * 2 + [None]
 
 
+def test_groups_of_many_parts_at_once(plain):
+    parts, made = ["the", "x" * 300, "12345", "don't", "中文字", "unbelievably;odd", "\nline"], {}
+    align.tokenizers_of(A, B)._learn(parts, made)
+    assert list(made) == parts
+    for p in parts[:-1]:
+        a, b = tokens(plain, p)
+        said = ";".join(",".join(map(str, left)) + "|" + ",".join(map(str, right)) for left, right in groups(a, b))
+        assert made[p] == (said, len(a), len(b))
+
+
 def test_no_more_parts_are_kept_than_there_is_room_for():
     t = align.Tokenizers(A, B, 50)
     texts = [prose(30, k) for k in range(20)]
