@@ -133,8 +133,14 @@ class Encoder:
             return array("I", [t.id for t in model(piece.replace(" ", space) if plain else piece.encode().decode("latin-1").translate(letters))]).tobytes()
 
         known = _Known(of_piece, cache // 2)
-        # a part that begins with a line feed stands for itself, any other for itself after a space
-        self.known = _Known(lambda part: b"".join([known[p] for p in pieces(part if part[:1] == "\n" else " " + part)]), cache)
+
+        def of_part(part: str) -> bytes:
+            """A part that begins with a line feed stands for itself, any other for itself after a space; of letters alone it is one piece."""
+            if part.isascii() and part.isalpha():
+                return known[" " + part]
+            return b"".join([known[p] for p in pieces(part if part[:1] == "\n" else " " + part)])
+
+        self.known = _Known(of_part, cache)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""

@@ -54,6 +54,22 @@ def test_documents_encode_as_the_whole(spark, plain):
     assert [np.frombuffer(x, dtype="<u4").tolist() for x in own.encode(texts)] == [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_letters_alone_are_not_cut_into_pieces(plain, monkeypatch):
+    seen = []
+    real = tokens.regex.compile(tokens.PIECES)
+
+    class Pieces:
+        def findall(self, part):
+            seen.append(part)
+            return real.findall(part)
+
+    monkeypatch.setattr(tokens.regex, "compile", lambda _: Pieces())
+    text = "plain Words don't été x1\nline s t"
+    own = tokens.Encoder(tokenizer_path()).encode([text])[0]
+    assert np.frombuffer(own, dtype="<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+    assert seen == ["\nplain", " don't", " été", " x1", "\nline"]
+
+
 def brute(pairs, plain):
     out, at = [], 0
     signed = lambda t: (xxhash.xxh64_intdigest((t or "").encode(), 42) ^ 1 << 63) - (1 << 63)
