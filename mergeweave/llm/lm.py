@@ -20,25 +20,27 @@ from __future__ import annotations
 import heapq
 import math
 import zlib
-from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import slices, stored, texts_of
+from ._shared import slices, stored
 
 #: Words with a leaf of their own, times the square root of the number of tokens; one shared leaf for so many of them, and so many at least.
 GROWTH, SHARED, BUCKETS = 8, 8, 16
 SIZE, BRANCHES = 16, 32
 #: Tokens of a step of training, of a step of scoring, and of what is cut into steps at once.
 BATCH, SCORED, CHUNK = 8_192, 16_384, 1 << 18
-#: Nodes with fewer tokens in a step are computed together with those of as many.
+#: Words with fewer occurrences in a step are summed together with those of as many.
 FEW = 16
+#: Bytes of text that are counted, and looked up, at once.
+COUNTED, LOOKED_UP = 32_000_000, 2_000_000
 RATE = 0.15
 #: Windows to train on at least: a smaller corpus is gone over several times, in ``ROUNDS`` rounds.
 EXAMPLES, PASSES, ROUNDS = 4_000_000, 48, 4
@@ -51,21 +53,30 @@ def words_of(text: str) -> list[bytes]:
     return text.encode().lower().split()
 
 
+def split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """``words_of`` all texts, one after the other, and how many each has; null counts as empty."""
+    # a copy, because ascii_lower goes wrong over slices of an array
+    whole = texts.take(pa.array(np.arange(len(texts)))).cast(pa.large_string())
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(whole, "")))
+    words, n = lists.flatten().cast(pa.large_binary()), pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    empty = pc.equal(pc.binary_length(words), 0).to_numpy(zero_copy_only=False)
+    if empty.any():  # beside white space at the ends
+        n = n - np.bincount(np.repeat(np.arange(len(n)), n)[empty], minlength=len(n))
+        words = words.filter(pa.array(~empty))
+    return words, n
+
+
 def tally(docs: DataFrame) -> DataFrame:
     """``(word, n)`` of all texts."""
 
     def run(batches):
-        counts: Counter = Counter()
         for batch in batches:
-            for t in texts_of(batch.column(0)):
-                counts.update(words_of(t))
-                if len(counts) > 400_000:
-                    yield pa.record_batch([pa.array(counts.keys(), pa.binary()), pa.array(counts.values(), pa.int64())], ["word", "n"])
-                    counts = Counter()
-        if counts:
-            yield pa.record_batch([pa.array(counts.keys(), pa.binary()), pa.array(counts.values(), pa.int64())], ["word", "n"])
+            for part in slices(batch, "text", COUNTED):
+                counts = split(part.column(0))[0].value_counts()
+                if len(counts):
+                    yield pa.record_batch([counts.field("values").cast(pa.binary()), counts.field("counts")], ["word", "n"])
 
-    return docs.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 @dataclass
@@ -75,10 +86,21 @@ class Leaves:
     rank: dict[bytes, int]
     counts: np.ndarray
 
-    def ids(self, words: list[bytes]) -> list[int]:
-        get, first = self.rank.get, len(self.rank)
-        shared = len(self.counts) - first
-        return [k if (k := get(w)) is not None else first + zlib.crc32(w) % shared for w in words]
+    def __post_init__(self):
+        self._own: pa.Array | None = None
+
+    def __getstate__(self):
+        return self.__dict__ | {"_own": None}
+
+    def ids(self, words: pa.Array | list[bytes]) -> np.ndarray:
+        if self._own is None:
+            self._own = pa.array(list(self.rank), pa.large_binary())
+        words = pa.array(words, pa.large_binary()) if isinstance(words, list) else words
+        out = pc.fill_null(pc.index_in(words, self._own), -1).to_numpy(zero_copy_only=False).astype(np.int32)
+        first = len(self.rank)
+        shared, other = len(self.counts) - first, np.flatnonzero(out < 0)
+        out[other] = [first + zlib.crc32(w) % shared for w in words.take(pa.array(other)).to_pylist()]
+        return out
 
 
 def leaves(docs: DataFrame) -> tuple[Leaves, DataFrame]:
@@ -167,49 +189,75 @@ class Network:
     nodes: np.ndarray
     places: np.ndarray
 
+    def __post_init__(self):
+        # of a level after the other
+        self.node_at, self.branch_at = np.ascontiguousarray(self.node.T), np.ascontiguousarray(self.branch.T)
+
     def hidden(self, near: np.ndarray) -> np.ndarray:
-        """With a column of ones."""
-        out = np.ones((len(near), SIZE + 1), dtype=self.words.dtype)
-        out[:, :-1] = sum(self.words[near[:, p]] @ self.places[p] for p in range(len(OFFSETS)))
+        """Of all positions but two at either end, from embeddings of all; with a column of ones."""
+        n = len(near) - 4
+        out = np.ones((n, SIZE + 1), dtype=near.dtype)
+        out[:, :-1] = sum(near[2 + k : 2 + k + n] @ turn for k, turn in zip(OFFSETS, self.places, strict=True))
         return out
 
-    def by_path(self, leaf: np.ndarray) -> np.ndarray:
-        """An order in which, at every level, tokens of one node follow each other."""
-        return np.argsort(self.rank[leaf])
-
-    def choices(self, h: np.ndarray, leaf: np.ndarray):
-        """For each level of tokens in the order ``by_path``: positions that have it, nodes, their tokens as ``_by_size`` has them, rows of h, the branches taken, and weights of all branches with their sums."""
-        ones = np.ones(BRANCHES, dtype=h.dtype)
-        for level in range(self.node.shape[1]):
-            node = self.node[leaf, level]
-            at = np.flatnonzero(node >= 0)
-            if not len(at):
+    def levels(self, h: np.ndarray, leaf: np.ndarray):
+        """For each level of tokens, their rows of h given, what each node's softmax needs.
+
+        ``(at, nodes, sizes, runs, own, vectors, branch, z)``: positions of the
+        tokens that have the level, those of a node together, nodes with as many
+        after each other; nodes and their numbers of tokens; ``(nodes, tokens)``
+        of nodes with as many, as slices; rows of h, the nodes' vectors, the
+        branches taken, and products with all branches.
+        """
+        order = np.argsort(self.rank[leaf])
+        for of_leaf, taken in zip(self.node_at, self.branch_at, strict=True):
+            node = of_leaf.take(leaf.take(order))
+            order = order[node >= 0]
+            if not len(order):
                 return
-            node, own, branch = (node, h, self.branch[leaf, level]) if len(at) == len(leaf) else (node[at], h[at], self.branch[leaf[at], level])
+            node = node[node >= 0]
             starts = _groups(node)
-            nodes, runs = node[starts[:-1]], _by_size(starts)
+            sizes = np.diff(starts)
+            by_size = np.argsort(sizes, kind="stable")
+            sizes, starts = sizes[by_size], starts[:-1][by_size]
+            nodes, ends = node[starts], np.cumsum(sizes)
+            at = order[np.repeat(starts - ends + sizes, sizes) + np.arange(len(order))]
+            own, vectors = h.take(at, axis=0), self.nodes.take(nodes, axis=0)
             z = np.empty((len(at), BRANCHES), dtype=h.dtype)
-            for k, rows in runs:
-                z[rows] = own[rows] @ self.nodes[nodes[k]].swapaxes(-1, -2)
-            with np.errstate(over="ignore"):
-                weights = np.exp(z)
-            sums = weights @ ones
-            # where exponentials leave the range of numbers, they are taken from the largest
-            far = np.flatnonzero(~((sums > 1e-3) & (sums < 1e30)))
-            if len(far):
-                weights[far] = np.exp(z[far] - z[far].max(axis=1, keepdims=True))
-                sums[far] = weights[far] @ ones
-            yield at, nodes, np.diff(starts), runs, own, branch, weights, sums
+            bounds, runs, last = _groups(sizes).tolist(), [], 0
+            for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+                rows = slice(last, last := int(ends[b - 1]))
+                runs.append((slice(a, b), rows))
+                np.matmul(own[rows].reshape(b - a, -1, SIZE + 1), vectors[a:b].swapaxes(1, 2), out=z[rows].reshape(b - a, -1, BRANCHES))
+            yield at, nodes, sizes, runs, own, vectors, taken[leaf[at]], z
+
+    @staticmethod
+    def weights(z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Exponentials, up to a factor for each row, and their sums."""
+        ones = np.ones(BRANCHES, dtype=z.dtype)
+        with np.errstate(over="ignore"):
+            weights = np.exp(z)
+        sums = weights @ ones
+        # where exponentials leave the range of numbers, they are taken from the largest
+        far = np.flatnonzero(~((sums > 1e-3) & (sums < 1e30)))
+        if len(far):
+            weights[far] = np.exp(z[far] - z[far].max(axis=1, keepdims=True))
+            sums[far] = weights[far] @ ones
+        return weights, sums
 
     def log_probabilities(self, near: np.ndarray, leaf: np.ndarray) -> np.ndarray:
         """near: (tokens, 4) leaves of the neighbours."""
-        out = np.zeros(len(leaf))
-        for a in range(0, len(leaf), SCORED):
-            order = a + self.by_path(leaf[a : a + SCORED])
-            total = np.zeros(len(order))
-            for at, _, _, _, _, branch, weights, sums in self.choices(self.hidden(near[order]), leaf[order]):
-                total[at] += np.log(np.maximum(weights[np.arange(len(at)), branch] / sums, 1e-37))
-            out[order] = total
+        return self.scored(*_apart(near, leaf))
+
+    def scored(self, flat: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Logarithms of the probabilities of the leaves at positions ``at``, ascending, of ``flat``, which has two more at either end."""
+        out = np.zeros(len(at))
+        for a in range(0, len(at), SCORED):
+            here = at[a : a + SCORED]
+            h = self.hidden(self.words.take(flat[here[0] - 2 : here[-1] + 3], axis=0)).take(here - here[0], axis=0)
+            for rows, *_, branch, z in self.levels(h, flat[here]):
+                weights, sums = self.weights(z)
+                out[a + rows] += np.log(np.maximum(weights.ravel()[branch + np.arange(0, weights.size, BRANCHES)] / sums, 1e-37))
         return out
 
 
@@ -225,28 +273,29 @@ def network(counts: np.ndarray, seed: int = 42) -> Network:
     return Network(node, branch, rank, words, nodes, np.array(turns, dtype=np.float32))
 
 
-def windows(ids: list[list[int]], edge: int) -> tuple[np.ndarray, np.ndarray]:
-    """(near, leaf) of all tokens of texts."""
-    flat = np.full(sum(map(len, ids)) + 2 * len(ids) + 2, edge, dtype=np.int32)
-    at, mine = 2, []
-    for text in ids:
-        flat[at : at + len(text)] = text
-        mine.append(np.arange(at, at + len(text)))
-        at += len(text) + 2
-    where = np.concatenate(mine) if mine else np.zeros(0, dtype=np.int64)
-    return np.stack([flat[where + k] for k in OFFSETS], axis=1), flat[where]
+def windows(ids: np.ndarray, n: np.ndarray, edge: int) -> tuple[np.ndarray, np.ndarray]:
+    """Leaves of texts of so many tokens each, one after the other, with two edges around each; and where the tokens are."""
+    flat = np.full(len(ids) + 2 * len(n) + 2, edge, dtype=np.int32)
+    at = np.arange(len(ids)) + np.repeat(2 * np.arange(1, len(n) + 1), n)
+    flat[at] = ids
+    return flat, at
 
 
-def _summed(keys: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys, sums of their rows, their numbers."""
+def _apart(near: np.ndarray, leaf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """As ``windows``, of tokens that each have their neighbours to themselves."""
+    return np.column_stack([near[:, :2], leaf, near[:, 2:]]).astype(np.int32).ravel(), 5 * np.arange(len(leaf)) + 2
+
+
+def _summed(keys: np.ndarray, rows: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys, sums of their rows and times."""
     order = np.argsort(keys)
     keys = keys[order]
     starts = _groups(keys)
-    rows, out = rows[order], np.empty((len(starts) - 1, rows.shape[1]), dtype=rows.dtype)
+    rows, out = rows.take(order, axis=0), np.empty((len(starts) - 1, rows.shape[1]), dtype=rows.dtype)
     for k, at in _by_size(starts):
         some = rows[at]
         out[k] = np.ones(some.shape[-2], dtype=rows.dtype) @ some
-    return keys[starts[:-1]], out, np.diff(starts)
+    return keys[starts[:-1]], out, np.add.reduceat(times[order], starts[:-1])
 
 
 class Training:
@@ -258,55 +307,75 @@ class Training:
         self.square = [np.zeros(x.shape[:-1], dtype=np.float32) for x in (net.words, net.nodes)] + [np.zeros(len(net.places), dtype=np.float32)]
         self.times = [np.zeros(len(x), dtype=np.float32) for x in (net.words, net.nodes)]
 
-    def _move(self, k: int, values: np.ndarray, rows: np.ndarray, g: np.ndarray) -> None:
-        axes = tuple(range(self.square[k].ndim, g.ndim))
+    def _step(self, k: int, rows: np.ndarray, g: np.ndarray) -> np.ndarray:
+        """What to add to rows for gradients g, which it takes the place of."""
         flat = g.reshape(*g.shape[: self.square[k].ndim], -1)
-        square = self.square[k][rows] + (flat * flat) @ np.full(flat.shape[-1], 1 / flat.shape[-1], dtype=g.dtype)
+        square = self.square[k].take(rows, axis=0) + np.einsum("...i,...i->...", flat, flat) / flat.shape[-1]
         self.square[k][rows] = square
-        step = RATE / np.sqrt(square + 1e-8)
-        values[rows] += g * step.reshape(*step.shape, *[1] * len(axes))
+        flat *= (RATE / np.sqrt(square + 1e-8))[..., None]
+        return g
+
+    def _of_nodes(self, h: np.ndarray, leaf: np.ndarray, back: np.ndarray):
+        """``(nodes, gradients, tokens, vectors)`` of each level, of the sum of log-probabilities; adds those of h to ``back``. A node has one level."""
+        for at, nodes, sizes, runs, own, vectors, branch, z in self.net.levels(h, leaf):
+            error, sums = self.net.weights(z)
+            error *= (-1 / sums)[:, None]
+            error.ravel()[branch + np.arange(0, error.size, BRANCHES)] += 1
+            g, down = np.empty_like(vectors), np.empty((len(at) + 1, SIZE), dtype=h.dtype)
+            for k, rows in runs:
+                e = error[rows].reshape(k.stop - k.start, -1, BRANCHES)
+                np.matmul(e.swapaxes(1, 2), own[rows].reshape(len(e), -1, SIZE + 1), out=g[k])
+                down[rows] = (e @ vectors[k, :, :-1]).reshape(-1, SIZE)
+            # tokens without the level read the last row; rows are taken faster than added in place
+            down[-1], where = 0, np.full(len(h), len(at))
+            where[at] = np.arange(len(at))
+            back += down.take(where, axis=0)
+            yield nodes, g, sizes, vectors
+
+    def _of_words(self, flat: np.ndarray, at: np.ndarray, near: np.ndarray, back: np.ndarray):
+        """``(rows, gradients, occurrences)`` of words and gradients of places, from those of h at each position."""
+        n = len(near) - 4
+        every, used = np.zeros((n, SIZE), dtype=near.dtype), np.zeros(n, dtype=near.dtype)
+        every[at], used[at] = back, 1
+        of_near, times, of_places = np.zeros_like(near), np.zeros(len(near), dtype=near.dtype), np.empty_like(self.net.places)
+        for p, k in enumerate(OFFSETS):
+            beside = slice(2 + k, 2 + k + n)
+            of_near[beside] += every @ self.net.places[p].T
+            times[beside] += used
+            of_places[p] = near[beside].T @ every
+        return _summed(flat, of_near, times), of_places
 
     def gradients(self, near: np.ndarray, leaf: np.ndarray):
         """Of the sum of log-probabilities: ``(rows, gradients, occurrences)`` of words and of nodes, gradients of places."""
-        net = self.net
-        order = net.by_path(leaf)
-        near, leaf = near[order], leaf[order]
-        h = net.hidden(near)
-        back = np.zeros_like(h)
-        of_nodes: list = []
-        for at, nodes, sizes, runs, own, branch, weights, sums in net.choices(h, leaf):
-            error = weights * (-1 / sums)[:, None]
-            error[np.arange(len(at)), branch] += 1
-            g = np.empty((len(nodes), BRANCHES, SIZE + 1), dtype=h.dtype)
-            down = np.empty_like(own)
-            for k, rows in runs:
-                e = error[rows]
-                g[k] = e.swapaxes(-1, -2) @ own[rows]
-                down[rows] = e @ net.nodes[nodes[k]]
-            back[at] += down
-            of_nodes.append((nodes, g, sizes))
-        back = back[:, :-1]
-        of_words = _summed(near.T.ravel(), np.concatenate([back @ m.T for m in net.places]))
-        # a node has one level
-        return of_words, tuple(np.concatenate(x) for x in zip(*of_nodes, strict=True)), np.stack([net.words[near[:, p]].T @ back for p in range(len(OFFSETS))])
-
-    def step(self, near: np.ndarray, leaf: np.ndarray) -> None:
-        (w, gw, nw), (m, gm, nm), gp = self.gradients(near, leaf)
-        self._move(0, self.net.words, w, gw)
-        self._move(1, self.net.nodes, m, gm)
+        flat, at = _apart(near, leaf)
+        vectors, back = self.net.words.take(flat, axis=0), np.zeros((len(at), SIZE), dtype=self.net.words.dtype)
+        of_nodes = [x[:3] for x in self._of_nodes(self.net.hidden(vectors)[at - 2], leaf, back)]
+        of_words, of_places = self._of_words(flat, at - 2, vectors, back)
+        return of_words, tuple(np.concatenate(x) for x in zip(*of_nodes, strict=True)), of_places
+
+    def step(self, flat: np.ndarray, at: np.ndarray) -> None:
+        """On tokens at positions ``at``, ascending, of ``flat``, which has two more at either end."""
+        net, flat, at = self.net, flat[at[0] - 2 : at[-1] + 3], at - at[0]
+        near, back = net.words.take(flat, axis=0), np.zeros((len(at), SIZE), dtype=net.words.dtype)
+        for nodes, g, sizes, vectors in self._of_nodes(net.hidden(near).take(at, axis=0), flat.take(at + 2), back):
+            vectors += self._step(1, nodes, g)
+            net.nodes[nodes] = vectors
+            self.times[1][nodes] += sizes
+        (words, g, times), of_places = self._of_words(flat, at, near, back)
+        net.words[words] = net.words.take(words, axis=0) + self._step(0, words, g)
         # matrices that all tokens share go a tenth of the way
-        self._move(2, self.net.places, np.arange(len(gp)), gp * 0.1)
-        self.times[0][w] += nw
-        self.times[1][m] += nm
-        self.seen += len(leaf)
+        net.places += self._step(2, np.arange(len(OFFSETS)), of_places * 0.1)
+        self.times[0][words] += times
+        self.seen += len(at)
 
-    def learn(self, ids: list[list[int]], passes: int) -> None:
-        near, leaf = windows(ids, len(self.net.words) - 1)
+    def learn(self, ids: np.ndarray, n: np.ndarray, passes: int) -> None:
+        """On texts of so many tokens each, one after the other."""
+        flat, at = windows(ids, n, len(self.net.words) - 1)
         for _ in range(passes):
             # a short input still makes some steps
-            size = min(BATCH, max(64, len(leaf) // 8))
-            for a in range(0, len(leaf), size):
-                self.step(near[a : a + size], leaf[a : a + size])
+            size = min(BATCH, max(64, len(at) // 8))
+            for a in range(0, len(at), size):
+                self.step(flat, at[a : a + size])
 
     def changes(self):
         """``(kind, block, rows, times, delta)``: kind 0 words, 1 nodes, 2 places."""
@@ -360,24 +429,26 @@ def trained(docs: DataFrame, words: Leaves) -> Network:
 
     def run(batches):
         train, held, size = Training(net), [], 0
+
+        def learn():
+            train.learn(*(np.concatenate(x) for x in zip(*held, strict=True)), -(-passes // rounds))
+
         for batch in batches:
-            for part in slices(batch, "text"):
-                for t in texts_of(part.column(0)):
-                    ids = words.ids(words_of(t))
-                    if ids:
-                        held.append(ids)
-                        size += len(ids)
-                    if size > CHUNK:
-                        train.learn(held, -(-passes // rounds))
-                        held, size = [], 0
-        if held:
-            train.learn(held, -(-passes // rounds))
+            for part in slices(batch, "text", LOOKED_UP):
+                own, n = split(part.column(0))
+                held.append((words.ids(own), n[n > 0]))
+                size += len(own)
+                if size > CHUNK:
+                    learn()
+                    held, size = [], 0
+        if size:
+            learn()
         if train.seen:
             for change in train.changes():
                 yield _sent(*change)
 
     for _ in range(rounds):
-        made = docs.select("text").coalesce(tasks).mapInArrow(run, _CHANGES).repartition("kind", "block").mapInArrow(_averaged, _CHANGES).toArrow()
+        made = docs.select(F.col("text").cast("string").alias("text")).coalesce(tasks).mapInArrow(run, _CHANGES).repartition("kind", "block").mapInArrow(_averaged, _CHANGES).toArrow()
         new = Network(net.node, net.branch, net.rank, net.words.copy(), net.nodes.copy(), net.places.copy())
         for r in made.to_pylist():
             rows, to = np.frombuffer(r["rows"], "<i4") + r["block"] * BLOCKS[r["kind"]], (new.words, new.nodes, new.places)[r["kind"]]
@@ -399,18 +470,18 @@ def scores(docs: DataFrame, words: Leaves, several: DataFrame, net: Network) ->
     def run(batches):
         first, seen = len(words.rank), TaskContext.get().partitionId() << 40
         for batch in batches:
-            for part in slices(batch, "text", 2_000_000):
-                texts = [words_of(t) for t in texts_of(part.column(1))]
-                ids = [words.ids(t) for t in texts]
-                n = np.array([len(x) for x in ids])
-                near, leaf = windows(ids, len(net.words) - 1)
-                logp = net.log_probabilities(near, leaf)
-                logp[leaf >= first] -= of_leaf[leaf[leaf >= first]]
-                total = np.bincount(np.repeat(np.arange(len(ids)), n), weights=logp, minlength=len(ids))
-                rare = [np.array([xxhash.xxh64_intdigest(w, 42) for w, k in zip(t, x, strict=True) if k >= first], dtype=np.uint64).view(np.int64) for t, x in zip(texts, ids, strict=True)]
-                rows = pa.array(np.arange(seen, seen + len(ids)))
-                seen += len(ids)
-                yield pa.record_batch([rows, part.column(0), pa.array(n, pa.int64()), pa.array(total, pa.float64()), pa.array(rare, pa.list_(pa.int64()))], ["row", "doc_id", "n_tokens", "own", "rare"])
+            for part in slices(batch, "text", LOOKED_UP):
+                own, n = split(part.column(1))
+                ids, of_text = words.ids(own), np.repeat(np.arange(len(n)), n)
+                logp, other = net.scored(*windows(ids, n, len(net.words) - 1)), np.flatnonzero(ids >= first)
+                logp[other] -= of_leaf[ids[other]]
+                total = np.bincount(of_text, weights=logp, minlength=len(n))
+                hashes = np.array([xxhash.xxh64_intdigest(w, 42) for w in own.take(pa.array(other)).to_pylist()], dtype=np.uint64).view(np.int64)
+                ends = np.cumsum(np.bincount(of_text[other], minlength=len(n)))
+                rare = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(hashes))
+                rows = pa.array(np.arange(seen, seen + len(n)))
+                seen += len(n)
+                yield pa.record_batch([rows, part.column(0), pa.array(n, pa.int64()), pa.array(total, pa.float64()), rare], ["row", "doc_id", "n_tokens", "own", "rare"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     made = stored(texts.mapInArrow(run, "row long, doc_id long, n_tokens long, own double, rare array<long>"), "scored")

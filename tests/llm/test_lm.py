@@ -1,8 +1,10 @@
 import math
 import random
+import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
 from mergeweave.llm import lm
 
@@ -154,3 +156,32 @@ def test_odd_rows_and_empty(spark):
     got = lm.scored(docs(spark, ODD, ODD_IDS)).collect()
     assert len(got) == len(ODD) and [r["log_prob"] for r in got if r["n_tokens"] == 0] == [0.0] * 3
     assert lm.scored(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_words_of_slices_as_by_definition():
+    texts = [*ODD, "  A\tÄ\x0bb\x1cc\xa0d\x85 \r\n", " ", None, *(prose(300, k) for k in range(40))]
+    every, counts = pa.array(texts, pa.string()), np.ones(8, dtype=np.int64)
+    for a, n in ((0, len(texts)), (3, 9), (len(ODD), 20), (len(texts) - 5, 5), (4, 0)):
+        want = [lm.words_of(t or "") for t in texts[a : a + n]]
+        words, sizes = lm.split(every.slice(a, n))
+        assert words.to_pylist() == [w for t in want for w in t] and sizes.tolist() == [len(t) for t in want]
+        assert lm.Leaves({b"the": 0}, counts).ids(words).tolist() == [0 if w == b"the" else 1 + zlib.crc32(w) % 7 for t in want for w in t]
+
+
+def test_steps_of_texts_in_order_are_those_of_separate_windows():
+    draw = np.random.default_rng(9)
+    n = np.array([0, 1, 5, 0, 200, 2, 90])
+    ids = draw.integers(0, 60, n.sum()).astype(np.int32)
+    net = trained_like(draw.integers(1, 50, 60))
+    flat, at = lm.windows(ids, n, 60)
+    near = np.stack([flat[at + k] for k in lm.OFFSETS], axis=1)
+    assert (flat[at] == ids).all() and (flat == 60).sum() == 2 * len(n) + 2
+    assert np.allclose(net.scored(flat, at), [brute_log_prob(net, a, k) for a, k in zip(near, ids)])
+    a, b = lm.Training(net), lm.Training(net)
+    a.step(flat, at)
+    (w, gw, nw), (m, gm, nm), gp = b.gradients(near, ids)
+    for k, rows, values, g in ((0, w, b.net.words, gw), (1, m, b.net.nodes, gm), (2, np.arange(4), b.net.places, gp * 0.1)):
+        values[rows] += b._step(k, rows, g)
+    for x, y in ((a.net.words, b.net.words), (a.net.nodes, b.net.nodes), (a.net.places, b.net.places)):
+        assert np.allclose(x, y, rtol=1e-4, atol=1e-4)
+    assert (a.times[0][w] == nw).all() and a.times[0].sum() == 4 * n.sum() and a.seen == n.sum()
