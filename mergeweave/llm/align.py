@@ -4,7 +4,8 @@ Python tokenises, by a byte-level BPE (A) and a piece BPE with byte fallback (B)
 Byte offsets at which a token of both ends cut the tokens into groups. Where a text
 can be cut, so that both tokenizers encode its parts apart, each part ends at such
 an offset, and the groups of a text are those of its parts in order; so they are
-made once for a part that is kept. Tokens of a group are linked, each of A's with
+made once for a part that is kept. The different groups of a text go beside them, those
+of a token each apart, because these are links themselves. Tokens of a group are linked, each of A's with
 each of B's. All counting is Spark's: documents with a linked pair of ids by one
 aggregation; what that makes of each different group goes back to the documents.
 """
@@ -161,7 +162,11 @@ def tokenizers_of(a_path: str, b_path: str) -> Tokenizers:
 
 
 def aligned(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
-    """``(doc_id, n_a, n_b, n_groups, groups)`` of every row of ``docs``; groups: ``a1,a2|b1;a3|b2``, in order, empty for texts that have no tokens."""
+    """``(doc_id, n_a, n_b, n_groups, groups, single, several)`` of every row of ``docs``.
+
+    groups: ``a1,a2|b1;a3|b2``, in order, empty for texts that have no tokens.
+    single, several: the different ones of a token of each, and of more, in any order.
+    """
 
     def run(batches):
         t = tokenizers_of(a_path, b_path)
@@ -169,16 +174,23 @@ def aligned(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
             for piece in slices(batch, "text", 2_000_000):
                 found = [x or ("", 0, 0) for x in t.encode(texts_of(piece.column(1)))]
                 said, a, b = zip(*found, strict=True)
-                n = [g.count("|") for g in said]
-                yield pa.RecordBatch.from_arrays([piece.column(0), *(pa.array(x, pa.int64()) for x in (a, b, n)), pa.array(said, pa.string())], ["doc_id", "n_a", "n_b", "n_groups", "groups"])
+                n, single, several = [g.count("|") for g in said], [], []
+                for groups in said:
+                    different = set(groups.split(";"))
+                    more = [g for g in different if "," in g]
+                    single.append(";".join(different.difference(more)))
+                    several.append(";".join(more))
+                yield pa.RecordBatch.from_arrays(
+                    [piece.column(0), *(pa.array(x, pa.int64()) for x in (a, b, n)), *(pa.array(x, pa.string()) for x in (said, single, several))],
+                    ["doc_id", "n_a", "n_b", "n_groups", "groups", "single", "several"],
+                )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n_a long, n_b long, n_groups long, groups string")
+    return rows.mapInArrow(run, "doc_id long, n_a long, n_b long, n_groups long, groups string, single string, several string")
 
 
 def each_group(groups: Column) -> Column:
-    """Of the groups of a document, which has some."""
-    return F.split(groups, ";")
+    return F.when(groups == "", F.array().cast("array<string>")).otherwise(F.split(groups, ";"))
 
 
 def links_of(group: Column) -> Column:
@@ -193,14 +205,11 @@ def _key(group: Column) -> list[Column]:
 
 
 def alignment(docs: DataFrame, a_path: str, b_path: str) -> tuple[DataFrame, DataFrame]:
-    """Two tables: a stored one of all rows ``(row, doc_id, n_a, n_b, n_groups, groups)``, and of each different id pair that is linked ``(pair, a, n)``: in how many documents."""
+    """Two tables: a stored one of all rows ``(row, doc_id, n_a, n_b, n_groups, groups, single, several)``, and of each different id pair that is linked ``(pair, a, n)``: in how many documents."""
     rows = aligned(docs, a_path, b_path).withColumn("row", F.monotonically_increasing_id())
     made = stored(rows, "aligned", compression="zstd")
-    # most groups are a token of each, and so a link themselves
-    many = lambda g: F.contains(g, F.lit(","))
-    some = made.where("n_groups > 0").select(F.array_distinct(each_group(F.col("groups"))).alias("different"))
-    pairs = F.array_union(F.filter("different", lambda g: ~many(g)), F.flatten(F.transform(F.filter("different", many), links_of)))
-    counted = some.select(F.explode(pairs).alias("pair")).groupBy("pair").agg(F.count("*").alias("n"))
+    pairs = F.array_union(each_group(F.col("single")), F.flatten(F.transform(each_group(F.col("several")), links_of)))
+    counted = made.where("n_groups > 0").select(F.explode(pairs).alias("pair")).groupBy("pair").agg(F.count("*").alias("n"))
     return made, stored(counted.select("pair", F.split_part("pair", F.lit("|"), F.lit(1)).cast("int").alias("a"), "n"), "pairs")
 
 
@@ -218,7 +227,9 @@ def report(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     most = counted.groupBy("a").agg(F.max("n").alias("most"))
     valued = counted.join(most, "a").select("pair", "n", (F.col("n") == F.col("most")).cast("long").alias("best"))
     some = made.where("n_groups > 0").select("row", each_group(F.col("groups")).alias("groups"))
-    different = some.select(F.explode(F.array_distinct("groups")).alias("group")).distinct()
+    # a group of a token each is a pair; pairs that are in larger groups only go unused
+    several = made.where("several != ''").select(F.explode(each_group(F.col("several"))).alias("group")).distinct()
+    different = counted.select(F.col("pair").alias("group")).union(several)
     links = different.select(*_key(F.col("group")), F.explode(links_of(F.col("group"))).alias("pair"))
     worth = stored(links.join(valued, "pair").groupBy("h1", "h2").agg(F.count("*").alias("links"), F.sum("best").alias("best"), F.sum("n").alias("counts")), "groups")
     small = worth.limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS

@@ -125,3 +125,14 @@ def test_repeats_and_empty_table(spark, plain):
     ids = [1] * 100 + [None] * 100 + [*range(140)]
     assert shown(align.report(docs(spark, texts, ids), A, B)) == brute(plain, list(zip(ids, texts, strict=True)))
     assert align.report(docs(spark, ["x"]).limit(0), A, B).count() == 0
+
+
+def test_different_groups_beside_all(spark):
+    texts = [*HARD, prose(300, 5), f"{prose(60, 6)} unbelievably;odd unbelievably;odd"]
+    seen = 0
+    for r in align.aligned(docs(spark, texts, range(len(texts))), A, B).collect():
+        single, several = ([g for g in r[c].split(";") if g] for c in ("single", "several"))
+        assert sorted(single + several) == sorted({*r["groups"].split(";")} - {""})
+        assert not any("," in g for g in single) and all("," in g for g in several)
+        seen += bool(single) and bool(several) and len(single) + len(several) < r["n_groups"]
+    assert seen > 1
