@@ -204,15 +204,21 @@ def _key(group: Column) -> list[Column]:
     return [F.xxhash64(group).alias("h1"), F.xxhash64(F.lit(7), group).alias("h2")]
 
 
+def counts(made: DataFrame) -> DataFrame:
+    """``(pair, a, n, alone)`` of each different id pair that is linked in ``made(n_groups, single, several, ...)``; see ``alignment``."""
+    pairs = F.array_union(each_group(F.col("single")), F.flatten(F.transform(each_group(F.col("several")), links_of)))
+    # those of a token each come first; how many, in a step before: beside posexplode, Spark would find it anew for each pair
+    rows = made.where("n_groups > 0").select("single", "several", F.size(each_group(F.col("single"))).alias("first"))
+    every = rows.select("first", F.posexplode(pairs).alias("at", "pair"))
+    counted = every.groupBy("pair").agg(F.count("*").alias("n"), F.max(F.col("at") < F.col("first")).alias("alone"))
+    return counted.select("pair", F.split_part("pair", F.lit("|"), F.lit(1)).cast("int").alias("a"), "n", "alone")
+
+
 def alignment(docs: DataFrame, a_path: str, b_path: str) -> tuple[DataFrame, DataFrame]:
     """Two tables: a stored one of all rows ``(row, doc_id, n_a, n_b, n_groups, groups, single, several)``, and of each different id pair that is linked ``(pair, a, n, alone)``: in how many documents, and whether it is a group itself in any."""
     rows = aligned(docs, a_path, b_path).withColumn("row", F.monotonically_increasing_id())
     made = stored(rows, "aligned", compression="zstd")
-    pairs = F.array_union(each_group(F.col("single")), F.flatten(F.transform(each_group(F.col("several")), links_of)))
-    # those of a token each come first
-    every = made.where("n_groups > 0").select(F.size(each_group(F.col("single"))).alias("first"), F.posexplode(pairs).alias("at", "pair"))
-    counted = every.groupBy("pair").agg(F.count("*").alias("n"), F.max(F.col("at") < F.col("first")).alias("alone"))
-    return made, stored(counted.select("pair", F.split_part("pair", F.lit("|"), F.lit(1)).cast("int").alias("a"), "n", "alone"), "pairs")
+    return made, stored(counts(made), "pairs")
 
 
 def report(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
@@ -228,13 +234,12 @@ def report(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     made, counted = alignment(docs, a_path, b_path)
     most = counted.groupBy("a").agg(F.max("n").alias("most"))
     valued = counted.join(most, "a").select("pair", "n", (F.col("n") == F.col("most")).cast("long").alias("best"))
-    some = made.where("n_groups > 0").select("row", each_group(F.col("groups")).alias("groups"))
     several = made.where("several != ''").select(F.explode(each_group(F.col("several"))).alias("group")).distinct()
     different = counted.where("alone").select(F.col("pair").alias("group")).union(several)
     links = different.select(*_key(F.col("group")), F.explode(links_of(F.col("group"))).alias("pair"))
     worth = stored(links.join(valued, "pair").groupBy("h1", "h2").agg(F.count("*").alias("links"), F.sum("best").alias("best"), F.sum("n").alias("counts")), "groups")
     small = worth.limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS
-    each = some.select("row", F.explode("groups").alias("group")).select("row", *_key(F.col("group")))
+    each = made.where("n_groups > 0").select("row", F.explode(each_group(F.col("groups"))).alias("group")).select("row", *_key(F.col("group")))
     if small:
         found = each.join(F.broadcast(worth), ["h1", "h2"]).groupBy("row").agg(F.sum("links").alias("n_links"), F.sum("best").alias("n_best"), F.sum("counts").alias("count_sum"))
     else:  # a document's repeated groups go as one

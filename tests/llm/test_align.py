@@ -136,3 +136,16 @@ def test_different_groups_beside_all(spark):
         assert not any("," in g for g in single) and all("," in g for g in several)
         seen += bool(single) and bool(several) and len(single) + len(several) < r["n_groups"]
     assert seen > 1
+
+
+def test_counting_pairs_reads_no_groups_of_a_text_for_each_pair(spark, plain):
+    texts = [*HARD, prose(300, 5), f"{prose(60, 6)} unbelievably;odd"]
+    made = align.aligned(docs(spark, texts, range(len(texts))), A, B)
+    counted = align.counts(made)
+    above = counted._jdf.queryExecution().optimizedPlan().toString().split("Generate posexplode")
+    assert len(above) == 2 and "single" not in above[0] and "split(" in above[1]
+    found = [groups(*tokens(plain, t)) for t in texts]
+    n = collections.Counter(p for g in found for p in {f"{x}|{y}" for left, right in g for x in left for y in right})
+    alone = {f"{left[0]}|{right[0]}" for g in found for left, right in g if len(left) == len(right) == 1}
+    rows = {r["pair"]: (r["a"], r["n"], r["alone"]) for r in counted.collect()}
+    assert rows == {p: (int(p.split("|")[0]), k, p in alone) for p, k in n.items()} and len(alone) < len(n)
