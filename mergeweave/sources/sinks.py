@@ -20,6 +20,10 @@ def _bucketed(df: DataFrame) -> DataFrame:
     return df.withColumn("repo_bucket", F.format_string("%04d", F.col("repo_bucket").cast("int")))
 
 
+#: Fixed value: row groups of a file at most, where their rows are bounded. A writer holds what it tells of all of them until the file ends.
+GROUPS_PER_FILE = 100
+
+
 def write_bucketed(df: DataFrame, path: str, order: list, rows_per_file: int, compression: str = "zstd", mode: str = "overwrite", parts: int | None = None, row_group_rows: int | None = None, row_group_bytes: int | None = None, look_up: tuple[str, ...] = ()) -> None:
     """One folder for each bucket, rows in ``order`` within files.
 
@@ -27,8 +31,9 @@ def write_bucketed(df: DataFrame, path: str, order: list, rows_per_file: int, co
     repository in it, spreads over as many tasks as its rows need; small buckets
     share one. Ranges come from a sample of the rows, so ``df`` should be a
     table. parts: number of ranges, that of shuffle partitions if None.
-    row_group_rows, row_group_bytes: what a row group holds at most. look_up:
-    columns with Bloom filters, by which readers skip row groups that lack a value.
+    row_group_rows, row_group_bytes: what a row group holds at most; with few rows in one, files hold fewer
+    rows too. look_up: columns with Bloom filters, by which readers skip row groups that lack a value; they are as
+    large as the rows of a group ask for, or as the values that are met.
     """
     keys = ["repo_bucket", *order]
     # the folder's name is what is sorted by: else the writer would sort once more, by the folder alone
@@ -36,6 +41,11 @@ def write_bucketed(df: DataFrame, path: str, order: list, rows_per_file: int, co
     dealt = named.repartitionByRange(parts, *keys) if parts else named.repartitionByRange(*keys)
     writer = dealt.sortWithinPartitions(*keys).write.partitionBy("repo_bucket").option("compression", compression).option("partitionOverwriteMode", "dynamic")
     limits = {"parquet.block.row.count.limit": row_group_rows, "parquet.block.size": row_group_bytes} | {f"parquet.bloom.filter.enabled#{c}": "true" for c in look_up}
+    if row_group_rows:
+        rows_per_file = min(rows_per_file, GROUPS_PER_FILE * row_group_rows) if rows_per_file > 0 else GROUPS_PER_FILE * row_group_rows
+        limits |= {f"parquet.bloom.filter.expected.ndv#{c}": str(row_group_rows) for c in look_up}
+    elif look_up:
+        limits |= {"parquet.bloom.filter.adaptive.enabled": "true"}
     writer.options(**{k: v for k, v in limits.items() if v is not None}).option("maxRecordsPerFile", rows_per_file).mode(mode).parquet(path)
 
 

@@ -210,3 +210,17 @@ def test_extras_are_null_without_keeping(spark):
 def test_buckets_are_never_negative(spark, ids):
     rows = shard.events(lines(spark, [opened(1, pr=pull(), repo=i, id=str(i)) for i in ids]), 7).collect()
     assert {int(r["event_id"]): r["repo_bucket"] for r in rows} == {i: i % 7 for i in ids}
+
+
+def test_many_row_groups_take_no_more_than_their_rows_ask_for(spark, tmp_path):
+    out = str(tmp_path / "t")
+    rows = spark.range(300).selectExpr("1 as repo_bucket", "id as repo_id")
+    sinks.write_bucketed(rows, out, ["repo_id"], 1_000_000, parts=1, row_group_rows=2, look_up=("repo_id",))
+    groups = sinks.row_groups(spark, out, "repo_id").collect()
+    assert len(groups) == 150 and all(g["rows"] == 2 for g in groups) and max(g["row_group"] for g in groups) < sinks.GROUPS_PER_FILE
+    # a filter of a megabyte for each group would take 150
+    assert sum(f.stat().st_size for f in (tmp_path / "t").rglob("*.parquet")) < 1_000_000
+    assert spark.read.parquet(out).where("repo_id = 7").count() == 1
+    whole = str(tmp_path / "whole")
+    sinks.write_bucketed(rows, whole, ["repo_id"], 1_000_000, parts=1, look_up=("repo_id",))
+    assert sum(f.stat().st_size for f in (tmp_path / "whole").rglob("*.parquet")) < 200_000 and spark.read.parquet(whole).where("repo_id = 7").count() == 1
