@@ -57,6 +57,14 @@ def _arrow(kind: T.DataType) -> pa.DataType:
     return {T.StringType(): pa.large_string(), T.LongType(): pa.int64(), T.IntegerType(): pa.int32(), T.BooleanType(): pa.bool_()}[kind]
 
 
+#: Fixed value: bytes of a clone that may stay while the next repository is cloned.
+SPARE_BYTES = 50_000_000
+
+
+def _bytes(path: str) -> int:
+    return sum(os.lstat(os.path.join(d, name)).st_size for d, _, names in os.walk(path) for name in names)
+
+
 #: A task takes about so many rows at most, and a repository isn't cut into chunks of fewer than the least.
 ROWS_PER_TASK, LEAST_CHUNK = 1000, 8
 #: Small repositories are packed by groups, so many for each task, and large ones by chunks of such a part of what a task takes: hashes fill chunks unevenly.
@@ -123,38 +131,66 @@ def enriched(rows: DataFrame, limits: gitops.Limits | None = None, clone_url: Ca
         root = clone_root if keep_clones and clone_root else tempfile.mkdtemp(prefix="clones-", dir=clone_root)
         mirrors = gitops.Mirrors(os.path.join(clone_root or tempfile.gettempdir(), f"mirrors-{of_run}"))
         clones: dict[str, gitops.Repository] = {}
-        entered: set[str] = set()
+        entered: dict[str, str] = {}
+        # of the repository whose rows are read: URLs by its names, and as a set
+        urls: dict[str, str] = {}
+        current: set[str] = set()
         now, shared = object(), False
+        # numbers that the batch asks for, by repository and name, and of the present one by URL
+        ahead: dict[object, dict[str, list[int]]] = {}
+        expected: dict[str, list[int]] = {}
+
+        def url_of(full_name: str) -> str:
+            if full_name not in urls:
+                urls[full_name] = clone_url(full_name)
+            return urls[full_name]
 
         def repository(full_name: str) -> gitops.Repository:
-            if full_name not in clones:
+            url = url_of(full_name)
+            for name, numbers in ahead.pop(now, {}).items():
+                expected.setdefault(url_of(name), []).extend(numbers)
+            if url not in current:
+                # a clone stays for the next repository if that is cloned from where it was; the last other one, if it is small
+                others = [u for u in clones if u != url and u not in current]
+                spare = [u for u in others[-1:] if _bytes(clones[u].path) <= SPARE_BYTES]
+                left(current if keep_clones else {*current, url, *spare})
+                current.add(url)
+            if url in clones:
+                clones[url] = clones.pop(url)  # the last
+            else:
                 name = full_name.replace("/", "__") + ".git"
-                mirror = mirrors.enter(name, clone_url(full_name)) if shared else None
+                mirror = mirrors.enter(name, url) if shared else None
                 if mirror:
-                    entered.add(name)
+                    entered[url] = name
                 # tasks that hold chunks of one repository have a clone each
                 path = os.path.join(root, f"{uuid.uuid4().hex}-{name}" if shared else name)
-                clones[full_name] = gitops.Repository(path, clone_url(full_name), exact_paths, mirror)
-            return clones[full_name]
-
-        def left():
-            for old in clones.values():
+                clones[url] = gitops.Repository(path, url, exact_paths, mirror)
+            if url in expected:
+                clones[url].expect(expected.pop(url))
+            return clones[url]
+
+        def left(but: set[str] = frozenset()):
+            for url in [u for u in clones if u not in but]:
+                old = clones.pop(url)
                 if not keep_clones or old.mirror:
                     shutil.rmtree(old.path, ignore_errors=True)
-            clones.clear()
-            for name in entered:
-                mirrors.leave(name)
-            entered.clear()
+                if url in entered:
+                    mirrors.leave(entered.pop(url))
 
         try:
             for whole in batches:
+                asks = whole.column(whole.schema.get_field_index("__ask")).to_pylist()
+                ahead.clear()
+                for a in asks:
+                    if a["repo"] and a["number"] is not None and a["base"] and a["head"]:
+                        ahead.setdefault(a["repo_key"], {}).setdefault(a["repo"], []).append(a["number"])
                 for at in range(0, whole.num_rows, batch):
                     part = whole.slice(at, batch)
-                    ask = part.column(part.schema.get_field_index("__ask")).to_pylist()
                     out = []
-                    for a in ask:
+                    for a in asks[at : at + batch]:
                         if a["repo_key"] != now:
-                            left()
+                            for held in (urls, current, expected):
+                                held.clear()
                             now, shared = a["repo_key"], a["shared"]
                         out.append(gitops.enrich(gitops.Wanted(a["repo"], a["number"], a["base"], a["head"], a["discussion"]), repository, limits))
                     own = part.drop_columns(["__ask"])

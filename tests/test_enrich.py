@@ -253,3 +253,58 @@ def test_scalars(spark):
     got = df.select(text.redacted_url(df["u"]), cut, was, few, more, text.first_of(df["e"], df["f"]), text.tail(df["b"], 4), text.path_safe(text.clone_url(df["f"])), text.is_commit(df["f"]), text.instant(df["f"])).first()
     assert got[:] == ("https://***:***@h/x", "��a", True, ["a"], True, "q", "zzzz", "https:____github.com__q.git", False, None)
     assert df.select(*text.capped(df["b"], 0), *text.limited(df["l"], 0)).first()[1] is False
+
+
+def counted(monkeypatch):
+    """The git commands that are run from now on."""
+    ran, one, pipe = [], gitops.git, gitops.Pipe.__enter__
+    monkeypatch.setattr(gitops, "git", lambda *a, **k: (ran.append(a[0]), one(*a, **k))[1])
+    monkeypatch.setattr(gitops.Pipe, "__enter__", lambda self: (ran.append(self.args[0]), pipe(self))[1])
+    return ran
+
+
+def test_what_git_said_about_ids_is_not_asked_again(origin, tmp_path, monkeypatch):
+    _, base, head = origin
+    wants = [want(base, head), want("f" * 40, head), want(base, "e" * 40), want(base, head, number=8), want(head, base)] * 6
+    bare = lambda code: {k: v for k, v in code.items() if k != "debug"} | {"tail": code["debug"]["git_stderr_tail"]}
+    alone = [bare(gitops.enrich(w, at(origin, tmp_path / str(k)), gitops.Limits())) for k, w in enumerate(wants[:5])] * 6
+    ran, repo = counted(monkeypatch), at(origin, tmp_path)("o/r")
+    assert [bare(gitops.enrich(w, lambda _: repo, gitops.Limits())) for w in wants] == alone
+    assert ran.count("clone") == 1 and ran.count("fetch") == 2 and len(ran) < 60
+    gone = gitops.Repository(str(tmp_path / "gone"), "file:///nowhere")
+    assert gone.ready() == gone.ready() != "" and ran.count("clone") == 2
+
+
+def test_answers_are_bounded_and_failures_hold_until_objects_come():
+    answers = gitops.Answers(1000)
+    for k in range(100):
+        assert answers.keep(("x", k), "a" * 100) == "a" * 100
+    assert answers.held <= 1000 and 0 < len(answers.good) < 10 and answers.get(("x", 99)) and answers.get(("x", 0)) is None
+    answers.keep(("big",), "a" * 2000)
+    assert answers.get(("big",)) is None and answers.get(("x", 99))
+
+
+def test_heads_are_fetched_at_once(origin, tmp_path, monkeypatch):
+    """Those that are there by one command, and of the others git is asked about one; all as if asked one by one."""
+    path, _, head = origin
+    for n in (17, 18, 19, 20):
+        subprocess.run(["git", "-C", path, "update-ref", f"refs/pull/{n}/head", head], check=True)
+    one, all_ = at(origin, tmp_path / "one")("o/r"), at(origin, tmp_path / "all")("o/r")
+    assert one.ready() == all_.ready() == ""
+    numbers = [*range(16, 22), 7, *range(100, 140)]
+    told = [(one.pull_head(n), one.notes[:], one.notes.clear()) for n in numbers]
+    ran = counted(monkeypatch)
+    all_.expect(numbers)
+    assert [(all_.pull_head(n), all_.notes[:], all_.notes.clear()) for n in numbers] == told
+    assert [t[0] for t in told[:7]] == [None, head, head, head, head, None, head] and len(ran) == 4
+
+
+def test_repositories_of_one_url_share_a_clone(spark, origin):
+    path = origin[0]
+    some = rows(spark, origin, list(range(60))).withColumn("repo_id", F.col("pr_number")).withColumn("number", F.lit(7))
+    some = some.withColumn("pull_request", F.col("pull_request").withField("base", F.col("pull_request.base").withField("repo.full_name", F.concat(F.lit("o/r"), F.col("pr_number"))))).drop("number")
+    none = lambda name: f"file://{path}" if int(name[3:]) % 6 else "file:///nowhere"
+    got = enrich.enriched(some, clone_url=none).select("pr_number", "code.status", "code.debug.repo_dir", F.spark_partition_id().alias("task")).collect()
+    assert [r["status"] for r in sorted(got)] == ["ok" if n % 6 else "error" for n in range(60)]
+    # one clone a task, whatever stands between
+    assert len({r["repo_dir"] for r in got if r["status"] == "ok"}) == len({r["task"] for r in got if r["status"] == "ok"})
