@@ -56,7 +56,8 @@ def _tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 
 def _open(pr: DataFrame) -> DataFrame:
-    return snapshot.snapshots(pr).where("pull_request.merged")
+    """All merged pull requests. They grow with the events, and Spark takes a few columns of so wide rows for far less than they are: joins with them are to merge, not to send them to all tasks."""
+    return snapshot.snapshots(pr).where("pull_request.merged").hint("merge")
 
 
 def _counted(rows: DataFrame) -> DataFrame:

@@ -187,3 +187,13 @@ def test_order_of_input_doesn_t_matter(spark, seed):
 def test_statistics(spark):
     rows = lines(spark, [opened(1, id="1"), "{", event("PushEvent", {}, id="2")])
     assert shard.statistics(rows, shard.events(rows, 8)).first()[:] == (3, 1, 2, 1, 1)
+
+
+def test_all_merged_pull_requests_are_not_sent_to_all_tasks(spark, data):
+    from mergeweave import registry
+
+    for query in (registry.s2_stats, registry.s2_attach_cascade):
+        found = query(spark, data)
+        assert found.collect()
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
